@@ -50,8 +50,7 @@ def ds_client_months_upto(published: DataFrame, selected=None) -> DataFrame:
         anchors = F.array(*[F.lit(s) for s in sorted(set(selected))])
         rows = published.filter(month_key("report_month") <= F.lit(max(selected)))
     else:
-        latest = published.filter(empty_to_null("agr_id").isNotNull()).agg(F.max(month_key("report_month"))).scalar()
-        anchors = F.array(latest)
+        anchors = None
     base = client_month(rows)
     base = base.withColumns(
         {
@@ -60,6 +59,10 @@ def ds_client_months_upto(published: DataFrame, selected=None) -> DataFrame:
             **cohort_flags("chod_sum"),
         }
     ).withColumnRenamed("report_month", "point_report_month")
+    if anchors is None:
+        # Every month is up to the latest one.
+        latest = published.filter(empty_to_null("agr_id").isNotNull()).agg(F.max(month_key("report_month"))).scalar()
+        return base.withColumn("report_month", latest)
     reached = F.filter(anchors, lambda a: a >= F.col("point_report_month"))
     return base.withColumn("report_month", F.explode(reached))
 
@@ -86,8 +89,8 @@ def ds_months_upto_all(published: DataFrame) -> DataFrame:
     monthly = monthly_activity_cohorts(published)
     # One value per month: the list of anchors is as short as the calendar.
     anchors = monthly.agg(F.collect_set("point_report_month")).scalar()
-    reached = F.filter(anchors, lambda a: a >= F.col("point_report_month"))
-    return monthly.withColumn("report_month", F.explode(reached))
+    anchored = monthly.withColumn("report_month", F.explode(anchors))
+    return anchored.filter(F.col("report_month") >= F.col("point_report_month"))
 
 
 def ds_anchor_boundary_check(dataset: DataFrame) -> DataFrame:
@@ -203,7 +206,7 @@ def income_bucket_table(published: DataFrame) -> DataFrame:
     )
     return per_client.groupBy("report_month", "chod_bucket").agg(
         F.count(F.lit(1)).alias("clients_cnt"),
-        F.round(F.sum("chod") / F.lit(1000000), 4).alias("chod_sum_mln"),
+        F.round(F.sum("chod").cast("double") / F.lit(1000000.0), 4).alias("chod_sum_mln"),
         F.sum("negative").alias("neg_chod_clients_cnt"),
     )
 
