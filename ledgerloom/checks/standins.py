@@ -178,8 +178,8 @@ select substr(cast(cast(l_shipdate as date) as string), 1, 7) as report_month,
   cast(o_orderdate as date) + cast(floor(o_totalprice / 400) as int) as d_valid_to,
   case when c_nationkey < 3 then null when c_nationkey < 6 then '<NULL>' else 'Nation ' || cast(c_nationkey as string) end as filial_rf,
   case c_mktsegment when 'BUILDING' then 'ДКБ' when 'HOUSEHOLD' then 'ДМ' when 'MACHINERY' then ' ' else 'ДМСБ' end as ssp_ocrm,
-  count(distinct l_suppkey) as retl_cnt, count(distinct case when l_quantity > 20 then l_suppkey end) as active_retl_cnt,
-  count(distinct l_partkey) as term_cnt, count(distinct case when l_quantity > 25 then l_partkey end) as active_terms,
+  count(*) as retl_cnt, count(case when l_quantity > 20 then 1 end) as active_retl_cnt,
+  count(*) as term_cnt, count(case when l_quantity > 25 then 1 end) as active_terms,
   count(*) as trx_cnt, sum(cast(l_extendedprice as decimal(12,2))) as trx_sum,
   sum(cast(l_extendedprice as decimal(12,2)) * cast(l_tax as decimal(4,2))) as commission_from_ops,
   max(cast(l_quantity as decimal(12,2))) as commission_monthly,

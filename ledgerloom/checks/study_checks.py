@@ -37,10 +37,17 @@ def _model(t):
 
 
 @query("device_months", """
-select cast(month_start as varchar) as month_start, c_nter, c_pos_serial, cast(first_delivery as varchar) as first_d_ter_delivery,
-  cast(d_ter_install as varchar) as d_ter_install, cast(d_ter_close as varchar) as d_ter_close from dm""")
+select c_nter, count(*) as months, cast(min(month_start) as varchar) as first_month, cast(max(month_start) as varchar) as last_month, count(distinct c_pos_serial) as serials,
+  min(c_pos_serial) as min_serial, max(c_pos_serial) as max_serial, cast(min(first_delivery) as varchar) as first_delivery, cast(max(first_delivery) as varchar) as last_delivery,
+  count(d_ter_close) as months_with_close from dm group by 1""")
 def _(t):
-    return am.device_months(t.devices, START, END)
+    rows = am.device_months(t.devices, START, END)
+    return rows.groupBy("c_nter").agg(
+        F.count(F.lit(1)).alias("months"), F.min("month_start").alias("first_month"), F.max("month_start").alias("last_month"),
+        F.countDistinct("c_pos_serial").alias("serials"), F.min("c_pos_serial").alias("min_serial"), F.max("c_pos_serial").alias("max_serial"),
+        F.min("first_d_ter_delivery").alias("first_delivery"), F.max("first_d_ter_delivery").alias("last_delivery"),
+        F.count("d_ter_close").alias("months_with_close"),
+    )
 
 
 @query("price_lookup", """
@@ -51,11 +58,14 @@ def _(t):
 
 
 @query("straight_line", f"""
-select cast(month_start as varchar) as month_start, c_nter, status as qc_status, cast(age as int) as months_from_start, inside as is_in_window, monthly as amortization_monthly,
-  value as amortization_for_report_month, {_AGE} as age_bucket, case when value > 0 then 1 else 0 end as is_amortized from amo""")
+select c_nter, status as qc_status, {_AGE} as age_bucket, count(*) as months, cast(min(age) as int) as min_age, cast(max(age) as int) as max_age, cast(sum(inside) as bigint) as in_window,
+  max(monthly) as amortization_monthly, round(sum(value), 6) as amortization, {_cnt('value > 0')} as amortized from amo group by 1, 2, 3""")
 def _(t):
-    return _model(t).select("month_start", "c_nter", "qc_status", "months_from_start", "is_in_window", "amortization_monthly",
-                            "amortization_for_report_month", "age_bucket", "is_amortized")
+    return _model(t).groupBy("c_nter", "qc_status", "age_bucket").agg(
+        F.count(F.lit(1)).alias("months"), F.min("months_from_start").alias("min_age"), F.max("months_from_start").alias("max_age"),
+        F.sum("is_in_window").alias("in_window"), F.max("amortization_monthly").alias("amortization_monthly"),
+        F.round(F.sum("amortization_for_report_month"), 6).alias("amortization"), F.sum("is_amortized").alias("amortized"),
+    )
 
 
 @query("amort_qc", "select status as qc_status, count(*) as rows, count(distinct c_nter) as terminals_nunique from amo group by 1")
@@ -75,10 +85,10 @@ def _(t):
 
 @query("amort_volume", f"""
 select cast(month_start as varchar) as month_start, count(*) as rows_cnt, count(distinct c_pos_serial) as serial_nunique, {_cnt('inside = 1')} as in_window_cnt, {_cnt('value > 0')} as amort_pos_cnt,
-  round(sum(value), 2) as amortization_total, case when {_cnt('inside = 1')} > 0 then round(cast(sum(case when inside = 1 then price end) as double) / {_cnt('inside = 1')}, 6) end as avg_price_in_window,
+  round(sum(value), 6) as amortization_total, case when {_cnt('inside = 1')} > 0 then round(cast(sum(case when inside = 1 then price end) as double) / {_cnt('inside = 1')}, 6) end as avg_price_in_window,
   round(quantile_cont(case when inside = 1 then cast(price as double) end, 0.5), 4) as med_price_in_window from amo group by 1""")
 def _(t):
-    digits = {"amortization_total": 2, "avg_price_in_window": 6, "med_price_in_window": 4}
+    digits = {"amortization_total": 6, "avg_price_in_window": 6, "med_price_in_window": 4}
     return am.amort_volume(_model(t)).withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
@@ -89,12 +99,16 @@ def _(t):
 
 
 @query("handover_flags", f"""
-select cast(month_start as varchar) as month_start, c_pos_serial, count(*) as n_c_nter, {_cnt('closed')} as n_closed, {_cnt('opened')} as n_opened, {_cnt('closed and opened')} as n_both,
-  case when count(*) >= 2 and bool_or(closed) and bool_or(opened) and (bool_or(closed and not opened) or bool_or(opened and not closed) or {_cnt('closed')} >= 2) then 1 else 0 end as close_then_install
-from (select month_start, c_pos_serial, c_nter, coalesce(max(d_ter_close) between month_start and last_day(month_start), false) as closed,
-  coalesce(min(d_ter_install) between month_start and last_day(month_start), false) as opened from dm group by 1, 2, 3) x group by x.month_start, c_pos_serial""")
+select c_pos_serial, count(*) as months, cast(sum(n) as bigint) as n_c_nter, cast(sum(c) as bigint) as n_closed, cast(sum(o) as bigint) as n_opened, cast(sum(b) as bigint) as n_both,
+  {_cnt('n >= 2 and c > 0 and o > 0 and (c > b or o > b or c >= 2)')} as handovers from (
+  select month_start, c_pos_serial, count(*) as n, {_cnt('closed')} as c, {_cnt('opened')} as o, {_cnt('closed and opened')} as b from (
+    select month_start, c_pos_serial, c_nter, coalesce(max(d_ter_close) between month_start and last_day(month_start), false) as closed,
+      coalesce(min(d_ter_install) between month_start and last_day(month_start), false) as opened from dm group by 1, 2, 3) x group by 1, 2) y group by 1""")
 def _(t):
-    return am.handover_flags(am.device_months(t.devices, START, END))
+    flags = am.handover_flags(am.device_months(t.devices, START, END))
+    names = ("n_c_nter", "n_closed", "n_opened", "n_both")
+    return flags.groupBy("c_pos_serial").agg(
+        F.count(F.lit(1)).alias("months"), *[F.sum(c).alias(c) for c in names], F.sum("close_then_install").alias("handovers"))
 
 
 # ---------------------------------------------------------------- event studies
@@ -265,7 +279,7 @@ def _(t):
 # ---------------------------------------------------------------- sources
 @query("scan_table", "select o_orderkey, o_orderstatus from orders")
 def _(t):
-    return rd.scan_table(t._spark, f"{t._sf_dir}/orders.parquet", ["o_orderkey", "o_orderstatus"])
+    return rd.scan_table(t.spark, f"{t.sf_dir}/orders.parquet", ["o_orderkey", "o_orderstatus"])
 
 
 @query("resolve_columns", "select cast(o_custkey as varchar) as inn, cast(o_orderkey as varchar) as agr_id, o_totalprice as trx_sum, cast(null as varchar) as aur from orders")
@@ -280,7 +294,7 @@ select cast(m as date)::varchar as month_start, cast(last_day(m) as varchar) as
 left join (select date_trunc('month', o_orderdate) as om, count(*) as n from orders group by 1) o on o.om = m""")
 def _(t):
     per_month = t.orders.groupBy(F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("month_start")).agg(F.count(F.lit(1)).alias("orders"))
-    return rd.month_skeleton(t._spark, START, END).join(per_month, "month_start", "left")
+    return rd.month_skeleton(t.spark, START, END).join(per_month, "month_start", "left")
 
 
 @query("concat_months", """

@@ -48,7 +48,7 @@ def norm_agr(c: Column | str) -> Column:
     number = text.try_cast("decimal(38,18)")
     whole = number.cast("decimal(38,0)")
     plain = F.regexp_replace(text, r"\.0$", "")
-    return F.when(number.isNotNull() & (number == whole), whole.cast("string")).when(
+    return F.when(number % 1 == 0, whole.cast("string")).when(
         ~plain.isin("", "nan", "None"), plain
     )
 

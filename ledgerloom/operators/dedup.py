@@ -39,7 +39,7 @@ def drop_duplicates_by(df: DataFrame, keys) -> DataFrame:
 def assert_unique(df: DataFrame, keys) -> DataFrame:
     """The same rows; the query fails while it runs when a key occurs twice.
 
-    The count per key shuffles on the join key, so a join on it reuses the shuffle.
+    Spark may drop the check together with the rows where nothing reads them. The count per key shuffles on the join key, so a join on it reuses the shuffle.
     """
     others = [c for c in df.columns if c not in keys]
     packed = df.groupBy(*keys).agg(

@@ -16,25 +16,31 @@ from ..operators.validity import active_months, not_deleted
 EPOCH = "1900-01-01"
 
 
-def device_months(devices: DataFrame, start, end) -> DataFrame:
-    """One row per month and active device code, with the serial's first delivery."""
+def device_rows(devices: DataFrame) -> DataFrame:
+    """Distinct intervals of device codes with a serial, and the serial's first delivery."""
     live = not_deleted(devices).filter("c_pos_serial is not null")
     first = live.filter("d_ter_delivery is not null").groupBy("c_pos_serial").agg(
         F.min("d_ter_delivery").alias("first_d_ter_delivery")
     )
-    known = live.filter("c_nter is not null").withColumn(
-        "_from", F.coalesce("d_ter_install", F.lit(EPOCH).cast("date"))
-    )
+    rows = live.filter("c_nter is not null").select("c_nter", "c_pos_serial", "d_ter_install", "d_ter_close").distinct()
+    return rows.join(first, "c_pos_serial", "left")
+
+
+def pick_months(rows: DataFrame, start, end) -> DataFrame:
+    """One row per month and device code: the latest interval that touches the month."""
+    known = rows.withColumn("_from", F.coalesce("d_ter_install", F.lit(EPOCH).cast("date")))
     months = active_months(known, start, end, valid_from="_from", valid_to="d_ter_close")
     order = [
         F.col("_from").desc(),
         F.coalesce("d_ter_close", F.lit(fv.OPEN_END).cast("date")).desc(),
         F.col("c_pos_serial").desc(),
     ]
-    one = latest_version(months, ["month_start", "c_nter"], order)
-    return one.join(first, "c_pos_serial", "left").select(
-        "month_start", "c_nter", "c_pos_serial", "first_d_ter_delivery", "d_ter_install", "d_ter_close"
-    )
+    return latest_version(months, ["month_start", "c_nter"], order).drop("_from")
+
+
+def device_months(devices: DataFrame, start, end) -> DataFrame:
+    """One row per month and active device code, with the serial's first delivery."""
+    return pick_months(device_rows(devices), start, end)
 
 
 def price_lookup(devices: DataFrame, catalog: DataFrame, prices: DataFrame) -> DataFrame:
@@ -78,10 +84,13 @@ def straight_line(df: DataFrame, life: int = fv.DEVICE_LIFE_MONTHS) -> DataFrame
 
 
 def amortization_model(devices: DataFrame, catalog: DataFrame, prices: DataFrame, start, end) -> DataFrame:
-    """Device months with price and write-off."""
-    return straight_line(price_lookup(device_months(devices, start, end), catalog, prices)).withColumn(
-        "snapshot_month_start", F.col("month_start")
-    )
+    """Device months with price and write-off.
+
+    Delivery, model and price belong to the device, so they are looked up before
+    its months are expanded.
+    """
+    priced = price_lookup(device_rows(devices), catalog, prices)
+    return straight_line(pick_months(priced, start, end)).withColumn("snapshot_month_start", F.col("month_start"))
 
 
 def amort_qc(model: DataFrame, by: str = "qc_status") -> DataFrame:

@@ -12,6 +12,7 @@ from ..functions.text import blank_to_null, norm_agr, norm_branch, norm_inn
 from ..operators.dedup import latest_version, most_complete_row
 from ..operators.mapping import enrich_dims, key_fallback, map_ids_chain
 from ..operators.validity import active_months, not_deleted
+from ..session import materialize
 from . import metrics as m
 from .perimeter import agreements_of_class, perimeter
 from .products import merge_product_flags
@@ -90,12 +91,16 @@ def actual_tariffs(agreements: DataFrame, core: DataFrame, plan: DataFrame, fees
 
 
 def monthly_mart(i: MartInputs, start, end, group: str, master_prefix: str, core_prefix: str) -> DataFrame:
-    """Agreement × month with counts, commissions, cost, income and result."""
-    scope = perimeter(i.agreements, i.companies, i.terms, start, end)
+    """Agreement × month with counts, commissions, cost, income and result.
+
+    The perimeter and the small totals drawn from large inputs are written to the
+    shared folder, so that no large input is read twice and lost executors cost little.
+    """
+    scope = materialize(perimeter(i.agreements, i.companies, i.terms, start, end))
     ids = map_ids_chain(i.master, i.ext_ids, master_prefix, core_prefix).select("inn", "party_id", "zone", "core_id")
     core = core_attributes(i.core_merchants, i.corp, i.depart, i.branch, i.tariff_plan)
     operational = m.operational_metrics(scope, i.terms, i.outlets, i.devices, i.model, start, end).drop("n_cmp_client")
-    trx = m.transaction_metrics(scope, i.trx, i.trx_acq, i.trx_int, i.fiids, start, end, group)
+    trx = materialize(m.transaction_metrics(scope, i.trx, i.trx_acq, i.trx_int, i.fiids, start, end, group))
     per_company = trx.groupBy("n_cmp_client", "month_start").agg(F.max("active_term_cnt").alias("active_term_cnt"))
     used = m.active_outlets(i.trx, i.trx_acq, i.devices, i.fiids, start, end, group)
     newest, plans = actual_tariffs(
@@ -149,7 +154,7 @@ def monthly_mart(i: MartInputs, start, end, group: str, master_prefix: str, core
 
 def slim_mart(i: MartInputs, start, end, group: str) -> DataFrame:
     """The smallest useful mart: perimeter, transactions and formulas without fees."""
-    scope = perimeter(i.agreements, i.companies, i.terms, start, end)
+    scope = materialize(perimeter(i.agreements, i.companies, i.terms, start, end))
     trx = m.transaction_metrics(scope, i.trx, i.trx_acq, i.trx_int, i.fiids, start, end, group)
     empty = {c: F.lit(0) for c in ("retl_cnt", "commission_monthly", "amortization")}
     df = scope.join(trx.drop("n_cmp_client", "inn"), m.KEY, "left").withColumns(empty)

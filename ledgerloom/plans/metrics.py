@@ -8,6 +8,7 @@ from ..functions import fixed_values as fv
 from ..functions.text import digits_only, empty_to_null
 from ..operators.dedup import latest_version, unique_map_only
 from ..operators.validity import active_months, interval_join, not_deleted
+from ..session import materialize
 from .perimeter import agreements_of_class, live_companies
 
 KEY = ["n_agr", "month_start"]
@@ -18,82 +19,92 @@ def serial_key(serial="c_pos_serial", code="c_nter") -> Column:
     return F.coalesce(empty_to_null(serial), F.concat(F.lit("__NTER__"), F.col(code)))
 
 
-def device_owners(devices: DataFrame) -> DataFrame:
+def device_owners(devices: DataFrame, path=()) -> DataFrame:
     """One owner agreement per physical device and month."""
-    known = devices.filter("c_nter is not null").select(*KEY, "c_nter", serial_key().alias("_device"))
-    return latest_version(known, ["month_start", "_device"], [F.col("n_agr"), F.col("c_nter")])
+    known = devices.filter("c_nter is not null").select(*KEY, *path, "c_nter", serial_key().alias("_device"))
+    return latest_version(known, [*path, "month_start", "_device"], [F.col("n_agr"), F.col("c_nter")])
 
 
-def _amortization(devices: DataFrame, model: DataFrame) -> DataFrame:
-    value = model.select(
-        F.col("c_nter").cast("string").alias("c_nter"),
-        F.col("snapshot_month_start").alias("month_start"),
-        F.col("amortization_for_report_month").alias("_value"),
-    )
-    owned = device_owners(devices).join(value, ["c_nter", "month_start"], "left")
-    return owned.groupBy(*KEY).agg(F.sum(F.coalesce("_value", F.lit(0))).alias("amortization"))
-
-
-def operational_metrics(
-    scope: DataFrame,
-    terms: DataFrame,
-    outlets: DataFrame,
-    devices: DataFrame,
-    model: DataFrame,
-    start,
-    end,
-    reserved_prefix: str = fv.RESERVED_OUTLET_PREFIX,
-    excluded_class: str = "SV",
+def outlet_places(
+    scope: DataFrame, terms: DataFrame, outlets: DataFrame, start, end,
+    reserved_prefix: str = fv.RESERVED_OUTLET_PREFIX, excluded_class: str = "SV",
 ) -> DataFrame:
-    """Outlets, devices and amortization per agreement and month.
+    """Outlets per agreement and month: by the agreement's terms, else by its company (``main`` = 0).
 
-    The main path goes from the agreement's terms to outlets and devices. Only
-    agreements without a row there take the fallback, from the company's outlets.
+    Writes the first part to the shared folder: the second part needs to know what is in it.
     """
     sa = scope.select(*KEY, "n_cmp_client").distinct()
-    live_outlets = not_deleted(outlets).filter("c_nmrc is not null")
-    regular = live_outlets.filter(
+    live = not_deleted(outlets).filter("c_nmrc is not null")
+    regular = live.filter(
         ~F.upper(F.coalesce(F.trim("c_mrc_name"), F.lit(""))).startswith(reserved_prefix)
         & (F.coalesce(F.upper(F.trim("acq_class")), F.lit("NA")) != excluded_class)
     ).select("c_nmrc").distinct()
-    # Devices keep their interval: the other side already carries the month, so
-    # expanding them too would only move more rows.
+    intervals = not_deleted(terms).filter("c_nmrc is not null").select(
+        "n_agr", "c_nmrc", "d_valid_from", "d_valid_to"
+    ).distinct()
+    by_term = materialize(
+        active_months(intervals.join(regular, "c_nmrc", "left_semi"), start, end)
+        .select(*KEY, "c_nmrc")
+        .distinct()
+        .join(sa.select(*KEY), KEY, "left_semi")
+    )
+    missing = sa.join(by_term.select(*KEY).distinct(), KEY, "left_anti")
+    owned = live.select(F.col("n_cmp").alias("n_cmp_client"), "c_nmrc").distinct()
+    by_company = missing.join(owned, "n_cmp_client").select(*KEY, "c_nmrc").distinct()
+    return by_term.withColumn("main", F.lit(1)).unionByName(by_company.withColumn("main", F.lit(0)))
+
+
+def fleet(places: DataFrame, devices: DataFrame) -> DataFrame:
+    """Devices at the outlets in the month.
+
+    Devices keep their interval: the other side already carries the month, so
+    expanding them too would only move more rows.
+    """
     fitted = not_deleted(devices).filter("d_ter_install is not null").select(
         "c_nmrc", "c_pos_serial", "c_nter", "d_ter_install", "d_ter_close"
     )
     in_month = (F.col("d_ter_install") <= F.last_day("month_start")) & (
         F.col("d_ter_close").isNull() | (F.col("d_ter_close") >= F.col("month_start"))
     )
+    known = F.when(F.col("main") == 1, F.col("c_pos_serial")).otherwise(F.col("c_nter")).isNotNull()
+    # Copies are left in: whoever counts drops them together with its own grouping.
+    rows = places.join(fitted.distinct(), "c_nmrc").filter(in_month & known)
+    return rows.select(*KEY, "main", "c_nmrc", "c_pos_serial", "c_nter")
 
-    def fleet(places: DataFrame, known: DataFrame) -> DataFrame:
-        rows = places.join(known, "c_nmrc").filter(in_month)
-        return rows.select(*KEY, "c_nmrc", "c_pos_serial", "c_nter").distinct()
 
-    def distinct_per_key(rows: DataFrame, column: str, name: str) -> DataFrame:
-        return rows.select(*KEY, column).distinct().groupBy(*KEY).agg(F.count(column).alias(name))
+def operational_metrics(
+    scope: DataFrame, terms: DataFrame, outlets: DataFrame, devices: DataFrame, model: DataFrame, start, end, **rules
+) -> DataFrame:
+    """Outlets, devices and amortization per agreement and month.
 
-    term_outlets = (
-        active_months(not_deleted(terms).filter("c_nmrc is not null"), start, end)
-        .select(*KEY, "c_nmrc")
-        .distinct()
-        .join(regular, "c_nmrc", "left_semi")
-        .join(sa.select(*KEY), KEY, "left_semi")
+    The main path goes from the agreement's terms to outlets and devices. Only
+    agreements without a row there take the fallback, from the company's outlets.
+    The scope, the outlets and the devices in them are written to the shared
+    folder once, since several figures are drawn from each.
+    """
+    sa = materialize(scope.select(*KEY, "n_cmp_client").distinct())
+    places = materialize(outlet_places(sa, terms, outlets, start, end, **rules))
+    rows = materialize(fleet(places, devices))
+
+    main_outlets = places.filter("main = 1").groupBy(*KEY).agg(F.count(F.lit(1)).alias("retl_main"))
+    device = F.when(F.col("main") == 1, F.col("c_pos_serial")).otherwise(F.col("c_nter"))
+    counts = rows.select(*KEY, "main", device.alias("_d")).distinct().groupBy(*KEY).agg(F.count(F.lit(1)).alias("term_cnt"))
+    spare_outlets = rows.filter("main = 0").select(*KEY, "c_nmrc").distinct().groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias("retl_spare")
+    )
+    value = model.select(
+        F.col("c_nter").cast("string").alias("c_nter"),
+        F.col("snapshot_month_start").alias("month_start"),
+        F.col("amortization_for_report_month").alias("_value"),
+    )
+    amort = (
+        device_owners(rows, ["main"])
+        .join(value, ["c_nter", "month_start"], "left")
+        .groupBy(*KEY)
+        .agg(F.sum(F.coalesce("_value", F.lit(0))).alias("amortization"))
     )
-    main = term_outlets.groupBy(*KEY).agg(F.count(F.lit(1)).alias("retl_main"))
-    main_fleet = fleet(term_outlets, fitted.filter("c_pos_serial is not null"))
-    main_devices = distinct_per_key(main_fleet, "c_pos_serial", "term_main")
-    main_amort = _amortization(main_fleet, model).withColumnRenamed("amortization", "amort_main")
-
-    missing = sa.join(term_outlets.select(*KEY).distinct(), KEY, "left_anti")
-    company_outlets = live_outlets.select(F.col("n_cmp").alias("n_cmp_client"), "c_nmrc").distinct()
-    spare_outlets = missing.join(company_outlets, "n_cmp_client").select(*KEY, "c_nmrc").distinct()
-    spare_fleet = fleet(spare_outlets, fitted.filter("c_nter is not null"))
-    spare = distinct_per_key(spare_fleet, "c_nmrc", "retl_spare")
-    spare_devices = distinct_per_key(spare_fleet, "c_nter", "term_spare")
-    spare_amort = _amortization(spare_fleet, model).withColumnRenamed("amortization", "amort_spare")
-
     out = sa
-    for part in (main, main_devices, main_amort, spare, spare_devices, spare_amort):
+    for part in (main_outlets, spare_outlets, counts, amort):
         out = out.join(part, KEY, "left")
     source = (
         F.when(F.col("retl_main").isNotNull(), "547_like")
@@ -104,10 +115,8 @@ def operational_metrics(
         *KEY,
         "n_cmp_client",
         F.coalesce("retl_main", "retl_spare").alias("retl_cnt"),
-        F.coalesce(
-            "term_main", F.when(F.col("retl_main").isNotNull(), F.lit(0)), "term_spare"
-        ).alias("term_cnt"),
-        F.coalesce("amort_main", "amort_spare", F.lit(0)).alias("amortization"),
+        F.coalesce("term_cnt", F.when(F.col("retl_main").isNotNull(), F.lit(0))).alias("term_cnt"),
+        F.coalesce("amortization", F.lit(0)).alias("amortization"),
         source.alias("term_calc_source"),
     )
 
@@ -184,10 +193,14 @@ def device_totals(lines: DataFrame) -> DataFrame:
 def transaction_metrics(
     scope: DataFrame, trx: DataFrame, trx_acq: DataFrame, trx_int: DataFrame, fiids: DataFrame, start, end, group
 ) -> DataFrame:
-    """Count, turnover, commission, interchange and active devices per agreement and month."""
+    """Count, turnover, commission, interchange and active devices per agreement and month.
+
+    The totals per device are written to the shared folder: agreements and
+    companies are both counted from them, and the transactions are read once.
+    """
     lines = transaction_lines(card_transactions(trx, fiids, start, end, group), trx_acq, trx_int)
     sa = scope.select(*KEY, "n_cmp_client", "inn").distinct()
-    totals = device_totals(lines).join(sa, KEY)
+    totals = materialize(device_totals(lines).join(sa, KEY))
     per_agreement = totals.groupBy(*KEY, "n_cmp_client", "inn").agg(
         F.sum("trx_cnt").alias("trx_cnt"),
         F.sum("trx_sum").alias("trx_sum"),

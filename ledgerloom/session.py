@@ -19,6 +19,9 @@ def build_session(app: str = "ledgerloom", master: str | None = None, partitions
         builder.config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Month expansion and interval joins multiply rows after a shuffle, so small
+        # shuffles must not be merged into one task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
