@@ -34,12 +34,9 @@ def norm_inn(c: Column | str) -> Column:
     """Taxpayer id: 10 or 12 digits after restoring one lost leading zero, else null."""
     text = F.regexp_replace(F.trim(_col(c).cast("string")), r"\.0$", "")
     digits = F.regexp_replace(text, "[^0-9]", "")
-    size = F.length(digits)
-    return (
-        F.when(size.isin(10, 12), digits)
-        .when(size == 9, F.concat(F.lit("0"), digits))
-        .when(size == 11, F.concat(F.lit("0"), digits))
-    )
+    # One chain of patterns names the input once; a chain of length tests would repeat it in the plan.
+    padded = F.regexp_replace(digits, "^([0-9]{9}|[0-9]{11})$", "0$1")
+    return F.nullif(F.regexp_extract(padded, "^([0-9]{10}|[0-9]{12})$", 0), F.lit(""))
 
 
 def norm_agr(c: Column | str) -> Column:

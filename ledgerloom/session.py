@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -28,13 +29,15 @@ def build_session(app: str = "ledgerloom", master: str | None = None, partitions
     )
 
 
+@functools.cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"ledgerloom-{application}-")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster; a temporary one only where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder or _own_folder(spark.conf.get("spark.app.id", "local"))
 
 
 def materialize(df: DataFrame) -> DataFrame:
