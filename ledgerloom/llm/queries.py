@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, quality, simhash, winnow
+from ledgerloom.llm import bpe, licenses, quality, reputation, simhash, winnow
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
@@ -31,6 +35,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages are labelled by the row of `labels` with their number: bad if toxic or of low quality."""
+    bad = (F.coalesce(F.col("toxic"), F.lit(0)) == 1) | (F.coalesce(F.col("quality"), F.lit(1)) == 0)
+    labels = table(spark, sf_dir, "labels").select("doc_id", bad.alias("bad"))
+    rows = reputation.filter_urls(table(spark, sf_dir, "pages"), labels)
+    return rows.withColumn("mean", F.round("mean", 6)).withColumn("bound", F.round("bound", 6))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.per_document(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -41,8 +53,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
+    "op5_url_reputation": op5_url_reputation,
     "op7_decontamination": op7_decontamination,
     "op8_simhash": op8_simhash,
 }

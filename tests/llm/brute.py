@@ -88,3 +88,17 @@ def near_duplicates(rows):
             least[r] = doc
         least.setdefault(r, None)
     return [(f"{fp:016x}", least[find(i)]) for i, fp in enumerate(fps)]
+
+
+PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+
+
+def licenses(text):
+    """(words, places, first, last, labels) of the phrases."""
+    w = words(text)
+    places = []
+    for phrase, label in PHRASES.items():
+        p = phrase.split()
+        places += [(i, label) for i in range(len(w) - len(p) + 1) if w[i : i + len(p)] == p]
+    starts = [i for i, _ in places]
+    return len(w), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places}))
