@@ -3,10 +3,10 @@
 import os
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, licenses, quality, reputation, simhash, winnow
+from ledgerloom.llm import bpe, licenses, pii, quality, reputation, simhash, winnow
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -43,6 +43,18 @@ def op5_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("mean", F.round("mean", 6)).withColumn("bound", F.round("bound", 6))
 
 
+def _joined(spans: str) -> Column:
+    parts = F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string")))
+    return F.array_join(parts, ",")
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = pii.find(docs, pii.fit(docs))
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in pii.KINDS]
+    return rows.select("doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.per_document(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -57,6 +69,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
     "op5_url_reputation": op5_url_reputation,
+    "op6_personal_data": op6_personal_data,
     "op7_decontamination": op7_decontamination,
     "op8_simhash": op8_simhash,
 }

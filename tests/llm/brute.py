@@ -102,3 +102,30 @@ def licenses(text):
         places += [(i, label) for i in range(len(w) - len(p) + 1) if w[i : i + len(p)] == p]
     starts = [i for i, _ in places]
     return len(w), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places}))
+
+
+PII = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _valid(kind, text):
+    digits = [int(c) for c in text if c in "0123456789"]
+    if kind == "ip":
+        return all(int(p) <= 255 for p in text.split("."))
+    if kind == "card":
+        doubled = [d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(digits))]
+        return 12 <= len(digits) <= 19 and sum(doubled) % 10 == 0
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def pii(text):
+    """Counts by kind and kind:start:end of the patterns' matches."""
+    found = []
+    for k, (kind, pattern) in enumerate(PII.items()):
+        found += [(m.start(), k, kind, m.end()) for m in re.finditer(pattern, text or "") if _valid(kind, m[0])]
+    found.sort()
+    return tuple(sum(f[2] == kind for f in found) for kind in PII), ",".join(f"{k}:{a}:{b}" for a, _, k, b in found)
