@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, licenses, pii, quality, reputation, simhash, winnow
+from ledgerloom.llm import bpe, licenses, pii, quality, reputation, simhash, toxicity, winnow
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -64,6 +64,17 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return rows.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_byte_bpe": op2_byte_bpe,
@@ -72,5 +83,6 @@ QUERIES = {
     "op6_personal_data": op6_personal_data,
     "op7_decontamination": op7_decontamination,
     "op8_simhash": op8_simhash,
+    "op9_toxicity": op9_toxicity,
 }
 ORACLES: dict[str, str] = {}
