@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, licenses, pii, quality, reputation, simhash, toxicity, winnow
+from ledgerloom.llm import bpe, licenses, pii, quality, reputation, simhash, tokenfile, toxicity, winnow
 
 RANKS = "byte_bpe_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +76,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    manifest = tokenfile.write(docs, public_tokenizers.path(TOKENIZER))
+    return tokenfile.summary(tokenfile.read(manifest, docs.schema["doc_id"].dataType.simpleString()))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_byte_bpe": op2_byte_bpe,
@@ -84,5 +91,6 @@ QUERIES = {
     "op7_decontamination": op7_decontamination,
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
+    "op10_token_files": op10_token_files,
 }
 ORACLES: dict[str, str] = {}
