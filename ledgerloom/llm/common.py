@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
 #: Code points (or bytes) of text that a Python stage works on at once.
@@ -42,6 +44,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def place(path: str) -> tuple[pa.fs.FileSystem, str]:
+    """The file system of a path, which executors can open by themselves, and the name in it."""
+    return pa.fs.FileSystem.from_uri(path if ":/" in path else "file://" + os.path.abspath(path))
+
+
 def remove(spark: SparkSession, paths: Iterable[str]) -> None:
     """Delete written tables that no later step reads."""
     jvm = spark._jvm

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, licenses, pii, quality, reputation, simhash, tokenfile, toxicity, winnow
+from ledgerloom.llm import bpe, licenses, pii, quality, reputation, simhash, tokenfile, toxicity, warc, winnow
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,6 +36,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived records of every page, as read from the files that they were written to."""
+    made = warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+    rows = warc.read(warc.write(made))
+    return rows.select(*warc.FIELDS, F.length("content").cast("long").alias("n_bytes"), F.sha2("content", 256).alias("content_sha256"))
+
+
 def op5_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages are labelled by the row of `labels` with their number: bad if toxic or of low quality."""
     bad = (F.coalesce(F.col("toxic"), F.lit(0)) == 1) | (F.coalesce(F.col("quality"), F.lit(1)) == 0)
@@ -86,6 +93,7 @@ QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
+    "op4_warc_derivatives": op4_warc_derivatives,
     "op5_url_reputation": op5_url_reputation,
     "op6_personal_data": op6_personal_data,
     "op7_decontamination": op7_decontamination,

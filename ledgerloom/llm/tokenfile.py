@@ -26,14 +26,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.bpe import encoded_batches
-from ledgerloom.llm.common import materialize, new_path
+from ledgerloom.llm.common import materialize, new_path, place
 
 END_ID = 2
 LEVEL = 3
@@ -117,12 +116,8 @@ class Reader:
         return np.frombuffer(raw, "<u4")
 
 
-def _place(path: str) -> tuple[pa.fs.FileSystem, str]:
-    return pa.fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else "file://" + os.path.abspath(path))
-
-
 def open_reader(path: str) -> Reader:
-    system, name = _place(path)
+    system, name = place(path)
     return Reader(system.open_input_file(name), system.get_file_info(name).size)
 
 
@@ -168,7 +163,7 @@ def write(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: st
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        system, name = _place(folder)
+        system, name = place(folder)
         system.create_dir(name)
         rows: list[tuple] = []
         writer = None
