@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, common, quality, queries, simhash, winnow
+from ledgerloom.llm import bpe, common, pii, quality, queries, simhash, winnow
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +22,12 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return winnow.clean(docs, queries.table(spark, sf_dir, "benchmark"))
 
 
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data in their text replaced, and their length set anew."""
+    cleaned = pii.redact(docs, pii.fit(docs))
+    return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of each document with checksums."""
     return bpe.digests(docs, public_tokenizers.path(queries.RANKS))
@@ -31,6 +37,7 @@ STAGES = [
     ("quality rules", by_quality),
     ("near-duplicates", one_of_near_duplicates),
     ("benchmark", without_benchmark),
+    ("personal data", without_personal_data),
     ("tokens", tokens),
 ]
 

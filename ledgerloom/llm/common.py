@@ -10,6 +10,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Code points (or bytes) of text that a Python stage works on at once.
 BLOCK_CHARS = 2_000_000
@@ -58,6 +59,20 @@ def remove(spark: SparkSession, paths: Iterable[str]) -> None:
         place.getFileSystem(conf).delete(place, True)
 
 
+def bounded_sample(df: DataFrame, n: int, key: list[str]) -> DataFrame:
+    """The n rows, or all of fewer, that come first by a hash of the key columns.
+
+    Hashes above a limit that leaves about twice n rows are dropped first, so that a task sends
+    the driver its share of those and not n rows of its own.
+    """
+    total = df.count()
+    order = F.xxhash64(*key)
+    if total > 4 * n:
+        least, span = -(1 << 63), 1 << 64
+        df = df.where(order < F.lit(least + span * 2 * n // total).cast("long"))
+    return df.orderBy(order, *key).limit(n)
+
+
 def text_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of the batches, with their texts, of about `limit` characters; a longer text is a slice of its own.
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ledgerloom.llm.common import text_blocks
+from ledgerloom.llm.common import bounded_sample, text_blocks
 
 # The kinds in order, and their patterns. The possessive and lookbehind forms match
 # what the plain ones do and read a long run once.
@@ -280,11 +280,11 @@ def all_spans(text: str, weights: np.ndarray) -> tuple[list[tuple[int, int, int]
     return base, sorted(base + added, key=lambda s: (s[0], s[2]))
 
 
-def fit(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Train on the documents with marks that come first by a hash of their text, SAMPLE_DOCS at most."""
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
+    """Train on the documents with marks that come first by a hash of identifier and text, SAMPLE_DOCS at most."""
     text = F.col(text_col).cast("string")
-    rows = docs.select(text.alias("text")).where(F.col("text").rlike("[0-9@]") & (F.length("text") < 20_000))
-    sample = rows.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCS).collect()
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).where(F.col("text").rlike("[0-9@]"))
+    sample = bounded_sample(rows, SAMPLE_DOCS, ["id", "text"]).collect()
     return train(list(dict.fromkeys(r["text"] for r in sample)))
 
 
