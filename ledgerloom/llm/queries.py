@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.oracles import ORACLES  # noqa: F401
 from ledgerloom.llm import bpe, licenses, pii, quality, reputation, simhash, tokenfile, toxicity, warc, winnow
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -101,4 +102,3 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_token_files": op10_token_files,
 }
-ORACLES: dict[str, str] = {}
