@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +30,10 @@ from ledgerloom.llm import pretokens
 from ledgerloom.llm.common import text_blocks
 
 #: Pieces held before the merges are replayed, and distinct ones; both bound a task's memory.
-PIECES = 6_000_000
-DISTINCT = 400_000
+PIECES = 3_000_000
+DISTINCT = 200_000
 NONE = np.iinfo(np.int32).max
-OUT_IDS = 1_000_000
+OUT_IDS = 500_000
 
 
 @functools.cache
@@ -98,7 +99,7 @@ def replay(pieces: list[str], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
     alive[first[whole >= 0]] = True
     symbol[first[whole >= 0]] = whole[whole >= 0]
     now = np.full(n, NONE, np.int32)
-    left = np.flatnonzero((after >= 0) & ~known)
+    left = np.flatnonzero((after >= 0) & ~known).astype(np.int32)
     now[left] = merges.rank(symbol[left], symbol[after[left]])
 
     index: dict[int, list[np.ndarray]] = {}
@@ -177,22 +178,21 @@ def encoded_batches(batches: Iterator[pa.RecordBatch], encode) -> Iterator[pa.Re
     encode(distinct pieces) gives their ids and bounds, as replay() does.
     """
     numbers: dict[str, int] = {}
-    held: list[tuple[pa.RecordBatch, np.ndarray, np.ndarray]] = []
+    held: list[tuple[list[pa.Array], np.ndarray, np.ndarray]] = []
+    names: list[str] = []
     pieces = 0
 
-    def flush() -> Iterator[pa.RecordBatch]:
+    def flush(names: list[str]) -> Iterator[pa.RecordBatch]:
         ids, bounds = encode(list(numbers))
         sizes = np.diff(bounds)
-        for batch, number, per_text in held:
+        for lead, number, per_text in held:
             out = gather(ids, bounds[number], sizes[number])
             upto = np.append(0, np.cumsum(sizes[number]))
             offsets = upto[np.append(0, np.cumsum(per_text))]
-            lead = [batch.column(i) for i in range(batch.num_columns - 1)]
-            names = [*batch.schema.names[:-1], "ids"]
-            start = 0
-            while start < batch.num_rows:
+            start, n = 0, len(per_text)
+            while start < n:
                 stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + OUT_IDS)))
-                stop = min(stop, batch.num_rows)
+                stop = min(stop, n)
                 part = offsets[start : stop + 1]
                 lists = pa.ListArray.from_arrays(pa.array((part - part[0]).astype(np.int32)), pa.array(out[part[0] : part[-1]], pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(c.slice(start, stop - start) for c in lead), lists], names=names)
@@ -203,13 +203,15 @@ def encoded_batches(batches: Iterator[pa.RecordBatch], encode) -> Iterator[pa.Re
     for batch, texts in text_blocks(batches):
         number, distinct, per_text = pretokens.split(texts)
         known = np.fromiter((numbers.setdefault(p, len(numbers)) for p in distinct), np.int64, len(distinct))
-        held.append((batch, known[number].astype(np.int32), per_text))
+        # The texts are not held.
+        names = [*batch.schema.names[:-1], "ids"]
+        held.append((batch.columns[:-1], known[number].astype(np.int32), per_text))
         pieces += len(number)
         if pieces >= PIECES or len(numbers) >= DISTINCT:
-            yield from flush()
+            yield from flush(names)
             pieces = 0
     if held:
-        yield from flush()
+        yield from flush(names)
 
 
 def _schema(df: DataFrame, names: list[str], last: str) -> str:
@@ -238,31 +240,43 @@ def _token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(size) - size, size
 
 
+def decoded_batches(batches: Iterator[pa.RecordBatch], vocabulary: str, decoded_col: str = "decoded") -> Iterator[pa.RecordBatch]:
+    """The batches, whose last column is a list of ids, with the bytes that the ids stand for."""
+    flat, starts, sizes = _token_bytes(vocabulary)
+    for batch in batches:
+        lists = batch.column(batch.num_columns - 1)
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        ids = lists.values.to_numpy(zero_copy_only=False)[bounds[0] : bounds[-1]]
+        upto = np.append(0, np.cumsum(sizes[ids]))[bounds - bounds[0]]
+        raw = gather(flat, starts[ids], sizes[ids])
+        buffers = [pa.py_buffer(upto.astype(np.int64).tobytes()), pa.py_buffer(raw.tobytes())]
+        out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, *buffers]).cast(pa.binary())
+        if lists.null_count:
+            out = pc.if_else(lists.is_valid(), out, None)
+        yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, decoded_col])
+
+
 def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
     """The rows with the bytes their ids stand for; null ids give null."""
     names = [c for c in encoded.columns if c != ids_col]
     rows = encoded.select(*names, ids_col)
+    return rows.mapInArrow(lambda batches: decoded_batches(batches, vocabulary, decoded_col), _schema(rows, rows.columns, f"`{decoded_col}` binary"))
+
+
+def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, ids, decoded) of every document: encode() and decode() in one stage, so that one worker a task holds the tables."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, starts, sizes = _token_bytes(vocabulary)
-        for batch in batches:
-            lists = batch.column(batch.num_columns - 1)
-            bounds = lists.offsets.to_numpy().astype(np.int64)
-            ids = lists.values.to_numpy(zero_copy_only=False)[bounds[0] : bounds[-1]]
-            upto = np.append(0, np.cumsum(sizes[ids]))[bounds - bounds[0]]
-            raw = gather(flat, starts[ids], sizes[ids])
-            buffers = [pa.py_buffer(upto.astype(np.int64).tobytes()), pa.py_buffer(raw.tobytes())]
-            out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, *buffers]).cast(pa.binary())
-            if lists.null_count:
-                out = pa.compute.if_else(lists.is_valid(), out, None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, decoded_col])
-
-    return rows.mapInArrow(run, _schema(rows, rows.columns, f"`{decoded_col}` binary"))
+        merges = load_merges(vocabulary)
+        return decoded_batches(encoded_batches(batches, lambda pieces: replay(pieces, merges)), vocabulary)
+
+    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
+    return rows.mapInArrow(run, _schema(rows, [id_col], "ids array<int>, decoded binary"))
 
 
 def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Number of tokens and checksums of the ids and of the decoded bytes, per document."""
-    rows = decode(encode(docs, vocabulary, id_col, text_col), vocabulary)
+    rows = round_trip(docs, vocabulary, id_col, text_col)
     return rows.select(
         id_col,
         F.size("ids").cast("long").alias("n_tokens"),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Code points (or bytes) of text that a Python stage works on at once.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:

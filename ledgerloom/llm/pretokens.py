@@ -34,7 +34,7 @@ def class_table() -> np.ndarray:
     return table
 
 
-@functools.cache
+@functools.lru_cache(maxsize=2)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = np.uint64(pow(int(BASE), -1, 2**64))
     out = []
@@ -93,8 +93,8 @@ def split(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
     first[bounds[sizes > 0]] = True
     starts = np.flatnonzero(piece_starts(codes, first))
     ends = np.append(starts[1:], n)
-    # 1 << 21 is above BLOCK_CHARS, so that the powers are made once; long texts have their own.
-    power, inverse = _powers(max(1 << 21, 1 << (n - 1).bit_length()))
+    # 1 << 20 is above BLOCK_CHARS, so that the powers are made once; long texts have their own.
+    power, inverse = _powers(max(1 << 20, 1 << (n - 1).bit_length()))
     mixed = (codes + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
     mixed ^= mixed >> np.uint64(32)
     mixed *= power[:n]
