@@ -178,9 +178,20 @@ def _(t):
 
 
 @query("list_per_key", """
-select n_agr, 0 as part, count(distinct c_nmrc) as c_nmrc_cnt, string_agg(distinct c_nmrc, ',' order by c_nmrc) as c_nmrc_list from terms group by 1""")
+select n_agr, v as c_nmrc, cast(row_number() over (partition by n_agr order by v) as int) as position, count(*) over (partition by n_agr) as c_nmrc_cnt
+from (select distinct n_agr, nullif(nullif(trim(c_nmrc), ''), 'M7') as v from terms) x where v is not null""")
 def _(t):
-    return dd.list_per_key(t.terms, ["n_agr"], "c_nmrc")
+    # One outlet code stands for the texts that count as no value.
+    blank = F.element_at(F.array(F.lit("None"), F.lit("nan"), F.lit(" ")), F.pmod(F.xxhash64("n_agr"), F.lit(3)).cast("int") + 1)
+    return dd.list_per_key(t.terms.withColumn("c_nmrc", F.when(F.col("c_nmrc") == "M7", blank).otherwise(F.col("c_nmrc"))), ["n_agr"], "c_nmrc")
+
+
+@query("joined_lists", """
+select n_agr, count(distinct c_nmrc) as c_nmrc_cnt, string_agg(distinct c_nmrc, ',' order by c_nmrc) as c_nmrc_list
+from terms where n_agr in (select n_agr from agreements where acq_class = 'SV') group by 1""")
+def _(t):
+    listed = dd.list_per_key(t.terms, ["n_agr"], "c_nmrc")
+    return dd.joined_lists(listed, ["n_agr"], "c_nmrc", t.agreements.filter("acq_class = 'SV'"))
 
 
 @query("only_left_reason_shares", f"""
@@ -535,11 +546,14 @@ def _(t):
     return se.ops_month_long(rows, "n_agr", "d_trx_orig", ["n_amt_src"])
 
 
-@query("ops_month_pivot", """
-select c_nter, cast(sum(n_amt_src) filter (where strftime(d_trx_orig, '%Y-%m') = '1998-04') as double) as n_amt_src_1998_04,
-  cast(sum(n_amt_src) filter (where strftime(d_trx_orig, '%Y-%m') = '1998-05') as double) as n_amt_src_1998_05 from trx group by 1""")
+_MONTHS = [f"{y}-{m:02d}" for y in range(1992, 2002) for m in range(1, 13)]
+
+
+@query("ops_month_pivot", f"""
+select c_nter, {", ".join(f"cast(sum(n_amt_src) filter (where strftime(d_trx_orig, '%Y-%m') = '{m}') as double) as n_amt_src_{m.replace('-', '_')}" for m in _MONTHS)}
+from trx group by 1""")
 def _(t):
-    return se.ops_month_pivot(se.ops_month_long(t.trx, "c_nter", "d_trx_orig", ["n_amt_src"]), "c_nter", ["n_amt_src"], ["1998-04", "1998-05"])
+    return se.ops_month_pivot(se.ops_month_long(t.trx, "c_nter", "d_trx_orig", ["n_amt_src"]), "c_nter", ["n_amt_src"], _MONTHS)
 
 
 @query("first_attributes", "select n_cmp_client, arg_min(acq_class, (d_valid_from, n_agr)) as acq_class, arg_min(c_agr_number, (d_valid_from, n_agr)) as c_agr_number from agreements group by 1")

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.text import clean_text
+from ..functions.text import blank_to_null, clean_text
 
 
 def top_per_key(df: DataFrame, keys, order, n: int, rank: str = "rank") -> DataFrame:
@@ -155,16 +155,20 @@ def profile_fallback(df: DataFrame, key: str, cols, suffix: str) -> DataFrame:
     )
 
 
-def list_per_key(df: DataFrame, keys, value: str, max_len: int = 10_000) -> DataFrame:
-    """Sorted distinct values of each key as comma text, with their count.
+def list_per_key(df: DataFrame, keys, value: str) -> DataFrame:
+    """The distinct values of each key in order: one row per value, with its place from 1 and their number.
 
-    A key with more than ``max_len`` values gets several rows, told apart by
-    ``part``, so that no list grows without bound and no value is lost.
+    Blank texts, None and nan are no values.
     """
-    pairs = df.select(*keys, F.col(value).cast("string").alias("_v")).filter("_v is not null and _v <> ''").distinct()
+    pairs = df.select(*keys, blank_to_null(value).alias(value)).filter(F.col(value).isNotNull()).distinct()
+    # A frame in order per key is sorted on disk where it is large; the count needs no second pass over the key.
+    place = Window.partitionBy(*keys).orderBy(value)
     counts = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{value}_cnt"))
-    parts = F.ceil(F.col(f"{value}_cnt") / F.lit(max_len))
-    listed = pairs.join(counts, list(keys)).withColumn("part", F.pmod(F.xxhash64("_v"), parts).cast("int"))
-    return listed.groupBy(*keys, "part", f"{value}_cnt").agg(
-        F.concat_ws(",", F.array_sort(F.collect_list("_v"))).alias(f"{value}_list")
-    )
+    return pairs.withColumn("position", F.row_number().over(place)).join(counts, list(keys))
+
+
+def joined_lists(listed: DataFrame, keys, value: str, wanted: DataFrame) -> DataFrame:
+    """Comma text of the lists of the wanted keys, for a report."""
+    rows = listed.join(wanted.select(*keys).distinct(), list(keys), "left_semi")
+    text = F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.struct("position", value))), lambda x: x[value]))
+    return rows.groupBy(*keys, f"{value}_cnt").agg(text.alias(f"{value}_list"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,15 +27,12 @@ def build_session(app: str = "ledgerloom", master: str | None = None, partitions
     )
 
 
-@functools.cache
-def _own_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"ledgerloom-{application}-")
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only where none is set."""
+    """The folder that all executors share, as the session's setting spark.checkpoint.dir names it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or _own_folder(spark.conf.get("spark.app.id", "local"))
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder.rstrip("/")
 
 
 def materialize(df: DataFrame) -> DataFrame:

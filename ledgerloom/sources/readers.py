@@ -22,7 +22,10 @@ def scan_csv(
     Only the header is read on the driver. Short rows get empty fields at their
     end. Separators too many belong to the comment column, or to the last one.
     """
-    head = spark.read.text(path).limit(skip_rows + 1).collect()
+    text = spark.read.text(path)
+    if len(text.inputFiles()) > 1:
+        raise ValueError(f"more than one file in {path}")
+    head = text.limit(skip_rows + 1).collect()
     if len(head) <= skip_rows:
         raise ValueError(f"fewer than {skip_rows + 1} lines in {path}")
     names = head[skip_rows].value.split(sep)

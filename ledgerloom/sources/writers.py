@@ -6,29 +6,43 @@ from functools import reduce
 from typing import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
-def write_month(df: DataFrame, path: str, month: str = "report_month") -> None:
-    """Write months as partitions; only the months in the data are replaced. Runs a job."""
+def write_month(df: DataFrame, path: str, month: str = "report_month", rows_per_file: int = 20_000_000) -> None:
+    """Write months as partitions; only the months in the data are replaced. Runs a job.
+
+    Adaptive execution deals each month to as many tasks as its size asks for.
+    """
     (
-        df.repartition(month, F.pmod(F.xxhash64(*df.columns), F.lit(16)))
+        df.hint("rebalance", month)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(month)
         .parquet(path)
     )
 
 
-def read_months(spark: SparkSession, path: str, month: str = "report_month") -> DataFrame | None:
-    """The stored months, or nothing when none was written yet."""
+def _read(spark: SparkSession, path: str, **options) -> DataFrame | None:
     try:
-        stored = spark.read.parquet(path)
+        return spark.read.options(**options).parquet(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
             return None
         raise
-    return stored.withColumn(month, F.col(month).cast("string"))
+
+
+def read_months(spark: SparkSession, path: str, month: str = "report_month") -> DataFrame | None:
+    """The stored months with the columns of all of them, null where a month lacks one; nothing when none was written yet."""
+    stored = _read(spark, path, mergeSchema=True)
+    return None if stored is None else stored.withColumn(month, F.col(month).cast("string"))
+
+
+def stored_months(spark: SparkSession, path: str, months: list[str], required=(), month: str = "report_month") -> set[str]:
+    """Those of the months whose own files hold all required columns. Reads one footer a month."""
+    found = {m: _read(spark, f"{path}/{month}={m}") for m in months}
+    return {m for m, df in found.items() if df is not None and set(required) <= {month, *df.columns}}
 
 
 def read_or_compute_month(
@@ -42,17 +56,16 @@ def read_or_compute_month(
 ) -> DataFrame:
     """Stored months where complete; the others are computed together, stored and read back.
 
-    A month is stored when it has rows; all of them count as missing when a
-    required column is. Runs a job to list the months and one to write.
+    A month that lacks a required column is computed anew; a result that lacks one is an error
+    and is not written. Runs a job where a month is missing.
     """
-    stored = None if force else read_months(spark, path, month)
-    present: set[str] = set()
-    if stored is not None and set(required) <= set(stored.columns):
-        rows = stored.filter(F.col(month).isin(*months)).select(month).distinct().collect()
-        present = {r[0] for r in rows}
+    present = set() if force else stored_months(spark, path, months, required, month)
     missing = [m for m in months if m not in present]
     if missing:
-        write_month(compute(missing), path, month)
+        fresh = compute(missing)
+        if absent := sorted(set(required) - set(fresh.columns)):
+            raise ValueError(f"computed months lack required columns: {absent}")
+        write_month(fresh, path, month)
     return read_months(spark, path, month).filter(F.col(month).isin(*months))
 
 
@@ -66,13 +79,17 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c.strip().lower()) for c in df.columns])
 
 
-def publish_table(df: DataFrame, name: str, text: bool = True, check: bool = True) -> None:
-    """Replace a table with the rows, as text by default; a differing row count is an error. Runs jobs."""
-    spark = df.sparkSession
+def publish_table(df: DataFrame, name: str, text: bool = True, check: bool = True, path: str | None = None) -> None:
+    """Replace a table with the rows, as text by default; a differing row count is an error. Runs jobs.
+
+    The rows are counted while they are written, so that their plan runs once.
+    """
     out = as_text(df) if text else df
-    out.write.mode("overwrite").saveAsTable(name)
+    rows = Observation()
+    writer = out.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     if check:
-        written, expected = spark.table(name).count(), df.count()
+        written, expected = df.sparkSession.table(name).count(), rows.get["n"]
         if written != expected:
             raise RuntimeError(f"{name}: {written} rows written, {expected} expected")
 
@@ -97,5 +114,5 @@ def schema_compat(df: DataFrame, required, old) -> DataFrame:
 
 
 def report_export(df: DataFrame, path: str) -> None:
-    """A small report as one CSV file with a header. Runs a job."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """A small report as one CSV file with a header. Runs a job; only the last step is one task."""
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ledgerloom.operators import dedup as dd, fuzzy as fz, quantiles as qt, validity as va
-from ledgerloom.plans import events as ev, income as ic, metrics as me, perimeter as pe, quality as ql
+from ledgerloom.plans import events as ev, income as ic, metrics as me, perimeter as pe, products as pr, quality as ql
 from ledgerloom.sources import readers as rd, writers as wr
 
 
@@ -89,12 +89,56 @@ def test_exact_quantiles_with_a_hot_value(spark):
         assert np.allclose(list(r)[1:], np.quantile(values[groups == r.g], probs))
 
 
-def test_list_per_key_splits_long_lists_without_loss(spark):
-    df = spark.range(1000).select(F.lit("hot").alias("k"), F.col("id").alias("v")).union(spark.createDataFrame([("cold", 5), ("cold", 4), ("cold", 5)], "k string, v long"))
-    rows = dd.list_per_key(df, ["k"], "v", max_len=100).collect()
-    hot = [r for r in rows if r.k == "hot"]
-    assert len(hot) > 5 and sorted(int(x) for r in hot for x in r.v_list.split(",")) == list(range(1000))
-    assert [(r.v_list, r.v_cnt, r.part) for r in rows if r.k == "cold"] == [("4,5", 2, 0)]
+def test_list_per_key_has_one_shape_for_any_size(spark):
+    hot = spark.range(20_001).select(F.lit("hot").alias("k"), F.col("id").cast("string").alias("v"))
+    few = spark.createDataFrame([("cold", "5"), ("cold", "4"), ("cold", "5"), ("cold", "nan"), ("cold", " "), ("gone", "None")], "k string, v string")
+    rows = dd.list_per_key(hot.union(few), ["k"], "v")
+    assert rows.columns == ["k", "v", "position", "v_cnt"]
+    got = rows.filter("k = 'hot'").orderBy("position").collect()
+    assert [r.v for r in got] == sorted(str(i) for i in range(20_001)) and [r.position for r in got] == list(range(1, 20_002))
+    assert {tuple(r) for r in rows.filter("k <> 'hot'").collect()} == {("cold", "4", 1, 2), ("cold", "5", 2, 2)}
+    text = dd.joined_lists(rows, ["k"], "v", few).collect()
+    assert [tuple(r) for r in text] == [("cold", 2, "4,5")]
+
+
+def test_any_number_of_products(spark):
+    long = spark.range(3000).select(F.lit("1").alias("inn"), F.concat(F.lit("p"), "id").alias("product_name"), F.lit(1).alias("has_product"))
+    row = pr.product_flags_wide(long, flags=("p1",), excluded=("p2",), extras=("p3", "zz")).first()
+    assert (row.p1, row.p3, row.zz) == (1, 1, 0) and len(row.other_products) == 2997
+
+
+def test_intermediate_data_needs_a_shared_folder(spark):
+    from ledgerloom.session import checkpoint_dir
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        with pytest.raises(ValueError):
+            checkpoint_dir(spark)
+    finally:
+        spark.conf.set("spark.checkpoint.dir", folder)
+
+
+def test_a_new_required_column_is_computed_once(spark, tmp_path):
+    calls = []
+
+    def compute(columns):
+        def run(months):
+            calls.append(months)
+            return spark.createDataFrame([(m, 1, 2) for m in months], "report_month string, v int, w int").select("report_month", *columns)
+
+        return run
+
+    path, months = str(tmp_path / "months"), ["2026-01", "2026-02", "2026-03"]
+    wr.read_or_compute_month(spark, path, months, compute(["v"]), ["v"])
+    for _ in range(3):
+        out = wr.read_or_compute_month(spark, path, ["2026-02"], compute(["v", "w"]), ["v", "w"])
+        assert [(r.report_month, r.v, r.w) for r in out.collect()] == [("2026-02", 1, 2)]
+    assert calls == [months, ["2026-02"]]
+    rows = {r.report_month: (r.v, r.w) for r in wr.read_months(spark, path).collect()}
+    assert rows == {"2026-01": (1, None), "2026-02": (1, 2), "2026-03": (1, None)}
+    with pytest.raises(ValueError):
+        wr.read_or_compute_month(spark, path, ["2026-04"], compute(["v"]), ["w"])
 
 
 def test_predecessors_match_brute_force_with_a_hot_key(spark):
