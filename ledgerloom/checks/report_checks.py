@@ -360,7 +360,7 @@ def _(t):
 @query("exact_quantiles_by_group", f"""
 select l_suppkey, {', '.join(f"round(quantile_cont(l_extendedprice, {p}), 4) as p{p * 100:g}" for p in (0.1, 0.25, 0.5, 0.75, 0.9))} from lineitem group by 1""")
 def _(t):
-    out = qt.exact_quantiles(t.lineitem, "l_extendedprice", (0.1, 0.25, 0.5, 0.75, 0.9), ["l_suppkey"], cuts=50)
+    out = qt.exact_quantiles(t.lineitem, "l_extendedprice", (0.1, 0.25, 0.5, 0.75, 0.9), ["l_suppkey"], accuracy=200)
     return out.select("l_suppkey", *[F.round(c, 4).alias(c) for c in ("p10", "p25", "p50", "p75", "p90")])
 
 

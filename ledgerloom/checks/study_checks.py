@@ -12,13 +12,16 @@ from .report_checks import _cnt
 from .standins import END, START
 
 # ---------------------------------------------------------------- amortization
-block("dm", """select month_start, c_nter, c_pos_serial, d_ter_install, d_ter_close, f.first_delivery from (
-  select m.month_start, d.*, row_number() over (partition by m.month_start, d.c_nter order by coalesce(d_ter_install, date '1900-01-01') desc,
-    coalesce(d_ter_close, date '2999-12-31') desc, d.c_pos_serial desc) as rn
-  from months m join devices d on coalesce(d.d_ter_install, date '1900-01-01') <= m.month_end and coalesce(d.d_ter_close, date '2999-12-31') >= m.month_start
-  where d.c_nter is not null and d.c_pos_serial is not null and coalesce(d.ods_deleted_flg, '0') <> '1') x
-left join (select c_pos_serial as s, min(d_ter_delivery) as first_delivery from devices where c_pos_serial is not null and coalesce(ods_deleted_flg, '0') <> '1' group by 1) f on f.s = x.c_pos_serial
-where rn = 1""")
+# Of a code's intervals that touch a month, the one that is largest by begin, end and serial.
+block("dm", f"""select month_start, c_nter, best.serial as c_pos_serial, nullif(best.since, date '1900-01-01') as d_ter_install,
+  nullif(best.until, date '2999-12-31') as d_ter_close, first_delivery
+from (select c_nter, cast(m as date) as month_start, max({{'since': since, 'until': until, 'serial': c_pos_serial}}) as best
+  from (select c_nter, c_pos_serial, coalesce(d_ter_install, date '1900-01-01') as since, coalesce(d_ter_close, date '2999-12-31') as until
+    from devices where c_nter is not null and c_pos_serial is not null and coalesce(ods_deleted_flg, '0') <> '1') d,
+    unnest(generate_series(greatest(date_trunc('month', since), date '{START}'), least(until, date '{END}'), interval 1 month)) as u(m)
+  group by all) picked
+left join (select c_pos_serial as serial, min(d_ter_delivery) as first_delivery from devices where coalesce(ods_deleted_flg, '0') <> '1' group by all) f
+  on f.serial = best.serial""")
 block("amo", """select *, case when age >= 0 and age < 48 then 1 else 0 end as inside, cast(price as double) / 48.0 as monthly,
   case when age >= 0 and age < 48 then coalesce(cast(price as double) / 48.0, 0.0) else 0.0 end as value from (
   select y.*, case when status = 'complete' then date_diff('month', first_delivery, month_start) end as age from (
@@ -37,17 +40,10 @@ def _model(t):
 
 
 @query("device_months", """
-select c_nter, count(*) as months, cast(min(month_start) as varchar) as first_month, cast(max(month_start) as varchar) as last_month, count(distinct c_pos_serial) as serials,
-  min(c_pos_serial) as min_serial, max(c_pos_serial) as max_serial, cast(min(first_delivery) as varchar) as first_delivery, cast(max(first_delivery) as varchar) as last_delivery,
-  count(d_ter_close) as months_with_close from dm group by 1""")
+select cast(month_start as varchar) as month_start, c_nter, c_pos_serial, cast(d_ter_install as varchar) as d_ter_install,
+  cast(d_ter_close as varchar) as d_ter_close, cast(first_delivery as varchar) as first_d_ter_delivery from dm""")
 def _(t):
-    rows = am.device_months(t.devices, START, END)
-    return rows.groupBy("c_nter").agg(
-        F.count(F.lit(1)).alias("months"), F.min("month_start").alias("first_month"), F.max("month_start").alias("last_month"),
-        F.countDistinct("c_pos_serial").alias("serials"), F.min("c_pos_serial").alias("min_serial"), F.max("c_pos_serial").alias("max_serial"),
-        F.min("first_d_ter_delivery").alias("first_delivery"), F.max("first_d_ter_delivery").alias("last_delivery"),
-        F.count("d_ter_close").alias("months_with_close"),
-    )
+    return am.device_months(t.devices, START, END).select("month_start", "c_nter", "c_pos_serial", "d_ter_install", "d_ter_close", "first_d_ter_delivery")
 
 
 @query("price_lookup", """
@@ -99,16 +95,17 @@ def _(t):
 
 
 @query("handover_flags", f"""
-select c_pos_serial, count(*) as months, cast(sum(n) as bigint) as n_c_nter, cast(sum(c) as bigint) as n_closed, cast(sum(o) as bigint) as n_opened, cast(sum(b) as bigint) as n_both,
-  {_cnt('n >= 2 and c > 0 and o > 0 and (c > b or o > b or c >= 2)')} as handovers from (
-  select month_start, c_pos_serial, count(*) as n, {_cnt('closed')} as c, {_cnt('opened')} as o, {_cnt('closed and opened')} as b from (
-    select month_start, c_pos_serial, c_nter, coalesce(max(d_ter_close) between month_start and last_day(month_start), false) as closed,
-      coalesce(min(d_ter_install) between month_start and last_day(month_start), false) as opened from dm group by 1, 2, 3) x group by 1, 2) y group by 1""")
+select cast(month_start as varchar) as month_start, c_pos_serial, n as n_c_nter, k as n_client, c as n_closed, o as n_opened, b as n_both,
+  case when n >= 2 and c > 0 and o > 0 and (c > b or o > b or c >= 2) then 1 else 0 end as close_then_install,
+  case when n >= 2 and k >= 2 then 1 else 0 end as handover_same_month, case when n >= 2 and k >= 2 then n - 1 else 0 end as extra_c_nter_rows
+from (select month_start, c_pos_serial, count(*) as n, count(distinct client) as k, {_cnt('closed')} as c, {_cnt('opened')} as o, {_cnt('closed and opened')} as b from (
+  select month_start, c_pos_serial, c_nter, split_part(c_nter, '-', 1) as client, coalesce(max(d_ter_close) between month_start and last_day(month_start), false) as closed,
+    coalesce(min(d_ter_install) between month_start and last_day(month_start), false) as opened from dm group by 1, 2, 3) x group by 1, 2) y""")
 def _(t):
-    flags = am.handover_flags(am.device_months(t.devices, START, END))
-    names = ("n_c_nter", "n_closed", "n_opened", "n_both")
-    return flags.groupBy("c_pos_serial").agg(
-        F.count(F.lit(1)).alias("months"), *[F.sum(c).alias(c) for c in names], F.sum("close_then_install").alias("handovers"))
+    rows = am.device_months(t.devices, START, END).withColumn("client", F.split_part("c_nter", F.lit("-"), F.lit(1)))
+    flags = am.handover_flags(rows, client="client")
+    return flags.select("month_start", "c_pos_serial", "n_c_nter", "n_client", "n_closed", "n_opened", "n_both", "close_then_install",
+                        "handover_same_month", "extra_c_nter_rows")
 
 
 # ---------------------------------------------------------------- event studies

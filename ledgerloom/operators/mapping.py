@@ -11,6 +11,7 @@ from ..functions.text import blank_to_null, contract_key, contract_key_no_prefix
 from ..functions.classes import zone_class
 
 from .dedup import drop_duplicates_by, latest_version
+from .validity import active_months, not_deleted
 
 
 def current_master(master: DataFrame) -> DataFrame:
@@ -206,26 +207,22 @@ def enrich_reference(
     )
 
 
-def parent_path_probe(agreements: DataFrame, terms: DataFrame, cls: str = "SA") -> DataFrame:
-    """Per agreement id: its parents, those of the wanted class, and the outlets behind them."""
-    wanted = F.upper(F.trim("acq_class"))
-    heads = agreements.select(F.col("abs_agr_id").alias("agr_id"), "n_agr", wanted.alias("acq_class")).filter(
-        "agr_id is not null"
+def parent_path_probe(agreements: DataFrame, terms: DataFrame, start, end, cls: str = "SA", deleted=("1", "Y", "y")) -> DataFrame:
+    """Per agreement id and month: its live parents, those of the wanted class, and the live outlets behind them."""
+    heads = active_months(not_deleted(agreements, values=deleted).filter("abs_agr_id is not null"), start, end).select(
+        F.col("abs_agr_id").alias("agr_id"), "month_start", "n_agr", F.upper(F.trim("acq_class")).alias("acq_class")
     )
-    parents = heads.groupBy("agr_id").agg(
+    leaves = not_deleted(terms, values=deleted).filter("c_nmrc is not null").select("n_agr", "c_nmrc", "d_valid_from", "d_valid_to")
+    leaves = active_months(leaves.distinct(), start, end).select("n_agr", "month_start", "c_nmrc").distinct()
+    key = ["agr_id", "month_start"]
+    parents = heads.groupBy(*key).agg(
         F.max("acq_class").alias("acq_class_sample"),
         F.countDistinct("n_agr").alias("n_agr_cnt"),
         F.countDistinct(F.when(F.col("acq_class") == cls, F.col("n_agr"))).alias("n_agr_sa_cnt"),
     )
-    outlets = (
-        heads.select("agr_id", "n_agr").distinct()
-        .join(terms.select("n_agr", "c_nmrc").distinct(), "n_agr")
-        .groupBy("agr_id")
-        .agg(F.countDistinct("c_nmrc").alias("c_nmrc_cnt"))
-    )
-    return parents.join(outlets, "agr_id", "left").withColumn(
-        "c_nmrc_cnt", F.coalesce("c_nmrc_cnt", F.lit(0))
-    )
+    outlets = heads.select(*key, "n_agr").distinct().join(leaves, ["n_agr", "month_start"])
+    counts = outlets.select(*key, "c_nmrc").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("c_nmrc_cnt"))
+    return parents.join(counts, key, "left").withColumn("c_nmrc_cnt", F.coalesce("c_nmrc_cnt", F.lit(0)))
 
 
 def text_search(df: DataFrame, text: str, needle: str, dates=(), months=()) -> DataFrame:

@@ -12,72 +12,73 @@ def approx_quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 10
     return out.select(*by, *[F.col("_q")[i].alias(f"{prefix}{_label(p)}") for i, p in enumerate(probs)])
 
 
-def exact_quantiles(df: DataFrame, value: str, probs, by=(), cuts: int = 1_000, prefix="p") -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 2_000, prefix="p") -> DataFrame:
     """Interpolated quantiles, exact, without one task seeing all values.
 
-    Values are counted first. Approximate cut points then split the value range
-    into slices; their counts (at most ``cuts`` + 1 per group) tell which slices
-    hold the wanted ranks, and only values of those slices are ranked.
+    A sketch gives, around every wanted quantile, a lower and an upper bound whose ranks are
+    within 2 / accuracy of it on either side. Values are counted, those between no bounds only by
+    how many they are, and the few others are ranked. Bounds come as one more column: by a join
+    on the groups, or as a single value where there are none.
     """
-    by = list(by)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    if not by:
-        counts = counts.withColumn("_all", F.lit(1))
-        by_keys = ["_all"]
+    by, probs = list(by), [float(p) for p in probs]
+    margin = 2 / accuracy
+    ends = [e for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
+    known = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
+    counts = known.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    bounds = known.groupBy(*by).agg(F.percentile_approx("_v", ends, accuracy).alias("_bounds"))
+    if by:
+        counts = counts.join(bounds, by)
     else:
-        by_keys = by
-    grid = [i / cuts for i in range(1, cuts)]
-    edges = counts.groupBy(*by_keys).agg(
-        F.sort_array(F.array_distinct(F.percentile_approx("_v", grid, cuts * 10))).alias("_edges")
-    )
-    # Slice number = how many cut points lie below the value.
-    sliced = counts.join(edges, by_keys).withColumn(
-        "_slice", F.size(F.filter("_edges", lambda e: e < F.col("_v")))
-    ).drop("_edges")
-    totals = sliced.groupBy(*by_keys, "_slice").agg(F.sum("_n").alias("_rows"))
-    running = Window.partitionBy(*by_keys).orderBy("_slice")
-    whole = Window.partitionBy(*by_keys)
-    totals = totals.withColumns(
-        {"_end": F.sum("_rows").over(running), "_total": F.sum("_rows").over(whole)}
-    ).withColumn("_start", F.col("_end") - F.col("_rows"))
-    wanted = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("_total") - 1)).alias("pos"))
-                for i, p in enumerate(probs)
-            ]
-        )
-    )
-    ranks = totals.select(*by_keys, "_slice", "_start", "_end", wanted.alias("_w")).select(
-        *by_keys,
-        "_slice",
-        "_start",
-        "_end",
-        F.col("_w.i").alias("_i"),
-        F.col("_w.pos").alias("_pos"),
-        F.floor("_w.pos").alias("_lo"),
-        F.ceil("_w.pos").alias("_hi"),
+        counts = counts.withColumn("_bounds", bounds.scalar())
+    low, high = F.col("_bounds")[2 * F.col("_i")], F.col("_bounds")[2 * F.col("_i") + 1]
+    # A row for each wanted quantile: inside its bounds the value itself; beyond them the nearest
+    # value, which a wanted rank may fall on in small groups, and how many there are.
+    each = counts.select(*by, "_v", "_n", "_bounds", F.explode(F.array(*map(F.lit, range(len(probs))))).alias("_i"))
+    side = F.when(F.col("_v") < low, 0).when(F.col("_v") <= high, 1).otherwise(2)
+    parts = each.select(*by, "_i", side.alias("_side"), F.when(side == 1, F.col("_v")).alias("_own"), "_v", "_n")
+    parts = parts.groupBy(*by, "_i", "_side", "_own").agg(
+        F.sum("_n").alias("_n"), F.when(F.col("_side") == 0, F.max("_v")).otherwise(F.min("_v")).alias("_v")
     )
-    # Keep the slices that hold a lower or an upper rank (ranks count from zero).
-    hit = (F.col("_lo") < F.col("_end")) & (F.col("_hi") >= F.col("_start"))
-    ranks = ranks.filter(hit)
-    in_slice = Window.partitionBy(*by_keys, "_slice").orderBy("_v")
-    needed = sliced.join(ranks.select(*by_keys, "_slice").distinct(), [*by_keys, "_slice"])
-    placed = needed.withColumn("_to", F.sum("_n").over(in_slice)).join(ranks, [*by_keys, "_slice"])
-    end = F.col("_start") + F.col("_to")
-    begin = end - F.col("_n")
+    frame = Window.partitionBy(*by, "_i").orderBy("_side", "_v")
+    placed = parts.withColumns({"_to": F.sum("_n").over(frame), "_total": F.sum("_n").over(Window.partitionBy(*by, "_i"))})
+    placed = placed.withColumn("_pos", F.element_at(F.array(*map(F.lit, probs)), F.col("_i") + 1) * (F.col("_total") - 1))
+    begin, end = F.col("_to") - F.col("_n"), F.col("_to")
 
     def at(rank):
-        return F.max(F.when((F.col(rank) >= begin) & (F.col(rank) < end), F.col("_v")))
+        here = F.when(F.col("_side") == 0, rank == end - 1).when(F.col("_side") == 2, rank == begin)
+        return F.max(F.when(here.otherwise((rank >= begin) & (rank < end)), F.col("_v")))
 
-    found = placed.groupBy(*by_keys, "_i", "_pos").agg(at("_lo").alias("_a"), at("_hi").alias("_b"))
+    found = placed.groupBy(*by, "_i", "_pos").agg(at(F.floor("_pos")).alias("_a"), at(F.ceil("_pos")).alias("_b"))
     point = F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_pos") - F.floor("_pos"))
-    return found.groupBy(*by_keys).agg(
+    return found.groupBy(*by).agg(
         *[F.max(F.when(F.col("_i") == i, point)).alias(f"{prefix}{_label(p)}") for i, p in enumerate(probs)]
     ).select(*by, *[f"{prefix}{_label(p)}" for p in probs])
 
 
+def counted_quantiles(counts: DataFrame, value: str, n: str, probs, by=(), prefix="p") -> DataFrame:
+    """Interpolated quantiles of values with their counts, where a group has few different values (as prices of a list)."""
+    by, probs = list(by), [float(p) for p in probs]
+    rows = counts.filter(F.col(value).isNotNull() & (F.col(n) > 0)).select(*by, F.col(value).cast("double").alias("_v"), F.col(n).alias("_n"))
+    frame = Window.partitionBy(*by)
+    rows = rows.withColumns({"_to": F.sum("_n").over(frame.orderBy("_v")), "_total": F.sum("_n").over(frame)})
+
+    def at(rank):
+        return F.max(F.when((rank >= F.col("_to") - F.col("_n")) & (rank < F.col("_to")), F.col("_v")))
+
+    out = []
+    for p in probs:
+        position = F.lit(p) * (F.col("_total") - 1)
+        low, high = at(F.floor(position)), at(F.ceil(position))
+        share = F.max(position - F.floor(position))
+        out.append((low + (high - low) * share).alias(f"{prefix}{_label(p)}"))
+    return rows.groupBy(*by).agg(*out)
+
+
 def _label(p: float) -> str:
     return f"{p * 100:g}".replace(".", "_")
+
+
+def one_row(df: DataFrame, values: DataFrame) -> DataFrame:
+    """The rows with the columns of a table of one row, or none; its plan is a single subquery."""
+    row = values.select(F.struct(*values.columns)).scalar()
+    return df.withColumn("_row", row).select(*df.columns, *[F.col(f"_row.`{c}`").alias(c) for c in values.columns])

@@ -10,7 +10,7 @@ from ..functions.numbers import months_between_cal
 from ..functions.text import blank_to_null, clean_text, empty_to_null
 from ..operators.dedup import latest_version
 from ..operators.mapping import two_key_lookup
-from ..operators.quantiles import exact_quantiles
+from ..operators.quantiles import counted_quantiles, exact_quantiles
 from ..operators.validity import active_months, not_deleted
 
 EPOCH = "1900-01-01"
@@ -108,26 +108,27 @@ def amort_by_age(model: DataFrame) -> DataFrame:
 
 
 def amort_volume(model: DataFrame) -> DataFrame:
-    """Rows, devices, serials, write-off and prices in the window, per month."""
+    """Rows, devices, serials, write-off and prices in the window, per month.
+
+    Totals and the median come from one grouping by serial and price, whose shuffle both read.
+    """
     inside = F.col("is_in_window") == 1
-    per_serial = model.groupBy("month_start", "c_pos_serial").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(inside).alias("inside"),
+    grouped = model.groupBy("month_start", "c_pos_serial", F.when(inside, F.col("price")).alias("price"), inside.alias("inside")).agg(
+        F.count(F.lit(1)).alias("n"),
         F.sum("is_amortized").alias("amortized"),
         F.sum("amortization_for_report_month").alias("amortization"),
-        F.sum(F.when(inside, F.col("price"))).alias("price_sum"),
     )
-    totals = per_serial.groupBy("month_start").agg(
-        F.sum("rows").alias("rows_cnt"),
-        F.count(F.lit(1)).alias("serial_nunique"),
-        F.sum("inside").alias("in_window_cnt"),
+    kept = F.coalesce("inside", F.lit(False))
+    totals = grouped.groupBy("month_start").agg(
+        F.sum("n").alias("rows_cnt"),
+        F.countDistinct("c_pos_serial").alias("serial_nunique"),
+        F.sum(F.when(kept, F.col("n")).otherwise(0)).alias("in_window_cnt"),
         F.sum("amortized").alias("amort_pos_cnt"),
         F.sum("amortization").alias("amortization_total"),
-        (F.sum("price_sum").cast("double") / F.sum("inside")).alias("avg_price_in_window"),
-    )
-    median = exact_quantiles(model.filter(inside), "price", [0.5], ["month_start"]).withColumnRenamed(
-        "p50", "med_price_in_window"
+        (F.sum(F.col("price") * F.col("n")).cast("double") / F.sum(F.when(kept, F.col("n")).otherwise(0))).alias("avg_price_in_window"),
     )
+    prices = grouped.filter(kept).groupBy("month_start", "price").agg(F.sum("n").alias("n"))
+    median = counted_quantiles(prices, "price", "n", [0.5], ["month_start"]).withColumnRenamed("p50", "med_price_in_window")
     return totals.join(median, "month_start", "left")
 
 
@@ -136,16 +137,18 @@ def price_quantiles(model: DataFrame, probs=(0.1, 0.25, 0.5, 0.75, 0.9)) -> Data
     return exact_quantiles(model.filter("is_amortized = 1"), "price", probs)
 
 
-def handover_flags(devices: DataFrame, month_col: str = "month_start") -> DataFrame:
-    """Serials closed under one device code and installed under another in the same month."""
+def handover_flags(devices: DataFrame, month_col: str = "month_start", client: str = "n_cmp") -> DataFrame:
+    """Serials under several device codes in a month: closed under one and installed under another, or held by several clients."""
+    start, end = F.col(month_col), F.last_day(month_col)
     facts = devices.groupBy(month_col, "c_pos_serial", "c_nter").agg(
-        F.min("d_ter_install").alias("install"), F.max("d_ter_close").alias("close")
+        F.coalesce(F.max("d_ter_close").between(start, end), F.lit(False)).alias("closed"),
+        F.coalesce(F.min("d_ter_install").between(start, end), F.lit(False)).alias("opened"),
+        F.collect_set(client).alias("_clients"),
     )
-    start, end = F.col(month_col), F.last_day(month_col)
-    closed = F.coalesce(F.col("close").between(start, end), F.lit(False))
-    opened = F.coalesce(F.col("install").between(start, end), F.lit(False))
+    closed, opened = F.col("closed"), F.col("opened")
     per_serial = facts.groupBy(month_col, "c_pos_serial").agg(
         F.count(F.lit(1)).alias("n_c_nter"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("_clients")))).cast("long").alias("n_client"),
         F.count_if(closed).alias("n_closed"),
         F.count_if(opened).alias("n_opened"),
         F.count_if(closed & opened).alias("n_both"),
@@ -154,4 +157,9 @@ def handover_flags(devices: DataFrame, month_col: str = "month_start") -> DataFr
         (F.col("n_c_nter") >= 2) & (F.col("n_closed") > 0) & (F.col("n_opened") > 0)
         & ((F.col("n_closed") > F.col("n_both")) | (F.col("n_opened") > F.col("n_both")) | (F.col("n_closed") >= 2))
     )
-    return per_serial.withColumn("close_then_install", handed.cast("int"))
+    moved = (F.col("n_c_nter") >= 2) & (F.col("n_client") >= 2)
+    return per_serial.withColumns({
+        "close_then_install": handed.cast("int"),
+        "handover_same_month": moved.cast("int"),
+        "extra_c_nter_rows": F.when(moved, F.col("n_c_nter") - 1).otherwise(0),
+    })

@@ -16,7 +16,7 @@ KEY = ["n_agr", "month_start"]
 
 def serial_key(serial="c_pos_serial", code="c_nter") -> Column:
     """Physical device: its serial number, else a key made of the device code."""
-    return F.coalesce(empty_to_null(serial), F.concat(F.lit("__NTER__"), F.col(code)))
+    return F.coalesce(empty_to_null(serial), F.concat(F.lit("code:"), F.col(code)))
 
 
 def device_owners(devices: DataFrame, path=()) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import blank_to_null
-from ..operators.quantiles import approx_quantiles, exact_quantiles
+from ..operators.quantiles import approx_quantiles, exact_quantiles, one_row
 
 
 def _mean(c: str):
@@ -26,10 +26,9 @@ def numeric_profile(df: DataFrame, value: str, probs=(0.5, 0.9, 0.95, 0.99), exa
         _mean(value).alias("avg"),
         F.stddev_samp(v.cast("double")).alias("std"),
         F.sum(v).alias("total"),
-        F.lit(1).alias("_k"),
     )
     quantiles = (exact_quantiles if exact else approx_quantiles)(df, value, probs)
-    return base.join(quantiles.withColumn("_k", F.lit(1)), "_k", "left").drop("_k")
+    return one_row(base, quantiles)
 
 
 def profile_all_numeric(df: DataFrame, probs=(0.5, 0.95), accuracy: int = 10_000) -> DataFrame:

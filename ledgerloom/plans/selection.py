@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numbers import ratio
 from ..operators.dedup import top_per_key
-from ..operators.quantiles import exact_quantiles
+from ..operators.quantiles import exact_quantiles, one_row
 
 
 def months_present_all(df: DataFrame, key: str, months, month="report_month") -> DataFrame:
@@ -66,10 +66,9 @@ def ratio_profile(df: DataFrame, base: str, ref: str) -> DataFrame:
     """Median, mean, minimum and maximum of reference over base where both are positive."""
     both = df.filter((F.col(base) > 0) & (F.col(ref) > 0)).withColumn("_r", ratio(ref, base))
     stats = both.agg(
-        F.count(F.lit(1)).alias("rows"), F.avg("_r").alias("mean"), F.min("_r").alias("min"), F.max("_r").alias("max"), F.lit(1).alias("_j")
+        F.count(F.lit(1)).alias("rows"), F.avg("_r").alias("mean"), F.min("_r").alias("min"), F.max("_r").alias("max")
     )
-    median = exact_quantiles(both, "_r", [0.5]).select(F.col("p50").alias("median"), F.lit(1).alias("_j"))
-    return stats.join(median, "_j", "left").drop("_j")
+    return one_row(stats, exact_quantiles(both, "_r", [0.5]).toDF("median"))
 
 
 def hypothesis_product_check(df: DataFrame, base: str, count: str, ref: str) -> DataFrame:

@@ -27,9 +27,17 @@ def build_session(app: str = "ledgerloom", master: str | None = None, partitions
     )
 
 
+_chosen: list[str] = []
+
+
+def use_folder(path: str) -> None:
+    """The folder for intermediate data of sessions that name none; the caller answers for its being shared."""
+    _chosen[:] = [path]
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as the session's setting spark.checkpoint.dir names it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that all executors share: the session's spark.checkpoint.dir, else the one of use_folder()."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or next(iter(_chosen), None)
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return folder.rstrip("/")

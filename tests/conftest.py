@@ -8,10 +8,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from ledgerloom.session import build_session
+    from ledgerloom.session import build_session, use_folder
 
     session = build_session("ledgerloom-tests", "local[8]", 8)
-    session.conf.set("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
+    use_folder(f"file://{tmp_path_factory.mktemp('shared')}")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

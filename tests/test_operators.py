@@ -83,9 +83,9 @@ def test_exact_quantiles_with_a_hot_value(spark):
     groups = np.where(np.arange(values.size) % 4 == 0, "x", "y")
     df = spark.createDataFrame(pd.DataFrame({"g": groups, "v": values}))
     probs = (0.0, 0.1, 0.5, 0.77, 0.99, 1.0)
-    row = qt.exact_quantiles(df, "v", probs, cuts=50).first()
+    row = qt.exact_quantiles(df, "v", probs, accuracy=200).first()
     assert np.allclose(list(row), np.quantile(values, probs))
-    for r in qt.exact_quantiles(df, "v", probs, ["g"], cuts=20).collect():
+    for r in qt.exact_quantiles(df, "v", probs, ["g"], accuracy=100).collect():
         assert np.allclose(list(r)[1:], np.quantile(values[groups == r.g], probs))
 
 
@@ -101,22 +101,38 @@ def test_list_per_key_has_one_shape_for_any_size(spark):
     assert [tuple(r) for r in text] == [("cold", 2, "4,5")]
 
 
+def test_quantile_plans_have_no_cross_join(spark):
+    df = spark.range(500).select(F.col("id").alias("v"), (F.col("id") % 7).alias("k"), F.lit(2).alias("b"))
+    from ledgerloom.plans import selection as se
+
+    for out in (qt.exact_quantiles(df, "v", [0.5, 0.9]), ql.numeric_profile(df, "v"), se.ratio_profile(df, "b", "v"), se.ratio_coefficients(df, "k", "b", "v")):
+        text = plan(out)
+        assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_quantiles_of_few_values(spark):
+    for values in ([3.0], [1.0, 2.0], [5.0, 5.0, 5.0, 7.0], [float(i) for i in range(10)], [1.0] * 99 + [2.0]):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        probs = (0.0, 0.25, 0.5, 0.75, 0.99, 1.0)
+        assert np.allclose(list(qt.exact_quantiles(df, "v", probs).first()), np.quantile(values, probs)), values
+        counted = df.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        assert np.allclose(list(qt.counted_quantiles(counted, "v", "n", probs).first()), np.quantile(values, probs)), values
+
+
 def test_any_number_of_products(spark):
     long = spark.range(3000).select(F.lit("1").alias("inn"), F.concat(F.lit("p"), "id").alias("product_name"), F.lit(1).alias("has_product"))
     row = pr.product_flags_wide(long, flags=("p1",), excluded=("p2",), extras=("p3", "zz")).first()
     assert (row.p1, row.p3, row.zz) == (1, 1, 0) and len(row.other_products) == 2997
 
 
-def test_intermediate_data_needs_a_shared_folder(spark):
-    from ledgerloom.session import checkpoint_dir
+def test_intermediate_data_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
 
-    folder = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.unset("spark.checkpoint.dir")
-    try:
-        with pytest.raises(ValueError):
-            checkpoint_dir(spark)
-    finally:
-        spark.conf.set("spark.checkpoint.dir", folder)
+    from ledgerloom import session
+
+    monkeypatch.setattr(session, "_chosen", [])
+    with pytest.raises(ValueError):
+        session.checkpoint_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default)))
 
 
 def test_a_new_required_column_is_computed_once(spark, tmp_path):
@@ -301,7 +317,8 @@ def test_months_are_stored_once_and_recomputed_when_missing(spark, tmp_path):
     for months in (["2026-01", "2026-02"], ["2026-01", "2026-02", "2026-03"]):
         assert wr.read_or_compute_month(spark, path, months, compute, ["v"]).count() == 3 * len(months)
     assert calls == [["2026-01", "2026-02"], ["2026-03"]]
-    wr.read_or_compute_month(spark, path, ["2026-01"], compute, ["v", "new"])
+    with pytest.raises(ValueError):
+        wr.read_or_compute_month(spark, path, ["2026-01"], compute, ["v", "new"])
     wr.read_or_compute_month(spark, path, ["2026-02"], compute, force=True)
     assert calls[2:] == [["2026-01"], ["2026-02"]] and wr.read_months(spark, path).count() == 9
 
