@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -12,27 +11,14 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.session import checkpoint_dir
+
 #: Code points (or bytes) of text that a Python stage works on at once.
 BLOCK_CHARS = 1_000_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir.
-
-    Where it is unset, a local session gets a folder of its own and keeps it in that setting;
-    on a cluster a missing setting is an error, since no local folder is seen by all executors.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
