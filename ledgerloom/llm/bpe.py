@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import pretokens
-from ledgerloom.llm.common import text_blocks
+from ledgerloom.llm.common import give_back, text_blocks
 
 #: Pieces held before the merges are replayed, and distinct ones; both bound a task's memory.
-PIECES = 3_000_000
-DISTINCT = 200_000
+PIECES = 2_000_000
+DISTINCT = 150_000
 NONE = np.iinfo(np.int32).max
 OUT_IDS = 500_000
 
@@ -212,6 +212,7 @@ def encoded_batches(batches: Iterator[pa.RecordBatch], encode) -> Iterator[pa.Re
             pieces = 0
     if held:
         yield from flush(names)
+        give_back()
 
 
 def _schema(df: DataFrame, names: list[str], last: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
 from collections.abc import Iterable, Iterator
@@ -59,6 +61,16 @@ def bounded_sample(df: DataFrame, n: int, key: list[str]) -> DataFrame:
     return df.orderBy(order, *key).limit(n)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between stages and share an executor's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library; nothing depends on it
+
+
 def text_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of the batches, with their texts, of about `limit` characters; a longer text is a slice of its own.
 
@@ -74,3 +86,5 @@ def text_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_CHARS) ->
             size += len(text)
         if start < len(texts):
             yield batch.slice(start), texts[start:]
+        batch = texts = None
+    give_back()

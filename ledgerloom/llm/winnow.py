@@ -20,12 +20,10 @@ nothing; an item that repeats counts once. Empty tables on either side are allow
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ledgerloom.llm.common import text_blocks
 
@@ -108,7 +106,7 @@ def _around(words: np.ndarray, places: np.ndarray, edge: int) -> np.ndarray:
     short = np.maximum((words >> np.uint64(32)).astype(np.uint32), 2)
     side = np.full(REACH, edge, np.uint32)
     padded = np.concatenate((side, short, side))
-    return np.lib.stride_tricks.sliding_window_view(padded, SPAN)[places]
+    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, SPAN)[places])
 
 
 def _rows_of(words: np.ndarray, shorts: tuple[int, ...], edge: int, taken: np.ndarray | None):
@@ -133,7 +131,16 @@ def _rows_of(words: np.ndarray, shorts: tuple[int, ...], edge: int, taken: np.nd
     return out
 
 
-FINGERPRINT = "fp bigint, width int, place int, around binary"
+def _lists(parts: list[tuple[int, np.ndarray | None]]) -> pa.Array:
+    """Rows of SPAN words as lists; the rows of a part without words are null."""
+    words = [near.ravel().view(np.int32) for _, near in parts if near is not None]
+    known = np.concatenate([np.full(n, near is not None) for n, near in parts])
+    ends = np.append(0, np.cumsum(known * SPAN)).astype(np.int32)
+    offsets = pa.array(ends, mask=np.append(~known, False))
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(words) if words else np.empty(0, np.int32)))
+
+
+FINGERPRINT = "fp bigint, width int, place int, around array<int>"
 
 
 def _fingerprint_stage(rows: DataFrame, lead: str, shorts: tuple[int, ...] | None, edge: int, slots=None, summary: bool = False) -> DataFrame:
@@ -157,14 +164,14 @@ def _fingerprint_stage(rows: DataFrame, lead: str, shorts: tuple[int, ...] | Non
                     fp.append(np.zeros(1, np.uint64))
                     width.append(0)
                     place.append(np.array([len(words)]))
-                    around.append([None])
+                    around.append((1, None))
                     at.append((i, 1))
                 own = shorts if shorts is not None else (len(words),) if 0 < len(words) < GUARANTEE else ()
                 for values, n, places, near in _rows_of(words, own, edge, taken):
                     fp.append(values)
                     width.append(n)
                     place.append(places)
-                    around.append([None] * len(values) if near is None else [row.tobytes() for row in near])
+                    around.append((len(values), near))
                     at.append((i, len(values)))
             if not at:
                 continue
@@ -174,30 +181,28 @@ def _fingerprint_stage(rows: DataFrame, lead: str, shorts: tuple[int, ...] | Non
                 pa.array(np.concatenate(fp).view(np.int64)),
                 pa.array(np.repeat(width, [n for _, n in at]).astype(np.int32)),
                 pa.array(np.concatenate(place).astype(np.int32)),
-                pa.array([x for part in around for x in part], pa.binary()),
+                _lists(around),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "fp", "width", "place", "around"])
 
     return rows.mapInArrow(run, f"{lead}, {FINGERPRINT}")
 
 
-@F.pandas_udf(StructType([StructField("lo", IntegerType()), StructField("hi", IntegerType())]))
-def _extended(place: pd.Series, width: pd.Series, here: pd.Series, there: pd.Series) -> pd.DataFrame:
-    """The words of the text, from lo to hi, that a hit covers; lo = hi if the shared span is too short."""
-    lo = place.to_numpy().astype(np.int64)
-    hi = lo + width.to_numpy()
-    long = np.flatnonzero(here.notna().to_numpy())
-    if len(long):
-        a = np.frombuffer(b"".join(here.iloc[long]), np.uint32).reshape(-1, SPAN)
-        b = np.frombuffer(b"".join(there.iloc[long]), np.uint32).reshape(-1, SPAN)
-        same = a == b
-        left = np.logical_and.accumulate(same[:, REACH - 1 :: -1], axis=1).sum(axis=1)
-        right = np.logical_and.accumulate(same[:, REACH + K :], axis=1).sum(axis=1)
-        middle = same[:, REACH : REACH + K].all(axis=1)
-        enough = middle & (left + K + right >= GUARANTEE)
-        hi[long] = np.where(enough, lo[long] + K + right, lo[long])
-        lo[long] = np.where(enough, lo[long] - left, lo[long])
-    return pd.DataFrame({"lo": lo.astype(np.int32), "hi": hi.astype(np.int32)})
+def _extended(tests_around: str) -> Column:
+    """struct(lo, hi): the words of the text that a hit covers; lo = hi if the shared span is too short.
+
+    Words beside the k-gram belong to the span as far as both texts have the same ones.
+    """
+    same = f"zip_with(around, {tests_around}, (a, b) -> a = b)"
+    left = f"array_position(reverse(slice({same}, 1, {REACH})), false)"
+    right = f"array_position(slice({same}, {REACH + K + 1}, {REACH}), false)"
+    middle = f"forall(slice({same}, {REACH + 1}, {K}), x -> x)"
+    return F.expr(f"""
+        case when around is null then struct(place as lo, place + width as hi)
+        else transform(array(struct(
+            cast(if({left} = 0, {REACH}, {left} - 1) as int) as l, cast(if({right} = 0, {REACH}, {right} - 1) as int) as r, {middle} as m)),
+          x -> if(x.m and x.l + {K} + x.r >= {GUARANTEE}, struct(place - x.l as lo, place + {K} + x.r as hi), struct(place as lo, place as hi)))[0]
+        end""")
 
 
 def spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -231,7 +236,7 @@ def spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         right = F.broadcast(right)
     # The summary rows have width 0, which no item has; they pass the outer join.
     joined = found.join(right, ["fp", "width"], "left").where((F.col("width") == 0) | F.col("item_id").isNotNull())
-    hit = _extended("place", "width", "around", "there")
+    hit = _extended("there")
     out = joined.select(
         "doc_id",
         "text_hash",
