@@ -19,20 +19,11 @@ def serial_key(serial="c_pos_serial", code="c_nter") -> Column:
     return F.coalesce(empty_to_null(serial), F.concat(F.lit("code:"), F.col(code)))
 
 
-def device_owners(devices: DataFrame, path=()) -> DataFrame:
-    """One owner agreement per physical device and month."""
-    known = devices.filter("c_nter is not null").select(*KEY, *path, "c_nter", serial_key().alias("_device"))
-    return latest_version(known, [*path, "month_start", "_device"], [F.col("n_agr"), F.col("c_nter")])
-
-
 def outlet_places(
     scope: DataFrame, terms: DataFrame, outlets: DataFrame, start, end,
     reserved_prefix: str = fv.RESERVED_OUTLET_PREFIX, excluded_class: str = "SV",
 ) -> DataFrame:
-    """Outlets per agreement and month: by the agreement's terms, else by its company (``main`` = 0).
-
-    Writes the first part to the shared folder: the second part needs to know what is in it.
-    """
+    """Outlets per agreement and month: by the agreement's terms, else by its company (``main`` = 0)."""
     sa = scope.select(*KEY, "n_cmp_client").distinct()
     live = not_deleted(outlets).filter("c_nmrc is not null")
     regular = live.filter(
@@ -42,7 +33,7 @@ def outlet_places(
     intervals = not_deleted(terms).filter("c_nmrc is not null").select(
         "n_agr", "c_nmrc", "d_valid_from", "d_valid_to"
     ).distinct()
-    by_term = materialize(
+    by_term = (
         active_months(intervals.join(regular, "c_nmrc", "left_semi"), start, end)
         .select(*KEY, "c_nmrc")
         .distinct()
@@ -54,22 +45,35 @@ def outlet_places(
     return by_term.withColumn("main", F.lit(1)).unionByName(by_company.withColumn("main", F.lit(0)))
 
 
+def _at_several(devices: DataFrame, column: str) -> DataFrame:
+    """Values of a device column that occur at more than one outlet."""
+    pairs = devices.filter(F.col(column).isNotNull()).groupBy(column).agg(F.min("c_nmrc").alias("_a"), F.max("c_nmrc").alias("_b"))
+    return pairs.filter("_a <> _b").select(column, F.lit(True).alias(f"_several_{column}"))
+
+
 def fleet(places: DataFrame, devices: DataFrame) -> DataFrame:
-    """Devices at the outlets in the month.
+    """Devices at each outlet in each month that some agreement reaches it, with the smallest such agreement.
 
-    Devices keep their interval: the other side already carries the month, so
-    expanding them too would only move more rows.
+    Agreements do not multiply devices: an outlet and month is one row before its devices are
+    found. Devices keep their interval, since the other side already carries the month.
+    ``device`` is what counts as a device on the path, ``several`` whether it also stands elsewhere.
     """
     fitted = not_deleted(devices).filter("d_ter_install is not null").select(
         "c_nmrc", "c_pos_serial", "c_nter", "d_ter_install", "d_ter_close"
-    )
+    ).distinct()
+    for column in ("c_pos_serial", "c_nter"):
+        fitted = fitted.join(_at_several(fitted, column), column, "left")
+    reached = places.groupBy("main", "c_nmrc", "month_start").agg(F.min("n_agr").alias("n_agr"))
     in_month = (F.col("d_ter_install") <= F.last_day("month_start")) & (
         F.col("d_ter_close").isNull() | (F.col("d_ter_close") >= F.col("month_start"))
     )
-    known = F.when(F.col("main") == 1, F.col("c_pos_serial")).otherwise(F.col("c_nter")).isNotNull()
-    # Copies are left in: whoever counts drops them together with its own grouping.
-    rows = places.join(fitted.distinct(), "c_nmrc").filter(in_month & known)
-    return rows.select(*KEY, "main", "c_nmrc", "c_pos_serial", "c_nter")
+    by_serial = F.col("main") == 1
+    rows = reached.join(fitted, "c_nmrc").filter(in_month).select(
+        "main", "month_start", "c_nmrc", "n_agr", "c_pos_serial", "c_nter",
+        F.when(by_serial, F.col("c_pos_serial")).otherwise(F.col("c_nter")).alias("device"),
+        F.coalesce(F.when(by_serial, F.col("_several_c_pos_serial")).otherwise(F.col("_several_c_nter")), F.lit(False)).alias("several"),
+    )
+    return rows.filter(F.col("device").isNotNull())
 
 
 def operational_metrics(
@@ -79,33 +83,46 @@ def operational_metrics(
 
     The main path goes from the agreement's terms to outlets and devices. Only
     agreements without a row there take the fallback, from the company's outlets.
-    The scope, the outlets and the devices in them are written to the shared
-    folder once, since several figures are drawn from each.
+    Devices that stand at one outlet only are counted per outlet and month, and agreements sum
+    those counts; only devices of several outlets are counted by agreement. The scope and its
+    outlets are written to the shared folder once, since several figures are drawn from each.
     """
     sa = materialize(scope.select(*KEY, "n_cmp_client").distinct())
     places = materialize(outlet_places(sa, terms, outlets, start, end, **rules))
-    rows = materialize(fleet(places, devices))
+    rows = fleet(places, devices)
+    spot = ["main", "c_nmrc", "month_start"]
 
-    main_outlets = places.filter("main = 1").groupBy(*KEY).agg(F.count(F.lit(1)).alias("retl_main"))
-    device = F.when(F.col("main") == 1, F.col("c_pos_serial")).otherwise(F.col("c_nter"))
-    counts = rows.select(*KEY, "main", device.alias("_d")).distinct().groupBy(*KEY).agg(F.count(F.lit(1)).alias("term_cnt"))
-    spare_outlets = rows.filter("main = 0").select(*KEY, "c_nmrc").distinct().groupBy(*KEY).agg(
-        F.count(F.lit(1)).alias("retl_spare")
+    per_spot = (
+        rows.groupBy(*spot, "device").agg(F.min(F.when(F.col("several"), 0).otherwise(1)).alias("_own"))
+        .groupBy(*spot).agg(F.sum("_own").alias("_own"))
+    )
+    per_agreement = places.join(per_spot, spot, "left").groupBy(*KEY).agg(
+        F.sum("main").alias("retl_main"),
+        F.count_if((F.col("main") == 0) & F.col("_own").isNotNull()).alias("retl_spare"),
+        F.sum("_own").alias("_own"),
+    )
+    shared = rows.filter("several").select(*spot, "device").distinct()
+    shared = places.join(shared, spot).select(*KEY, "device").distinct().groupBy(*KEY).agg(F.count(F.lit(1)).alias("_shared"))
+    counts = per_agreement.join(shared, KEY, "left").select(
+        *KEY,
+        F.when(F.col("retl_main") > 0, F.col("retl_main")).alias("retl_main"),
+        F.when(F.col("retl_spare") > 0, F.col("retl_spare")).alias("retl_spare"),
+        (F.coalesce("_own", F.lit(0)) + F.coalesce("_shared", F.lit(0))).alias("term_cnt"),
+    )
+    # A device's owner has the smallest agreement among the outlets' smallest ones, then the smallest code.
+    owners = (
+        rows.filter("c_nter is not null")
+        .groupBy("main", "month_start", serial_key().alias("_device"))
+        .agg(F.min(F.struct("n_agr", "c_nter")).alias("_owner"))
+        .select("month_start", F.col("_owner.n_agr").alias("n_agr"), F.col("_owner.c_nter").alias("c_nter"))
     )
     value = model.select(
         F.col("c_nter").cast("string").alias("c_nter"),
         F.col("snapshot_month_start").alias("month_start"),
         F.col("amortization_for_report_month").alias("_value"),
     )
-    amort = (
-        device_owners(rows, ["main"])
-        .join(value, ["c_nter", "month_start"], "left")
-        .groupBy(*KEY)
-        .agg(F.sum(F.coalesce("_value", F.lit(0))).alias("amortization"))
-    )
-    out = sa
-    for part in (main_outlets, spare_outlets, counts, amort):
-        out = out.join(part, KEY, "left")
+    amort = owners.join(value, ["c_nter", "month_start"]).groupBy(*KEY).agg(F.sum("_value").alias("amortization"))
+    out = sa.join(counts, KEY, "left").join(amort, KEY, "left")
     source = (
         F.when(F.col("retl_main").isNotNull(), "547_like")
         .when(F.col("retl_spare").isNotNull(), "fallback_old")
@@ -115,7 +132,7 @@ def operational_metrics(
         *KEY,
         "n_cmp_client",
         F.coalesce("retl_main", "retl_spare").alias("retl_cnt"),
-        F.coalesce("term_cnt", F.when(F.col("retl_main").isNotNull(), F.lit(0))).alias("term_cnt"),
+        F.when(F.coalesce("retl_main", "retl_spare").isNotNull(), F.col("term_cnt")).alias("term_cnt"),
         F.coalesce("amortization", F.lit(0)).alias("amortization"),
         source.alias("term_calc_source"),
     )
