@@ -39,7 +39,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived records of every page, as read from the files that they were written to."""
-    made = warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+    made = warc.derive_pages(table(spark, sf_dir, "pages"))
     rows = warc.read(warc.write(made))
     return rows.select(*warc.FIELDS, F.length("content").cast("long").alias("n_bytes"), F.sha2("content", 256).alias("content_sha256"))
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import materialize, new_path, place
+from ledgerloom.llm.common import give_back, materialize, new_path, place
 
 VERSION = "WARC/1.0"
 #: Names under which identifiers are made.
@@ -190,39 +190,67 @@ def derive_record(raw: bytes) -> tuple[bytes, bytes]:
     return out[0], out[1]
 
 
-def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(id, record) with a response record of every page."""
+#: Pages or records that a task works on at once.
+ROWS = 500
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+    give_back()
+
+
+def response_batches(batches: Iterator[pa.RecordBatch], date: str) -> Iterator[pa.RecordBatch]:
+    """(id, record) from batches of (id, url, html)."""
+    for batch in _slices(batches):
+        ids, urls, pages = (c.to_pylist() for c in batch.columns)
+        made = [response(str(i), u or "", p or "", date) for i, u, p in zip(ids, urls, pages, strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=[batch.schema.names[0], "record"])
+
+
+def derived_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, kind, record, error) from batches of (id, record)."""
+    for batch in _slices(batches):
+        source, rows = [], []
+        for i, raw in enumerate(batch.column(1).to_pylist()):
+            try:
+                made = derive_record(raw or b"")
+                rows += [("metadata", made[0], None), ("conversion", made[1], None)]
+                source += [i, i]
+            except ValueError as wrong:
+                rows.append((None, None, str(wrong)))
+                source.append(i)
+        kinds, made, errors = zip(*rows, strict=True) if rows else ((), (), ())
+        columns = [batch.column(0).take(pa.array(source, pa.int64())), pa.array(kinds, pa.string()), pa.array(made, pa.binary()), pa.array(errors, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, names=[batch.schema.names[0], "kind", "record", "error"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, urls, pages_ = (c.to_pylist() for c in batch.columns)
-            made = [response(str(i), u or "", p or "", date) for i, u, p in zip(ids, urls, pages_, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=[id_col, "record"])
 
+DATE = "2024-01-01T00:00:00Z"
+DERIVED = "kind string, record binary, error string"
+
+
+def _pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> tuple[DataFrame, str]:
     rows = pages.select(id_col, F.col(url_col).cast("string").alias("__url"), F.col(html_col).cast("string").alias("__html"))
-    return rows.mapInArrow(run, f"`{id_col}` {rows.schema[0].dataType.simpleString()}, record binary")
+    return rows, f"`{id_col}` {rows.schema[0].dataType.simpleString()}"
+
+
+def responses(pages: DataFrame, date: str = DATE, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(id, record) with a response record of every page."""
+    rows, kind = _pages(pages, id_col, url_col, html_col)
+    return rows.mapInArrow(lambda batches: response_batches(batches, date), f"{kind}, record binary")
 
 
 def derive(records: DataFrame, id_col: str = "page_id", record_col: str = "record") -> DataFrame:
     """(id, kind, record, error): two rows of each response record, or one with an error."""
+    rows = records.select(id_col, record_col)
+    return rows.mapInArrow(derived_batches, f"`{id_col}` {rows.schema[0].dataType.simpleString()}, {DERIVED}")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            source, rows = [], []
-            for i, raw in enumerate(batch.column(1).to_pylist()):
-                try:
-                    made = derive_record(raw or b"")
-                    rows += [("metadata", made[0], None), ("conversion", made[1], None)]
-                    source += [i, i]
-                except ValueError as wrong:
-                    rows.append((None, None, str(wrong)))
-                    source.append(i)
-            kinds, made, errors = zip(*rows, strict=True) if rows else ((), (), ())
-            columns = [batch.column(0).take(pa.array(source, pa.int64())), pa.array(kinds, pa.string()), pa.array(made, pa.binary()), pa.array(errors, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[id_col, "kind", "record", "error"])
 
-    rows = records.select(id_col, record_col)
-    return rows.mapInArrow(run, f"`{id_col}` {rows.schema[0].dataType.simpleString()}, kind string, record binary, error string")
+def derive_pages(pages: DataFrame, date: str = DATE, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """derive(responses(pages)) in one stage, so that one worker a task holds records."""
+    rows, kind = _pages(pages, id_col, url_col, html_col)
+    return rows.mapInArrow(lambda batches: derived_batches(response_batches(batches, date)), f"{kind}, {DERIVED}")
 
 
 def write(records: DataFrame, record_col: str = "record", folder: str | None = None) -> DataFrame:

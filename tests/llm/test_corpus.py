@@ -334,6 +334,7 @@ def test_warc(pages):
         sources.setdefault(headers["warc-record-id"], []).append((headers, block))
     rows = warc.read(warc.write(warc.derive(warc.responses(pages)))).collect()
     assert len(rows) == 2 * len(PAGES)
+    assert ordered(warc.derive_pages(pages).collect()) == ordered(warc.derive(warc.responses(pages)).collect())
     for r in rows:
         headers, block = sources[r["refers_to"]][0]
         assert r["target_uri"] == headers["warc-target-uri"] and r["source_digest"] == headers["warc-payload-digest"]
