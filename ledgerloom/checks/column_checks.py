@@ -25,17 +25,15 @@ def _(t):
 @query("norm_agr", """
 select n_agr, case when position('.0' in abs_agr_id) > 0 then cast(cast(abs_agr_id as decimal(38,1)) as bigint) || '' else abs_agr_id end as agr_id,
   case o_orderstatus when 'F' then cast(cast(floor(o_totalprice) as bigint) as varchar)
-    when 'O' then nullif(o_orderpriority, '') else null end as agr_text
+    when 'O' then nullif(replace(o_orderpriority, ' ', ''), '') else null end as agr_text
 from agreements join orders on n_agr = cast(o_orderkey as varchar)""")
 def _(t):
     raw = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit(" "), F.floor("o_totalprice").cast("string"), F.lit(",00"))).when(
         F.col("o_orderstatus") == "O", F.col("o_orderpriority")
     ).otherwise(F.lit(" nan "))
     cleaned = tx.norm_agr(raw)
-    # Spaces inside an id are dropped, so the twin's label keeps only those without one.
     rows = t.agreements.join(t.orders, F.col("n_agr") == F.col("o_orderkey").cast("string"))
-    return rows.select("n_agr", tx.norm_agr("abs_agr_id").alias("agr_id"),
-                       F.when(cleaned == "4-NOTSPECIFIED", "4-NOT SPECIFIED").otherwise(cleaned).alias("agr_text"))
+    return rows.select("n_agr", tx.norm_agr("abs_agr_id").alias("agr_id"), cleaned.alias("agr_text"))
 
 
 @query("contract_keys", """
@@ -56,10 +54,16 @@ def _(t):
 
 
 @query("parse_num", """
-select o_orderkey, o_totalprice as amount, cast(null as double) as bad from orders""")
-def _(t):
-    spaced = F.regexp_replace(F.col("o_totalprice").cast("decimal(12,2)").cast("string"), r"(\d)(\d{3})\.", "$1 $2,")
-    return t.orders.select("o_orderkey", nu.parse_num(spaced).alias("amount"), nu.parse_num("o_orderpriority").alias("bad"))
+select o_orderkey, case o_orderkey % 4 when 0 then null when 1 then o_totalprice when 2 then -o_totalprice else floor(o_totalprice) end as amount from orders""")
+def _(t):
+    spaced = F.regexp_replace(F.col("o_totalprice").cast("decimal(12,2)").cast("string"), r"(\d)(\d{3})\.", "$1 $2,")
+    mixed = (
+        F.when(F.col("o_orderkey") % 4 == 0, F.concat(spaced, F.lit(" n/a")))
+        .when(F.col("o_orderkey") % 4 == 1, spaced)
+        .when(F.col("o_orderkey") % 4 == 2, F.concat(F.lit("-"), spaced))
+        .otherwise(F.floor("o_totalprice").cast("string"))
+    )
+    return t.orders.select("o_orderkey", nu.parse_num(mixed).alias("amount"))
 
 
 @query("text_num", """

@@ -282,20 +282,18 @@ def _(t):
     return rc.presence_changes(_keyed(t.mart), "1998-02", "1998-03")
 
 
-_YEAR = "substr(report_month, 1, 4)"
 for _s, _src in (("lake", "lake_rows"), ("excel", "excel_rows")):
-    block(f"{_s}_inn", f"select {_YEAR} as report_month, inn_key, {', '.join(f'sum({c}) as {c}_{_s}' for c in ('trx_cnt', 'trx_sum', 'retl_cnt', 'chod'))} from {_src} where inn_key is not null group by 1, 2")
+    block(f"{_s}_inn", f"select report_month, inn_key, {', '.join(f'sum({c}) as {c}_{_s}' for c in ('trx_cnt', 'trx_sum', 'retl_cnt', 'chod'))} from {_src} where inn_key is not null group by 1, 2")
 
 
 @query("gold_keys", f"""
 select inn_key, count(*) as months_n, {_cnt('ok')} as months_ok, {_cnt('trx_cnt_lake > 0 and trx_sum_lake > 0')} as months_dyn, cast(sum(trx_sum_lake) as double) as sum_trx_sum,
   cast(sum(trx_sum_lake) as double) / count(*) as avg_trx_sum, cast(sum(chod_lake) as double) / count(*) as avg_chod
-from (select *, trx_cnt_lake = trx_cnt_excel and retl_cnt_lake = retl_cnt_excel and abs(chod_lake - chod_excel) <= 0.01 as ok from lake_inn l join excel_inn e using (report_month, inn_key) where report_month < '2001') x
+from (select *, trx_cnt_lake = trx_cnt_excel and retl_cnt_lake = retl_cnt_excel and abs(chod_lake - chod_excel) <= 0.01 as ok from lake_inn l join excel_inn e using (report_month, inn_key)) x
 group by 1 having count(*) >= 4 and {_cnt('ok')} >= 4 and {_cnt('trx_cnt_lake > 0 and trx_sum_lake > 0')} >= 4""")
 def _(t):
     def side(df, name):
-        rows = _keyed(df).withColumn("report_month", F.substring("report_month", 1, 4)).filter("report_month < '2001'")
-        return rc.key_month_agg(rows, {c: "sum" for c in ("trx_cnt", "trx_sum", "retl_cnt", "chod")}, name, ["report_month", "inn_key"])
+        return rc.key_month_agg(_keyed(df), {c: "sum" for c in ("trx_cnt", "trx_sum", "retl_cnt", "chod")}, name, ["report_month", "inn_key"])
     return rc.gold_keys(side(t.mart, "_lake"), side(t.report, "_excel"), 4, ("trx_cnt", "retl_cnt"), ("chod",))
 
 
@@ -477,39 +475,35 @@ def _(t):
 
 
 # ---------------------------------------------------------------- selection
-_YEARS = ("1996", "1997", "1998", "1999", "2000")
-block("yearly", f"select agr_id, {_YEAR} as y, tariff_name, ssp_ocrm, commission_monthly, trx_sum from mart")
+_SPAN = ("1997-03", "1997-04", "1997-05")
+block("monthly_rows", f"select agr_id, report_month as y, tariff_name, ssp_ocrm, commission_monthly, trx_sum from mart")
 
 
-def _yearly(df):
-    return df.withColumn("report_month", F.substring("report_month", 1, 4))
-
-
-@query("months_present_all", f"select agr_id from yearly where y in {_YEARS} group by 1 having count(distinct y) = {len(_YEARS)}")
+@query("months_present_all", f"select agr_id from monthly_rows where y in {_SPAN[:2]} group by 1 having count(distinct y) = 2")
 def _(t):
-    return se.months_present_all(_yearly(t.mart), "agr_id", _YEARS)
+    return se.months_present_all(t.mart, "agr_id", _SPAN[:2])
 
 
-@query("stable_attribute_keys", f"select agr_id, min(ssp_ocrm) as ssp_ocrm from yearly where y in {_YEARS[:3]} group by 1 having count(distinct y) = 3 and count(distinct tariff_name) = 1")
+@query("stable_attribute_keys", f"select agr_id, min(ssp_ocrm) as ssp_ocrm from monthly_rows where y in {_SPAN[:3]} group by 1 having count(distinct y) = 3 and count(distinct tariff_name) = 1")
 def _(t):
-    same = _yearly(t.mart)
-    keys = se.stable_attribute_keys(same, "agr_id", "tariff_name", _YEARS[:3])
-    zones = same.filter(F.col("report_month").isin(*_YEARS[:3])).groupBy("agr_id").agg(F.min("ssp_ocrm").alias("ssp_ocrm"))
+    same = t.mart
+    keys = se.stable_attribute_keys(same, "agr_id", "tariff_name", _SPAN[:3])
+    zones = same.filter(F.col("report_month").isin(*_SPAN[:3])).groupBy("agr_id").agg(F.min("ssp_ocrm").alias("ssp_ocrm"))
     return keys.join(zones, "agr_id").select("agr_id", "ssp_ocrm")
 
 
-block("cat_rows", f"""select agr_id_key as agr_id, {_YEAR} as y, sum(commission_monthly_lake) as a, sum(commission_monthly_excel) as b from pair_rows group by 1, 2""")
+block("cat_rows", f"""select agr_id_key as agr_id, report_month as y, sum(commission_monthly_lake) as a, sum(commission_monthly_excel) as b from pair_rows group by 1, 2""")
 
 
 @query("category_by_month_pattern", f"""
 select agr_id, m as months_cnt, eq as match_months, m - eq as mismatch_months, pa as lake_gt_0_months, zb as excel_eq_0_months, pb as excel_gt_0_months,
   case when eq = 3 and pa = 3 then 'match' when eq = 0 and pa = 3 and zb = 3 then 'mismatch_excel_zero' when eq = 0 and pa = 3 and pb = 3 then 'mismatch_excel_positive' end as category
 from (select agr_id, count(*) as m, {_cnt('abs(coalesce(a, 0) - coalesce(b, 0)) <= 0.01')} as eq, {_cnt('coalesce(a, 0) > 0')} as pa, {_cnt('coalesce(b, 0) = 0')} as zb, {_cnt('coalesce(b, 0) > 0')} as pb
-  from cat_rows where y in {_YEARS[:3]} group by 1 having count(*) = 3) x where category is not null""")
+  from cat_rows where y in {_SPAN[:3]} group by 1 having count(*) = 3) x where category is not null""")
 def _(t):
-    rows = _yearly(rc.paired(_lake(t), _ref(t))).groupBy(F.col("agr_id_key").alias("agr_id"), "report_month").agg(
+    rows = rc.paired(_lake(t), _ref(t)).groupBy(F.col("agr_id_key").alias("agr_id"), "report_month").agg(
         F.sum("commission_monthly_lake").alias("a"), F.sum("commission_monthly_excel").alias("b"))
-    return se.category_by_month_pattern(rows, "agr_id", "a", "b", _YEARS[:3])
+    return se.category_by_month_pattern(rows, "agr_id", "a", "b", _SPAN[:3])
 
 
 block("coef", """select agr_id_key, coalesce(sum(commission_monthly_lake), 0) as a, coalesce(sum(commission_monthly_excel), 0) as b,
@@ -664,9 +658,9 @@ def _(t):
 
 
 @query("ds_client_months_upto", f"""
-select s.report_month, {_CM} from (values ('1995-03'), ('1995-02')) s(report_month) join client_m m on m.point_report_month <= s.report_month""")
+select s.report_month, {_CM} from (values ('2001-06'), ('1998-02')) s(report_month) join client_m m on m.point_report_month <= s.report_month""")
 def _(t):
-    return ds.ds_client_months_upto(t.published, ["1995-03", "1995-02"])
+    return ds.ds_client_months_upto(t.published, ["2001-06", "1998-02"])
 
 
 @query("ds_client_months_upto_latest", f"""

@@ -248,15 +248,22 @@ def _(t):
 
 _GRAMS = "list_distinct(list_transform(range(1, length('  ' || {n} || '  ') - 1), lambda i: substr('  ' || {n} || '  ', i, 3)))"
 block("nm_l", f"select *, {_GRAMS.format(n='name')} as g from (select distinct upper(p_name) as name from part) x")
-block("nm_r", f"select *, {_GRAMS.format(n='name')} as g from (select distinct replace(upper(p_name), 'RED', 'READ') as name from part where p_size > 3) x")
+# On the right some names are spelled differently and some not at all alike.
+_RIGHT = "case when p_name ilike '%blue%' then reverse(upper(p_name)) else replace(upper(p_name), 'RED', 'READ') end"
+block("nm_r", f"select *, {_GRAMS.format(n='name')} as g from (select distinct {_RIGHT} as name from part) x")
 block("nm_pairs", """select l.name as name_l, r.name as name_r, len(list_intersect(l.g, r.g)) * 2.0::double / (len(l.g) + len(r.g)) as sim from nm_l l, nm_r r
 where len(list_intersect(l.g, r.g)) * 2.0::double / (len(l.g) + len(r.g)) >= 0.55""")
-block("nm_ent", "select replace(upper(p_name), 'RED', 'READ') as name, min((p_brand, p_type)) as lo, max((p_brand, p_type)) as hi from part where p_size > 3 group by 1")
+block("nm_ent", f"select {_RIGHT} as name, min((p_brand, p_type)) as lo, max((p_brand, p_type)) as hi from part group by 1")
+
+
+def _right_name():
+    name = F.upper("p_name")
+    return F.when(name.contains("BLUE"), F.reverse(name)).otherwise(F.regexp_replace(name, "RED", "READ"))
 
 
 @query("similar_names", "select name_l, name_r, sim as name_sim from nm_pairs")
 def _(t):
-    right = t.part.filter("p_size > 3").select(F.regexp_replace(F.upper("p_name"), "RED", "READ").alias("name")).distinct()
+    right = t.part.select(_right_name().alias("name")).distinct()
     return fz.similar_names(t.part.select(F.upper("p_name").alias("name")).distinct(), right)
 
 
@@ -268,8 +275,8 @@ from part left join (select s.name_l, max(best) as best, max(best_sim) as best_s
     select *, sim * 100.0 + case when name_l = name_r then 30.0 else 0.0 end as score, max(sim * 100.0 + case when name_l = name_r then 30.0 else 0.0 end) over (partition by name_l) as best,
       max(sim) over (partition by name_l) as best_sim from nm_pairs) s join nm_ent e on e.name = s.name_r where s.score >= s.best - 5 group by 1) m on m.name_l = upper(p_name)""")
 def _(t):
-    right = t.part.filter("p_size > 3").select(
-        F.regexp_replace(F.upper("p_name"), "RED", "READ").alias("p_name"), F.col("p_brand").alias("agr_id"), F.col("p_type").alias("inn"))
+    right = t.part.select(
+        _right_name().alias("p_name"), F.col("p_brand").alias("agr_id"), F.col("p_type").alias("inn"))
     return fz.fuzzy_entity_match(t.part.select("p_partkey", "p_name"), right, "p_partkey", "p_name")
 
 
