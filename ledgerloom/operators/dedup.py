@@ -36,23 +36,32 @@ def drop_duplicates_by(df: DataFrame, keys) -> DataFrame:
     return latest_version(df, keys, rest or [F.lit(1)])
 
 
-def assert_unique(df: DataFrame, keys) -> DataFrame:
-    """The same rows; the query fails while it runs when a key occurs twice.
-
-    Spark may drop the check together with the rows where nothing reads them. The count per key shuffles on the join key, so a join on it reuses the shuffle.
-    """
+def _counted(df: DataFrame, keys) -> DataFrame:
+    """One row per key with the number of its rows; the count shuffles on the key, so a join on it reuses the shuffle."""
     others = [c for c in df.columns if c not in keys]
-    packed = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in others]
-    )
-    # The error must sit in the row filter: a column nobody reads would be pruned.
-    fails = F.assert_true(F.col("_n") == 1, F.concat(F.lit("duplicate key: "), F.concat_ws("|", *keys)))
-    return packed.filter(fails.isNull()).select(*df.columns)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in others])
+
+
+def _checked(df: DataFrame, keys) -> DataFrame:
+    """The rows without their count; the query fails while it runs when a count is above one."""
+    fails = F.assert_true(F.coalesce("_n", F.lit(1)) == 1, F.concat(F.lit("duplicate key: "), F.concat_ws("|", *keys)))
+    return df.filter(fails.isNull()).drop("_n")
+
+
+def assert_unique(df: DataFrame, keys) -> DataFrame:
+    """The same rows; the query fails while it runs when a key occurs twice, if anything reads the rows."""
+    return _checked(_counted(df, keys), keys).select(*df.columns)
 
 
 def unique_left_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
-    """Left join that cannot change the number of rows: fails on a repeated right key."""
-    return left.join(assert_unique(right, on), on, "left")
+    """Left join that cannot change the number of rows: fails on a repeated right key.
+
+    The count of a key travels to the joined row and is checked there, so that the check runs for
+    every row of the result, also where only the rows are counted. Keys that no left row has are
+    not checked.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    return _checked(left.join(_counted(right, on), on, "left"), on)
 
 
 def map_cardinality(df: DataFrame, a: str, b: str) -> DataFrame:

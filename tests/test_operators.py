@@ -66,6 +66,8 @@ def test_unique_join_fails_on_repeated_key(spark):
     bad = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     with pytest.raises(Exception, match="duplicate key"):
         dd.unique_left_join(left, bad, ["k"]).select("v").collect()
+    with pytest.raises(Exception, match="duplicate key"):
+        dd.unique_left_join(left, bad, "k").count()
 
 
 def test_invariants(spark):
