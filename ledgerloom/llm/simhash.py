@@ -96,9 +96,10 @@ def _anchored(distinct: DataFrame) -> DataFrame:
 def links(distinct: DataFrame) -> DataFrame:
     """(a, b) with a < b: fingerprints of column fp that differ in at most THRESHOLD bits.
 
-    Fingerprints are few bytes and become 34 rows each, so they are dealt to all tasks first.
+    Fingerprints are few bytes and become 34 rows each, so they are dealt to all tasks first; by a
+    hash of their own, since Spark leaves out a second exchange by the same column.
     """
-    distinct = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    distinct = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
     homes = _anchored(distinct).select("fp", "half", F.col("home").alias("anchor"))
     probes = _anchored(distinct).select(F.col("fp").alias("other"), F.col("half").alias("part"), F.explode("replicas").alias("place"))
     near = F.expr(f"bit_count(fp ^ other) <= {THRESHOLD}")
