@@ -22,7 +22,10 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerloom.llm.common import text_blocks
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_capitals")
+MEASURES = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_capitals",
+    "n_spaced_words", "spaced_chars",
+)
 
 # The white space between words and the symbols that are counted.
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -32,6 +35,12 @@ CONTINUATION = bytes(range(0x80, 0xC0))
 #: Characters beyond ASCII count as letters, so that a script without capitals passes.
 NOT_LETTERS = CONTINUATION + bytes(b for b in range(0x80) if not chr(b).isalpha())
 CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
+#: Scripts written without blanks between words, and their punctuation: Thai, Lao, Tibetan, Myanmar, Khmer,
+#: Tai, kana, bopomofo, Han, Yi, wide forms and the planes of rarer signs.
+UNSPACED = re.compile(
+    "[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u2e80-\u312f\u3190-\ua4cf"
+    "\ua9e0-\ua9ff\uaa60-\uaadf\uf900-\ufaff\ufe30-\ufe4f\uff00-\uffef\U0001aff0-\U0001b16f\U00020000-\U0003ffff]+"
+)
 
 #: Rule name -> SQL condition under which a document fails; the bit of a rule is its place in this table.
 RULES: dict[str, str] = {
@@ -46,11 +55,17 @@ RULES: dict[str, str] = {
     "capitals": "100 * n_capitals > 60 * n_letters",
 }
 
+#: The rules of v3, a table of its own with bits of its own: no text is rejected for its size, and long words count where blanks part words.
+RULES_V3: dict[str, str] = {name: condition for name, condition in RULES.items() if name not in ("many_words", "long_words")} | {
+    "long_spaced_words": "spaced_chars > 20 * n_spaced_words",
+}
+
 #: Policy version -> rules that reject a document under it.
 POLICIES: dict[str, tuple[str, ...]] = {
     "base": ("few_words", "repeated_phrases"),
     "v1": ("few_words", "repeated_phrases", "symbols", "repeated_lines"),
     "v2": tuple(RULES),
+    "v3": tuple(RULES_V3),
 }
 
 
@@ -69,15 +84,22 @@ def measure_text(text: str) -> tuple[int, ...]:
             if count[window] > 1:
                 repeated += i + 3 - max(i, end)
                 end = i + 3
+    word_chars = len(dense.translate(None, CONTINUATION))
+    spaced_words, spaced_chars = len(words), word_chars
+    if not text.isascii() and UNSPACED.search(text):
+        spaced = UNSPACED.sub(" ", text).encode("utf-8", "surrogatepass")
+        spaced_words, spaced_chars = len(spaced.split()), len(spaced.translate(None, BLANKS + CONTINUATION))
     return (
         len(words),
-        len(dense.translate(None, CONTINUATION)),
+        word_chars,
         len(raw) - len(raw.translate(None, SYMBOLS)),
         len(lines) - len(set(lines)),
         repeated,
         len(lines),
         len(dense.translate(None, NOT_LETTERS)),
         len(raw) - len(raw.translate(None, CAPITALS)),
+        spaced_words,
+        spaced_chars,
     )
 
 
@@ -141,16 +163,16 @@ def ablations(book: DataFrame, policy: str | tuple[str, ...], failed: str = "fai
     )
 
 
-def kept(docs: DataFrame, policy: str | tuple[str, ...], text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, that a policy keeps.
+def kept(docs: DataFrame, policy: str | tuple[str, ...], text_col: str = "text", rules: dict[str, str] | None = None) -> DataFrame:
+    """The rows, with all their columns, that a policy keeps; rules are those that the policy names.
 
     The measurements come from a column function, so that no other column passes through Python.
     """
     ledger_row = measured(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     fields = {m: f"__ledger.{m}" for m in MEASURES}
     with_row = docs.withColumn("__ledger", ledger_row)
-    failed = bits({name: _inside(condition, fields) for name, condition in RULES.items()})
-    return with_row.withColumn("__failed", failed).where(~fails(policy, "__failed")).select(*(F.col(f"`{c}`") for c in docs.columns))
+    failed = bits({name: _inside(condition, fields) for name, condition in (RULES if rules is None else rules).items()})
+    return with_row.withColumn("__failed", failed).where(~fails(policy, "__failed", rules)).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def _inside(condition: str, fields: dict[str, str]) -> str:

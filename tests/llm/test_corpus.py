@@ -129,6 +129,20 @@ def test_quality_ablations(docs):
     assert ordered(quality.ablations(quality.ledger(docs), "v2").collect()) == ordered(expected)
 
 
+def test_quality_keeps_long_and_unspaced_texts(spark):
+    import corpus_pipeline
+
+    long = " ".join(f"word{i} stands here" for i in range(400_000))
+    chinese = " ".join("".join(chr(0x4E00 + (31 * i + 7 * k) % 5_000) for k in range(30)) + "，见 www.a.cn 。" for i in range(40))
+    thai = " ".join("".join(chr(0x0E01 + (11 * i + 5 * k) % 46) for k in range(40)) for i in range(60))
+    junk = " ".join(f"{i:x}" + "Qx" * 30 for i in range(60))
+    mixed = junk + " 中文"
+    texts = {1: long, 2: chinese, 3: thai, 4: junk, 5: mixed, 6: None}
+    rows = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    kept = corpus_pipeline.by_quality(spark, rows, "")
+    assert kept.columns == rows.columns and {r["doc_id"] for r in kept.collect()} == {1, 2, 3}
+
+
 def test_winnowing(docs, none, items):
     expected = brute.contamination([t for _, t in TEXTS], [x for x in ITEMS if x[0] is not None])
     rows = winnow.per_document(docs, items).collect()
