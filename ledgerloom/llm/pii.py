@@ -15,6 +15,7 @@ spans are found. An empty table gives an empty result. Spans count code points,
 """
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,6 +41,8 @@ SAMPLE_DOCS = 400
 SAMPLE_ISLANDS = 300
 EPOCHS = 6
 MAX_TOKENS = 16
+#: Tokens of an island whose segments are held at once.
+BLOCK_TOKENS = 2_000
 #: Characters beyond an island's first and last mark that may belong to an entity.
 MARGIN = 48
 #: Marks no further apart than this are one island.
@@ -149,20 +152,35 @@ def segment_features(segment: str, left: str, right: str, size: int) -> list[flo
 
 @dataclass
 class Lattice:
-    """The candidate segments of an island: token starts and ends, and a feature row each."""
+    """The candidate segments of an island, or of those that begin in a block of its tokens.
 
-    bounds: list[tuple[int, int]]
+    Token i of the island ends at ends[i] and begins where the one before ends.
+    """
+
+    start: int
+    ends: np.ndarray
     first: np.ndarray
     last: np.ndarray
     features: np.ndarray
 
+    def span(self, i: int, j: int) -> tuple[int, int]:
+        """Where tokens i to j stand in the text."""
+        return int(self.ends[i - 1]) if i else self.start, int(self.ends[j])
 
-def lattice(text: str, start: int, end: int) -> Lattice:
-    bounds = [m.span() for m in TOKENS.finditer(text, start, end)]
+
+def _token_ends(text: str, start: int, end: int) -> np.ndarray:
+    return np.fromiter((m.end() for m in TOKENS.finditer(text, start, end)), np.int64)
+
+
+def _candidates(text: str, start: int, ends: np.ndarray, low: int, high: int) -> Lattice:
+    """The candidate segments whose first token is one of low to high (exclusive)."""
     first, last, rows = [], [], []
-    for i in range(len(bounds)):
-        for j in range(i, min(len(bounds), i + MAX_TOKENS)):
-            a, b = bounds[i][0], bounds[j][1]
+    base = max(0, low - 1)
+    near = ends[base : high + MAX_TOKENS].tolist()
+    for i in range(low, high):
+        a = near[i - 1 - base] if i else start
+        for j in range(i, min(len(ends), i + MAX_TOKENS)):
+            b = near[j - base]
             segment = text[a:b]
             # Longer segments start and end beside no white space, and hold a mark.
             if j > i and (segment[0].isspace() or segment[-1].isspace() or not MARKS.search(segment)):
@@ -170,7 +188,13 @@ def lattice(text: str, start: int, end: int) -> Lattice:
             first.append(i)
             last.append(j)
             rows.append(segment_features(segment, text[a - 1 : a] if a else "", text[b : b + 1], j - i + 1))
-    return Lattice(bounds, np.array(first), np.array(last), np.array(rows).reshape(-1, FEATURES))
+    return Lattice(start, ends, np.array(first), np.array(last), np.array(rows).reshape(-1, FEATURES))
+
+
+def lattice(text: str, start: int, end: int) -> Lattice:
+    """All candidate segments of an island."""
+    ends = _token_ends(text, start, end)
+    return _candidates(text, start, ends, 0, len(ends))
 
 
 def _scores(grid: Lattice, weights: np.ndarray) -> np.ndarray:
@@ -180,26 +204,36 @@ def _scores(grid: Lattice, weights: np.ndarray) -> np.ndarray:
     return scores
 
 
-def viterbi(grid: Lattice, weights: np.ndarray) -> list[tuple[int, int, int]]:
-    """(start, end, kind number) of the entities in the best segmentation."""
-    scores = _scores(grid, weights)
-    kind, score = scores.argmax(axis=1), scores.max(axis=1)
-    n = len(grid.bounds)
+def viterbi(text: str, start: int, end: int, weights: np.ndarray) -> list[tuple[int, int, int]]:
+    """(start, end, kind number) of the entities in the best segmentation of an island.
+
+    Segments are made and scored for BLOCK_TOKENS tokens at a time; what is held for the whole
+    island is some bytes a token.
+    """
+    ends = _token_ends(text, start, end)
+    n = len(ends)
     best = np.full(n + 1, -np.inf)
     best[0] = 0
-    back = np.zeros(n + 1, np.int64)
-    # Segments are in order of their first token, so best[first] is final when it is read.
-    for s, (i, j) in enumerate(zip(grid.first.tolist(), grid.last.tolist(), strict=True)):
-        if best[i] + score[s] > best[j + 1]:
-            best[j + 1] = best[i] + score[s]
-            back[j + 1] = s
+    # The best segment up to each token: its number of tokens and its kind.
+    back = np.zeros(n + 1, np.int8)
+    kinds = np.zeros(n + 1, np.int8)
+    for low in range(0, n, BLOCK_TOKENS):
+        grid = _candidates(text, start, ends, low, min(n, low + BLOCK_TOKENS))
+        scores = _scores(grid, weights)
+        kind, score = scores.argmax(axis=1), scores.max(axis=1)
+        # Segments are in order of their first token, so best[i] is final when it is read.
+        for s, (i, j) in enumerate(zip(grid.first.tolist(), grid.last.tolist(), strict=True)):
+            if best[i] + score[s] > best[j + 1]:
+                best[j + 1] = best[i] + score[s]
+                back[j + 1] = j + 1 - i
+                kinds[j + 1] = kind[s]
     out = []
     at = n
     while at:
-        s = back[at]
-        if kind[s] != OUTSIDE:
-            out.append((grid.bounds[grid.first[s]][0], grid.bounds[grid.last[s]][1], int(kind[s])))
-        at = grid.first[s]
+        i = at - int(back[at])
+        if kinds[at] != OUTSIDE:
+            out.append((int(ends[i - 1]) if i else start, int(ends[at - 1]), int(kinds[at])))
+        at = i
     return out[::-1]
 
 
@@ -207,7 +241,7 @@ def _expected(grid: Lattice, weights: np.ndarray) -> np.ndarray:
     """Expected features by kind under the model."""
     scores = _scores(grid, weights)
     total = np.logaddexp.reduce(scores, axis=1)
-    n = len(grid.bounds)
+    n = len(grid.ends)
     ahead = np.full(n + 1, -np.inf)
     ahead[0] = 0
     behind = np.full(n + 1, -np.inf)
@@ -225,8 +259,9 @@ def _gold(grid: Lattice, spans: list[tuple[int, int, int]]) -> np.ndarray | None
     """Features by kind of the segmentation that the patterns give; None if tokens can't express it."""
     kinds = np.zeros((len(KINDS) + 1, FEATURES))
     place = {(int(i), int(j)): s for s, (i, j) in enumerate(zip(grid.first, grid.last, strict=True))}
-    starts = {a: i for i, (a, _) in enumerate(grid.bounds)}
-    ends = {b: i for i, (_, b) in enumerate(grid.bounds)}
+    bounds = [grid.span(i, i) for i in range(len(grid.ends))]
+    starts = {a: i for i, (a, _) in enumerate(bounds)}
+    ends = {b: i for i, (_, b) in enumerate(bounds)}
     at = 0
     for a, b, kind in spans:
         if a not in starts or b not in ends or starts[a] < at or (starts[a], ends[b]) not in place:
@@ -235,7 +270,7 @@ def _gold(grid: Lattice, spans: list[tuple[int, int, int]]) -> np.ndarray | None
             kinds[OUTSIDE] += grid.features[place[i, i]]
         kinds[kind] += grid.features[place[starts[a], ends[b]]]
         at = ends[b] + 1
-    for i in range(at, len(grid.bounds)):
+    for i in range(at, len(bounds)):
         kinds[OUTSIDE] += grid.features[place[i, i]]
     return kinds
 
@@ -267,15 +302,28 @@ def all_spans(text: str, weights: np.ndarray) -> tuple[list[tuple[int, int, int]
     base = pattern_spans(text)
     if not weights.any():
         return base, base
+    # The patterns' spans as stretches apart from each other, in order.
+    taken: list[list[int]] = []
+    for a, b, _ in base:
+        if taken and a < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], b)
+        else:
+            taken.append([a, b])
+    stops = [b for _, b in taken]
     added = []
     for a, b in islands(text):
-        near = [s for s in base if s[0] < b and s[1] > a]
+        at = bisect_right(stops, a)
         # What the patterns explain in full needs no search.
-        left = "".join(text[i] for i in range(a, b) if not any(s[0] <= i < s[1] for s in near)) if b - a < 400 else text[a:b]
-        if near and not MARKS.search(left):
-            continue
-        for span in viterbi(lattice(text, a, b), weights):
-            if not any(span[0] < s[1] and s[0] < span[1] for s in near):
+        if b - a < 400 and at < len(taken) and taken[at][0] < b:
+            left, done = [], a
+            for x, y in taken[at : bisect_left(taken, [b, 0])]:
+                left.append(text[done:x])
+                done = max(done, y)
+            if not MARKS.search("".join(left) + text[done:b]):
+                continue
+        for span in viterbi(text, a, b, weights):
+            over = bisect_right(stops, span[0])
+            if over == len(taken) or taken[over][0] >= span[1]:
                 added.append(span)
     return base, sorted(base + added, key=lambda s: (s[0], s[2]))
 

@@ -248,6 +248,24 @@ def test_pii_field_finds_what_patterns_drop():
     assert not base and {(a, b) for a, b, k in spans if k == 2} == {(5, 21), (22, 38)}
 
 
+def test_pii_field_holds_little_of_a_numeric_text(monkeypatch):
+    import tracemalloc
+
+    weights = pii.train(PERSONAL)
+    few = " ".join(f"{i % 100:02d}" for i in range(900)) + " paid 5500005555555559 to a@b or 1.2.3.4"
+    whole = pii.all_spans(few, weights)
+    assert len(whole[1]) > len(whole[0])
+    numbers = " ".join(f"{i % 100:02d}" for i in range(8_000))
+    assert pii.islands(numbers) == [(0, len(numbers))]
+    tracemalloc.start()
+    pii.all_spans(numbers, weights)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25e6
+    monkeypatch.setattr(pii, "BLOCK_TOKENS", 5)
+    assert pii.all_spans(few, weights) == whole
+
+
 def test_toxicity(spark):
     rng = np.random.default_rng(2)
     common = [f"word{i}" for i in range(300)]
