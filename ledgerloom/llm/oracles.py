@@ -128,9 +128,45 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN word_hits USING (doc_id) LEFT JOIN item_hits USING (doc_id)"""
 
 
+#: Unsigned CRC-32 of a text without characters beyond ASCII, bit by bit.
+CRC32 = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({0}, ''), lambda ch: CAST(ord(ch) AS BIGINT))),
+  lambda c, x: list_reduce(CAST([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[]), lambda a, b: xor(a >> 1, (a & 1) * 3988292384))), CAST(4294967295 AS BIGINT))"""
+
+
+def prefix_trie() -> str:
+    """Nodes by the digest of their whole path; a subtree by joining each node with the paths it begins with."""
+    return f"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k,
+    sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS turn_key, strlen(coalesce(text, '')) AS size
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT DISTINCT conv_id, conv_id - (conv_id % 5 + 5) % 5 AS donor, {CRC32.format("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM own),
+turns AS (
+  SELECT c.conv_id, k, turn_key, size FROM convs c JOIN own o ON o.conv_id = c.donor WHERE k <= h
+  UNION ALL SELECT c.conv_id, k, turn_key, size FROM convs c JOIN own o ON o.conv_id = c.conv_id WHERE k > h),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY k) AS depth FROM turns),
+paths AS (
+  SELECT conv_id, depth, size, sha256(string_agg(turn_key, ',') OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING)) AS path FROM numbered
+  UNION ALL SELECT conv_id, 0, 0, 'root' FROM convs),
+last AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT path, depth, any_value(size) AS size, min(conv_id) AS conv_id, count(*) AS n_convs,
+    string_agg(CASE WHEN l.conv_id IS NOT NULL THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id) AS ends
+  FROM paths LEFT JOIN last l USING (conv_id, depth) GROUP BY path, depth),
+parents AS (SELECT n.path, p.path AS parent FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1),
+children AS (SELECT parent AS path, count(*) AS n_children FROM parents GROUP BY parent),
+sums AS (
+  SELECT p.path, sum((d.n_convs - 1) * d.size) AS saved, count(*) FILTER (WHERE c.path IS NULL) AS n_leaves
+  FROM nodes d JOIN paths p ON p.conv_id = d.conv_id AND p.depth <= d.depth LEFT JOIN children c ON c.path = d.path GROUP BY p.path)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, q.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+  n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN sums s USING (path) LEFT JOIN children USING (path) LEFT JOIN parents p ON p.path = n.path LEFT JOIN nodes q ON q.path = p.parent"""
+
+
 ORACLES = {
     "op1_license_scan": license_scan(),
     "op3_quality_rules": quality_rules(),
     "op5_url_reputation": url_reputation(),
     "op7_decontamination": decontamination(),
+    "op13_prefix_trie": prefix_trie(),
 }

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.oracles import ORACLES  # noqa: F401
-from ledgerloom.llm import bpe, licenses, pii, quality, reputation, simhash, tokenfile, toxicity, warc, winnow
+from ledgerloom.llm import bpe, licenses, pii, prefixtrie, quality, reputation, simhash, tokenfile, toxicity, warc, winnow
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
@@ -90,6 +90,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.summary(tokenfile.read(manifest, docs.schema["doc_id"].dataType.simpleString()))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation begins with the first turns of the one whose number is the next multiple of five below."""
+    conv = F.col("conv_id")
+    donor = conv - F.pmod(conv, F.lit(5))
+    seqs = prefixtrie.sequences(table(spark, sf_dir, "conversations"))
+    return prefixtrie.trie(prefixtrie.start_replaced(seqs, donor, F.crc32(conv.cast("string")) % 9, most=8))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_byte_bpe": op2_byte_bpe,
@@ -101,4 +109,5 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_token_files": op10_token_files,
+    "op13_prefix_trie": op13_prefix_trie,
 }

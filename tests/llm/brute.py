@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -129,3 +130,38 @@ def pii(text):
         found += [(m.start(), k, kind, m.end()) for m in re.finditer(pattern, text or "") if _valid(kind, m[0])]
     found.sort()
     return tuple(sum(f[2] == kind for f in found) for kind in PII), ",".join(f"{k}:{a}:{b}" for a, _, k, b in found)
+
+
+def rebuilt(rows):
+    """rows: (conv, turn, role, text) -> {conv: [(role, text), ...]} with the first turns of the multiple of five below."""
+    own = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(turns)] for c, turns in own.items()}
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        out[c] = own.get(c - c % 5, [])[:h] + turns[h:]
+    return out
+
+
+def trie(convs):
+    """{conv: [(role, text), ...]} -> a tuple per node, as the operator returns them."""
+    members = {}
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+    below = {path: [] for path in members}
+    for path in members:
+        for d in range(len(path) + 1):
+            below[path[:d]].append(path)
+    children = Counter(path[:-1] for path in members if path)
+    out = []
+    for path, ids in members.items():
+        ends = sorted(c for c in ids if len(convs[c]) == len(path))
+        leaves = sum(not children[p] for p in below[path])
+        saved = sum((len(members[p]) - 1) * len(p[-1][1].encode()) for p in below[path] if p)
+        parent = min(members[path[:-1]]) if path else None
+        out.append((min(ids), len(path), parent, len(ids), children[path], leaves, saved, sha(",".join(map(str, ends)))))
+    return sorted(out, key=repr)
