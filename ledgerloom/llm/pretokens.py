@@ -80,7 +80,7 @@ def piece_starts(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return start
 
 
-def split(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+def split(texts: list[str], starts_of=piece_starts) -> tuple[np.ndarray, list[str], np.ndarray]:
     """(piece number of every piece in order, the distinct pieces, pieces per text)."""
     joined = "".join(texts)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -91,7 +91,7 @@ def split(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
     bounds = np.cumsum(sizes) - sizes
     first = np.zeros(n, bool)
     first[bounds[sizes > 0]] = True
-    starts = np.flatnonzero(piece_starts(codes, first))
+    starts = np.flatnonzero(starts_of(codes, first))
     ends = np.append(starts[1:], n)
     # 1 << 20 is above BLOCK_CHARS, so that the powers are made once; long texts have their own.
     power, inverse = _powers(max(1 << 20, 1 << (n - 1).bit_length()))

@@ -7,10 +7,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.oracles import ORACLES  # noqa: F401
-from ledgerloom.llm import bpe, licenses, pii, prefixtrie, quality, reputation, simhash, tokenfile, toxicity, warc, winnow
+from ledgerloom.llm import alignment, bpe, licenses, packing, pii, prefixtrie, quality, reputation, simhash, tokenfile, toxicity, warc, winnow
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +91,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.summary(tokenfile.read(manifest, docs.schema["doc_id"].dataType.simpleString()))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
+
+
+def op12_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each conversation begins with the first turns of the one whose number is the next multiple of five below."""
     conv = F.col("conv_id")
@@ -109,5 +118,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_token_files": op10_token_files,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_sequence_packing": op12_sequence_packing,
     "op13_prefix_trie": op13_prefix_trie,
 }
