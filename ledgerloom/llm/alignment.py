@@ -3,9 +3,10 @@
 A text is encoded by a byte-level tokenizer (A, after a space) and by a piece tokenizer (B, which
 puts the space itself). Both give an ascending list of byte offsets where tokens end. The lists
 are intersected by galloping: each end of the shorter list is looked for in the longer one by
-steps of doubling width from the last hit, then by halving the last step. The common ends cut
-both sequences into groups; the ranks of two neighbouring common ends in either list bound the
-tokens of a group, and the pair of tokens that ends at a common end is a link.
+steps of doubling width from where its unit of text begins, then by halving the last step, for
+all ends of a block at once. The common ends cut both sequences into groups; the ranks of two
+neighbouring common ends in either list bound the tokens of a group, and the pair of tokens
+that ends at a common end is a link.
 
 Both tokenizers end a token wherever a blank follows a character that is no white space: the
 first one's pattern does so, and of the second's pieces none holds the blank sign after another
@@ -27,9 +28,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import os
+import itertools
 import uuid
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,38 +38,100 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.bpe import gather
 from ledgerloom.llm.common import give_back, materialize, text_blocks
 from ledgerloom.llm.pretokens import SPACE, class_table, split
+from ledgerloom.llm.tokenfile import tokenizer_of
 from ledgerloom.llm.windows import windows
 
 #: Characters of text of a stretch, whose units and pairs are kept together.
 STRETCH = 4_000_000
-#: Distinct units whose tokens a Python worker remembers.
-REMEMBERED = 200_000
-#: Longer units are not remembered.
-SHORT = 200
+#: Characters of units that are encoded as one text.
+JOINED = 100_000
 BLANK = "▁"
 
 
-def common_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-    """Ranks in a and in b of the values that both ascending lists hold."""
-    short, long, swapped = (a, b, False) if len(a) <= len(b) else (b, a, True)
-    ranks: tuple[list[int], list[int]] = ([], [])
-    low, n = 0, len(long)
-    for rank, end in enumerate(short):
-        step = 1
-        while low + step < n and long[low + step] < end:
-            step *= 2
-        low = bisect_left(long, end, low + step // 2, min(n, low + step + 1))
-        if low == n:
-            break
-        if long[low] == end:
-            ranks[0].append(rank)
-            ranks[1].append(low)
-            low += 1
-            if low == n:
-                break
-    return (ranks[1], ranks[0]) if swapped else ranks
+@functools.cache
+def _token_sizes(path: str) -> np.ndarray:
+    """Bytes of each token: a byte-level vocabulary writes a byte as one sign."""
+    tokenizer = tokenizer_of(path)
+    return np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())], np.int64)
+
+
+def encode_joined(pieces: list[str], vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids, bounds of each piece's ids) by the tokenizers library.
+
+    A piece that begins with a space and ends with another character may follow any such piece:
+    these are encoded as long texts, and the tokens' bytes tell where each piece's tokens end.
+    """
+    joinable = [i for i, p in enumerate(pieces) if p[0] == " " and not p[-1].isspace()]
+    others = [i for i, p in enumerate(pieces) if p[0] != " " or p[-1].isspace()]
+    texts, sizes, start = [], [], 0
+    taken = 0
+    for k, i in enumerate(joinable):
+        taken += len(pieces[i])
+        if taken >= JOINED or k == len(joinable) - 1:
+            texts.append("".join([pieces[j] for j in joinable[start : k + 1]]))
+            start, taken = k + 1, 0
+    n_joined = len(texts)
+    encoded = tokenizer_of(vocabulary).encode_batch_fast(texts + [pieces[i] for i in others], add_special_tokens=False)
+    listed = [np.array(e.ids, np.int32) for e in encoded[:n_joined]]
+    joined = np.concatenate([np.empty(0, np.int32), *listed])
+    raw = np.cumsum(np.fromiter((len(pieces[i].encode()) for i in joinable), np.int64, len(joinable)))
+    ends = np.cumsum(_token_sizes(vocabulary)[joined])
+    last = np.searchsorted(ends, raw)
+    if len(raw) and not (ends[last] == raw).all():
+        raise ValueError("a token of the vocabulary goes beyond a piece")
+    first = np.append(0, last[:-1] + 1)[: len(last)]
+    rest = [e.ids for e in encoded[n_joined:]]
+    ids = np.concatenate([joined, np.fromiter(itertools.chain.from_iterable(rest), np.int32)])
+    starts, sizes = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+    starts[joinable], sizes[joinable] = first, last + 1 - first
+    lengths = np.fromiter(map(len, rest), np.int64, len(rest))
+    starts[others], sizes[others] = len(joined) + np.cumsum(lengths) - lengths, lengths
+    return gather(ids, starts, sizes), np.append(0, np.cumsum(sizes))
+
+
+def gallop(values: np.ndarray, long: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Per value the first rank at or after `low` where the ascending list is not below it: steps of doubling width, then halving."""
+    low, step = low.copy(), np.ones(len(low), np.int64)
+    top = len(long) - 1
+    going = np.flatnonzero(long[low] < values)
+    low_open = np.zeros(len(low), bool)
+    low_open[going] = True
+    high = low.copy()
+    while len(going):
+        high[going] = np.minimum(low[going] + step[going], top + 1)
+        below = (high[going] <= top) & (long[np.minimum(high[going], top)] < values[going])
+        going = going[below]
+        low[going] = high[going]
+        step[going] *= 2
+    # long[low] is below the value, long[high] is not.
+    while len(wide := np.flatnonzero(low_open & (high - low > 1))):
+        middle = (low[wide] + high[wide]) // 2
+        below = long[middle] < values[wide]
+        low[wide[below]] = middle[below]
+        high[wide[~below]] = middle[~below]
+    return high
+
+
+def common_ends(a: np.ndarray, b: np.ndarray, bounds_a: np.ndarray, bounds_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks in a and in b of the values that both ascending lists hold.
+
+    The lists consist of units' lists, between the bounds; in each unit the shorter list is looked up in the longer one.
+    """
+    n_a, n_b = np.diff(bounds_a), np.diff(bounds_b)
+    found = []
+    for short, long, n, from_short, from_long, drives in ((a, b, n_a, bounds_a, bounds_b, n_a <= n_b), (b, a, n_b, bounds_b, bounds_a, n_a > n_b)):
+        units = np.flatnonzero(drives)
+        ranks = gather(np.arange(len(short)), from_short[units], n[units])
+        at = gallop(short[ranks], long, np.repeat(from_long[units], n[units]))
+        hit = (at < len(long)) & (long[np.minimum(at, len(long) - 1)] == short[ranks])
+        found.append((ranks[hit], at[hit]))
+    (x, y), (v, u) = found
+    at_a, at_b = np.concatenate([x, u]), np.concatenate([y, v])
+    order = np.argsort(at_a, kind="stable")
+    return at_a[order], at_b[order]
 
 
 def byte_of_sign() -> dict[str, int]:
@@ -79,59 +141,89 @@ def byte_of_sign() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class Strings:
+    """Byte strings in one array."""
+
+    def __init__(self, strings: list[bytes]):
+        self.flat = np.frombuffer(b"".join(strings), np.uint8)
+        self.sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def joined(self, numbers: np.ndarray) -> np.ndarray:
+        return gather(self.flat, self.starts[numbers], self.sizes[numbers])
+
+
+class Units:
+    """What is known of units, by number: whether both tokenizers give its bytes, its tokens, links and groups as text."""
+
+    def __init__(self, ok: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, n_links: np.ndarray, pairs: np.ndarray, groups: list[bytes]):
+        self.ok, self.n_a, self.n_b, self.n_links, self.pairs, self.groups = ok, n_a, n_b, n_links, pairs, groups
+
+
 class Tokenizers:
-    """Both tokenizers with the bytes of their tokens, and what was found about units."""
+    """Both tokenizers with the bytes of their tokens."""
 
     def __init__(self, byte_level: str, pieces: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(byte_level)
-        self.a.encode_special_tokens = True
+        self.path = byte_level
+        a = tokenizer_of(byte_level)
         byte_of = byte_of_sign()
-        n = self.a.get_vocab_size()
-        entries = [self.a.id_to_token(i) or "" for i in range(n)]
-        self.a_bytes = [bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t in entries]
-        self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        self.width = self.b.get_piece_size()
-        names = [self.b.id_to_piece(i) for i in range(self.width)]
+        n = a.get_vocab_size()
+        entries = [a.id_to_token(i) or "" for i in range(n)]
+        self.a = Strings([bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t in entries])
+        self.b_model = sentencepiece.SentencePieceProcessor(model_file=pieces)
+        self.width = self.b_model.get_piece_size()
+        names = [self.b_model.id_to_piece(i) for i in range(self.width)]
         if wrong := [p for p in names if BLANK in p.lstrip(BLANK)]:
             raise ValueError(f"pieces with a blank after other signs: {wrong[:3]}")
-        self.b_bytes = [
-            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(names)
-        ]
-        self.blank = self.b.piece_to_id(BLANK)
-        self.known: dict[str, tuple] = {}
-
-    def units(self, units: list[str]) -> list[tuple]:
-        """Per unit, a text with a leading space: (tokens of A, of B, groups as text, linked pairs), or None if bytes differ."""
-        if len(self.known) + len(units) > REMEMBERED:
-            self.known.clear()
-        new = [u for u in units if u not in self.known]
-        found = {}
-        if new:
-            a = self.a.encode_batch_fast(new, add_special_tokens=False)
-            # The tokenizer puts the first space itself, but not before nothing.
-            b = self.b.encode([u[1:] for u in new], num_threads=1)
-            for unit, x, y in zip(new, a, b, strict=True):
-                found[unit] = self.align(unit.encode("utf-8", "surrogatepass"), x.ids, y or [self.blank])
-        out = [found[u] if u in found else self.known[u] for u in units]
-        self.known.update((u, x) for u, x in found.items() if len(u) <= SHORT)
-        return out
-
-    def align(self, raw: bytes, a: list[int], b: list[int]) -> tuple | None:
-        a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_bytes) != raw or b"".join(b_bytes) != raw:
-            return None
-        ends_a, ends_b = (np.cumsum([len(x) for x in tokens]).tolist() for tokens in (a_bytes, b_bytes))
-        at_a, at_b = common_ends(ends_a, ends_b)
-        groups, pairs, i, j = [], [], 0, 0
-        for x, y in zip(at_a, at_b, strict=True):
-            groups.append(f"{','.join(map(str, a[i : x + 1]))}|{','.join(map(str, b[j : y + 1]))}")
-            pairs.append(a[x] * self.width + b[y])
-            i, j = x + 1, y + 1
-        return len(a), len(b), ";".join(groups), np.array(pairs, np.int64)
+        self.b = Strings([bytes([int(p[3:5], 16)]) if self.b_model.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(names)])
+        self.blank = self.b_model.piece_to_id(BLANK)
+        # Each id with what stands behind it: 2 i and 2 i + 1, then the same for B.
+        self.texts = Strings([b"%d%c" % (i, c) for ends, n in ((b",|", n), (b",;", self.width)) for i in range(n) for c in ends])
+        self.b_texts = 2 * n
+
+    def units(self, units: list[str]) -> Units:
+        """units: texts with a leading space."""
+        n = len(units)
+        a, bounds_a = encode_joined(units, self.path)
+        # The tokenizer puts the first space itself, but not before nothing.
+        lists = [x or [self.blank] for x in self.b_model.encode([u[1:] for u in units], num_threads=1)]
+        b = np.fromiter(itertools.chain.from_iterable(lists), np.int32)
+        bounds_b = np.append(0, np.cumsum(np.fromiter(map(len, lists), np.int64, n)))
+        raw = [u.encode("utf-8", "surrogatepass") for u in units]
+        whole = np.frombuffer(b"".join(raw), np.uint8)
+        ok = np.ones(n, bool)
+        if not (np.array_equal(self.a.joined(a), whole) and np.array_equal(self.b.joined(b), whole)):
+            for i, wanted in enumerate(raw):
+                of_a, of_b = a[bounds_a[i] : bounds_a[i + 1]], b[bounds_b[i] : bounds_b[i + 1]]
+                ok[i] = self.a.joined(of_a).tobytes() == wanted == self.b.joined(of_b).tobytes()
+            good = np.flatnonzero(ok)
+            sizes_a, sizes_b = np.diff(bounds_a)[good], np.diff(bounds_b)[good]
+            a, b = gather(a, bounds_a[good], sizes_a), gather(b, bounds_b[good], sizes_b)
+            bounds_a, bounds_b = np.append(0, np.cumsum(sizes_a)), np.append(0, np.cumsum(sizes_b))
+        n_a, n_b, n_links = (np.zeros(n, np.int64) for _ in range(3))
+        n_a[ok], n_b[ok] = np.diff(bounds_a), np.diff(bounds_b)
+        groups = [b""] * n
+        if not len(a):
+            return Units(ok, n_a, n_b, n_links, np.empty(0, np.int64), groups)
+        at_a, at_b = common_ends(np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b]), bounds_a, bounds_b)
+        upto = np.searchsorted(at_a, bounds_a[1:] - 1) + 1
+        n_links[ok] = np.diff(np.append(0, upto))
+        pairs = a[at_a].astype(np.int64) * self.width + b[at_b]
+        # Tokens in the order of the text: each group's of A, then those of B.
+        group_a, group_b = np.searchsorted(at_a, np.arange(len(a))), np.searchsorted(at_b, np.arange(len(b)))
+        before_b = np.append(0, at_b[:-1] + 1)
+        text = np.empty(len(a) + len(b), np.int64)
+        text[np.arange(len(a)) + before_b[group_a]] = 2 * a.astype(np.int64) + (at_a[group_a] == np.arange(len(a)))
+        text[np.arange(len(b)) + at_a[group_b] + 1] = self.b_texts + 2 * b.astype(np.int64) + (at_b[group_b] == np.arange(len(b)))
+        joined = self.texts.joined(text).tobytes()
+        ends = np.cumsum(self.texts.sizes[text])[bounds_a[1:] + bounds_b[1:] - 1].tolist()
+        start = 0
+        for i, end in zip(np.flatnonzero(ok).tolist(), ends, strict=True):
+            groups[i] = joined[start:end]
+            start = end
+        return Units(ok, n_a, n_b, n_links, pairs, groups)
 
 
 @functools.cache
@@ -152,61 +244,66 @@ class Stretch:
     def __init__(self, tokenizers: Tokenizers):
         self.tokenizers = tokenizers
         self.numbers: dict[str, int] = {}
-        self.found: list[tuple | None] = []
+        self.known: list[Units] = []
+        self.groups: list[bytes] = []
+        self.sizes = np.empty((4, 0), np.int64)
         self.rows: list[tuple] = []
         self.used: list[np.ndarray] = []
         self.chars = 0
 
-    def add(self, lead, text: str) -> None:
+    def place(self, units: list[str]) -> np.ndarray:
+        """Numbers of the units, new ones among them."""
+        numbers = self.numbers
+        new = [u for u in units if u not in numbers]
+        if new:
+            numbers.update(zip(new, range(len(numbers), len(numbers) + len(new)), strict=True))
+            found = self.tokenizers.units(new)
+            self.known.append(found)
+            self.groups += found.groups
+            self.sizes = np.concatenate([self.sizes, [found.n_a, found.n_b, found.n_links, ~found.ok]], axis=1)
+        return np.fromiter((numbers[u] for u in units), np.int32, len(units))
+
+    def add_long(self, lead, text: str) -> None:
         """A long text is taken in windows that end where units do."""
-        parts = []
+        parts = [np.empty(0, np.int32)]
         for window in windows(" " + text) if text else ():
             number, distinct, _ = split([window], unit_starts)
-            place = self.place(distinct)
-            parts.append(place[number].astype(np.int32))
-        self.row(lead, np.concatenate(parts) if parts else np.empty(0, np.int32), len(text))
+            parts.append(self.place(distinct)[number])
+        units = np.concatenate(parts)
+        self.add_rows([lead], units, np.array([0, len(units)]), len(text))
 
-    def add_all(self, leads: list, texts: list[str]) -> None:
+    def add(self, leads: list, texts: list[str]) -> None:
         number, distinct, per_text = split([" " + t if t else "" for t in texts], unit_starts)
-        place = self.place(distinct)[number].astype(np.int32) if len(distinct) else number.astype(np.int32)
-        upto = np.append(0, np.cumsum(per_text))
+        units = self.place(distinct)[number] if len(distinct) else np.empty(0, np.int32)
+        self.add_rows(leads, units, np.append(0, np.cumsum(per_text)), sum(map(len, texts)))
+
+    def add_rows(self, leads: list, units: np.ndarray, bounds: np.ndarray, chars: int) -> None:
+        self.chars += chars + len(leads)
+        sums = np.stack([np.append(0, np.cumsum(row[units]))[bounds] for row in self.sizes]) if len(units) else np.zeros((4, len(bounds)), np.int64)
+        n_a, n_b, n_links, wrong = np.diff(sums, axis=1).tolist()
         for i, lead in enumerate(leads):
-            self.row(lead, place[upto[i] : upto[i + 1]], len(texts[i]))
+            own = units[bounds[i] : bounds[i + 1]]
+            if len(own) and not wrong[i]:
+                self.rows.append((lead, n_a[i], n_b[i], n_links[i], self.digest(own)))
+                self.used.append(own)
+            else:
+                self.rows.append((lead, 0, 0, 0, ""))
+                self.used.append(own[:0])
 
-    def place(self, units: list[str]) -> np.ndarray:
-        new = [u for u in units if u not in self.numbers]
-        for unit, found in zip(new, self.tokenizers.units(new), strict=True):
-            self.numbers[unit] = len(self.found)
-            self.found.append(found)
-        return np.fromiter((self.numbers[u] for u in units), np.int64, len(units))
-
-    def row(self, lead, units: np.ndarray, chars: int) -> None:
-        found = self.found
-        self.chars += chars + 1
-        listed = units.tolist()
-        if not listed or any(found[u] is None for u in set(listed)):
-            self.rows.append((lead, 0, 0, 0, ""))
-            self.used.append(units[:0])
-            return
+    def digest(self, units: np.ndarray) -> str:
+        """Over the groups of units, one after another; each unit's text ends with a separator, the last of which is left out."""
         digest = hashlib.sha256()
-        for i in range(0, len(listed), 100_000):
-            digest.update((";" if i else "").encode() + ";".join([found[u][2] for u in listed[i : i + 100_000]]).encode())
-        sizes = self.sizes()[units].sum(axis=0)
-        self.rows.append((lead, int(sizes[0]), int(sizes[1]), int(sizes[2]), digest.hexdigest()))
-        self.used.append(units)
-
-    def sizes(self) -> np.ndarray:
-        if getattr(self, "_sizes", None) is None or len(self._sizes) < len(self.found):
-            self._sizes = np.array([(0, 0, 0) if f is None else (f[0], f[1], len(f[3])) for f in self.found], np.int64).reshape(-1, 3)
-        return self._sizes
+        groups = self.groups
+        for i in range(0, len(units), 100_000):
+            text = b"".join([groups[u] for u in units[i : i + 100_000].tolist()])
+            digest.update(text if i + 100_000 < len(units) else text[:-1])
+        return digest.hexdigest()
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(distinct linked pairs, their counts over the stretch, number of pair of each unit's links, bounds of units in those)."""
-        none = np.empty(0, np.int64)
-        listed = [none if f is None else f[3] for f in self.found]
-        bounds = np.append(0, np.cumsum([len(x) for x in listed], dtype=np.int64))
-        which, pairs = pd.factorize(np.concatenate([none, *listed]))
-        times = np.bincount(np.concatenate([np.empty(0, np.int32), *self.used]), minlength=len(listed))
+        bounds = np.append(0, np.cumsum(self.sizes[2]))
+        which, pairs = pd.factorize(np.concatenate([np.empty(0, np.int64), *(k.pairs for k in self.known)]))
+        times = np.bincount(np.concatenate([np.empty(0, np.int32), *self.used]), minlength=len(self.groups))
         counts = np.bincount(which, np.repeat(times, np.diff(bounds)), minlength=len(pairs)).astype(np.int64)
         return pairs, counts, which.astype(np.int32), bounds
 
@@ -232,9 +329,9 @@ def _stretches(docs: DataFrame, byte_level: str, pieces: str, id_col: str, text_
         for batch, texts in text_blocks(batches):
             leads = batch.column(0).to_pylist()
             if len(texts) == 1:
-                stretch.add(leads[0], texts[0])
+                stretch.add_long(leads[0], texts[0])
             else:
-                stretch.add_all(leads, texts)
+                stretch.add(leads, texts)
             if stretch.chars >= chars:
                 yield out(stretch)
                 stretch = Stretch(tokenizers)

@@ -33,9 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.bpe import encoded_batches
 from ledgerloom.llm.common import materialize
-from ledgerloom.llm.tokenfile import END_ID, encode_pieces
+from ledgerloom.llm.tokenfile import END_ID, id_batches
 
 CAPACITY = 1024
 #: Branches that the search looks at before it keeps the best solution so far.
@@ -272,12 +271,10 @@ def cut(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
 
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in encoded_batches(batches, lambda pieces: encode_pieces(pieces, vocabulary)):
-            bounds = batch.column(1).offsets.to_numpy()
-            ids = batch.column(1).values.to_numpy()
-            end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<u4").tobytes()
+        for leads, ids, bounds in id_batches(batches, vocabulary):
             doc, rows = [], []
-            for i in range(batch.num_rows):
+            for i in range(len(leads)):
                 n = int(bounds[i + 1] - bounds[i]) + 1
                 raw = ids[bounds[i] : bounds[i + 1]].astype("<u4").tobytes() + end
                 start, stop, piece = 0, n - (n - 1) // capacity * capacity, 0
@@ -287,7 +284,7 @@ def cut(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
                     seen[stop - start] += 1
                     start, stop, piece = stop, stop + capacity, piece + 1
             table = np.array(rows, np.int64).reshape(-1, len(PIECE))
-            lead = batch.column(0).take(pa.array(doc, pa.int64()))
+            lead = leads.take(pa.array(doc, pa.int64()))
             columns = [pa.array(table[:, k], t) for k, t in enumerate(types)]
             yield pa.RecordBatch.from_arrays([lead, *columns], names=["id", *PIECE])
 

@@ -14,10 +14,12 @@ written through pyarrow's file systems, next to the session's other shared data.
 
 Null texts are empty and have the end id alone. Repeated rows are documents of their own. An
 empty table writes no file. Columns beside identifier and text are not read. A text that holds a
-special token's string is encoded as ordinary text.
+special token's string is encoded as ordinary text. Long texts are encoded in windows, so that
+besides the text only its ids are held as a whole.
 """
 
 import functools
+import itertools
 import json
 import os
 import struct
@@ -31,15 +33,17 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.bpe import encoded_batches
-from ledgerloom.llm.common import materialize, new_path, place
+from ledgerloom.llm import pretokens
+from ledgerloom.llm.bpe import gather
+from ledgerloom.llm.common import give_back, materialize, new_path, place, text_blocks
+from ledgerloom.llm.windows import windows
 
 END_ID = 2
 LEVEL = 3
 #: A file is closed when it has grown to this size.
 FILE_BYTES = 256 << 20
 #: Distinct pieces whose ids a Python worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 
 # Numbers of the seekable format.
 SKIPPABLE, SEEK_TABLE = 0x184D2A50, 0x184D2A5E
@@ -122,7 +126,7 @@ def open_reader(path: str) -> Reader:
 
 
 @functools.cache
-def _tokenizer(path: str):
+def tokenizer_of(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -131,24 +135,59 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+class Pieces:
+    """Ids of the pieces that a Python worker has met, in one array, for later tasks too."""
+
+    def __init__(self, vocabulary: str):
+        self.tokenizer = tokenizer_of(vocabulary)
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.flat, self.starts, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def place(self, pieces: list[str]) -> np.ndarray:
+        """Numbers of distinct pieces; those not met yet are encoded."""
+        if len(self.numbers) + len(pieces) > REMEMBERED:
+            self.clear()
+        numbers = self.numbers
+        new = [p for p in pieces if p not in numbers]
+        if new:
+            numbers.update(zip(new, range(len(numbers), len(numbers) + len(new)), strict=True))
+            lists = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            self.starts = np.append(self.starts, len(self.flat) + np.cumsum(sizes) - sizes)
+            self.sizes = np.append(self.sizes, sizes)
+            self.flat = np.append(self.flat, np.fromiter(itertools.chain.from_iterable(lists), np.int32))
+        return np.fromiter(map(numbers.__getitem__, pieces), np.int64, len(pieces))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, bounds of each text's ids)."""
+        number, distinct, per_text = pretokens.split(texts)
+        used = self.place(distinct)[number]
+        sizes = self.sizes[used]
+        upto = np.append(0, np.cumsum(sizes))
+        return gather(self.flat, self.starts[used], sizes), upto[np.append(0, np.cumsum(per_text))]
+
+
 @functools.cache
-def _memory(path: str) -> dict[str, np.ndarray]:
-    """Ids of pieces that this worker has met, for later tasks too."""
-    return {}
+def _pieces(vocabulary: str) -> Pieces:
+    return Pieces(vocabulary)
+
 
+def id_batches(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(identifiers, ids of their texts, bounds of each text's ids) of the (identifier, text) rows.
 
-def encode_pieces(pieces: list[str], vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
-    """(all ids, bounds of each piece's ids) by the tokenizers library."""
-    known = _memory(vocabulary)
-    new = [p for p in pieces if p not in known]
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-        new = pieces
-    encoded = _tokenizer(vocabulary).encode_batch_fast(new, add_special_tokens=False)
-    known.update((p, np.array(e.ids, np.int32)) for p, e in zip(new, encoded, strict=True))
-    found = [known[p] for p in pieces]
-    bounds = np.append(0, np.cumsum(np.fromiter(map(len, found), np.int64, len(found))))
-    return np.concatenate(found) if found else np.empty(0, np.int32), bounds
+    A long text is encoded in windows, so that only its ids are held as a whole.
+    """
+    pieces = _pieces(vocabulary)
+    for batch, texts in text_blocks(batches):
+        if len(texts) == 1:
+            ids = np.concatenate([np.empty(0, np.int32), *(pieces.encode([w])[0] for w in windows(texts[0]))])
+            yield batch.column(0), ids, np.array([0, len(ids)])
+        else:
+            yield batch.column(0), *pieces.encode(texts)
+    give_back()
 
 
 MANIFEST = "part int, number int, path string, n_docs bigint, n_tokens bigint"
@@ -167,10 +206,8 @@ def write(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: st
         system.create_dir(name)
         rows: list[tuple] = []
         writer = None
-        for batch in encoded_batches(batches, lambda pieces: encode_pieces(pieces, vocabulary)):
-            bounds = batch.column(1).offsets.to_numpy()
-            ids = batch.column(1).values.to_numpy()
-            for i, doc_id in enumerate(batch.column(0).to_pylist()):
+        for leads, ids, bounds in id_batches(batches, vocabulary):
+            for i, doc_id in enumerate(leads.to_pylist()):
                 if writer is None:
                     file = f"part-{part:06d}-{len(rows):04d}-{uuid.uuid4().hex}.tok.zst"
                     writer, total = Writer(system.open_output_stream(f"{name}/{file}", compression=None)), 0

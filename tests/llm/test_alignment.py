@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -118,8 +119,13 @@ def test_windows(tokenizers):
 
 def test_common_ends():
     rng = random.Random(4)
-    for _ in range(500):
-        a = sorted(rng.sample(range(60), rng.randrange(1, 12)))
-        b = sorted(rng.sample(range(60), rng.randrange(1, 50)))
-        x, y = alignment.common_ends(a, b)
-        assert [a[i] for i in x] == [b[j] for j in y] == sorted(set(a) & set(b))
+    for _ in range(300):
+        lists, bounds, base = ([], []), ([0], [0]), 0
+        for _ in range(rng.randrange(1, 5)):
+            for side, most in ((0, 12), (1, 50)):
+                lists[side].extend(base + x for x in sorted(rng.sample(range(60), rng.randrange(1, rng.choice([4, most])))))
+                bounds[side].append(len(lists[side]))
+            base += 60
+        a, b = (np.array(x) for x in lists)
+        x, y = alignment.common_ends(a, b, *(np.array(x) for x in bounds))
+        assert a[x].tolist() == b[y].tolist() == sorted(set(lists[0]) & set(lists[1]))
