@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import checkpoint_dir
@@ -16,19 +17,26 @@ def _place(t: Inputs, name: str) -> str:
     return f"{checkpoint_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _report_file(t: Inputs) -> str:
-    """Suppliers as one text file: a line of preamble, a header, short rows and rows with separators in the comment."""
+def _report_files(t: Inputs, suffix: str = "") -> str:
+    """Suppliers as text files, one per task: each with a line of preamble and a header, short rows and rows with separators in the comment."""
     rows = t.supplier.select(
-        F.col("s_suppkey").alias("k"),
         F.when(F.col("s_suppkey") % 3 == 0, F.concat_ws(";", F.col("s_suppkey"), F.col("s_name")))
         .when(F.col("s_suppkey") % 3 == 1, F.concat_ws(";", F.col("s_suppkey"), F.col("s_name"), F.lit("a;b;c"), F.col("s_nationkey")))
         .otherwise(F.concat_ws(";", F.col("s_suppkey"), F.col("s_name"), F.lit("plain"), F.col("s_nationkey")))
         .alias("value"),
     )
-    head = t.spark.createDataFrame([(-2, "made from supplier"), (-1, "Supplier ID;Name;COMMENT;nation")], "k bigint, value string")
-    path = _place(t, "report")
-    # One file is what the reader takes: its lines are sorted and written by one task.
-    head.union(rows).repartition(1).sortWithinPartitions("k").select("value").write.text(path)
+
+    def headed(batches):
+        written = False
+        for batch in batches:
+            if not written and batch.num_rows:
+                written = True
+                head = ["made from supplier", "Supplier ID;Name;COMMENT;nation"]
+                yield pa.RecordBatch.from_arrays([pa.array(head, batch.schema.field(0).type)], schema=batch.schema)
+            yield batch
+
+    path = _place(t, "report") + suffix
+    rows.repartition("value").mapInArrow(headed, "value string").write.text(path)
     return path
 
 
@@ -40,16 +48,13 @@ select cast(s_suppkey as varchar) as {0}, s_name as {1},
 
 @query("scan_csv", _REPORT.format("supplier", "name", "comment", "nation"))
 def _(t):
-    return rd.scan_csv(t.spark, _report_file(t), skip_rows=1).toDF("supplier", "name", "comment", "nation")
+    return rd.scan_csv(t.spark, _report_files(t), skip_rows=1).toDF("supplier", "name", "comment", "nation")
 
 
 @query("scan_reference", f"select supplier, name, country, cast(null as varchar) as branch from ({_REPORT.format('supplier', 'name', 'c', 'country')}) x")
 def _(t):
     aliases = {"supplier": ["supplier_id", "supplier id"], "name": ["Name"], "country": ["land", "NATION"], "branch": ["filial"]}
-    path = _report_file(t)
-    renamed = path + ".csv"
-    t.spark.read.text(path).repartition(1).write.text(renamed)
-    return rd.scan_reference(t.spark, renamed, aliases, required=["supplier", "name", "country"], header_row=1)
+    return rd.scan_reference(t.spark, _report_files(t, ".csv"), aliases, required=["supplier", "name", "country"], header_row=1)
 
 
 def _by_month(t: Inputs, months: list[str], *columns: str) -> DataFrame:
@@ -78,9 +83,11 @@ def _(t):
 @query("publish_table", """
 select cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey, c_mktsegment from customer""")
 def _(t):
-    name = f"published_{uuid.uuid4().hex}"
+    """A table is published and then replaced by one with the same columns."""
+    name, path = f"published_{uuid.uuid4().hex}", _place(t, "table")
     rows = t.customer.select("c_custkey", F.col("c_name").alias(" C_NAME "), "c_nationkey", "c_mktsegment")
-    wr.publish_table(rows, name, path=_place(t, "table"))
+    wr.publish_table(rows.filter("c_nationkey < 5"), name, path=path)
+    wr.publish_table(rows, name, path=path)
     return t.spark.table(name)
 
 
@@ -108,3 +115,12 @@ def _(t):
     rows = t.lineitem.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").cast("bigint").alias("quantity"))
     wr.report_export(rows, path)
     return t.spark.read.option("header", True).csv(path)
+
+
+@query("report_export_top", """
+select cast(l_suppkey as varchar) as l_suppkey, cast(n as varchar) as n from (select l_suppkey, count(*) as n from lineitem group by 1 order by 2 desc, 1 limit 20) x""")
+def _(t):
+    path = _place(t, "export")
+    rows = t.lineitem.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    wr.report_export(rows, path, top=20, order=[F.col("n").desc(), "l_suppkey"])
+    return t.spark.read.option("header", True).csv(path)

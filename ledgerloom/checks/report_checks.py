@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import numbers as nu, text as tx
 from ..functions.fixed_values import COMPARE_METRICS, PRODUCT_LABELS
 from ..operators import dedup as dd, quantiles as qt
-from ..plans import dashboards as ds, income as ic, quality as ql, reconcile as rc, selection as se
+from ..plans import dashboards as ds, income as ic, quality as ql, metrics as me, reconcile as rc, selection as se
 from .registry import block, query
+from .standins import END, START
 
 _V = COMPARE_METRICS[1:]
 _INN = "case when length(d) in (10, 12) then d when length(d) in (9, 11) then '0' || d end"
@@ -194,18 +195,26 @@ def _(t):
     return dd.joined_lists(listed, ["n_agr"], "c_nmrc", t.agreements.filter("acq_class = 'SV'"))
 
 
+_INSERTED = "d_valid_from + cast(length(c_nmrc) as int)"
+
+
 @query("only_left_reason_shares", f"""
-select reason, n as inn_cnt, {_round('n * 100.0::double / tot')} as share_pct_of_only_lake from (
-  select {_cnt('c = 1')} as n1, {_cnt('c = 0')} as n0, count(*) as tot from (select k.inn, max(case when coalesce(t.act, 0) = 0 and t.last_to < date '1998-06-01' then 1 else 0 end) as c
-    from (select distinct inn_key as inn, n_agr from lake_rows l where not exists (select 1 from excel_rows e where e.inn_key = l.inn_key)) k
-    left join (select n_agr, arg_max(coalesce(d_valid_to, date '2999-12-31'), (d_valid_from, coalesce(d_valid_to, date '2999-12-31'))) as last_to,
-      max(case when d_valid_from <= date '1998-06-30' and (d_valid_to is null or d_valid_to >= date '1998-06-01') then 1 else 0 end) as act from terms group by 1) t on t.n_agr = k.n_agr group by 1) q) z
+select report_month, reason, n as inn_cnt, {_round('n * 100.0::double / tot')} as share_pct_of_only_lake from (
+  select report_month, {_cnt('c = 1')} as n1, {_cnt('c = 0')} as n0, count(*) as tot from (
+    select k.report_month, k.inn, max(case when not exists (select 1 from terms v where v.n_agr = k.n_agr and coalesce(v.ods_deleted_flg, '0') <> '1'
+        and v.d_valid_from <= last_day(cast(k.report_month || '-01' as date)) and (v.d_valid_to is null or v.d_valid_to >= cast(k.report_month || '-01' as date)))
+      and t.last_to < cast(k.report_month || '-01' as date) then 1 else 0 end) as c
+    from (select distinct report_month, inn_key as inn, n_agr from lake_rows l where not exists (select 1 from excel_rows e where e.inn_key = l.inn_key and e.report_month = l.report_month)) k
+    left join (select n_agr, arg_max(last_to, (d_valid_from, ins, last_to)) as last_to from (
+      select n_agr, d_valid_from, {_INSERTED} as ins, coalesce(d_valid_to, date '2999-12-31') as last_to from terms where coalesce(ods_deleted_flg, '0') <> '1') y group by 1) t on t.n_agr = k.n_agr
+    group by 1, 2) q group by 1) z
   cross join lateral (values ('agr_terms_closed_before_month_start', n1), ('other_only_lake_reasons', n0)) v(reason, n)""")
 def _(t):
     lake, ref = _keyed(t.mart), _keyed(t.report)
-    gone = lake.select(F.col("inn_key").alias("inn"), "n_agr").distinct().join(
-        ref.select(F.col("inn_key").alias("inn")).distinct(), "inn", "left_anti")
-    return rc.only_left_reason_shares(gone, t.terms, "1998-06-01", "1998-06-30")
+    gone = lake.select("report_month", F.col("inn_key").alias("inn"), "n_agr").distinct().join(
+        ref.select("report_month", F.col("inn_key").alias("inn")).distinct(), ["report_month", "inn"], "left_anti")
+    terms = t.terms.withColumn("ods_insert_ts", F.expr(_INSERTED))
+    return rc.only_left_reason_shares(gone, terms)
 
 
 _TM = ("trx_cnt", "trx_sum", "chod", "fin_result", "aur", "amortization")
@@ -297,13 +306,34 @@ def _(t):
     return rc.gold_keys(side(t.mart, "_lake"), side(t.report, "_excel"), 4, ("trx_cnt", "retl_cnt"), ("chod",))
 
 
+_LIVE_FLAG = "coalesce(ods_deleted_flg, '0') <> '1'"
+block("cv_owned", f"select distinct n_cmp, c_nmrc from outlets where c_nmrc is not null and {_LIVE_FLAG}")
+block("cv_dev", f"select o.n_cmp, d.* from cv_owned o join (select c_nmrc, c_nter, d_ter_install, d_ter_close from devices where c_nter is not null and {_LIVE_FLAG}) d using (c_nmrc)")
+block("cv", """select p.n_agr, a.month_start, ra.n as retl_all_cnt, a.r as retl_active_cnt, ta.n as term_all_cnt, a.t as term_active_cnt
+from (select distinct n_agr, n_cmp_client from agreements) p join (select n_cmp, count(*) as n from cv_owned group by 1) ra on ra.n_cmp = p.n_cmp_client
+left join (select n_cmp, count(distinct c_nter) as n from cv_dev group by 1) ta on ta.n_cmp = p.n_cmp_client
+join (select n_cmp, month_start, count(distinct c_nmrc) as r, count(distinct c_nter) as t from cv_dev join months
+  on coalesce(d_ter_install, date '1900-01-01') <= month_end and coalesce(d_ter_close, date '2999-12-31') >= month_start group by 1, 2) a on a.n_cmp = p.n_cmp_client""")
+block("cv_rows", """select p.*, v.* exclude (n_agr) from pair_rows p join (select distinct report_month, inn_key, agr_id as agr_id_key, n_agr from lake_rows) o using (report_month, inn_key, agr_id_key)
+join cv v on v.n_agr = o.n_agr and strftime(v.month_start, '%Y-%m') = p.report_month where merge_status = 'both'""")
+
+
+@query("count_variants", "select n_agr, cast(month_start as varchar) as month_start, retl_all_cnt, retl_active_cnt, term_all_cnt, term_active_cnt from cv")
+def _(t):
+    return me.count_variants(t.agreements, t.outlets, t.devices, START, END)
+
+
 @query("ab_variant_compare", " union all ".join(f"""
-select '{c}' as metric, count(*) as rows_total, {_cnt('b < a')} as better_b_cnt, {_cnt('a < b')} as better_a_cnt, {_round(f"{_cnt('b < a')} * 100.0::double / count(*)")} as better_b_pct,
+select '{c}_cnt' as metric, count(*) as rows_total, {_cnt('b < a')} as better_b_cnt, {_cnt('a < b')} as better_a_cnt, {_round(f"{_cnt('b < a')} * 100.0::double / count(*)")} as better_b_pct,
   cast(sum(a) as double) / count(a) as mae_a, cast(sum(b) as double) / count(b) as mae_b from (
-  select abs({c}_excel - {c}_lake) as a, abs({c}_excel - trx_cnt_lake) as b from pair_rows where merge_status = 'both') x""" for c in ("retl_cnt", "term_cnt")))
+  select abs({c}_cnt_excel - {c}_active_cnt) as a, abs({c}_cnt_excel - {c}_all_cnt) as b from cv_rows) x""" for c in ("retl", "term")))
 def _(t):
+    """Counts with the device's dates against counts without them."""
+    counts = me.count_variants(t.agreements, t.outlets, t.devices, START, END).withColumn("report_month", F.date_format("month_start", "yyyy-MM"))
+    owners = _keyed(t.mart).select("report_month", "inn_key", "agr_id_key", "n_agr").distinct()
     rows = rc.paired(_lake(t), _ref(t)).filter("merge_status = 'both'")
-    names = {f"{c}_a": F.col(f"{c}_lake") for c in ("retl_cnt", "term_cnt")} | {f"{c}_b": F.col("trx_cnt_lake") for c in ("retl_cnt", "term_cnt")}
+    rows = rows.join(owners, ["report_month", "inn_key", "agr_id_key"]).join(counts, ["n_agr", "report_month"])
+    names = {f"{c}_cnt_{v}": F.col(f"{c}_{n}_cnt") for c in ("retl", "term") for v, n in (("a", "active"), ("b", "all"))}
     return rc.ab_variant_compare(rows.withColumns(names), ("retl_cnt", "term_cnt"))
 
 

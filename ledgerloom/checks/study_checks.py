@@ -253,7 +253,6 @@ _RIGHT = "case when p_name ilike '%blue%' then reverse(upper(p_name)) else repla
 block("nm_r", f"select *, {_GRAMS.format(n='name')} as g from (select distinct {_RIGHT} as name from part) x")
 block("nm_pairs", """select l.name as name_l, r.name as name_r, len(list_intersect(l.g, r.g)) * 2.0::double / (len(l.g) + len(r.g)) as sim from nm_l l, nm_r r
 where len(list_intersect(l.g, r.g)) * 2.0::double / (len(l.g) + len(r.g)) >= 0.55""")
-block("nm_ent", f"select {_RIGHT} as name, min((p_brand, p_type)) as lo, max((p_brand, p_type)) as hi from part group by 1")
 
 
 def _right_name():
@@ -267,17 +266,50 @@ def _(t):
     return fz.similar_names(t.part.select(F.upper("p_name").alias("name")).distinct(), right)
 
 
+# Some names belong to one pair of ids, others to many.
+_FEW = "p_name not like 'small%' and p_name not like 'cold%'"
+block("nm_rows", f"""select distinct {_RIGHT} as name, case when {_FEW} then 'A' || upper(p_name) else p_brand end as agr_id, case when {_FEW} then 'I' else p_type end as inn from part""")
+# The longest common block of a part of both names, the first of equally long ones; then the parts on both sides of it.
+block("nm_ratio", """with recursive part_pair as (
+  select l.name as a, r.name as b, 0 as al, length(l.name) as ah, 0 as bl, length(r.name) as bh, cast(0 as bigint) as k from nm_l l, (select distinct name from nm_rows) r
+  union all
+  select a, b, c.al, c.ah, c.bl, c.bh, c.k from (select a, b, unnest([{'al': al, 'ah': -m.ni, 'bl': bl, 'bh': -m.nj, 'k': m.k}, {'al': cast(m.k - m.ni as int), 'ah': ah, 'bl': cast(m.k - m.nj as int), 'bh': bh, 'k': 0}]) as c from (
+    select *, list_max(flatten(list_transform(range(al, ah), lambda i: list_transform(range(bl, bh), lambda j:
+      {'k': len(list_filter(range(1, least(ah - i, bh - j) + 1), lambda n: substr(a, cast(i + 1 as int), cast(n as int)) = substr(b, cast(j + 1 as int), cast(n as int)))), 'ni': cast(-i as int), 'nj': cast(-j as int)})))) as m
+    from part_pair where ah > al and bh > bl) x where m.k > 0) y)
+select a as name_l, b as name_r, 2.0::double * sum(k) / (length(a) + length(b)) as sim from part_pair group by a, b""")
+block("nm_scored", """select p.name_l, p.name_r, e.agr_id, e.inn, p.sim, p.sim * 100 + case when p.name_l = p.name_r then 30 else 0 end as score
+from nm_ratio p join nm_rows e on e.name = p.name_r where p.sim >= 0.55""")
+block("nm_ranked", "select *, row_number() over (partition by name_l order by score desc, name_r, agr_id, inn) as rn, max(score) over (partition by name_l) as best from nm_scored")
+block("nm_status", """select n.name as name_l, case when m.name_l is null then 'not_found' when m.pairs > 1 then 'ambiguous_multi_candidates' when m.sim >= 0.95 then 'matched_by_name_high'
+    else 'ambiguous_low_confidence' end as match_status, m.* exclude (name_l)
+from nm_l n left join (select r.name_l, any_value(b.name_r) as name_r, any_value(b.agr_id) as agr_id, any_value(b.inn) as inn, any_value(b.sim) as sim, any_value(b.score) as score, count(distinct (r.agr_id, r.inn)) as pairs
+  from nm_ranked r join nm_ranked b on b.name_l = r.name_l and b.rn = 1 where r.score >= r.best - 5 group by 1) m on m.name_l = n.name""")
+
+
+def _entities(t):
+    few = ~F.col("p_name").startswith("small") & ~F.col("p_name").startswith("cold")
+    return t.part.select(
+        _right_name().alias("p_name"), F.when(few, F.concat(F.lit("A"), F.upper("p_name"))).otherwise(F.col("p_brand")).alias("agr_id"),
+        F.when(few, "I").otherwise(F.col("p_type")).alias("inn"))
+
+
 @query("fuzzy_entity_match", """
-select p_partkey, p_name, case when m.best is null then 'not_found' when m.lo <> m.hi then 'ambiguous_multi_candidates' when m.best_sim >= 0.95 then 'matched_by_name_high' else 'ambiguous_low_confidence' end as match_status,
-  case when m.best is not null and m.lo = m.hi and m.best_sim >= 0.95 then 0 else 1 end as is_disputed, m.b.n as matched_name, m.b.p[1] as matched_agr_id, m.b.p[2] as matched_inn,
-  cast(round(cast(m.best as decimal(38,10)), 2) as double) as match_score, cast(round(cast(m.best_sim as decimal(38,10)), 4) as double) as name_similarity
-from part left join (select s.name_l, max(best) as best, max(best_sim) as best_sim, min(case when score = best then {'n': name_r, 'p': [e.lo[1], e.lo[2]]} end) as b, min(e.lo) as lo, max(e.hi) as hi from (
-    select *, sim * 100.0 + case when name_l = name_r then 30.0 else 0.0 end as score, max(sim * 100.0 + case when name_l = name_r then 30.0 else 0.0 end) over (partition by name_l) as best,
-      max(sim) over (partition by name_l) as best_sim from nm_pairs) s join nm_ent e on e.name = s.name_r where s.score >= s.best - 5 group by 1) m on m.name_l = upper(p_name)""")
-def _(t):
-    right = t.part.select(
-        _right_name().alias("p_name"), F.col("p_brand").alias("agr_id"), F.col("p_type").alias("inn"))
-    return fz.fuzzy_entity_match(t.part.select("p_partkey", "p_name"), right, "p_partkey", "p_name")
+select p_partkey, p_name, match_status, case match_status when 'not_found' then 'Нет кандидатов по названию (name_sim<0.55)' when 'matched_by_name_high' then 'Высокое сходство имени (>=0.95)'
+    when 'ambiguous_multi_candidates' then 'Несколько кандидатов с близким score (>= ' || printf('%.1f', score - 5) || ')' else 'Матч только по имени, name_sim=' || printf('%.3f', sim) end as match_reason,
+  case when match_status = 'matched_by_name_high' then 0 else 1 end as is_disputed, name_r as matched_name, agr_id as matched_agr_id, inn as matched_inn,
+  cast(round(cast(score as decimal(38,10)), 2) as double) as match_score, cast(round(cast(sim as decimal(38,10)), 4) as double) as name_similarity
+from part join nm_status on name_l = upper(p_name)""")
+def _(t):
+    return fz.fuzzy_entity_match(t.part.select("p_partkey", "p_name"), _entities(t), "p_partkey", "p_name")
+
+
+@query("disputed_candidates", """
+select p_partkey, p_name, cast(rn as int) as candidate, r.name_r as candidate_name, r.agr_id, r.inn, cast(round(cast(r.score as decimal(38,10)), 2) as double) as score,
+  cast(round(cast(r.sim as decimal(38,10)), 4) as double) as name_sim
+from part join nm_status s on s.name_l = upper(p_name) join nm_ranked r on r.name_l = s.name_l where s.match_status <> 'matched_by_name_high' and rn <= 5""")
+def _(t):
+    return fz.disputed_candidates(t.part.select("p_partkey", "p_name"), _entities(t), "p_partkey", "p_name")
 
 
 # ---------------------------------------------------------------- sources

@@ -113,3 +113,11 @@ COMPARE_METRICS = (
     "amortization",
     "fin_result",
 )
+
+#: Reasons of a match by name, by its status.
+MATCH_REASONS = {
+    "not_found": "Нет кандидатов по названию (name_sim<{})",
+    "matched_by_name_high": "Высокое сходство имени (>={})",
+    "ambiguous_multi_candidates": "Несколько кандидатов с близким score (>= {})",
+    "ambiguous_low_confidence": "Матч только по имени, name_sim={}",
+}

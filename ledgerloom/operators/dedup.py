@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import blank_to_null, clean_text
+from ..session import materialize
 
 
 def top_per_key(df: DataFrame, keys, order, n: int, rank: str = "rank") -> DataFrame:
@@ -31,9 +32,13 @@ def most_complete_row(df: DataFrame, keys, cols, tie) -> DataFrame:
 
 
 def drop_duplicates_by(df: DataFrame, keys) -> DataFrame:
-    """One row per key, the same one on every run: ordered by all other columns."""
-    rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
-    return latest_version(df, keys, rest or [F.lit(1)])
+    """One row per key, the same one on every run: the first by all other columns (null last)."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.select(*keys).distinct()
+    # A smallest struct is found before the shuffle; no key is sorted.
+    first = F.min(F.struct(*[x for c in rest for x in (F.col(c).isNull().alias(f"no {c}"), F.col(c))])).alias("_first")
+    return df.groupBy(*keys).agg(first).select(*[F.col(c) if c in keys else F.col(f"_first.`{c}`").alias(c) for c in df.columns])
 
 
 def _counted(df: DataFrame, keys) -> DataFrame:
@@ -167,13 +172,23 @@ def profile_fallback(df: DataFrame, key: str, cols, suffix: str) -> DataFrame:
 def list_per_key(df: DataFrame, keys, value: str) -> DataFrame:
     """The distinct values of each key in order: one row per value, with its place from 1 and their number.
 
-    Blank texts, None and nan are no values.
+    Blank texts, None and nan are no values. The values are dealt by ranges of key and value and
+    written, so that a key with very many values lies in many partitions; a place is the number
+    within the partition and the counts of the key in the partitions before it. Runs a job.
     """
+    keys = list(keys)
     pairs = df.select(*keys, blank_to_null(value).alias(value)).filter(F.col(value).isNotNull()).distinct()
-    # A frame in order per key is sorted on disk where it is large; the count needs no second pass over the key.
-    place = Window.partitionBy(*keys).orderBy(value)
-    counts = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{value}_cnt"))
-    return pairs.withColumn("position", F.row_number().over(place)).join(counts, list(keys))
+    dealt = materialize(pairs.repartitionByRange(*keys, value).withColumn("_part", F.spark_partition_id()))
+    within = F.row_number().over(Window.partitionBy("_part", *keys).orderBy(value))
+    counts = dealt.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    # A row per key and partition.
+    of_key = Window.partitionBy(*keys)
+    before = F.sum("_n").over(of_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")
+    counts = counts.select("_part", *keys, before.alias("_before"), F.sum("_n").over(of_key).alias(f"{value}_cnt"))
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ("_part", *keys)]
+    rows = dealt.withColumn("_within", within).alias("l").join(counts.alias("r"), reduce(lambda x, y: x & y, same))
+    place = (F.col("_within") + F.col("_before")).cast("int")
+    return rows.select(*[F.col(f"l.{c}") for c in keys], value, place.alias("position"), f"{value}_cnt")
 
 
 def joined_lists(listed: DataFrame, keys, value: str, wanted: DataFrame) -> DataFrame:

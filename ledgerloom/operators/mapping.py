@@ -10,7 +10,7 @@ from ..functions.numbers import coalesce_by_source
 from ..functions.text import blank_to_null, contract_key, contract_key_no_prefix, clean_text, digits_only
 from ..functions.classes import zone_class
 
-from .dedup import drop_duplicates_by, latest_version
+from .dedup import drop_duplicates_by, latest_version, unique_left_join
 from .validity import active_months, not_deleted
 
 
@@ -61,18 +61,22 @@ def map_ids_chain(
     )
 
 
-def enrich_dims(df: DataFrame, dims) -> DataFrame:
+def enrich_dims(df: DataFrame, dims, unique: bool = False) -> DataFrame:
     """Left lookups one after another.
 
     ``dims`` holds (dimension, key column of df, key column of the dimension,
-    {column of the dimension: new name}). Each dimension is cut to one row per key.
+    {column of the dimension: new name}). Each dimension is cut to one row per key, the first by
+    its columns (null last); with ``unique`` a repeated key is an error instead.
     """
     for dim, left_key, right_key, columns in dims:
         lookup = dim.select(
             F.col(right_key).alias(left_key), *[F.col(c).alias(name) for c, name in columns.items()]
         )
-        lookup = drop_duplicates_by(lookup.filter(F.col(left_key).isNotNull()), [left_key])
-        df = df.join(lookup, left_key, "left")
+        lookup = lookup.filter(F.col(left_key).isNotNull())
+        if unique:
+            df = unique_left_join(df, lookup, left_key)
+            continue
+        df = df.join(drop_duplicates_by(lookup, [left_key]), left_key, "left")
     return df
 
 

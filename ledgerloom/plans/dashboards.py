@@ -86,11 +86,12 @@ def monthly_activity_cohorts(published: DataFrame) -> DataFrame:
 
 def ds_months_upto_all(published: DataFrame) -> DataFrame:
     """Monthly figures for every month as anchor with all months up to it."""
+    # A row per month: the table is as short as the calendar, and one group of it is too.
     monthly = monthly_activity_cohorts(published)
-    # One value per month: the list of anchors is as short as the calendar.
-    anchors = monthly.agg(F.collect_set("point_report_month")).scalar()
-    anchored = monthly.withColumn("report_month", F.explode(anchors))
-    return anchored.filter(F.col("report_month") >= F.col("point_report_month"))
+    whole = monthly.agg(F.collect_list(F.struct("*")).alias("_rows"))
+    anchored = whole.select(F.explode("_rows").alias("_m"), F.expr("_rows.point_report_month").alias("_anchors"))
+    rows = anchored.select("_m.*", F.explode("_anchors").alias("report_month"))
+    return rows.filter(F.col("report_month") >= F.col("point_report_month"))
 
 
 def ds_anchor_boundary_check(dataset: DataFrame) -> DataFrame:

@@ -94,15 +94,16 @@ def monthly_mart(i: MartInputs, start, end, group: str, master_prefix: str, core
     """Agreement × month with counts, commissions, cost, income and result.
 
     The perimeter and the small totals drawn from large inputs are written to the
-    shared folder, so that no large input is read twice and lost executors cost little.
+    shared folder, so that transactions are read once and lost executors cost little.
     """
     scope = materialize(perimeter(i.agreements, i.companies, i.terms, start, end))
     ids = map_ids_chain(i.master, i.ext_ids, master_prefix, core_prefix).select("inn", "party_id", "zone", "core_id")
     core = core_attributes(i.core_merchants, i.corp, i.depart, i.branch, i.tariff_plan)
     operational = m.operational_metrics(scope, i.terms, i.outlets, i.devices, i.model, start, end).drop("n_cmp_client")
-    trx = materialize(m.transaction_metrics(scope, i.trx, i.trx_acq, i.trx_int, i.fiids, start, end, group))
+    totals = m.scoped_totals(scope, i.trx, i.trx_acq, i.trx_int, i.fiids, start, end, group)
+    trx = materialize(m.totals_per_agreement(totals))
     per_company = trx.groupBy("n_cmp_client", "month_start").agg(F.max("active_term_cnt").alias("active_term_cnt"))
-    used = m.active_outlets(i.trx, i.trx_acq, i.devices, i.fiids, start, end, group)
+    used = m.outlets_in_use(totals, i.devices)
     newest, plans = actual_tariffs(
         i.agreements, i.core_merchants, i.tariff_plan, m.plan_fee_map(i.tariff_tune, i.tariff_fix), start, end
     )

@@ -84,12 +84,13 @@ def operational_metrics(
     The main path goes from the agreement's terms to outlets and devices. Only
     agreements without a row there take the fallback, from the company's outlets.
     Devices that stand at one outlet only are counted per outlet and month, and agreements sum
-    those counts; only devices of several outlets are counted by agreement. The scope and its
-    outlets are written to the shared folder once, since several figures are drawn from each.
+    those counts; only devices of several outlets are counted by agreement. The scope, its outlets
+    and the devices at them are written to the shared folder once, since several figures are drawn
+    from each.
     """
     sa = materialize(scope.select(*KEY, "n_cmp_client").distinct())
     places = materialize(outlet_places(sa, terms, outlets, start, end, **rules))
-    rows = fleet(places, devices)
+    rows = materialize(fleet(places, devices))
     spot = ["main", "c_nmrc", "month_start"]
 
     per_spot = (
@@ -181,24 +182,34 @@ def card_transactions(trx: DataFrame, fiids: DataFrame, start, end, group: str,
     )
 
 
-def transaction_lines(trx: DataFrame, trx_acq: DataFrame, trx_int: DataFrame) -> DataFrame:
-    """One row per transaction, month and agreement, repeated fee lines taken once.
+def agreement_lines(trx: DataFrame, trx_acq: DataFrame) -> DataFrame:
+    """One row per transaction, month and agreement.
 
-    All three inputs meet on the transaction number and are shuffled by it once.
+    ``in_use`` is the device of an amount above one, where the agreement's line is live.
     """
     base = trx.groupBy("n_trx", "month_start").agg(
-        F.max("c_nter").alias("c_nter"), F.max("n_amt_src").alias("n_amt_src")
+        F.max("c_nter").alias("c_nter"), F.max("n_amt_src").alias("n_amt_src"),
+        F.max(F.when(F.coalesce("n_amt_src", F.lit(0)) > 1, F.col("c_nter"))).alias("in_use"),
     )
+    flag = F.col("ods_deleted_flg") if "ods_deleted_flg" in trx_acq.columns else F.lit(None)
     tax = trx_acq.filter("n_agr is not null").groupBy("n_trx", "n_agr").agg(
-        F.max(F.coalesce("n_amt_tax", F.lit(0))).alias("n_amt_tax")
+        F.max(F.coalesce("n_amt_tax", F.lit(0))).alias("n_amt_tax"), F.max(F.coalesce(flag.cast("string"), F.lit("0")) != "1").alias("_live")
     )
+    return base.join(tax, "n_trx").withColumn("in_use", F.when(F.col("_live"), F.col("in_use"))).drop("_live")
+
+
+def transaction_lines(trx: DataFrame, trx_acq: DataFrame, trx_int: DataFrame) -> DataFrame:
+    """One row per transaction, month and agreement, repeated fee lines taken once.
+
+    All three inputs meet on the transaction number and are shuffled by it once.
+    """
     fee = not_deleted(trx_int).groupBy("n_trx").agg(F.max(F.coalesce("n_amt_fee", F.lit(0))).alias("n_amt_fee"))
-    return base.join(tax, "n_trx").join(fee, "n_trx", "left")
+    return agreement_lines(trx, trx_acq).join(fee, "n_trx", "left")
 
 
 def device_totals(lines: DataFrame) -> DataFrame:
-    """Totals per agreement, month and device: small, and even for a very busy agreement."""
-    return lines.groupBy(*KEY, "c_nter").agg(
+    """Totals per agreement, month, device and device in use: small, and even for a very busy agreement."""
+    return lines.groupBy(*KEY, "c_nter", "in_use").agg(
         F.count(F.lit(1)).alias("trx_cnt"),
         F.sum("n_amt_src").alias("trx_sum"),
         F.sum("n_amt_tax").alias("commission_from_ops"),
@@ -210,20 +221,31 @@ def device_totals(lines: DataFrame) -> DataFrame:
 def transaction_metrics(
     scope: DataFrame, trx: DataFrame, trx_acq: DataFrame, trx_int: DataFrame, fiids: DataFrame, start, end, group
 ) -> DataFrame:
-    """Count, turnover, commission, interchange and active devices per agreement and month.
+    """Count, turnover, commission, interchange and active devices per agreement and month."""
+    return totals_per_agreement(scoped_totals(scope, trx, trx_acq, trx_int, fiids, start, end, group))
 
-    The totals per device are written to the shared folder: agreements and
-    companies are both counted from them, and the transactions are read once.
+
+def scoped_totals(
+    scope: DataFrame, trx: DataFrame, trx_acq: DataFrame, trx_int: DataFrame, fiids: DataFrame, start, end, group
+) -> DataFrame:
+    """Totals per device of the scope's agreements, written to the shared folder.
+
+    Agreements, companies and outlets in use are all counted from them, and the transactions are
+    read once.
     """
     lines = transaction_lines(card_transactions(trx, fiids, start, end, group), trx_acq, trx_int)
     sa = scope.select(*KEY, "n_cmp_client", "inn").distinct()
-    totals = materialize(device_totals(lines).join(sa, KEY))
+    return materialize(device_totals(lines).join(sa, KEY))
+
+
+def totals_per_agreement(totals: DataFrame) -> DataFrame:
+    """Totals per agreement and month, and the active devices of its company."""
     per_agreement = totals.groupBy(*KEY, "n_cmp_client", "inn").agg(
         F.sum("trx_cnt").alias("trx_cnt"),
         F.sum("trx_sum").alias("trx_sum"),
         F.sum("commission_from_ops").alias("commission_from_ops"),
         F.sum("int_component").alias("int_component"),
-        F.sum("active").alias("active_terms"),
+        F.countDistinct(F.when(F.col("active") == 1, F.col("c_nter"))).alias("active_terms"),
     )
     per_company = (
         totals.groupBy("n_cmp_client", "month_start", "c_nter")
@@ -259,14 +281,12 @@ def transaction_metrics_naive(
 
 def active_outlets(trx: DataFrame, trx_acq: DataFrame, devices: DataFrame, fiids: DataFrame, start, end, group) -> DataFrame:
     """Outlets with at least one device in use, per agreement and month."""
-    used = (
-        card_transactions(trx, fiids, start, end, group)
-        .filter(F.coalesce("n_amt_src", F.lit(0)) > 1)
-        .groupBy("n_trx", "month_start")
-        .agg(F.max("c_nter").alias("c_nter"))
-    )
-    agreements = not_deleted(trx_acq).filter("n_agr is not null").select("n_trx", "n_agr")
-    in_use = used.join(agreements, "n_trx").select(*KEY, "c_nter").distinct()
+    return outlets_in_use(agreement_lines(card_transactions(trx, fiids, start, end, group), trx_acq), devices)
+
+
+def outlets_in_use(rows: DataFrame, devices: DataFrame) -> DataFrame:
+    """Outlets behind the devices in use of lines or of totals per device, per agreement and month."""
+    in_use = rows.filter("in_use is not null").select(*KEY, F.col("in_use").alias("c_nter")).distinct()
     places = not_deleted(devices).filter("c_nmrc is not null").select("c_nter", "c_nmrc").distinct()
     return in_use.join(places, "c_nter").groupBy(*KEY).agg(F.countDistinct("c_nmrc").alias("active_retl_cnt"))
 
@@ -322,6 +342,69 @@ def rent_mapping(targets: DataFrame) -> DataFrame:
     return unique_map_only(targets, RENT_KEY, ["inn", "agr_id"])
 
 
+def rent_row_classes(
+    rent: DataFrame, terms: DataFrame, agreements: DataFrame, companies: DataFrame, wanted: DataFrame, start, end
+) -> DataFrame:
+    """Rent days at the outlets of wanted agreement ids, and what the mapping makes of each.
+
+    An outlet is an agreement's when both its term and the agreement, of whatever class, live in
+    the month of the rent. ``map_class`` tells why a fee is missing: the day has no target, a
+    single one (this agreement id or another) or several.
+    """
+    heads = not_deleted(agreements, values=SOFT_DELETED).join(
+        wanted.select(F.col("agr_id").alias("abs_agr_id")).distinct(), "abs_agr_id", "left_semi"
+    )
+    heads = active_months(heads, start, end).select(
+        F.col("abs_agr_id").alias("agr_id"), F.upper(F.trim("acq_class")).alias("acq_class"), "n_agr", "month_start"
+    ).distinct()
+    leaves = not_deleted(terms, values=SOFT_DELETED).filter("c_nmrc is not null").select(
+        "n_agr", "c_nmrc", "d_valid_from", "d_valid_to"
+    ).distinct()
+    leaves = active_months(leaves, start, end).select("n_agr", "c_nmrc", "month_start").distinct()
+    hits = heads.join(leaves, ["n_agr", "month_start"])
+    days = latest_rent(rent, start, end).withColumn("month_start", F.trunc("d_rent", "MM"))
+    found = rent_mapping(rent_targets(rent, terms, agreements, companies, start, end)).select(
+        *RENT_KEY, "target_cnt", F.col("inn").alias("unique_inn"), F.col("agr_id").alias("unique_agr")
+    )
+    count = F.coalesce("target_cnt", F.lit(0))
+    map_class = (
+        F.when(count == 0, "no_mapping")
+        .when(count > 1, "ambiguous")
+        .when(F.col("unique_agr") == F.col("agr_id"), "unique_on_target_agr")
+        .otherwise("unique_other_agr")
+    )
+    rows = hits.join(days, ["c_nmrc", "month_start"]).join(found, RENT_KEY, "left")
+    return rows.select(
+        "agr_id", "acq_class", "n_agr", *RENT_KEY, count.alias("valid_key_cnt"), "unique_inn", "unique_agr", map_class.alias("map_class")
+    )
+
+
+def count_variants(pairs: DataFrame, outlets: DataFrame, devices: DataFrame, start, end) -> DataFrame:
+    """Outlets and devices of each agreement's company per month: all of them, and those with a device in place.
+
+    ``pairs`` holds (n_agr, n_cmp_client). Companies are counted once, not once per agreement.
+    """
+    pairs = pairs.select("n_agr", "n_cmp_client").distinct()
+    owned = not_deleted(outlets).filter("c_nmrc is not null").select(F.col("n_cmp").alias("n_cmp_client"), "c_nmrc").distinct()
+    owned = owned.join(pairs.select("n_cmp_client").distinct(), "n_cmp_client", "left_semi")
+    fitted = owned.join(not_deleted(devices).filter("c_nter is not null"), "c_nmrc")
+    term_all = fitted.select("n_cmp_client", "c_nter").distinct().groupBy("n_cmp_client").agg(F.count(F.lit(1)).alias("term_all_cnt"))
+    retl_all = owned.groupBy("n_cmp_client").agg(F.count(F.lit(1)).alias("retl_all_cnt"))
+    spans = fitted.select(
+        "n_cmp_client", "c_nmrc", "c_nter", F.coalesce("d_ter_install", F.lit("1900-01-01").cast("date")).alias("d_valid_from"),
+        F.col("d_ter_close").alias("d_valid_to"),
+    ).distinct()
+    live = active_months(spans, start, end)
+    key = ["n_cmp_client", "month_start"]
+    active = live.select(*key, "c_nmrc").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("retl_active_cnt")).join(
+        live.select(*key, "c_nter").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("term_active_cnt")), key
+    )
+    per_company = retl_all.join(term_all, "n_cmp_client", "left")
+    return pairs.join(per_company, "n_cmp_client").join(active, "n_cmp_client").select(
+        *KEY, "retl_all_cnt", "retl_active_cnt", "term_all_cnt", "term_active_cnt"
+    )
+
+
 def rent_fee_by_key(mapping: DataFrame) -> DataFrame:
     """Rent per company, agreement and month, over days with a single target."""
     return (

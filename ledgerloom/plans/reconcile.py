@@ -8,7 +8,9 @@ from ..functions import fixed_values as fv
 from ..functions.classes import ratio_bucket
 from ..functions.numbers import pct, ratio, safe_pct
 from ..functions.text import digits_only, norm_inn
-from ..operators.dedup import latest_version, top_per_key
+from ..operators.dedup import top_per_key
+from ..operators.quantiles import one_row
+from ..operators.validity import not_deleted
 
 ROW_KEY = ["report_month", "inn_key", "agr_id_key"]
 VALUES = fv.COMPARE_METRICS[1:]
@@ -247,20 +249,31 @@ def top_abs_delta(deltas: DataFrame, n: int, tol: float = 0.01, by=("report_mont
     return top_per_key(big, by, [F.col("abs_delta").desc(), F.col("inn_key"), F.col("agr_id_key")], n)
 
 
-def only_left_reason_shares(only_left: DataFrame, terms: DataFrame, month_start, month_end) -> DataFrame:
-    """Why companies are missing in the report: their latest term had ended before the month."""
-    start, end = F.lit(month_start).cast("date"), F.lit(month_end).cast("date")
-    latest = terms.groupBy("n_agr").agg(
-        F.max(F.struct("d_valid_from", F.coalesce("d_valid_to", F.lit(fv.OPEN_END).cast("date")).alias("to"))).alias("_t"),
-        F.max(((F.col("d_valid_from") <= end) & (F.col("d_valid_to").isNull() | (F.col("d_valid_to") >= start))).cast("int")).alias("active"),
-    )
-    scope = only_left.select("inn", "n_agr").distinct().join(latest, "n_agr", "left")
-    closed = (F.coalesce("active", F.lit(0)) == 0) & F.coalesce(F.col("_t.to") < start, F.lit(False))
-    per_inn = scope.groupBy("inn").agg(F.max(closed.cast("int")).alias("closed"))
-    counts = per_inn.agg(F.sum("closed").alias("c"), F.sum(1 - F.col("closed")).alias("o"), F.count(F.lit(1)).alias("n"))
-    rows = counts.select("n", _stack(
+def only_left_reason_shares(only_left: DataFrame, terms: DataFrame, inserted: str = "ods_insert_ts") -> DataFrame:
+    """Per month, why companies are missing in the report: their latest term had ended before the month.
+
+    ``only_left`` holds (report_month, inn, n_agr). The latest term of an agreement has the last
+    beginning, then the newest insert, then the last end.
+    """
+    live = not_deleted(terms)
+    newest = F.col(inserted) if inserted in terms.columns else F.lit(None).cast("timestamp")
+    end = F.coalesce(F.col("d_valid_to").cast("date"), F.lit(fv.OPEN_END).cast("date"))
+    last = live.groupBy("n_agr").agg(F.max(F.struct("d_valid_from", newest.alias("inserted"), end.alias("to"))).alias("_t"))
+    scope = only_left.select("report_month", "inn", "n_agr").distinct()
+    start = F.to_date(F.concat("report_month", F.lit("-01")))
+    months = scope.select("report_month", "n_agr").distinct()
+    valid = (F.col("d_valid_from") <= F.last_day(start)) & (F.col("d_valid_to").isNull() | (F.col("d_valid_to") >= start))
+    active = months.join(live.select("n_agr", "d_valid_from", "d_valid_to").distinct(), "n_agr").filter(valid)
+    active = active.select("report_month", "n_agr").distinct().withColumn("_active", F.lit(True))
+    rows = scope.join(last, "n_agr", "left").join(active, ["report_month", "n_agr"], "left")
+    closed = F.col("_active").isNull() & F.coalesce(F.col("_t.to") < start, F.lit(False))
+    per_inn = rows.groupBy("report_month", "inn").agg(F.max(closed.cast("int")).alias("closed"))
+    counts = per_inn.groupBy("report_month").agg(F.sum("closed").alias("c"), F.sum(1 - F.col("closed")).alias("o"), F.count(F.lit(1)).alias("n"))
+    out = counts.select("report_month", "n", _stack(
         [("agr_terms_closed_before_month_start", "c"), ("other_only_lake_reasons", "o")], "reason, cnt"))
-    return rows.select("reason", F.col("cnt").cast("long").alias("inn_cnt"), pct(F.col("cnt"), F.col("n")).alias("share_pct_of_only_lake"))
+    return out.select(
+        "report_month", "reason", F.col("cnt").cast("long").alias("inn_cnt"), pct(F.col("cnt"), F.col("n")).alias("share_pct_of_only_lake")
+    )
 
 
 def month_totals(rows: DataFrame, metrics, inn="inn_key") -> DataFrame:
@@ -470,16 +483,4 @@ def padding_audit(lake: DataFrame, ref: DataFrame, agr="agr_id") -> DataFrame:
         F.count_if(changed & (F.col("side") == "lake")).alias("padded_rows_lake"),
         F.count_if(changed & (F.col("side") == "excel")).alias("padded_rows_excel"),
     )
-    # Three tables of one row each.
-    one = F.lit(1)
-    parts = [audit, keys("raw"), keys("padded")]
-    out = parts[0].withColumn("_k", one)
-    for p in parts[1:]:
-        out = out.join(p.withColumn("_k", one), "_k")
-    return out.drop("_k")
-
-
-def newest_terms(terms: DataFrame) -> DataFrame:
-    """Latest term per agreement."""
-    order = [F.col("d_valid_from").desc_nulls_last(), F.col("d_valid_to").desc_nulls_first(), F.col("c_nmrc")]
-    return latest_version(terms, ["n_agr"], order)
+    return one_row(one_row(audit, keys("raw")), keys("padded"))

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -17,21 +21,32 @@ def scan_table(spark: SparkSession, path: str, columns=None) -> DataFrame:
 def scan_csv(
     spark: SparkSession, path: str, skip_rows: int = 0, sep: str = ";", comment=("comment", "COMMENT", "COMMENT_TEXT")
 ) -> DataFrame:
-    """One separated text file with a preamble; every field stays text and every row is kept.
+    """Separated text files, each with a preamble and a header; every field stays text and every row is kept.
 
-    Only the header is read on the driver. Short rows get empty fields at their
-    end. Separators too many belong to the comment column, or to the last one.
+    Only the first lines of each file are read on the driver. Files may name their columns in
+    different orders, and a column that a file lacks is empty there. Short rows get empty fields
+    at their end. Separators too many belong to the comment column, or to the last one.
     """
-    text = spark.read.text(path)
-    if len(text.inputFiles()) > 1:
-        raise ValueError(f"more than one file in {path}")
-    head = text.limit(skip_rows + 1).collect()
-    if len(head) <= skip_rows:
-        raise ValueError(f"fewer than {skip_rows + 1} lines in {path}")
-    names = head[skip_rows].value.split(sep)
+    files = sorted(spark.read.text(path).inputFiles())
+    headers: dict[tuple[str, ...], list[str]] = {}
+    for file, lines in zip(files, _first_lines(spark, files, skip_rows + 1), strict=True):
+        if len(lines) <= skip_rows:
+            raise ValueError(f"fewer than {skip_rows + 1} lines in {file}")
+        headers.setdefault(tuple(lines[skip_rows].split(sep)), []).append(file)
+    if not headers:
+        raise ValueError(f"no file in {path}")
+    parts = []
+    for names, some in headers.items():
+        place = path if len(headers) == 1 else [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f)).toString() for f in some]
+        lines = _after_preamble(spark.read.text(place), skip_rows + 1)
+        parts.append(_fields(lines, list(names), sep, comment))
+    together = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    return together.na.fill("") if len(parts) > 1 else together
+
+
+def _fields(lines: DataFrame, names: list[str], sep: str, comment) -> DataFrame:
     n = len(names)
     at = next((names.index(c) for c in comment if c in names), n - 1)
-    lines = _after_preamble(spark, path, len(head))
     parts = F.split(lines["value"], re.escape(sep), -1)
     extra = F.greatest(F.size("_p") - F.lit(n), F.lit(0))
     rows = lines.select(parts.alias("_p")).withColumn("_x", extra)
@@ -48,14 +63,56 @@ def scan_csv(
     return rows.select(*[field(i).alias(c) for i, c in enumerate(names)])
 
 
-def _after_preamble(spark: SparkSession, path: str, skipped: int) -> DataFrame:
-    """Lines after the header: told apart by their place in the file, not by their text."""
-    lines = spark.read.text(path).select("value", "_metadata")
-    first_split = F.col("_metadata.file_block_start") == 0
-    # Within the first split rows arrive in file order, so a running number marks the preamble.
-    numbered = lines.select("value", first_split.alias("_first"), F.monotonically_increasing_id().alias("_id"))
-    low = F.col("_id") % F.lit(1 << 33)
-    return numbered.filter(~(F.col("_first") & (low < skipped))).select("value")
+def _first_lines(spark: SparkSession, files: list[str], n: int) -> list[list[str]]:
+    """The first n lines, or all of fewer, of each file, through the file system that Spark itself would use."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def head(file: str) -> list[str]:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream = path.getFileSystem(conf).open(path)
+        codec = codecs.getCodec(path)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            lines = [reader.readLine() for _ in range(n)]
+        finally:
+            reader.close()
+        return [x for x in lines if x is not None]
+
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(head, files))
+
+
+def _after_preamble(text: DataFrame, skipped: int) -> DataFrame:
+    """Lines after each file's header: told apart by their place in the file, not by their text.
+
+    A task reads the splits of files one after another and each in order, so that a running
+    number since the beginning of a file marks its preamble. A preamble that goes beyond a
+    file's first split is an error.
+    """
+    first = F.when(F.col("_metadata.file_block_start") == 0, F.xxhash64("_metadata.file_path"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, seen = None, skipped
+        for batch in batches:
+            files = batch.column(1).to_pylist() if batch.column(1).null_count < batch.num_rows else None
+            if files is None and seen >= skipped:
+                current = None
+                yield batch.select(["value"])
+                continue
+            keep = []
+            for file in files or [None] * batch.num_rows:
+                if file != current:
+                    if seen < skipped:
+                        raise ValueError(f"a preamble of {skipped} lines does not end in its file's first split")
+                    current, seen = file, 0 if file is not None else skipped
+                keep.append(seen >= skipped)
+                seen = min(seen + 1, skipped)
+            yield batch.select(["value"]).filter(pa.array(keep))
+        if seen < skipped:
+            raise ValueError(f"a preamble of {skipped} lines does not end in its file's first split")
+
+    return text.select("value", first.alias("file")).mapInArrow(run, "value string")
 
 
 def fold(name: str) -> str:

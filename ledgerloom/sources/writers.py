@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Iterable
 from functools import reduce
-from typing import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -79,19 +80,41 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c.strip().lower()) for c in df.columns])
 
 
-def publish_table(df: DataFrame, name: str, text: bool = True, check: bool = True, path: str | None = None) -> None:
-    """Replace a table with the rows, as text by default; a differing row count is an error. Runs jobs.
+def publish_table(
+    df: DataFrame, name: str, text: bool = True, check: bool = True, path: str | None = None,
+    checks: Iterable[Callable[[DataFrame], str | None]] = (),
+) -> str | None:
+    """Replace a table with the rows, as text by default; gives the place of the rows it had before. Runs jobs.
 
-    The rows are counted while they are written, so that their plan runs once.
+    The rows are written to a new folder under ``path`` (or in the database's) and checked there:
+    their number, counted while they are written, and what ``checks`` say about them. Only then
+    the table is pointed to the new folder, in one step if its columns stay the same; else it is
+    dropped and made anew. A failed check leaves the table and its rows as they were. Folders of
+    earlier rows stay for their readers; the caller may remove them.
     """
+    spark = df.sparkSession
     out = as_text(df) if text else df
     rows = Observation()
-    writer = out.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
-    (writer.option("path", path) if path else writer).saveAsTable(name)
-    if check:
-        written, expected = df.sparkSession.table(name).count(), rows.get["n"]
-        if written != expected:
-            raise RuntimeError(f"{name}: {written} rows written, {expected} expected")
+    database, _, table = name.rpartition(".")
+    base = path or f"{spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri}/{table}"
+    place = f"{base.rstrip('/')}/rows-{uuid.uuid4().hex}"
+    out.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(place)
+    staged = spark.read.schema(out.schema).parquet(place)
+    problems = [p for p in (c(staged) for c in checks) if p]
+    if check and (written := staged.count()) != rows.get["n"]:
+        problems.append(f"{written} rows written, {rows.get['n']} expected")
+    if problems:
+        raise RuntimeError(f"{name}: {'; '.join(problems)}")
+    known = spark.catalog.tableExists(name)
+    before = spark.sql(f"describe formatted {name}").filter("col_name = 'Location'").first() if known else None
+    if known and before and spark.table(name).dtypes == staged.dtypes:
+        spark.sql(f"alter table {name} set location '{place}'")
+        spark.catalog.refreshTable(name)
+    else:
+        if known:
+            spark.sql(f"drop table {name}")
+        spark.catalog.createTable(name, place, "parquet", staged.schema)
+    return before["data_type"] if before else None
 
 
 def publish_view(df: DataFrame, name: str, mode: str = "view") -> None:
@@ -113,6 +136,7 @@ def schema_compat(df: DataFrame, required, old) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "issue string, column_name string")
 
 
-def report_export(df: DataFrame, path: str) -> None:
-    """A small report as one CSV file with a header. Runs a job; only the last step is one task."""
-    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
+def report_export(df: DataFrame, path: str, top: int | None = None, order=()) -> None:
+    """A report as CSV files with headers in a folder; the first ``top`` rows in order as one file. Runs a job."""
+    rows = df if top is None else df.orderBy(*order).limit(top).coalesce(1)
+    rows.write.mode("overwrite").option("header", True).csv(path)

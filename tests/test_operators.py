@@ -1,5 +1,7 @@
 import datetime as dt
+import os
 import random
+from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
@@ -103,6 +105,25 @@ def test_list_per_key_has_one_shape_for_any_size(spark):
     assert [tuple(r) for r in text] == [("cold", 2, "4,5")]
 
 
+def test_list_per_key_deals_a_hot_key_to_many_tasks(spark):
+    """Places are numbered within partitions of the sorted values, none of which holds the whole key."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else 30,000 values are one partition
+    try:
+        rows = dd.list_per_key(spark.range(30_000).select(F.lit("hot").alias("k"), F.col("id").cast("string").alias("v")), ["k"], "v")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = next(f for f in rows.inputFiles())
+    dealt = spark.read.parquet(os.path.dirname(stored))
+    assert dealt.groupBy("_part").count().agg(F.max("count")).first()[0] < 15_000
+    assert rows.agg(F.max("position"), F.countDistinct("position")).first()[:] == (30_000, 30_000)
+
+
+def test_one_row_per_key_takes_the_first_by_all_columns(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", 2, 9), ("a", 2, 3), ("b", None, None), (None, 5, 5)], "k string, x int, y int")
+    assert {tuple(r) for r in dd.drop_duplicates_by(df, ["k"]).collect()} == {("a", 2, 3), ("b", None, None), (None, 5, 5)}
+    assert "Window" not in plan(dd.drop_duplicates_by(df, ["k"]))
+
+
 def test_quantile_plans_have_no_cross_join(spark):
     df = spark.range(500).select(F.col("id").alias("v"), (F.col("id") % 7).alias("k"), F.lit(2).alias("b"))
     from ledgerloom.plans import selection as se
@@ -227,6 +248,58 @@ def test_fuzzy_statuses(spark):
     assert got[4][0] == "ambiguous_multi_candidates"
 
 
+def looked_up(left, right, threshold=0.55, near=5.0, high=0.95):
+    """The rule in plain Python: every pair of names is compared."""
+    out, disputed = {}, {}
+    for row, name in left:
+        pool = []
+        for other, *ids in sorted({(n, *i) for n, *i in right}):
+            sim = SequenceMatcher(None, name, other).ratio()
+            if sim >= threshold:
+                pool.append((-(sim * 100 + (30 if name == other else 0)), other, tuple(ids), sim))
+        pool.sort()
+        if not pool:
+            out[row] = ("not_found", None, None)
+            continue
+        close = {p[2] for p in pool if -p[0] >= -pool[0][0] - near}
+        status = "ambiguous_multi_candidates" if len(close) > 1 else "matched_by_name_high" if pool[0][3] >= high else "ambiguous_low_confidence"
+        out[row] = (status, pool[0][1], pool[0][2])
+        if status != "matched_by_name_high":
+            disputed[row] = [(p[1], p[2]) for p in pool[:5]]
+    return out, disputed
+
+
+@pytest.mark.parametrize("few_ids", [True, False])
+def test_names_are_matched_as_by_comparing_all_pairs(spark, few_ids):
+    rng = random.Random(5)
+    def name():
+        return " ".join("".join(rng.choice("ABCDEF") for _ in range(rng.randrange(2, 7))) for _ in range(rng.randrange(1, 4)))
+    names = [name() for _ in range(80)]
+    left = [(i, n) for i, n in enumerate([*names, "A" * 19 + "B", "A" * 40, "QQQQ", "AAAAAAAAAABBBBBBBBB"])]
+    right = [(n[:k] + rng.choice("ABX") + n[k:], f"a{i % 3 if few_ids else i}", "i") for i, n in enumerate(names) for k in (0, len(n) // 2)]
+    right += [(n, "a0", "i") for n in names[:30]] + [("A" * 19 + "C", "a9", "i9"), ("A" * 39 + "B", "a8", "i8"), ("AAAAAAAAAA", "a7", "i7")]
+    expected, disputed = looked_up(left, right)
+    assert {s for s, _, _ in expected.values()} == {"not_found", "ambiguous_multi_candidates", "matched_by_name_high", "ambiguous_low_confidence"}
+    frames = spark.createDataFrame(left, "row_id int, name string"), spark.createDataFrame(right, "name string, agr_id string, inn string")
+    status, candidates = fz.name_matches(*frames)
+    got = {r.row_id: (r.match_status, r.matched_name, r.matched_agr_id and (r.matched_agr_id, r.matched_inn)) for r in status.collect()}
+    assert got == expected
+    listed = {}
+    for r in candidates.orderBy("row_id", "candidate").collect():
+        listed.setdefault(r.row_id, []).append((r.candidate_name, (r.agr_id, r.inn)))
+    assert listed == disputed
+
+
+def test_names_meet_in_blocks(spark):
+    rng = random.Random(6)
+    names = sorted({"".join(rng.choice("ABCD") for _ in range(8)) for _ in range(90)})
+    left = spark.createDataFrame([(n,) for n in names[::2]], "name string")
+    right = spark.createDataFrame([(n, f"a{i}", "i") for i, n in enumerate(names)], "name string, agr_id string, inn string")
+    whole, small = ({tuple(r) for r in fz.name_candidates(left, right, block=b).collect()} for b in (1000, 7))
+    best = {n: max(r[4] for r in whole if r[0] == n) for n in names[::2]}
+    assert {n: max(r[4] for r in small if r[0] == n) for n in names[::2]} == best == {n: 130.0 for n in names[::2]}
+
+
 def trx_inputs(spark, fee_copies):
     scope = spark.createDataFrame([("A1", day("2026-01-01"), "C1", "I1")], "n_agr string, month_start date, n_cmp_client string, inn string")
     trx = spark.createDataFrame([(f"T{i}", f"D{i % 2}", "F", 10.0 if i else 0.5, dt.datetime(2026, 1, 5), "SA", "S01", None, None) for i in range(4)],
@@ -300,6 +373,42 @@ def test_scan_csv_keeps_every_row(spark, tmp_path):
         rd.scan_csv(spark, path, skip_rows=9000)
 
 
+def test_text_files_of_a_folder(spark, tmp_path):
+    """Each file has its own preamble and order of columns, and more than one split."""
+    folder = tmp_path / "in put"
+    folder.mkdir()
+    expected = set()
+    for k, names in enumerate((["id", "comment", "n"], ["n", "id", "comment"], ["id", "comment", "n"])):
+        lines = [f"preamble {k}", "id;comment;n", ";".join(names)]
+        for i in range(400):
+            row = {"id": f"{k}-{i}", "comment": "x;y" if i % 3 else "id;comment;n"[: i % 13], "n": str(i)}
+            lines.append(";".join(row[c] for c in names))
+            expected.add((row["id"], row["comment"], row["n"]))
+        (folder / f"part {k}.txt").write_text("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("2000", "1m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = rd.scan_csv(spark, str(folder), skip_rows=2)
+            assert {tuple(r) for r in rows.select("id", "comment", "n").collect()} == expected and rows.count() == len(expected)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20")
+        with pytest.raises(Exception, match="does not end in its file's first split"):
+            rd.scan_csv(spark, str(folder), skip_rows=2).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_transactions_are_read_once(spark):
+    """Agreements, companies and outlets in use come from one table of totals per device."""
+    scope, trx, acq, fees, fiids, *period = trx_inputs(spark, 2)
+    acq = acq.withColumn("ods_deleted_flg", F.when(F.col("n_trx") == "T1", "1"))
+    places = spark.createDataFrame([("D0", "M1", None), ("D1", "M2", None)], "c_nter string, c_nmrc string, ods_deleted_flg string")
+    totals = me.scoped_totals(scope, trx, acq, fees, fiids, *period)
+    alone = me.active_outlets(trx, acq, places, fiids, *period).collect()
+    assert me.outlets_in_use(totals, places).collect() == alone and [r.active_retl_cnt for r in alone] == [2]
+    assert me.totals_per_agreement(totals).collect() == me.transaction_metrics(scope, trx, acq, fees, fiids, *period).collect()
+
+
 def test_columns_and_schema(spark):
     df = spark.createDataFrame([("1", 2.0)], ["  ИНН  клиента", "x"])
     assert rd.resolve_columns(df, {"inn": ["инн клиента"], "aur": ["АУР"]}, ["inn"]).first().asDict() == {"inn": "1", "aur": None}
@@ -330,10 +439,20 @@ def test_publish_and_export(spark, tmp_path):
     spark.sql(f"create database if not exists loom location '{tmp_path}/loom'")
     wr.publish_table(df, "loom.published")
     assert dict(spark.table("loom.published").dtypes) == {"id": "string", "v": "string"}
+    with pytest.raises(RuntimeError, match="too few"):
+        wr.publish_table(df.limit(1), "loom.published", checks=[lambda rows: "too few" if rows.count() < 2 else None])
+    assert spark.table("loom.published").count() == 2
+    before = wr.publish_table(df.union(df), "loom.published", checks=[lambda rows: None])
+    assert spark.table("loom.published").count() == 4 and spark.read.parquet(before).count() == 2
+    wr.publish_table(df.select("v"), "loom.published", text=False)
+    assert spark.table("loom.published").columns == ["v"]
     wr.publish_view(df, "seen")
     assert spark.table("seen").count() == 2
     with pytest.raises(ValueError):
         wr.publish_view(df, "seen", "other")
     wr.report_export(df, str(tmp_path / "out"))
     assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 2
+    wr.report_export(spark.range(500).repartition(6), str(tmp_path / "top"), top=3, order=[F.col("id").desc()])
+    files = [f for f in os.listdir(tmp_path / "top") if f.endswith(".csv")]
+    assert len(files) == 1 and (tmp_path / "top" / files[0]).read_text().split() == ["id", "499", "498", "497"]
     spark.sql("drop database loom cascade")

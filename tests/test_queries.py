@@ -11,7 +11,7 @@ from ledgerloom.checks.standins import TABLES
 SF_DIR = os.environ.get("LEDGERLOOM_SF_DIR", "/root/testdata/sf0.001")
 QUICK = (
     "perimeter", "transaction_metrics", "rent_fee_by_key", "monthly_compare", "mismatch_reason_stats",
-    "ds_client_months_upto", "predecessor_lift", "fuzzy_entity_match", "product_flags_wide", "exact_quantiles_by_group",
+    "ds_client_months_upto", "predecessor_lift", "fuzzy_entity_match", "disputed_candidates", "scan_csv", "rent_row_classes", "product_flags_wide", "exact_quantiles_by_group",
 )
 NAMES = sorted(QUERIES) if os.environ.get("LEDGERLOOM_ALL") else QUICK
 
