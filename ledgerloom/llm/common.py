@@ -61,6 +61,14 @@ def bounded_sample(df: DataFrame, n: int, key: list[str]) -> DataFrame:
     return df.orderBy(order, *key).limit(n)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or one like it, that no column of the table has in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def give_back() -> None:
     """Return freed memory to the system: Python workers live on between stages and share an executor's memory."""
     gc.collect()

@@ -2,10 +2,12 @@
 
 Every place of a document gives the hash of its K words; the places are joined with the places
 of the same words in license templates. A match of place p with template place q votes for the
-diagonal p - q. Votes are counted per document, template and diagonal; diagonals of a template
-that lie near each other, as words added to or missing from a license leave them, are merged into a
-span, which is verified: it must cover enough of the template's distinct places and be no longer
-than the template allows. A template that stands word by word has all its votes on one diagonal.
+diagonal p - q. Votes are counted per document, template and diagonal. A diagonal that covers
+enough of the template's distinct places is a span by itself, as where the template stands word by
+word. Where none near it does, as words added to or missing from a license leave it, the heaviest
+diagonal is merged with those near it and verified: together they must cover enough and be no
+longer than the template allows. Of a short template up to K places may be lost, as one changed
+word loses them, if its first and last ones are there; of a very short one none.
 
 The join compares the words themselves beside their hash, so that no vote comes from a collision.
 The templates are a parameter; they are broadcast while their places are fewer than
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 K = 2
 #: Diagonals of one template no further apart than this belong to one span.
 NEAR = 4
-#: Share of a template's places that a span must cover.
+#: Share of a template's places that a span must cover; of one with more than 3 K places up to K may be lost between its ends.
 COVER = 0.9
 BROADCAST_ROWS = 100_000
 
@@ -133,24 +135,36 @@ def spans(docs: DataFrame, known: DataFrame | None = None, **names: str) -> Data
         (F.max("place") + K).alias("hi"),
         F.collect_set("q").alias("qs"),
     )
-    # Diagonals of repeated places of a template (as with a word pair that it has twice) are near
-    # each other without being one span; phrases count by single diagonals only.
-    order = Window.partitionBy(*KEY, "template").orderBy("diagonal")
-    apart = F.col("base") | (F.col("diagonal") - F.lag("diagonal").over(order) > NEAR)
-    lines = lines.withColumn("block", F.sum(F.when(apart, 1).otherwise(0)).over(order))
-    merged = lines.groupBy(*KEY, "template", "label", "base", "n_grams", "block").agg(
-        F.max("n_words").alias("n_words"),
-        F.max("copies").alias("copies"),
-        F.min("lo").alias("lo"),
-        F.max("hi").alias("hi"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("qs")))).alias("covered"),
+    n, own = F.col("n_grams"), F.size("qs")
+
+    def fits(covered: Column, places: str) -> Column:
+        ends = F.array_contains(places, F.lit(0)) & F.array_contains(F.col(places), (n - 1).cast("int"))
+        return (covered / n >= COVER) | ((n > 3 * K) & (n - covered <= K) & ends)
+
+    # A template that one diagonal covers is a span by itself, and phrases are nothing else.
+    lines = lines.withColumn("alone", F.when(F.col("base"), own == n).otherwise(fits(own, "qs")))
+    # Else the heaviest diagonal among its neighbours stands for them. They are few, however many
+    # diagonals a text has, and so near that the span is short.
+    near = Window.partitionBy(*KEY, "template").orderBy("diagonal").rangeBetween(-NEAR, NEAR)
+    weight = F.struct(own.alias("own"), (-F.col("diagonal")).alias("first"))
+    lines = lines.withColumns(
+        {
+            "around": F.array_distinct(F.flatten(F.collect_list("qs").over(near))),
+            "lo_around": F.min("lo").over(near),
+            "hi_around": F.max("hi").over(near),
+            "some": F.max("alone").over(near),
+            "heaviest": F.max(weight).over(near) == weight,
+        }
     )
-    cover = F.col("covered") / F.col("n_grams")
-    length = F.col("hi") - F.col("lo")
-    verified = F.when(F.col("base"), F.col("covered") == F.col("n_grams")).otherwise(
-        (cover >= COVER) & (length <= 2 * (F.col("n_grams") + K - 1))
+    together = ~F.col("base") & F.col("heaviest") & ~F.col("some") & fits(F.size("around"), "around")
+    together &= F.col("hi_around") - F.col("lo_around") <= 2 * (n + K - 1)
+    covered = F.when(F.col("alone"), own).otherwise(F.size("around"))
+    return lines.where(F.col("template").isNull() | F.col("alone") | together).select(
+        *KEY, "template", "label", "base", "n_words", "copies",
+        F.when(F.col("alone"), F.col("lo")).otherwise(F.col("lo_around")).alias("lo"),
+        F.when(F.col("alone"), F.col("hi")).otherwise(F.col("hi_around")).alias("hi"),
+        F.least(covered / n, F.lit(1.0)).alias("cover"),
     )
-    return merged.withColumn("cover", F.least(cover, F.lit(1.0))).where(F.col("template").isNull() | verified).drop("block", "covered", "n_grams")
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, **names: str) -> DataFrame:

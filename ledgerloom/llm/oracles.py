@@ -10,6 +10,7 @@ def license_scan() -> str:
     known = [(t, label, "true") for t, label in licenses.PHRASES] + [(t, label, "false") for t, label in licenses.NOTICES]
     rows = ", ".join(f"({i}, '{t}', '{label}', {base})" for i, (t, label, base) in enumerate(known))
     k = licenses.K
+    fits = f"(len(qs) / n >= {licenses.COVER} OR n > {3 * k} AND n - len(qs) <= {k} AND list_contains(qs, 0) AND list_contains(qs, n - 1))"
     return f"""
 WITH known AS (SELECT t, string_split(phrase, ' ') AS w, label, base FROM (VALUES {rows}) AS v(t, phrase, label, base)),
 grams AS (
@@ -18,18 +19,18 @@ grams AS (
 docs AS (SELECT doc_id, {WORDS} AS w FROM documents),
 places AS (SELECT doc_id, i - 1 AS p, array_to_string(w[i:i + {k - 1}], ' ') AS gram FROM docs, unnest(range(1, len(w) - {k - 2})) AS r(i)),
 hits AS (SELECT doc_id, t, label, base, n, p, q, p - q AS d FROM places JOIN grams USING (gram)),
-exact AS (
-  SELECT doc_id, t, label, base, n, min(p) AS lo, max(p) + {k} AS hi, 1.0 AS cover
-  FROM hits WHERE base GROUP BY doc_id, t, label, base, n, d HAVING count(DISTINCT q) = n),
-steps AS (
-  SELECT *, CASE WHEN d - lag(d) OVER (PARTITION BY doc_id, t ORDER BY d) > {licenses.NEAR} THEN 1 ELSE 0 END AS far
-  FROM hits WHERE NOT base),
-blocks AS (SELECT *, sum(far) OVER (PARTITION BY doc_id, t ORDER BY d RANGE UNBOUNDED PRECEDING) AS block FROM steps),
-loose AS (
-  SELECT doc_id, t, label, base, n, min(p) AS lo, max(p) + {k} AS hi, least(1.0, count(DISTINCT q) / n) AS cover
-  FROM blocks GROUP BY doc_id, t, label, base, n, block
-  HAVING count(DISTINCT q) / n >= {licenses.COVER} AND max(p) + {k} - min(p) <= 2 * (n + {k - 1})),
-spans AS (SELECT * FROM exact UNION ALL SELECT * FROM loose),
+lines AS (
+  SELECT doc_id, t, label, base, n, d, min(p) AS lo, max(p) + {k} AS hi, list(DISTINCT q) AS qs FROM hits GROUP BY doc_id, t, label, base, n, d),
+alone AS (SELECT *, CASE WHEN base THEN len(qs) = n ELSE {fits} END AS fit FROM lines),
+around AS (
+  SELECT a.doc_id, a.t, a.label, a.base, a.n, a.d, min(b.lo) AS lo, max(b.hi) AS hi, list_distinct(flatten(list(b.qs))) AS qs,
+    bool_or(b.fit) AS any_fit, bool_or(len(b.qs) > len(a.qs) OR len(b.qs) = len(a.qs) AND b.d < a.d) AS beaten
+  FROM alone a JOIN alone b ON b.doc_id = a.doc_id AND b.t = a.t AND abs(b.d - a.d) <= {licenses.NEAR} WHERE NOT a.base
+  GROUP BY a.doc_id, a.t, a.label, a.base, a.n, a.d, a.qs),
+spans AS (
+  SELECT doc_id, t, label, base, lo, least(1.0, len(qs) / n) AS cover FROM alone WHERE fit
+  UNION ALL SELECT doc_id, t, label, base, lo, least(1.0, len(qs) / n) FROM around
+  WHERE NOT any_fit AND NOT beaten AND hi - lo <= 2 * (n + {k - 1}) AND ({fits})),
 found AS (
   SELECT doc_id, count(*) FILTER (base) AS n_base, min(lo) FILTER (base) AS first_word, max(lo) FILTER (base) AS last_word,
     string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
@@ -41,16 +42,11 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
 FROM docs LEFT JOIN found USING (doc_id)"""
 
 
-def quality_rules() -> str:
-    def bit(names) -> str:
-        return " + ".join(f"CASE WHEN {quality.RULES[r]} THEN {1 << list(quality.RULES).index(r)} ELSE 0 END" for r in names)
-
-    def any_of(policy: str) -> str:
-        return " OR ".join(f"({quality.RULES[r]})" for r in quality.POLICIES[policy])
-
+def measures() -> str:
+    """Common table expressions up to m, the measurements of each document."""
     return rf"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-words AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
+words AS (SELECT doc_id, text, regexp_replace(text, '{quality.UNSPACED.pattern}', ' ', 'g') AS spaced, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
 windows AS (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS g FROM words, unnest(range(1, len(w) - 1)) AS r(i)),
 twice AS (SELECT doc_id, unnest(list(i)) AS i FROM windows GROUP BY doc_id, g HAVING count(*) > 1),
 repeated AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, unnest(range(3)) AS r(k) GROUP BY doc_id),
@@ -64,14 +60,37 @@ m AS (
     CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
     coalesce(n_lines, 0) AS n_lines,
     length(regexp_replace(text, '[\x00-\x40\x5B-\x60\x7B-\x7F]', '', 'g')) AS n_letters,
-    length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals
-  FROM words LEFT JOIN repeated USING (doc_id) LEFT JOIN line_counts USING (doc_id))
+    length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals,
+    len(regexp_extract_all(spaced, '[^\x20\x09-\x0D]+')) AS n_spaced_words,
+    length(regexp_replace(spaced, '[\x20\x09-\x0D]', '', 'g')) AS spaced_chars
+  FROM words LEFT JOIN repeated USING (doc_id) LEFT JOIN line_counts USING (doc_id))"""
+
+
+def _any_of(rules) -> str:
+    return " OR ".join(f"({quality.RULES[r]})" for r in rules) or "false"
+
+
+def quality_rules() -> str:
+    bit = " + ".join(f"CASE WHEN {condition} THEN {1 << i} ELSE 0 END" for i, condition in enumerate(quality.RULES.values()))
+    base, v3 = (_any_of(quality.POLICIES[p]) for p in ("base", "v3"))
+    return f"""{measures()}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  {any_of("base")} AS base_failed, NOT ({any_of("base")} OR {any_of("v2")}) AS kept,
-  CAST({bit(quality.RULES)} AS BIGINT) AS failed_mask
+  {base} AS base_failed, NOT ({base} OR {v3}) AS kept, CAST({bit} AS BIGINT) AS failed_mask
 FROM m"""
 
 
+def quality_ablations() -> str:
+    parts = []
+    for policy, rules in quality.POLICIES.items():
+        for rule in rules:
+            others = _any_of(r for r in rules if r != rule)
+            parts.append(
+                f"SELECT '{policy}' AS policy, '{rule}' AS rule, count(*) FILTER ({quality.RULES[rule]}) AS n_failed, "
+                f"count(*) FILTER (({quality.RULES[rule]}) AND NOT ({others})) AS n_failed_alone, count(*) FILTER (NOT ({others})) AS n_kept_without FROM m"
+            )
+    return measures().replace("m AS (", "m AS MATERIALIZED (") + " UNION ALL ".join(parts)
+
+
 def url_reputation() -> str:
     r = reputation
     host = LOWER.format(r"coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '')")
@@ -113,7 +132,7 @@ FROM p JOIN b USING (host)"""
 def decontamination() -> str:
     return f"""
 WITH docs AS (SELECT doc_id, {WORDS} AS w FROM documents),
-items AS (SELECT item_id, {WORDS} AS w, least(13, len({WORDS})) AS n FROM benchmark WHERE item_id IS NOT NULL),
+items AS (SELECT item_id, {WORDS} AS w, least(13, len({WORDS})) AS n FROM benchmark),
 item_windows AS (
   SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM items, unnest(range(1, len(w) - n + 2)) AS r(i) WHERE n > 0),
 widths AS (SELECT DISTINCT n FROM item_windows),
@@ -166,6 +185,7 @@ FROM nodes n JOIN sums s USING (path) LEFT JOIN children USING (path) LEFT JOIN
 ORACLES = {
     "op1_license_scan": license_scan(),
     "op3_quality_rules": quality_rules(),
+    "quality_ablations": quality_ablations(),
     "op5_url_reputation": url_reputation(),
     "op7_decontamination": decontamination(),
     "op13_prefix_trie": prefix_trie(),

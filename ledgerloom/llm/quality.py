@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ledgerloom.llm.common import text_blocks
+from ledgerloom.llm.common import free_name, text_blocks
 
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_capitals",
@@ -42,7 +42,8 @@ UNSPACED = re.compile(
     "\ua9e0-\ua9ff\uaa60-\uaadf\uf900-\ufaff\ufe30-\ufe4f\uff00-\uffef\U0001aff0-\U0001b16f\U00020000-\U0003ffff]+"
 )
 
-#: Rule name -> SQL condition under which a document fails; the bit of a rule is its place in this table.
+#: Rule name -> SQL condition under which a document fails. The bit of a rule is its place in this table: rules are
+#: only ever added at the end, so that a stored ledger serves every policy, later ones too.
 RULES: dict[str, str] = {
     "few_words": "n_words < 50",
     "repeated_phrases": "100 * n_repeat_words > 50 * n_words",
@@ -53,19 +54,18 @@ RULES: dict[str, str] = {
     "repeated_lines": "100 * n_dup_lines > 40 * n_lines",
     "few_letters": "100 * n_letters < 40 * word_chars",
     "capitals": "100 * n_capitals > 60 * n_letters",
-}
-
-#: The rules of v3, a table of its own with bits of its own: no text is rejected for its size, and long words count where blanks part words.
-RULES_V3: dict[str, str] = {name: condition for name, condition in RULES.items() if name not in ("many_words", "long_words")} | {
     "long_spaced_words": "spaced_chars > 20 * n_spaced_words",
+    "no_words": "n_words = 0",
 }
 
-#: Policy version -> rules that reject a document under it.
+#: Policy version -> rules that reject a document under it. v3 rejects no text for its length in words, and counts
+#: long words only where blanks part words; v4 keeps short texts too.
 POLICIES: dict[str, tuple[str, ...]] = {
     "base": ("few_words", "repeated_phrases"),
     "v1": ("few_words", "repeated_phrases", "symbols", "repeated_lines"),
-    "v2": tuple(RULES),
-    "v3": tuple(RULES_V3),
+    "v2": ("few_words", "repeated_phrases", "many_words", "short_words", "long_words", "symbols", "repeated_lines", "few_letters", "capitals"),
+    "v3": ("few_words", "repeated_phrases", "short_words", "symbols", "repeated_lines", "few_letters", "capitals", "long_spaced_words"),
+    "v4": ("no_words", "repeated_phrases", "short_words", "symbols", "repeated_lines", "few_letters", "capitals", "long_spaced_words"),
 }
 
 
@@ -116,31 +116,31 @@ def measurements(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, f"`{id_col}` {kind}, " + ", ".join(f"{m} bigint" for m in MEASURES))
 
 
-def bits(rules: dict[str, str] | None = None) -> Column:
-    """The mask of the rules that a row of measurements fails."""
-    rules = RULES if rules is None else rules
-    if len(rules) > 63:
+def bits(conditions: list[str] | None = None) -> Column:
+    """The mask of the rules that a row of measurements fails; conditions are those of RULES, or the same over other columns."""
+    conditions = list(RULES.values()) if conditions is None else conditions
+    if len(conditions) > 63:
         raise ValueError("a mask holds 63 rules")
     out = F.lit(0).cast("long")
-    for bit, condition in enumerate(rules.values()):
+    for bit, condition in enumerate(conditions):
         out = out.bitwiseOR(F.when(F.expr(condition), F.lit(1 << bit).cast("long")).otherwise(F.lit(0).cast("long")))
     return out
 
 
-def mask(policy: tuple[str, ...], rules: dict[str, str] | None = None) -> int:
-    names = list(RULES if rules is None else rules)
+def mask(policy: tuple[str, ...]) -> int:
+    names = list(RULES)
     return sum(1 << names.index(name) for name in policy)
 
 
-def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: dict[str, str] | None = None) -> DataFrame:
+def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, measurements, failed): failed is the mask of the failed rules."""
-    return measurements(docs, id_col, text_col).withColumn("failed", bits(rules))
+    return measurements(docs, id_col, text_col).withColumn("failed", bits())
 
 
-def fails(policy: str | tuple[str, ...], failed: str = "failed", rules: dict[str, str] | None = None) -> Column:
+def fails(policy: str | tuple[str, ...], failed: str = "failed") -> Column:
     """Whether a ledger row is rejected under a policy (a version of POLICIES or rule names)."""
     names = POLICIES[policy] if isinstance(policy, str) else policy
-    return F.col(failed).bitwiseAND(F.lit(mask(names, rules)).cast("long")) != 0
+    return F.col(failed).bitwiseAND(F.lit(mask(names)).cast("long")) != 0
 
 
 def ablations(book: DataFrame, policy: str | tuple[str, ...], failed: str = "failed") -> DataFrame:
@@ -163,16 +163,16 @@ def ablations(book: DataFrame, policy: str | tuple[str, ...], failed: str = "fai
     )
 
 
-def kept(docs: DataFrame, policy: str | tuple[str, ...], text_col: str = "text", rules: dict[str, str] | None = None) -> DataFrame:
-    """The rows, with all their columns, that a policy keeps; rules are those that the policy names.
+def kept(docs: DataFrame, policy: str | tuple[str, ...], text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, that a policy keeps.
 
     The measurements come from a column function, so that no other column passes through Python.
     """
-    ledger_row = measured(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    fields = {m: f"__ledger.{m}" for m in MEASURES}
-    with_row = docs.withColumn("__ledger", ledger_row)
-    failed = bits({name: _inside(condition, fields) for name, condition in (RULES if rules is None else rules).items()})
-    return with_row.withColumn("__failed", failed).where(~fails(policy, "__failed", rules)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    book, failed = free_name(docs, "ledger"), free_name(docs, "failed")
+    fields = {m: f"`{book}`.{m}" for m in MEASURES}
+    with_row = docs.withColumn(book, measured(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    with_row = with_row.withColumn(failed, bits([_inside(condition, fields) for condition in RULES.values()]))
+    return with_row.where(~fails(policy, failed)).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def _inside(condition: str, fields: dict[str, str]) -> str:

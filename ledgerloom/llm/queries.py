@@ -1,13 +1,14 @@
 """The registered queries of the operators in this subpackage."""
 
 import os
+from functools import reduce
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.oracles import ORACLES  # noqa: F401
-from ledgerloom.llm import alignment, bpe, licenses, packing, pii, prefixtrie, quality, reputation, simhash, tokenfile, toxicity, warc, winnow
+from ledgerloom.llm import alignment, bpe, common, licenses, packing, pii, prefixtrie, quality, reputation, simhash, tokenfile, toxicity, warc, winnow
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
@@ -33,11 +34,18 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         *quality.MEASURES[:5],
         base.alias("base_failed"),
-        (~base & ~quality.fails("v2")).alias("kept"),
+        (~base & ~quality.fails("v3")).alias("kept"),
         F.col("failed").alias("failed_mask"),
     )
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy costs, from one ledger."""
+    book = common.materialize(quality.ledger(table(spark, sf_dir, "documents")).select("failed"), "ledger")
+    parts = [quality.ablations(book, policy).withColumn("policy", F.lit(policy)) for policy in quality.POLICIES]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived records of every page, as read from the files that they were written to."""
     made = warc.derive_pages(table(spark, sf_dir, "pages"))
@@ -111,6 +119,7 @@ QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
+    "quality_ablations": quality_ablations,
     "op4_warc_derivatives": op4_warc_derivatives,
     "op5_url_reputation": op5_url_reputation,
     "op6_personal_data": op6_personal_data,

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import materialize, new_path, remove, text_blocks
+from ledgerloom.llm.common import free_name, materialize, new_path, remove, text_blocks
 
 THRESHOLD = 2
 SHINGLE = 3
@@ -170,13 +170,15 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Of rows that repeat both, the one that sorts first by its other columns stays.
     """
-    chosen = near_duplicates(docs, id_col, text_col).where("is_first").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    key, other, digest = (free_name(docs, n) for n in ("body_hash", "first_id", "first_hash"))
+    chosen = near_duplicates(docs, id_col, text_col).where("is_first").select(F.col("doc_id").alias(other), F.col("text_hash").alias(digest)).distinct()
     body = F.xxhash64(F.col(text_col).cast("string"))
-    kept = docs.withColumn("__key", body).join(chosen, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__hash")), "leftsemi")
-    return one_each(kept, [id_col, "__key"]).drop("__key")
+    kept = docs.withColumn(key, body).join(chosen, F.col(id_col).eqNullSafe(F.col(other)) & (F.col(key) == F.col(digest)), "leftsemi")
+    return one_each(kept, [id_col, key]).drop(key)
 
 
 def one_each(docs: DataFrame, key: list[str]) -> DataFrame:
     """The first row of each key, by a hash of all columns."""
+    place = free_name(docs, "place")
     order = [F.xxhash64(*(c for c in docs.columns))]
-    return docs.withColumn("__row", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("__row = 1").drop("__row")
+    return docs.withColumn(place, F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where(F.col(place) == 1).drop(place)

@@ -13,8 +13,9 @@ leaves out only fingerprints that no item has. The test fingerprints are broadca
 are fewer than BROADCAST_ROWS; more of them are joined by a shuffle.
 
 Null texts have no words. Rows are told apart by identifier and text; rows that repeat both get
-one result each. Null identifiers are kept. Items with null identifier or no words match
-nothing; an item that repeats counts once. Empty tables on either side are allowed.
+one result each. Null identifiers are kept. Passages of items with null identifier are hits, but
+no item is counted for them; items without words match nothing; an item that repeats counts
+once. Empty tables on either side are allowed.
 """
 
 from collections.abc import Iterator
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import text_blocks
+from ledgerloom.llm.common import free_name, text_blocks
 
 GUARANTEE = 13
 K = 4
@@ -213,7 +214,7 @@ def spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     """
     spark = docs.sparkSession
     text = F.col(item_text_col).cast("string")
-    tests = items.where(F.col(item_col).isNotNull()).select(F.col(item_col).alias("item_id"), text.alias("__text"))
+    tests = items.select(F.col(item_col).alias("item_id"), text.alias("__text"))
     kind = tests.schema["item_id"].dataType.simpleString()
     tests = _fingerprint_stage(tests, f"item_id {kind}", None, 1).select("fp", "width", "around", "item_id").distinct().persist()
     try:
@@ -231,11 +232,11 @@ def spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(body).alias("text_hash"), body.alias("__text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     found = _fingerprint_stage(rows, f"doc_id {kind}, text_hash bigint", shorts, 0, slots, summary=True)
-    right = tests.withColumnRenamed("around", "there")
+    right = tests.withColumnRenamed("around", "there").withColumn("found", F.lit(True))
     if n_tests <= BROADCAST_ROWS:
         right = F.broadcast(right)
     # The summary rows have width 0, which no item has; they pass the outer join.
-    joined = found.join(right, ["fp", "width"], "left").where((F.col("width") == 0) | F.col("item_id").isNotNull())
+    joined = found.join(right, ["fp", "width"], "left").where((F.col("width") == 0) | F.col("found"))
     hit = _extended("there")
     out = joined.select(
         "doc_id",
@@ -298,6 +299,7 @@ def per_document(docs: DataFrame, items: DataFrame, **names: str) -> DataFrame:
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, whose text is not contaminated."""
     found = contamination(docs, items, id_col=id_col, text_col=text_col).where("contaminated")
-    found = found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__hash"))
+    key, digest = free_name(docs, "id"), free_name(docs, "hash")
+    found = found.select(F.col("doc_id").alias(key), F.col("text_hash").alias(digest))
+    same = F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(F.col(text_col).cast("string")) == F.col(digest))
     return docs.join(found, same, "leftanti")

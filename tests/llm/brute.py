@@ -54,7 +54,7 @@ def contamination(docs, items):
             for i in range(len(w) - n + 1):
                 if (k := tuple(w[i : i + n])) in windows:
                     hit.update(range(i, i + n))
-                    found |= windows[k]
+                    found |= windows[k] - {"None"}
         out.append((len(w), len(hit), len(found), sha(",".join(sorted(found))), len(hit) > 0 and 20 * len(hit) >= len(w)))
     return out
 

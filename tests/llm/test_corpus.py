@@ -71,6 +71,29 @@ def test_license_span_survives_changes(spark):
     assert {r["doc_id"]: r["labels"] for r in rows.collect()} == {1: "bsd", 2: ""}
 
 
+def test_license_spans_stand_by_themselves(spark):
+    """Repeated word pairs before a notice, one changed word in a short notice, and notices that are other ones."""
+    texts = [
+        (1, "the mit the mit the mit the mit released under the mit license", "mit,mit-notice"),
+        (2, "licensed under the new apache license version 2 0", "apache,apache-2.0"),
+        (3, "licensed under the gnu general public license version 3", "gpl,gpl-3.0"),
+        (4, "licensed under the gnu general common public license version 2", "gpl-2.0"),
+        (5, "licensed under cc by nc 4 0", "cc-by,cc-by-nc-4.0"),
+        (6, "released under the mit license released under the mit license", "mit,mit-notice"),
+        (7, "the mit " * 3000 + "under the license", ""),
+        (8, "licensed under the general license version 2", ""),
+    ]
+    rows = licenses.scan(spark.createDataFrame([t[:2] for t in texts], "doc_id int, text string")).collect()
+    assert {r["doc_id"]: r["labels"] for r in rows} == {i: labels for i, _, labels in texts}
+    assert {r["doc_id"]: r["n_spans"] for r in rows}[6] == 4
+
+
+def test_license_join_by_shuffle(docs, monkeypatch):
+    expected = ordered(licenses.scan(docs).collect())
+    monkeypatch.setattr(licenses, "BROADCAST_ROWS", -1)
+    assert ordered(licenses.scan(docs).collect()) == expected
+
+
 def test_license_plan_has_no_python(docs):
     plan = licenses.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
@@ -120,13 +143,13 @@ def test_quality(docs, none):
 
 def test_quality_ablations(docs):
     book = [r["failed"] for r in quality.ledger(docs).collect()]
-    names = quality.POLICIES["v2"]
     bit = {n: 1 << i for i, n in enumerate(quality.RULES)}
-    whole = sum(bit[n] for n in names)
-    expected = [
-        (n, sum(m & bit[n] > 0 for m in book), sum(m & whole == bit[n] for m in book), sum(m & whole & ~bit[n] == 0 for m in book)) for n in names
-    ]
-    assert ordered(quality.ablations(quality.ledger(docs), "v2").collect()) == ordered(expected)
+    for policy, names in quality.POLICIES.items():
+        whole = sum(bit[n] for n in names)
+        expected = [
+            (n, sum(m & bit[n] > 0 for m in book), sum(m & whole == bit[n] for m in book), sum(m & whole & ~bit[n] == 0 for m in book)) for n in names
+        ]
+        assert ordered(quality.ablations(quality.ledger(docs), policy).collect()) == ordered(expected)
 
 
 def test_quality_keeps_long_and_unspaced_texts(spark):
@@ -143,8 +166,27 @@ def test_quality_keeps_long_and_unspaced_texts(spark):
     assert kept.columns == rows.columns and {r["doc_id"] for r in kept.collect()} == {1, 2, 3}
 
 
+def test_clashing_names(spark, items):
+    """Columns with the names that the operators give their own."""
+    names = ["__ledger", "ledger", "failed", "LEDGER_", "id", "hash", "body_hash", "first_id", "first_hash", "place", "__key", "__row", "__id"]
+    schema = "doc_id bigint, text string, " + ", ".join(f"`{n}` string" for n in names)
+    long = " ".join(f"word{i} stands here" for i in range(60))
+    rows = [(1, long, *names), (2, long, *names), (3, PASSAGE, *names), (3, PASSAGE, *names), (None, None, *names)]
+    docs = spark.createDataFrame(rows, schema)
+    for out, ids in ((quality.kept(docs, "v4"), [1, 2, 3, 3]), (simhash.keep_first(docs), [1, 3, None]), (winnow.clean(docs, items), [1, 2, None])):
+        assert out.columns == docs.columns
+        found = out.collect()
+        assert ordered((r["doc_id"],) for r in found) == ordered((i,) for i in ids) and all(tuple(r)[2:] == tuple(names) for r in found)
+
+
+def test_items_without_identifier_count(spark):
+    docs = spark.createDataFrame([(1, PASSAGE), (2, "nothing of it")], "doc_id int, text string")
+    rows = winnow.per_document(docs, spark.createDataFrame([(None, PASSAGE)], "item_id int, text string")).orderBy("doc_id").collect()
+    assert [(r["n_hit"] > 0, r["n_items"], r["contaminated"]) for r in rows] == [(True, 0, True), (False, 0, False)]
+
+
 def test_winnowing(docs, none, items):
-    expected = brute.contamination([t for _, t in TEXTS], [x for x in ITEMS if x[0] is not None])
+    expected = brute.contamination([t for _, t in TEXTS], ITEMS)
     rows = winnow.per_document(docs, items).collect()
     assert ordered(rows) == ordered((i, *x) for (i, _), x in zip(TEXTS, expected))
     assert winnow.per_document(none, items).count() == 0
@@ -173,7 +215,7 @@ def test_winnowing_finds_every_long_span(spark):
 
 def test_winnowing_by_shuffle(docs, items, monkeypatch):
     monkeypatch.setattr(winnow, "BROADCAST_ROWS", -1)
-    expected = brute.contamination([t for _, t in TEXTS], [x for x in ITEMS if x[0] is not None])
+    expected = brute.contamination([t for _, t in TEXTS], ITEMS)
     assert ordered(winnow.per_document(docs, items).collect()) == ordered((i, *x) for (i, _), x in zip(TEXTS, expected))
 
 
