@@ -9,7 +9,7 @@ from ledgerloom.llm import bpe, common, pii, quality, queries, simhash, winnow
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule of the current policy rejects."""
-    return quality.kept(docs, "v3", rules=quality.RULES_V3)
+    return quality.kept(docs, "v4")
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
