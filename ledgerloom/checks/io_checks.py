@@ -74,9 +74,9 @@ select strftime(o_orderdate, '%Y-%m') as report_month, o_custkey as customer, co
 from orders where strftime(o_orderdate, '%Y-%m') between '1992-01' and '2001-12' group by 1, 2, year(o_orderdate)""")
 def _(t):
     """Months are stored with one column, then those from 1995 with a further one; all are read back."""
-    path = _place(t, "months")
-    wr.read_or_compute_month(t.spark, path, _ALL, lambda m: _by_month(t, m, "n"), ["n"])
-    wr.read_or_compute_month(t.spark, path, [m for m in _ALL if m >= "1995"], lambda m: _by_month(t, m, "n", "newest"), ["n", "newest"])
+    path, made_from = _place(t, "months"), wr.inputs_fingerprint(t.orders)
+    wr.read_or_compute_month(t.spark, path, _ALL, lambda m: _by_month(t, m, "n"), ["n"], fingerprint=made_from)
+    wr.read_or_compute_month(t.spark, path, [m for m in _ALL if m >= "1995"], lambda m: _by_month(t, m, "n", "newest"), ["n", "newest"], fingerprint=made_from)
     return wr.read_months(t.spark, path).select("report_month", "customer", "n", "newest")
 
 

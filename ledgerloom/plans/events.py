@@ -26,7 +26,8 @@ def first_event_cohort(events: DataFrame, year: int, keys=("segment", "inn"), gr
 def prior_events_before_each_target(events: DataFrame, target: str, groups, exact=None) -> DataFrame:
     """Target events and keys with earlier events, overall and per code group, by segment.
 
-    Earlier means on an earlier day; events of the target's own group never count.
+    Earlier means on an earlier day; events of the target's own group never count. The running
+    sums see a key once a day, so its rows are bounded by the calendar.
     """
     is_target = F.trim("code").startswith(target)
     group = prefix_group("code", groups, exact)
@@ -85,12 +86,38 @@ def _reach(events: DataFrame, days: int) -> DataFrame:
     ).drop("_run")
 
 
-def predecessor_stats(events: DataFrame, targets: DataFrame, date_from, date_to, days: int = 365) -> DataFrame:
+def counted_to(marks: DataFrame, anchors: DataFrame, keys, sums, start, end, blocks: int) -> DataFrame:
+    """Running sums of the anchors at every mark, by two levels, so that a key's marks lie in up to ``blocks`` tasks.
+
+    The period is cut into blocks of days. An anchor day adds to its block's sums; running sums over
+    blocks, of which a key has few, give what stands before each block and enter it as one row.
+    Within a block the marks follow by day and step. Marks before or after the period belong to the
+    first or last block, and a mark without a day counts nothing.
+    """
+    length = F.greatest(F.datediff(end, start) + 1, F.lit(1))
+    place = F.floor(F.datediff("day", start) * blocks / length).cast("int")
+    block = F.greatest(F.lit(0), F.least(F.lit(blocks - 1), place))
+    totals = anchors.withColumn("day", F.col("dt")).groupBy(*keys, block.alias("_block")).agg(*[F.sum(c).alias(c) for c in sums])
+    by_block = Window.partitionBy(*keys).orderBy("_block")
+    upto = by_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seeds = totals.select(*keys, "_block", F.lead("_block").over(by_block).alias("_next"), *[F.sum(c).over(upto).alias(c) for c in sums])
+    seeds = seeds.filter(F.col("_block") < blocks - 1).select(
+        *keys, F.explode(F.sequence(F.col("_block") + 1, F.coalesce("_next", F.lit(blocks - 1)))).alias("_block"), *sums
+    )
+    both = marks.withColumn("_block", F.when(F.col("day").isNull(), 0).otherwise(block)).unionByName(seeds, allowMissingColumns=True)
+    # A seed has no day and so comes first in its block.
+    running = Window.partitionBy(*keys, "_block").orderBy("day", "step").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return both.withColumns({f"c{c}": F.coalesce(F.sum(c).over(running), F.lit(0)) for c in sums})
+
+
+def predecessor_stats(
+    events: DataFrame, targets: DataFrame, date_from, date_to, days: int = 365, blocks: int = 16
+) -> DataFrame:
     """Per preceding code: target cases, keys, and the rate of targets among all events it precedes.
 
     An event precedes another of the same key if it lies 1 to ``days`` days before
     it. Target codes are never predecessors. The number of events inside a range is
-    the difference of running counts at its ends.
+    the difference of running counts at its ends; they are taken in ``blocks`` parts of the period.
     """
     start, end = F.lit(date_from).cast("date"), F.lit(date_to).cast("date")
     wanted = targets.select("segment", "type", "code").distinct().withColumn("_wanted", F.lit(1))
@@ -114,12 +141,7 @@ def predecessor_stats(events: DataFrame, targets: DataFrame, date_from, date_to,
             allowMissingColumns=True,
         )
     )
-    running = Window.partitionBy("inn", "segment").orderBy("day", "step").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    counted = marks.withColumns(
-        {"cn": F.coalesce(F.sum("n").over(running), F.lit(0)), "ct": F.coalesce(F.sum("t").over(running), F.lit(0))}
-    ).filter("sign is not null")
+    counted = counted_to(marks, anchors, ["inn", "segment"], ["n", "t"], start, end, blocks).filter("sign is not null")
     per_key = counted.groupBy("segment", "type", "code", "inn").agg(
         F.sum(F.col("sign") * F.col("ct")).alias("cases"), F.sum(F.col("sign") * F.col("cn")).alias("anchors")
     )

@@ -218,6 +218,25 @@ def test_predecessors_match_brute_force_with_a_hot_key(spark):
     assert sum(r.target_events_with_predecessor for r in summary) == with_prior
 
 
+def test_running_counts_of_a_hot_key_are_taken_in_blocks(spark):
+    base = dt.date(2026, 1, 1)
+    rng = random.Random(11)
+    anchors = [("hot", base + dt.timedelta(d), 1 + d % 3, d % 2) for d in range(64)] + [("few", base + dt.timedelta(5), 2, 1)]
+    marks = [(k, None, None, d, 1, n, t) for k, d, n, t in anchors]
+    marks += [("hot", f"c{i}", 1, base + dt.timedelta(rng.randrange(-20, 90)), rng.choice([0, 2]), None, None) for i in range(4000)]
+    marks += [("few", "c", 1, base + dt.timedelta(d), s, None, None) for d in (-1, 4, 5, 6, 30, 70) for s in (0, 2)] + [("few", "c", 1, None, 0, None, None)]
+    df = spark.createDataFrame(marks, "inn string, code string, sign int, day date, step int, n int, t int")
+    days = spark.createDataFrame(anchors, "inn string, dt date, n int, t int")
+    start, end = F.lit(base), F.lit(base + dt.timedelta(63))
+    out = ev.counted_to(df, days, ["inn"], ["n", "t"], start, end, 16)
+    for r in out.filter("sign is not null").collect():
+        upto = [a for a in anchors if a[0] == r.inn and r.day and (a[1] < r.day or a[1] == r.day and r.step > 1)]
+        assert (r.cn, r.ct) == (sum(a[2] for a in upto), sum(a[3] for a in upto))
+    sizes = [r["count"] for r in out.filter("inn = 'hot'").groupBy("_block").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 4100 / 3
+    assert "_block" in plan(out).split("Window [")[1].split("\n")[0]
+
+
 def test_similar_names_find_every_pair(spark):
     rng = random.Random(11)
     def name():
@@ -434,6 +453,63 @@ def test_months_are_stored_once_and_recomputed_when_missing(spark, tmp_path):
     assert calls[2:] == [["2026-01"], ["2026-02"]] and wr.read_months(spark, path).count() == 9
 
 
+def test_changed_inputs_recompute_their_months(spark, tmp_path):
+    path, source, calls = str(tmp_path / "mart"), str(tmp_path / "source"), []
+
+    def compute(months):
+        calls.append(list(months))
+        return spark.read.parquet(source).filter(F.col("report_month").isin(*months))
+
+    def stored():
+        table = spark.read.parquet(source)
+        return wr.read_or_compute_month(spark, path, months, compute, ["v"], fingerprint=wr.inputs_fingerprint(table))
+
+    months = ["2026-01", "2026-02", "2026-03"]
+    spark.createDataFrame([("2026-01", 1), ("2026-02", 2)], "report_month string, v int").write.parquet(source)
+    for _ in range(2):
+        assert {tuple(r) for r in stored().select("report_month", "v").collect()} == {("2026-01", 1), ("2026-02", 2)}
+    before = wr.read_months(spark, path)
+    assert calls == [months]  # the month without rows is known to be empty
+    spark.createDataFrame([("2026-03", 3)], "report_month string, v int").write.mode("append").parquet(source)
+    assert {tuple(r) for r in stored().select("report_month", "v").collect()} == {("2026-01", 1), ("2026-02", 2), ("2026-03", 3)}
+    assert calls == [months, months] and before.count() == 2
+    assert {m: e["rows"] for m, e in wr.month_entries(spark, path).items()} == {"2026-01": 1, "2026-02": 1, "2026-03": 1}
+
+
+def test_two_writers_of_a_month_do_not_mix(spark, tmp_path):
+    path = str(tmp_path / "mart")
+
+    def rows(v):
+        return lambda months: spark.createDataFrame([(m, v) for m in months for _ in range(2)], "report_month string, v int")
+
+    def slower(fingerprint):
+        def run(months):
+            wr.read_or_compute_month(spark, path, months, rows(7), ["v"], fingerprint="a", force=True)
+            return rows(8)(months)
+
+        return wr.read_or_compute_month(spark, path, ["2026-01"], run, ["v"], fingerprint=fingerprint, force=True)
+
+    assert [r.v for r in slower("a").collect()] == [7, 7]  # the same inputs: the first writer's rows stay
+    with pytest.raises(RuntimeError, match="another writer"):
+        slower("b")
+    assert [r.v for r in wr.read_months(spark, path).collect()] == [7, 7]
+    assert not wr._commit(spark, path, 1, {})  # a version is made once
+    (tmp_path / "mart" / "manifest" / "draft-lost").touch()  # a writer that was lost before its version was in place
+    out = wr.read_or_compute_month(spark, path, ["2026-01"], rows(9), ["v"], fingerprint="c")
+    assert [r.v for r in out.collect()] == [9, 9]
+    def others_month(months):
+        wr.read_or_compute_month(spark, path, ["2026-02"], rows(1), fingerprint="d")
+        return rows(2)(months)
+
+    wr.read_or_compute_month(spark, path, ["2026-03"], others_month, fingerprint="e")  # writers of other months both enter theirs
+    assert {r.report_month: r.v for r in wr.read_months(spark, path).collect()} == {"2026-01": 9, "2026-02": 1, "2026-03": 2}
+    with pytest.raises(ValueError, match="in stored months"):
+        wr.write_month(spark.createDataFrame([("2026-05", "x")], "report_month string, v string"), path)
+        wr.read_months(spark, path)
+    with pytest.raises(ValueError, match="without a month"):
+        wr.write_month(spark.createDataFrame([(None, 1)], "report_month string, v int"), str(tmp_path / "other"))
+
+
 def test_publish_and_export(spark, tmp_path):
     df = spark.createDataFrame([(1, None), (2, "x")], "Id int, v string")
     spark.sql(f"create database if not exists loom location '{tmp_path}/loom'")
