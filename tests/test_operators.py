@@ -93,6 +93,25 @@ def test_exact_quantiles_with_a_hot_value(spark):
         assert np.allclose(list(r)[1:], np.quantile(values[groups == r.g], probs))
 
 
+def test_quantile_bounds_are_narrowed_until_few_values_are_left(spark, monkeypatch):
+    monkeypatch.setattr(qt, "CUTS", 8)
+    ranked = []
+    kept = qt.narrowed
+    monkeypatch.setattr(qt, "narrowed", lambda parts, by, probs, limit: ranked.append(kept(parts, by, probs, limit)) or ranked[-1])
+    rng = np.random.default_rng(8)
+    values = np.concatenate([np.exp(rng.normal(size=6000) * 4), np.full(900, 1.5), -rng.random(300)])
+    groups = np.where(np.arange(values.size) % 5 == 0, "x", "y")
+    groups[:60] = ""
+    df = spark.createDataFrame(pd.DataFrame({"g": groups, "v": values})).withColumn("g", F.nullif("g", F.lit("")))
+    probs = (0.0, 0.05, 0.5, 0.5001, 0.93, 1.0)
+    row = qt.exact_quantiles(df, "v", probs, accuracy=20, limit=15).first()
+    assert np.allclose(list(row), np.quantile(values, probs))
+    for r in qt.exact_quantiles(df, "v", probs, ["g"], accuracy=20, limit=15).filter("g is not null").collect():
+        assert np.allclose(list(r)[1:], np.quantile(values[groups == r.g], probs))
+    for parts, keys in zip(ranked, (["_i"], ["g", "_i"])):
+        assert parts.groupBy(*keys).count().agg(F.max("count")).first()[0] <= 15 + 2
+
+
 def test_list_per_key_has_one_shape_for_any_size(spark):
     hot = spark.range(20_001).select(F.lit("hot").alias("k"), F.col("id").cast("string").alias("v"))
     few = spark.createDataFrame([("cold", "5"), ("cold", "4"), ("cold", "5"), ("cold", "nan"), ("cold", " "), ("gone", "None")], "k string, v string")
