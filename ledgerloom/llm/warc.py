@@ -9,8 +9,9 @@ that were lost leave at most files that nobody reads.
 
 Nothing is shuffled: every record is made in the task that reads its source.
 
-A record that cannot be parsed, or is no response, gives no derived records but one row with
-its error. Null urls and null pages are empty. Rows that repeat give records of their own with
+Chunked, gzip and deflate codings of a page are undone. Of a header that repeats the metadata
+hold a list of all values. A record that cannot be parsed, has another coding, or is no response,
+gives no derived records but one row with its error. Null urls and null pages are empty. Rows that repeat give records of their own with
 equal identifiers. Empty tables give no records. Text of pages is decoded by the charset of the
 HTTP header, UTF-8 by default, with replacement.
 """
@@ -49,21 +50,89 @@ def _one_line(text: str) -> str:
     return re.sub(r"[\r\n]+", " ", text)
 
 
-def _headers(raw: bytes) -> dict[str, str]:
-    """Header names in lower case; a line that begins with a blank continues the one before."""
-    out: dict[str, str] = {}
+class Headers(dict):
+    """Values by names in lower case, the last one where a name repeats; ``all`` keeps every value in order."""
+
+    def __init__(self):
+        super().__init__()
+        self.values_of: dict[str, list[str]] = {}
+
+    def all(self) -> dict[str, str | list[str]]:
+        """A name's value, or the list of its values where it repeats."""
+        return {name: values[0] if len(values) == 1 else values for name, values in self.values_of.items()}
+
+
+def _headers(raw: bytes) -> Headers:
+    """The headers of a block of lines; a line that begins with a blank continues the one before."""
+    out = Headers()
     last = ""
     for line in raw.decode("utf-8", "replace").split("\r\n"):
         if line[:1] in (" ", "\t") and last:
-            out[last] += " " + line.strip()
+            out.values_of[last][-1] += " " + line.strip()
         elif ":" in line:
             name, value = line.split(":", 1)
             last = name.strip().lower()
-            out[last] = value.strip()
+            out.values_of.setdefault(last, []).append(value.strip())
+    out.update({name: values[-1] for name, values in out.values_of.items()})
     return out
 
 
-def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
+def _unchunked(body: bytes) -> bytes:
+    """A body without its chunk sizes; ValueError if they do not fit."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].split(b";")[0].strip()
+        if end < 0 or not re.fullmatch(rb"[0-9A-Fa-f]+", size):
+            raise ValueError("damaged chunk")
+        length, at = int(size, 16), end + 2
+        if not length:
+            return b"".join(out)
+        if body[at + length : at + length + 2] != b"\r\n":
+            raise ValueError("damaged chunk")
+        out.append(body[at : at + length])
+        at += length + 2
+
+
+def _inflated(body: bytes, kind: str) -> bytes:
+    """A body without a gzip or deflate coding; deflate also without its zlib frame, as some servers send it."""
+    if not body:
+        return body
+    if kind == "gzip":
+        out = []
+        while body:
+            part = zlib.decompressobj(31)
+            out.append(part.decompress(body) + part.flush())
+            if not part.eof:
+                raise ValueError("content ends within its coding")
+            body = part.unused_data.lstrip(b"\0")
+        return b"".join(out)
+    try:
+        return zlib.decompress(body)
+    except zlib.error:
+        return zlib.decompress(body, -15)
+
+
+def decoded(body: bytes, http: Headers) -> bytes:
+    """A body without its transfer and content codings, the last one applied first; ValueError if one is unknown or damaged."""
+    for name in ("transfer-encoding", "content-encoding"):
+        codings = [c.strip().lower() for value in http.values_of.get(name, []) for c in value.split(",")]
+        for coding in reversed(codings):
+            if coding in ("", "identity"):
+                continue
+            if coding == "chunked" and name == "transfer-encoding":
+                body = _unchunked(body)
+            elif coding in ("gzip", "x-gzip", "deflate"):
+                try:
+                    body = _inflated(body, coding.removeprefix("x-"))
+                except zlib.error as wrong:
+                    raise ValueError(f"damaged {coding} content") from wrong
+            else:
+                raise ValueError(f"unknown coding {coding}")
+    return body
+
+
+def parse(raw: bytes) -> tuple[Headers, bytes]:
     """Headers and block of a record; ValueError if it is damaged."""
     head, gap, rest = raw.partition(b"\r\n\r\n")
     first, _, fields = head.partition(b"\r\n")
@@ -158,22 +227,23 @@ def derive_record(raw: bytes) -> tuple[bytes, bytes]:
     if not gap or not status.startswith(b"HTTP/"):
         raise ValueError("no HTTP response")
     http = _headers(fields)
+    body = decoded(payload, http)
     charset = re.search(r"charset=\"?([\w.-]+)", http.get("content-type", ""), re.I)
     try:
-        page = payload.decode(charset[1] if charset else "utf-8", "replace")
+        page = body.decode(charset[1] if charset else "utf-8", "replace")
     except LookupError:
-        page = payload.decode("utf-8", "replace")
+        page = body.decode("utf-8", "replace")
     title, text, links = page_text(page)
     about = {
         "status": status.decode("latin-1"),
-        "source_headers": source,
-        "http_headers": http,
+        "source_headers": source.all(),
+        "http_headers": http.all(),
         "title": title,
         "links": links,
     }
     shared = [(n, source[n.lower()]) for n in ("WARC-Date", "WARC-Target-URI") if n.lower() in source]
     out = []
-    for kind, content_type, body in (
+    for kind, content_type, content in (
         ("metadata", "application/json", json.dumps(about, ensure_ascii=False, sort_keys=True).encode("utf-8", "replace")),
         ("conversion", "text/plain; charset=utf-8", text.encode("utf-8", "replace")),
     ):
@@ -183,10 +253,10 @@ def derive_record(raw: bytes) -> tuple[bytes, bytes]:
             ("WARC-Refers-To", source["warc-record-id"]),
             *shared,
             ("WARC-Source-Payload-Digest", source.get("warc-payload-digest") or digest(payload)),
-            ("WARC-Block-Digest", digest(body)),
+            ("WARC-Block-Digest", digest(content)),
             ("Content-Type", content_type),
         ]
-        out.append(record(headers, body))
+        out.append(record(headers, content))
     return out[0], out[1]
 
 

@@ -1,5 +1,6 @@
 """Operators on small tables with nulls, empty, odd and long texts, repeated rows and clashing columns."""
 
+import gzip
 import io
 import json
 import zlib
@@ -429,6 +430,37 @@ def test_warc_damaged_records(spark):
     assert sorted((r["page_id"], r["error"] is None) for r in out) == [(1, True), (1, True), (2, False), (3, False), (4, False), (5, False), (6, False)]
 
 
+def test_warc_repeated_headers_and_codings(spark):
+    page = "<p>one<p>two é".encode()
+    raw_deflate = zlib.compressobj(wbits=-15)
+    bodies = {
+        1: ("Transfer-Encoding: chunked", b"5;x=1\r\n" + page[:5] + b"\r\nA\r\n" + page[5:] + b"\r\n0\r\nTrailer: x\r\n\r\n"),
+        2: ("Content-Encoding: gzip", gzip.compress(page[:6]) + gzip.compress(page[6:])),
+        3: ("Content-Encoding: deflate", zlib.compress(page)),
+        4: ("Content-Encoding: deflate", raw_deflate.compress(page) + raw_deflate.flush()),
+        5: ("Transfer-Encoding: gzip, chunked", b"%x\r\n" % len(gzip.compress(page, mtime=0)) + gzip.compress(page, mtime=0) + b"\r\n0\r\n\r\n"),
+        6: ("Content-Encoding: identity", page),
+        7: ("Content-Encoding: br", page),
+        8: ("Transfer-Encoding: chunked", b"ff\r\n" + page),
+        9: ("Content-Encoding: gzip", gzip.compress(page)[:-9]),
+        10: ("Content-Encoding: gzip", page),
+    }
+    rows = []
+    for i, (coding, body) in bodies.items():
+        block = f"HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nSet-Cookie: b=2,\r\n c\r\n{coding}\r\n\r\n".encode() + body
+        fields = [("WARC-Type", "response"), ("WARC-Record-ID", f"<urn:{i}>"), ("WARC-Concurrent-To", "<urn:x>"), ("WARC-Concurrent-To", "<urn:y>")]
+        rows.append((i, warc.record(fields, block)))
+    out = warc.derive(spark.createDataFrame(rows, "page_id int, record binary")).collect()
+    assert {r["page_id"] for r in out if r["error"]} == {7, 8, 9, 10} and len(out) == 6 * 2 + 4
+    for r in out:
+        if r["kind"] == "conversion":
+            assert warc.parse(bytes(r["record"]))[1].decode() == "one\ntwo é"
+        elif r["kind"] == "metadata":
+            about = json.loads(warc.parse(bytes(r["record"]))[1])
+            assert about["http_headers"]["set-cookie"] == ["a=1", "b=2, c"] and isinstance(about["source_headers"]["warc-type"], str)
+            assert about["source_headers"]["warc-concurrent-to"] == ["<urn:x>", "<urn:y>"]
+
+
 def test_urls(pages, spark):
     labels = spark.createDataFrame([(1, True), (1, False), (5, True), (None, True), (6, None)], "doc_id int, bad boolean")
     rows = reputation.filter_urls(pages, labels).collect()
