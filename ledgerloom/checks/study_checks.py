@@ -85,7 +85,7 @@ select cast(month_start as varchar) as month_start, count(*) as rows_cnt, count(
   round(quantile_cont(case when inside = 1 then cast(price as double) end, 0.5), 4) as med_price_in_window from amo group by 1""")
 def _(t):
     digits = {"amortization_total": 6, "avg_price_in_window": 6, "med_price_in_window": 4}
-    return am.amort_volume(_model(t)).withColumns({c: F.round(c, d) for c, d in digits.items()})
+    return am.amort_volume(t.devices, t.catalog, t.prices, START, END).withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
 @query("price_quantiles", f"""select {', '.join(f"round(quantile_cont(cast(price as double), {p}), 4) as p{p * 100:g}" for p in (0.1, 0.25, 0.5, 0.75, 0.9))} from amo where value > 0""")

@@ -11,7 +11,9 @@ from ..functions.text import blank_to_null, clean_text, empty_to_null
 from ..operators.dedup import latest_version
 from ..operators.mapping import two_key_lookup
 from ..operators.quantiles import counted_quantiles, exact_quantiles
+from ..operators.spans import FIRST, LAST, chosen_spans, merged_spans, month_number, month_spans, monthly_sums
 from ..operators.validity import active_months, not_deleted
+from ..session import materialize
 
 EPOCH = "1900-01-01"
 
@@ -107,28 +109,46 @@ def amort_by_age(model: DataFrame) -> DataFrame:
     )
 
 
-def amort_volume(model: DataFrame) -> DataFrame:
+def amort_volume(devices: DataFrame, catalog: DataFrame, prices: DataFrame, start, end, life: int = fv.DEVICE_LIFE_MONTHS) -> DataFrame:
     """Rows, devices, serials, write-off and prices in the window, per month.
 
-    Totals and the median come from one grouping by serial and price, whose shuffle both read.
+    The figures of ``amortization_model`` without its row per device and month: the interval that
+    is the latest in a month becomes spans, their ends signed events, and running sums give the
+    counts. Spans of a serial are merged first, so that it counts once. Write-off and prices follow
+    from counts per price, which are whole numbers, so nothing is lost when they cancel.
     """
-    inside = F.col("is_in_window") == 1
-    grouped = model.groupBy("month_start", "c_pos_serial", F.when(inside, F.col("price")).alias("price"), inside.alias("inside")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("is_amortized").alias("amortized"),
-        F.sum("amortization_for_report_month").alias("amortization"),
+    known = price_lookup(device_rows(devices), catalog, prices).withColumn("_from", F.coalesce("d_ter_install", F.lit(EPOCH).cast("date")))
+    order = [F.col("_from"), F.coalesce("d_ter_close", F.lit(fv.OPEN_END).cast("date")).alias("_to"), "c_pos_serial"]
+    spans = chosen_spans(
+        month_spans(known, start, end, "_from", "d_ter_close"), ["c_nter"], order,
+        ["c_pos_serial", "first_d_ter_delivery", "model_key", "price"],
     )
-    kept = F.coalesce("inside", F.lit(False))
-    totals = grouped.groupBy("month_start").agg(
-        F.sum("n").alias("rows_cnt"),
-        F.countDistinct("c_pos_serial").alias("serial_nunique"),
-        F.sum(F.when(kept, F.col("n")).otherwise(0)).alias("in_window_cnt"),
-        F.sum("amortized").alias("amort_pos_cnt"),
-        F.sum("amortization").alias("amortization_total"),
-        (F.sum(F.col("price") * F.col("n")).cast("double") / F.sum(F.when(kept, F.col("n")).otherwise(0))).alias("avg_price_in_window"),
+    complete = empty_to_null("c_pos_serial").isNotNull() & F.col("model_key").isNotNull() & F.col("price").isNotNull()
+    born = F.when(complete, month_number("first_d_ter_delivery"))
+    inside = F.struct(
+        F.lit("inside").alias("kind"), F.col("price"),
+        F.greatest(F.col(FIRST), born).alias(FIRST), F.least(F.col(LAST), born + life - 1).alias(LAST),
     )
-    prices = grouped.filter(kept).groupBy("month_start", "price").agg(F.sum("n").alias("n"))
-    median = counted_quantiles(prices, "price", "n", [0.5], ["month_start"]).withColumnRenamed("p50", "med_price_in_window")
+    whole = F.struct(F.lit("rows").alias("kind"), F.lit(None).cast(spans.schema["price"].dataType).alias("price"), F.col(FIRST), F.col(LAST))
+    rows = spans.select(F.inline(F.array(whole, F.when(born.isNotNull(), inside)))).filter(F.col(FIRST) <= F.col(LAST))
+    serials = merged_spans(spans, ["c_pos_serial"]).select(F.lit("serials").alias("kind"), F.lit(None).alias("price"), FIRST, LAST)
+    # A row per price and month; totals and median are drawn from it.
+    held = materialize(monthly_sums(rows.unionByName(serials).withColumn("n", F.lit(1)), ["kind", "price"], ["n"]))
+
+    def total(condition, amount="n"):
+        return F.coalesce(F.sum(F.when(condition, F.col(amount))), F.lit(0))
+
+    kept = F.col("kind") == "inside"
+    held = held.withColumn("_value", F.col("price").cast("double") / F.lit(float(life)) * F.col("n"))
+    totals = held.groupBy("month_start").agg(
+        total(F.col("kind") == "rows").alias("rows_cnt"),
+        total(F.col("kind") == "serials").alias("serial_nunique"),
+        total(kept).alias("in_window_cnt"),
+        total(kept & (F.col("price") > 0)).alias("amort_pos_cnt"),
+        total(kept, "_value").cast("double").alias("amortization_total"),
+        (F.sum(F.when(kept, F.col("price") * F.col("n"))).cast("double") / F.nullif(total(kept), F.lit(0))).alias("avg_price_in_window"),
+    )
+    median = counted_quantiles(held.filter(kept), "price", "n", [0.5], ["month_start"]).withColumnRenamed("p50", "med_price_in_window")
     return totals.join(median, "month_start", "left")
 
 

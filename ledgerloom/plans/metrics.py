@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import fixed_values as fv
 from ..functions.text import digits_only, empty_to_null
 from ..operators.dedup import latest_version, unique_map_only
+from ..operators.spans import FIRST, LAST, merged_spans, month_number, month_of, month_spans, monthly_sums
 from ..operators.validity import active_months, interval_join, not_deleted
 from ..session import materialize
 from .perimeter import agreements_of_class, live_companies
@@ -45,35 +46,49 @@ def outlet_places(
     return by_term.withColumn("main", F.lit(1)).unionByName(by_company.withColumn("main", F.lit(0)))
 
 
-def _at_several(devices: DataFrame, column: str) -> DataFrame:
-    """Values of a device column that occur at more than one outlet."""
-    pairs = devices.filter(F.col(column).isNotNull()).groupBy(column).agg(F.min("c_nmrc").alias("_a"), F.max("c_nmrc").alias("_b"))
-    return pairs.filter("_a <> _b").select(column, F.lit(True).alias(f"_several_{column}"))
+def fitted_devices(devices: DataFrame, start, end) -> DataFrame:
+    """Live devices that were installed, with the span of months in which each stands at an outlet."""
+    fitted = not_deleted(devices).filter("d_ter_install is not null and c_nmrc is not null")
+    return month_spans(fitted, start, end, "d_ter_install", "d_ter_close").select(
+        "c_nmrc", "c_pos_serial", "c_nter", FIRST, LAST
+    ).distinct()
 
 
-def fleet(places: DataFrame, devices: DataFrame) -> DataFrame:
-    """Devices at each outlet in each month that some agreement reaches it, with the smallest such agreement.
+def stays(fitted: DataFrame) -> DataFrame:
+    """Spans in which a counted device stands at an outlet, and whether it also stands elsewhere.
 
-    Agreements do not multiply devices: an outlet and month is one row before its devices are
-    found. Devices keep their interval, since the other side already carries the month.
-    ``device`` is what counts as a device on the path, ``several`` whether it also stands elsewhere.
+    By the terms (``main`` = 1) a device counts by its serial number, by the company by its code.
     """
-    fitted = not_deleted(devices).filter("d_ter_install is not null").select(
-        "c_nmrc", "c_pos_serial", "c_nter", "d_ter_install", "d_ter_close"
-    ).distinct()
-    for column in ("c_pos_serial", "c_nter"):
-        fitted = fitted.join(_at_several(fitted, column), column, "left")
-    reached = places.groupBy("main", "c_nmrc", "month_start").agg(F.min("n_agr").alias("n_agr"))
-    in_month = (F.col("d_ter_install") <= F.last_day("month_start")) & (
-        F.col("d_ter_close").isNull() | (F.col("d_ter_close") >= F.col("month_start"))
+    counted = F.array(
+        F.struct(F.lit(1).alias("main"), F.col("c_pos_serial").alias("device")),
+        F.struct(F.lit(0).alias("main"), F.col("c_nter").alias("device")),
     )
-    by_serial = F.col("main") == 1
-    rows = reached.join(fitted, "c_nmrc").filter(in_month).select(
-        "main", "month_start", "c_nmrc", "n_agr", "c_pos_serial", "c_nter",
-        F.when(by_serial, F.col("c_pos_serial")).otherwise(F.col("c_nter")).alias("device"),
-        F.coalesce(F.when(by_serial, F.col("_several_c_pos_serial")).otherwise(F.col("_several_c_nter")), F.lit(False)).alias("several"),
+    rows = fitted.select("c_nmrc", FIRST, LAST, F.inline(counted)).filter("device is not null")
+    spans = merged_spans(rows, ["main", "device", "c_nmrc"])
+    several = rows.groupBy("main", "device").agg(F.min("c_nmrc").alias("_a"), F.max("c_nmrc").alias("_b")).filter("_a <> _b")
+    several = several.select("main", "device", F.lit(True).alias("several"))
+    return spans.join(several, ["main", "device"], "left").withColumn("several", F.coalesce("several", F.lit(False)))
+
+
+def device_owners(reached: DataFrame, fitted: DataFrame, value: DataFrame) -> DataFrame:
+    """Agreement and device code that carry a physical device's value, per month with a value.
+
+    The owner has the smallest agreement among the outlets' smallest ones, then the smallest code.
+    Only months in which some code of the device has a value are looked at.
+    """
+    placed = fitted.filter("c_nter is not null").withColumn("_device", serial_key())
+    wanted = placed.select("_device", "c_nter").distinct().join(value.select("c_nter", "month_start"), "c_nter")
+    wanted = wanted.select("_device", "month_start").distinct()
+    there = month_number("month_start").between(F.col(FIRST), F.col(LAST))
+    present = placed.join(wanted, "_device").filter(there).select(
+        "_device", "month_start", "c_nmrc", "c_nter", F.col("c_pos_serial").isNotNull().alias("_serial")
+    )
+    seen = present.join(reached, ["c_nmrc", "month_start"]).filter((F.col("main") == 0) | F.col("_serial"))
+    return (
+        seen.groupBy("main", "month_start", "_device")
+        .agg(F.min(F.struct("n_agr", "c_nter")).alias("_owner"))
+        .select("month_start", F.col("_owner.n_agr").alias("n_agr"), F.col("_owner.c_nter").alias("c_nter"))
     )
-    return rows.filter(F.col("device").isNotNull())
 
 
 def operational_metrics(
@@ -83,26 +98,26 @@ def operational_metrics(
 
     The main path goes from the agreement's terms to outlets and devices. Only
     agreements without a row there take the fallback, from the company's outlets.
-    Devices that stand at one outlet only are counted per outlet and month, and agreements sum
-    those counts; only devices of several outlets are counted by agreement. The scope, its outlets
-    and the devices at them are written to the shared folder once, since several figures are drawn
-    from each.
+    Devices that stand at one outlet only are counted per outlet from signed events, without a row
+    per device and month, and agreements sum those counts; only devices of several outlets are
+    counted by agreement and month. The scope, its outlets and the devices are written to the
+    shared folder once, since several figures are drawn from each.
     """
     sa = materialize(scope.select(*KEY, "n_cmp_client").distinct())
     places = materialize(outlet_places(sa, terms, outlets, start, end, **rules))
-    rows = materialize(fleet(places, devices))
+    fitted = materialize(fitted_devices(devices, start, end))
     spot = ["main", "c_nmrc", "month_start"]
 
-    per_spot = (
-        rows.groupBy(*spot, "device").agg(F.min(F.when(F.col("several"), 0).otherwise(1)).alias("_own"))
-        .groupBy(*spot).agg(F.sum("_own").alias("_own"))
-    )
+    spans = stays(fitted)
+    amounts = {"_own": F.when(F.col("several"), 0).otherwise(1), "_any": F.lit(1)}
+    per_spot = monthly_sums(spans.withColumns(amounts), ["main", "c_nmrc"], ["_own", "_any"])
     per_agreement = places.join(per_spot, spot, "left").groupBy(*KEY).agg(
         F.sum("main").alias("retl_main"),
-        F.count_if((F.col("main") == 0) & F.col("_own").isNotNull()).alias("retl_spare"),
+        F.count_if((F.col("main") == 0) & F.col("_any").isNotNull()).alias("retl_spare"),
         F.sum("_own").alias("_own"),
     )
-    shared = rows.filter("several").select(*spot, "device").distinct()
+    shared = spans.filter("several").select("main", "device", "c_nmrc", F.explode(F.sequence(FIRST, LAST)).alias("_month"))
+    shared = shared.select("main", "device", "c_nmrc", month_of("_month").alias("month_start"))
     shared = places.join(shared, spot).select(*KEY, "device").distinct().groupBy(*KEY).agg(F.count(F.lit(1)).alias("_shared"))
     counts = per_agreement.join(shared, KEY, "left").select(
         *KEY,
@@ -110,18 +125,13 @@ def operational_metrics(
         F.when(F.col("retl_spare") > 0, F.col("retl_spare")).alias("retl_spare"),
         (F.coalesce("_own", F.lit(0)) + F.coalesce("_shared", F.lit(0))).alias("term_cnt"),
     )
-    # A device's owner has the smallest agreement among the outlets' smallest ones, then the smallest code.
-    owners = (
-        rows.filter("c_nter is not null")
-        .groupBy("main", "month_start", serial_key().alias("_device"))
-        .agg(F.min(F.struct("n_agr", "c_nter")).alias("_owner"))
-        .select("month_start", F.col("_owner.n_agr").alias("n_agr"), F.col("_owner.c_nter").alias("c_nter"))
-    )
     value = model.select(
         F.col("c_nter").cast("string").alias("c_nter"),
         F.col("snapshot_month_start").alias("month_start"),
         F.col("amortization_for_report_month").alias("_value"),
     )
+    reached = places.groupBy(*spot).agg(F.min("n_agr").alias("n_agr"))
+    owners = device_owners(reached, fitted, value)
     amort = owners.join(value, ["c_nter", "month_start"]).groupBy(*KEY).agg(F.sum("_value").alias("amortization"))
     out = sa.join(counts, KEY, "left").join(amort, KEY, "left")
     source = (

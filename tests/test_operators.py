@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from ledgerloom.operators import dedup as dd, fuzzy as fz, quantiles as qt, validity as va
-from ledgerloom.plans import events as ev, income as ic, metrics as me, perimeter as pe, products as pr, quality as ql
+from ledgerloom.operators import dedup as dd, fuzzy as fz, quantiles as qt, spans as sp, validity as va
+from ledgerloom.plans import amortization as am, events as ev, income as ic, metrics as me, perimeter as pe, products as pr, quality as ql
 from ledgerloom.sources import readers as rd, writers as wr
 
 
@@ -551,3 +551,125 @@ def test_publish_and_export(spark, tmp_path):
     files = [f for f in os.listdir(tmp_path / "top") if f.endswith(".csv")]
     assert len(files) == 1 and (tmp_path / "top" / files[0]).read_text().split() == ["id", "499", "498", "497"]
     spark.sql("drop database loom cascade")
+
+
+def _intervals(seed, n):
+    rng = random.Random(seed)
+    base = dt.date(2024, 1, 1)
+    out = []
+    for i in range(n):
+        start = None if rng.random() < 0.1 else base + dt.timedelta(rng.randrange(-60, 700))
+        end = None if rng.random() < 0.2 else (start or base) + dt.timedelta(rng.randrange(-20, 300))
+        out.append((rng.choice("aaab"), i, start, end))
+    return out
+
+
+def test_spans_match_expanded_months(spark):
+    df = spark.createDataFrame(_intervals(5, 120), "k string, id int, d_valid_from date, d_valid_to date")
+    rows = df.withColumn("id", F.col("id") % 40).unionByName(df)
+    spans = sp.month_spans(rows, "2024-03-01", "2025-10-31")
+    months = va.active_months(rows, "2024-03-01", "2025-10-31")
+
+    def expanded(spans, *columns):
+        each = spans.withColumn("_m", F.explode(F.sequence(sp.FIRST, sp.LAST)))
+        return sorted(tuple(r) for r in each.select(*columns, sp.month_of("_m").alias("m")).collect())
+
+    assert expanded(spans, "k", "id") == sorted((r.k, r.id, r.month_start) for r in months.collect())
+    latest = {}
+    for r in months.collect():
+        key, rank = (r.k, r.month_start), (r.d_valid_from, r.id)
+        latest[key] = max(latest.get(key, rank), rank)
+    chosen = sp.chosen_spans(spans, ["k"], ["d_valid_from", "id"], ["id"])
+    assert expanded(chosen, "k", "id") == sorted((k, i, m) for (k, m), (_, i) in latest.items())
+    assert expanded(sp.merged_spans(spans, ["k"]), "k") == sorted({(r.k, r.month_start) for r in months.collect()})
+    sums = sp.monthly_sums(spans.withColumns({"n": F.lit(1), "w": F.col("id")}), ["k"], ["n", "w"])
+    wanted = {}
+    for r in months.collect():
+        n, w = wanted.get((r.k, r.month_start), (0, 0))
+        wanted[(r.k, r.month_start)] = (n + 1, w + r.id)
+    assert {(r.k, r.month_start): (r.n, r.w) for r in sums.collect()} == wanted
+    whole = sp.monthly_sums(spans.withColumn("n", F.lit(1)), [], ["n"])
+    assert sum(r.n for r in whole.collect()) == months.count()
+    assert sp.monthly_sums(spans.limit(0).withColumn("n", F.lit(1)), ["k"], ["n"]).count() == 0
+
+
+def test_a_busy_key_shrinks_before_its_spans_are_chosen(spark):
+    df = spark.range(20_000).select(
+        F.lit("k").alias("k"), "id", F.expr("date_add(date '2024-01-01', cast(id % 300 as int))").alias("d_valid_from"), F.lit(None).cast("date").alias("d_valid_to")
+    )
+    spans = sp.month_spans(df, "2024-01-01", "2024-12-31")
+    chosen = sp.chosen_spans(spans, ["k"], ["d_valid_from", "id"], ["id"])
+    text = plan(chosen)
+    assert text.rindex("partial_max") > text.rindex("Window")
+    # One interval per first month is left for the window: ten here, of 20,000.
+    assert spans.groupBy("k", sp.FIRST, sp.LAST).count().count() == 10
+    assert chosen.count() == 10
+
+
+def test_amort_volume_matches_the_model_by_month(spark):
+    rng = random.Random(11)
+    rows = []
+    for code, i, start, end in _intervals(9, 200):
+        serial = rng.choice([None, " ", "s1", "s2", "s3", f"x{i % 30}"])
+        born = None if rng.random() < 0.2 else dt.date(2021, 1, 1) + dt.timedelta(rng.randrange(1600))
+        rows.append((rng.choice([None, f"{code}{i % 12}", f"{code}{i % 12}"]), serial, start, end, born, rng.choice([None, "1"]) if i % 9 == 0 else None))
+    devices = spark.createDataFrame(rows, "c_nter string, c_pos_serial string, d_ter_install date, d_ter_close date, d_ter_delivery date, ods_deleted_flg string")
+    catalog = spark.createDataFrame([(f"{c}{j}", None, rng.choice(["m1", "m2", "m3", "m4"])) for c in "ab" for j in range(10)], "device string, code_device string, model_device string")
+    prices = spark.createDataFrame([("M1", 100), ("m2", 250), ("M3", 0)], "model_name string, price int").withColumn("price", F.col("price").cast("decimal(12,2)"))
+    model = am.amortization_model(devices, catalog, prices, "2024-03-01", "2025-10-31").toPandas()
+    got = am.amort_volume(devices, catalog, prices, "2024-03-01", "2025-10-31").toPandas().set_index("month_start")
+    assert len(got) == model["month_start"].nunique()
+    for month, part in model.groupby("month_start"):
+        row, inside = got.loc[month], part[part["is_in_window"] == 1]
+        counts = (len(part), part["c_pos_serial"].nunique(), len(inside), int(part["is_amortized"].sum()))
+        assert (row.rows_cnt, row.serial_nunique, row.in_window_cnt, row.amort_pos_cnt) == counts
+        assert row.amortization_total == pytest.approx(part["amortization_for_report_month"].sum())
+        if len(inside):
+            assert row.avg_price_in_window == pytest.approx(inside["price"].astype(float).mean())
+            assert row.med_price_in_window == pytest.approx(inside["price"].astype(float).median())
+        else:
+            assert pd.isna(row.avg_price_in_window)
+
+
+def test_operational_metrics_count_moved_and_shared_devices(spark):
+    """Terms and devices drawn at random against loops over agreements, outlets, devices and months."""
+    rng = random.Random(3)
+    months = [dt.date(2025, m, 1) for m in range(1, 7)]
+    ends = [(dt.date(2025, m + 1, 1) - dt.timedelta(1)) for m in range(1, 7)]
+    scope = [(f"a{i}", m, f"c{i % 4}") for i in range(12) for m in months if rng.random() < 0.8]
+    def term():
+        start = dt.date(2025, 1, 1) + dt.timedelta(rng.randrange(150))
+        return start, None if rng.random() < 0.4 else start + dt.timedelta(rng.randrange(90))
+    terms = [(f"a{rng.randrange(8)}", f"m{rng.randrange(6)}", *term(), None) for _ in range(25)]
+    outlets = [(f"m{j}", f"c{j % 4}", "shop", "SA", None) for j in range(6)]
+    devices = [(rng.choice([None, f"t{i % 15}"]), f"m{rng.randrange(6)}", rng.choice([None, " ", f"s{i % 9}"]), *term(), None) for i in range(60)]
+    model = [(f"t{i}", m, rng.randrange(1, 50)) for i in range(15) for m in months if rng.random() < 0.6]
+    args = [
+        spark.createDataFrame(scope, "n_agr string, month_start date, n_cmp_client string"),
+        spark.createDataFrame(terms, "n_agr string, c_nmrc string, d_valid_from date, d_valid_to date, ods_deleted_flg string"),
+        spark.createDataFrame(outlets, "c_nmrc string, n_cmp string, c_mrc_name string, acq_class string, ods_deleted_flg string"),
+        spark.createDataFrame(devices, "c_nter string, c_nmrc string, c_pos_serial string, d_ter_install date, d_ter_close date, ods_deleted_flg string"),
+        spark.createDataFrame(model, "c_nter string, snapshot_month_start date, amortization_for_report_month int"),
+    ]
+    got = {(r.n_agr, r.month_start): (r.retl_cnt, r.term_cnt, int(r.amortization), r.term_calc_source)
+           for r in me.operational_metrics(*args, "2025-01-01", "2025-06-30").collect()}
+    value = {(code, m): v for code, m, v in model}
+    wanted, owned = {}, {}
+    reach = {}
+    for agr, m, company in scope:
+        last = ends[m.month - 1]
+        own = {o for a, o, s, e, _ in terms if a == agr and s <= last and (e is None or e >= m)}
+        reach[agr, m] = (1, own) if own else (0, {o for o, c, *_ in outlets if c == company})
+    for (agr, m), (main, places) in reach.items():
+        here = [d for d in devices if d[1] in places and d[3] <= ends[m.month - 1] and (d[4] is None or d[4] >= m) and (d[2] if main else d[0]) is not None]
+        # By the company, only outlets with a device count.
+        count = len(places) if main else len({d[1] for d in here})
+        wanted[agr, m] = (count or None, len({d[2] if main else d[0] for d in here}) if count else None, "547_like" if main else "fallback_old" if count else "no_data")
+        for d in here:
+            if d[0] is not None:
+                device = (main, m, "s" + d[2] if (d[2] or "").strip() else "c" + d[0])
+                owned[device] = min(owned.get(device, (agr, d[0])), (agr, d[0]))
+    money = {}
+    for (_, m, _), (agr, code) in owned.items():
+        money[agr, m] = money.get((agr, m), 0) + value.get((code, m), 0)
+    assert got == {k: (n, t, money.get(k, 0), source) for k, (n, t, source) in wanted.items()}
