@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import numbers as nu, text as tx
 from ..functions.fixed_values import COMPARE_METRICS, PRODUCT_LABELS
 from ..operators import dedup as dd, quantiles as qt
-from ..plans import dashboards as ds, income as ic, quality as ql, metrics as me, reconcile as rc, selection as se
+from ..plans import dashboards as ds, income as ic, keysets as ks, quality as ql, metrics as me, reconcile as rc, selection as se
+from ..session import checkpoint_dir
+from ..sources.writers import inputs_fingerprint
 from .registry import block, query
 from .standins import END, START
 
@@ -482,16 +486,35 @@ def _(t):
     return ql.top_by_count(t.terms, "c_nmrc", 20)
 
 
-@query("set_identity", f"""
+_IDENTITY = f"""
 select sa as size_a, sb as size_b, sc as size_c, ex as size_expected, oa as only_in_a, ma as missing_from_a, case when oa = 0 and ma = 0 then 1 else 0 end as identical from (
   select (select count(distinct agr_id) from report where report_month >= '1999') as sa, (select count(distinct agr_id) from mart) as sb, (select count(distinct agr_id) from mart where report_month < '1999') as sc,
   (select count(*) from ({'select agr_id from mart except select agr_id from mart where report_month < $$1999$$'}) e) as ex,
   (select count(*) from (select agr_id from report where report_month >= '1999' except (select agr_id from mart except select agr_id from mart where report_month < '1999')) q) as oa,
-  (select count(*) from ((select agr_id from mart except select agr_id from mart where report_month < '1999') except select agr_id from report where report_month >= '1999') q) as ma) x""")
+  (select count(*) from ((select agr_id from mart except select agr_id from mart where report_month < '1999') except select agr_id from report where report_month >= '1999') q) as ma) x"""
+
+
+@query("set_identity", _IDENTITY)
 def _(t):
     return ql.set_identity(t.report.filter("report_month >= '1999'"), t.mart, t.mart.filter("report_month < '1999'"), "agr_id")
 
 
+def _stored_sets(t, rows, *tables):
+    """The sets of all months of the rows, in a place of their own."""
+    months = sorted(r[0] for r in rows.select("report_month").distinct().collect() if r[0])
+    path = f"{checkpoint_dir(t.spark)}/keysets-{uuid.uuid4().hex}"
+    return ks.month_key_sets(t.spark, path, months, lambda m: rows.filter(F.col("report_month").isin(m)), inputs_fingerprint(*tables))
+
+
+@query("set_identity_months", _IDENTITY)
+def _(t):
+    """Both tables share one dictionary; the sets are months of theirs."""
+    parts = [df.select("report_month", F.lit(name).alias("set"), F.col("agr_id").alias("key")) for name, df in (("report", t.report), ("mart", t.mart))]
+    sets = _stored_sets(t, parts[0].unionByName(parts[1]), t.report, t.mart)
+    mart = sets.filter("set = 'mart'")
+    return ks.identity_of_months(sets.filter("set = 'report' and report_month >= '1999'"), mart, mart.filter("report_month < '1999'"))
+
+
 @query("set_identity_offenders", """
 select agr_id, 'only_in_a' as side from (select agr_id from report where report_month >= '1999' except (select agr_id from mart except select agr_id from mart where report_month < '1999')) q
 union all select agr_id, 'missing_from_a' from ((select agr_id from mart except select agr_id from mart where report_month < '1999') except select agr_id from report where report_month >= '1999') r""")
@@ -751,15 +774,38 @@ def _(t):
     return ds.ds_client_products(t.published)
 
 
-@query("client_kpis", """
+_CLIENT_KPIS = """
 select report_month, count(distinct agr_id) as clients_total, count(distinct case when active_terms > 0 then agr_id end) as clients_active,
   count(distinct agr_id) - count(distinct case when active_terms > 0 then agr_id end) as clients_passive,
   count(distinct case when strftime(vf, '%Y-%m') = report_month then agr_id end) as clients_new_contracts, count(distinct case when strftime(vt, '%Y-%m') = report_month then agr_id end) as clients_terminated_contracts
-from pub where agr_id is not null group by 1""")
+from pub where agr_id is not null group by 1"""
+
+
+@query("client_kpis", _CLIENT_KPIS)
 def _(t):
     return ds.client_kpis(t.published)
 
 
+@query("client_kpis_stored", _CLIENT_KPIS)
+def _(t):
+    return ds.client_kpis_of_sets(_stored_sets(t, ds.client_sets(t.published), t.published))
+
+
+block("client_months", "select distinct report_month, agr_id from pub where agr_id is not null and report_month is not null")
+block("client_calendar", """select strftime(d, '%Y-%m') as report_month, strftime(d - interval 1 month, '%Y-%m') as prev from (
+  select unnest(generate_series(min(cast(report_month || '-01' as timestamp)), max(cast(report_month || '-01' as timestamp)), interval 1 month)) as d from client_months) x""")
+
+
+@query("client_flows", """
+select k.report_month, coalesce(n.held, 0) as keys_total, coalesce(n.fresh, 0) as keys_new, coalesce(n.kept, 0) as keys_kept, coalesce(g.gone, 0) as keys_gone from client_calendar k
+left join (select m.report_month, count(*) as held, count(*) filter (where p.agr_id is null) as fresh, count(p.agr_id) as kept from client_months m
+  join client_calendar c on c.report_month = m.report_month left join client_months p on p.agr_id = m.agr_id and p.report_month = c.prev group by 1) n on n.report_month = k.report_month
+left join (select c.report_month, count(*) as gone from client_months p join client_calendar c on c.prev = p.report_month
+  where not exists (select 1 from client_months m where m.agr_id = p.agr_id and m.report_month = c.report_month) group by 1) g on g.report_month = k.report_month""")
+def _(t):
+    return ks.month_flows(_stored_sets(t, ds.client_sets(t.published), t.published), "all")
+
+
 @query("outlet_terminal_kpis", """
 select report_month, cast(sum(retl_cnt) as double) as merchants_total, cast(sum(active_retl_cnt) as double) as merchants_active, cast(sum(retl_cnt) - sum(active_retl_cnt) as double) as merchants_passive,
   cast(sum(case when active_terms > 0 then retl_cnt else 0 end) as double) as merchants_active_proxy, cast(sum(case when active_terms <= 0 then retl_cnt else 0 end) as double) as merchants_passive_proxy,

@@ -163,6 +163,33 @@ def client_kpis(published: DataFrame) -> DataFrame:
     )
 
 
+def client_sets(published: DataFrame) -> DataFrame:
+    """Clients per month in the sets that the key figures count, as rows for ``keysets.month_key_sets``."""
+    rows = typed(published, ("active_terms",), ("d_valid_from", "d_valid_to")).filter("agr_id is not null")
+    month = F.concat(F.col("report_month"), F.lit("-01")).try_cast("date")
+    sets = F.array_compact(F.array(
+        F.lit("all"),
+        F.when(F.col("active_terms") > 0, "active"),
+        F.when(F.trunc("d_valid_from", "MM") == month, "new"),
+        F.when(F.trunc("d_valid_to", "MM") == month, "gone"),
+    ))
+    return rows.select("report_month", F.explode(sets).alias("set"), F.col("agr_id").alias("key"))
+
+
+def client_kpis_of_sets(sets: DataFrame) -> DataFrame:
+    """The figures of ``client_kpis`` from stored bitmaps."""
+    def size(of):
+        return F.coalesce(F.sum(F.when(F.col("set") == of, F.bitmap_count("bits"))), F.lit(0))
+
+    return sets.groupBy("report_month").agg(
+        size("all").alias("clients_total"),
+        size("active").alias("clients_active"),
+        (size("all") - size("active")).alias("clients_passive"),
+        size("new").alias("clients_new_contracts"),
+        size("gone").alias("clients_terminated_contracts"),
+    )
+
+
 def outlet_terminal_kpis(published: DataFrame) -> DataFrame:
     """Outlets and devices, in use and not, per month; also outlets of clients in use."""
     rows = typed(published, ("retl_cnt", "active_retl_cnt", "term_cnt", "active_terms"))

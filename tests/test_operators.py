@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ledgerloom.operators import dedup as dd, fuzzy as fz, quantiles as qt, spans as sp, validity as va
-from ledgerloom.plans import amortization as am, events as ev, income as ic, metrics as me, perimeter as pe, products as pr, quality as ql
+from ledgerloom.plans import amortization as am, events as ev, income as ic, keysets as ks, metrics as me, perimeter as pe, products as pr, quality as ql
 from ledgerloom.sources import readers as rd, writers as wr
 
 
@@ -673,3 +673,78 @@ def test_operational_metrics_count_moved_and_shared_devices(spark):
     for (_, m, _), (agr, code) in owned.items():
         money[agr, m] = money.get((agr, m), 0) + value.get((code, m), 0)
     assert got == {k: (n, t, money.get(k, 0), source) for k, (n, t, source) in wanted.items()}
+
+
+def test_key_sets_are_read_once_and_compared_as_sets(spark, tmp_path):
+    rng = random.Random(21)
+    months = ["2025-01", "2025-02", "2025-04"]
+    rows = [(m, rng.choice(["all", "vip"]), rng.choice([None, f"k{rng.randrange(60)}"])) for m in months for _ in range(90)]
+    # One key fills a third of the rows.
+    rows += [("2025-02", "all", "k1")] * 120
+    df = spark.createDataFrame(rows, "report_month string, set string, key string")
+    path, asked = str(tmp_path / "sets"), []
+
+    def give(wanted):
+        asked.append(list(wanted))
+        return df.filter(F.col("report_month").isin(wanted))
+
+    ks.month_key_sets(spark, path, months[:2], give, "f1")
+    before = {r.key: r.number for r in wr.read_months(spark, f"{path}/keys", "batch").collect()}
+    sets = ks.month_key_sets(spark, path, months, give, "f1")
+    ks.month_key_sets(spark, path, months, give, "f1")
+    assert asked == [months[:2], months[2:]]
+    numbers = wr.read_months(spark, f"{path}/keys", "batch").collect()
+    after = {r.key: r.number for r in numbers}
+    assert len(numbers) == len(after) == len(set(after.values())) == len({k for _, _, k in rows if k})
+    assert before.items() <= after.items()
+
+    def keys(month, of):
+        return {k for m, s, k in rows if (m, s) == (month, of) and k}
+
+    assert {(r.report_month, r.set): r.keys_cnt for r in ks.month_sizes(sets).collect()} == {
+        (m, s): len(keys(m, s)) for m in months for s in ("all", "vip")
+    }
+    empty = set()
+    flows = {r.report_month: (r.keys_total, r.keys_new, r.keys_kept, r.keys_gone) for r in ks.month_flows(sets, "all").collect()}
+    for prev, month in ((None, "2025-01"), ("2025-01", "2025-02"), ("2025-02", "2025-03"), ("2025-03", "2025-04")):
+        now, old = keys(month, "all"), keys(prev, "all") if prev else empty
+        assert flows.pop(month) == (len(now), len(now - old), len(now & old), len(old - now))
+    assert not flows
+    a, b, c = keys("2025-04", "all"), {k for m in months for k in keys(m, "all")}, keys("2025-01", "vip")
+    whole = sets.filter("set = 'all'")
+    got = ks.identity_of_months(whole.filter("report_month = '2025-04'"), whole, sets.filter("set = 'vip' and report_month = '2025-01'")).first()
+    assert tuple(got) == (len(a), len(b), len(c), len(b - c), len(a - (b - c)), len((b - c) - a), int(a == b - c))
+    none = sets.limit(0)
+    assert tuple(ks.identity_of_months(none, none, none).first()) == (0, 0, 0, 0, 0, 0, 1)
+    assert ks.month_flows(none, "all").count() == 0
+
+
+def test_changed_inputs_draw_key_sets_anew_with_the_same_numbers(spark, tmp_path):
+    path, months = str(tmp_path / "sets"), ["2025-01"]
+
+    def rows(keys):
+        return lambda wanted: spark.createDataFrame([("2025-01", "all", k) for k in keys], "report_month string, set string, key string")
+
+    ks.month_key_sets(spark, path, months, rows("abc"), "f1")
+    first = {r.key: r.number for r in wr.read_months(spark, f"{path}/keys", "batch").collect()}
+    sets = ks.month_key_sets(spark, path, months, rows("cd"), "f2")
+    second = {r.key: r.number for r in wr.read_months(spark, f"{path}/keys", "batch").collect()}
+    assert [r.keys_cnt for r in ks.month_sizes(sets).collect()] == [2]
+    assert first == {k: n for k, n in second.items() if k in first} and set(second) == set("abcd")
+    # Keys of a later batch lie in blocks of their own.
+    assert (second["d"] - 1) // ks.BLOCK > max((n - 1) // ks.BLOCK for n in first.values())
+
+
+def test_key_sets_rows_of_unions_are_merged_by_bits(spark):
+    sets = spark.createDataFrame([(s, k) for s, part in (("a", "pqr"), ("b", "qrs"), ("c", "rst"), ("d", "")) for k in part], "set string, key string")
+    numbers = spark.createDataFrame([(k, 32_767 + i) for i, k in enumerate("pqrst")], "key string, number long")
+    bitmaps = ks.key_bitmaps(sets, numbers, ["set"])
+    # Numbers on both sides of a block's end lie in two bitmaps.
+    assert bitmaps.filter("set = 'a'").count() == 2
+    sizes = ks.union_sizes(bitmaps, ["a", "b", "c", "d"])
+    got = sizes.select(
+        ks.keys_in("a", "bc").alias("x"), ks.keys_in("bc", "a").alias("y"), ks.keys_in("abc").alias("z"), ks.keys_in("d").alias("w"), ks.keys_in("ad").alias("v")
+    ).first()
+    assert tuple(got) == (1, 1, 1, 0, 0)
+    with pytest.raises(ValueError):
+        ks.union_sizes(bitmaps, "abcde")
