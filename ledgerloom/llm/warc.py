@@ -16,7 +16,6 @@ equal identifiers. Empty tables give no records. Text of pages is decoded by the
 HTTP header, UTF-8 by default, with replacement.
 """
 
-import base64
 import hashlib
 import html
 import json
@@ -37,8 +36,14 @@ SPACE = uuid.UUID("0f1c2a52-6d0a-5b6e-8f43-2f8f7a1f6d10")
 FILE_BYTES = 256 << 20
 
 
+# Two letters of base 32 for each ten bits; a digest has sixteen such pairs.
+PAIRS = [a + b for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567" for b in "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"]
+SHIFTS = range(150, -1, -10)
+
+
 def digest(raw: bytes) -> str:
-    return "sha1:" + base64.b32encode(hashlib.sha1(raw).digest()).decode()
+    number = int.from_bytes(hashlib.sha1(raw).digest())
+    return "sha1:" + "".join([PAIRS[number >> shift & 1023] for shift in SHIFTS])
 
 
 def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
@@ -153,13 +158,14 @@ def response(page_id, url: str, page: str, date: str) -> bytes:
     """A response record of a page."""
     payload = page.encode("utf-8", "replace")
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    name = uuid.uuid5(SPACE, json.dumps([page_id, url, digest(payload)]))
+    own = digest(payload)
+    name = uuid.uuid5(SPACE, json.dumps([page_id, url, own]))
     headers = [
         ("WARC-Type", "response"),
         ("WARC-Record-ID", f"<urn:uuid:{name}>"),
         ("WARC-Date", date),
         ("WARC-Target-URI", _one_line(url)),
-        ("WARC-Payload-Digest", digest(payload)),
+        ("WARC-Payload-Digest", own),
         ("WARC-Block-Digest", digest(http + payload)),
         ("Content-Type", "application/http; msgtype=response"),
     ]
@@ -171,8 +177,10 @@ BLOCKS = frozenset(
     "address article aside blockquote br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th tr ul title".split()
 )
 SILENT = frozenset("script style noscript template iframe".split())
-TAG = re.compile(r"<!--|<(/?)([A-Za-z][^\s/>]*)|<[!?]")
-REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+#: What a tag does by its name; other names do nothing.
+KINDS = {**dict.fromkeys(BLOCKS, "block"), **dict.fromkeys(SILENT, "silent"), "a": "link", "title": "title"}
+# A tag with all up to its end, which a quoted value does not close; the last group is empty where no end is found so.
+TAG = re.compile(r"<!--|<(?:(/?)([A-Za-z][^\s/>]*)|[!?])((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>)?")
 HREF = re.compile(r"\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 
 
@@ -182,37 +190,45 @@ def page_text(page: str) -> tuple[str, str, list[str]]:
     links: list[str] = []
     title = ""
     at, in_title = 0, -1
-    while True:
-        m = TAG.search(page, at)
-        if not m:
-            out.append(page[at:])
-            break
-        out.append(page[at : m.start()])
-        if m[0] == "<!--":
-            end = page.find("-->", m.end())
-            at = end + 3 if end >= 0 else len(page)
+    search, put = TAG.search, out.append
+    while m := search(page, at):
+        put(page[at : m.start()])
+        slash, name, closed = m.groups()
+        if closed:
+            at = m.end()
+        elif m[0] == "<!--":
+            at = page.find("-->", m.end()) + 3
+            if at < 3:
+                at = len(page)
+            continue
+        else:
+            at = page.find(">", m.end()) + 1
+            if not at:
+                break
+        if not name:
+            continue
+        what = KINDS.get(name) or KINDS.get(name.lower())
+        if not what:
+            continue
+        if what == "silent":
+            if not slash:
+                close = re.compile(rf"</{name}\b", re.I).search(page, at)
+                at = close.start() if close else len(page)
             continue
-        rest = REST.match(page, m.end())
-        end = rest.end() if rest else page.find(">", m.end()) + 1
-        if not end:
-            break
-        name = (m[2] or "").lower()
-        if name in SILENT and not m[1]:
-            close = re.compile(rf"</{name}\b", re.I).search(page, end)
-            at = close.start() if close else len(page)
+        if what == "link":
+            if not slash and (h := HREF.search(page, m.end(2), at)):
+                links.append(html.unescape(h[1] or h[2] or h[3] or ""))
             continue
-        if name == "a" and not m[1] and (h := HREF.search(page, m.end(), end)):
-            links.append(html.unescape(h[1] or h[2] or h[3] or ""))
-        if name == "title":
-            if not m[1]:
+        if what == "title":
+            if not slash:
                 in_title = len(out)
             elif in_title >= 0:
                 title = " ".join(html.unescape("".join(out[in_title:])).split())
                 del out[in_title:]
                 in_title = -1
-        if name in BLOCKS:
-            out.append("\n")
-        at = end
+        put("\n")
+    else:
+        put(page[at:])
     lines = (" ".join(line.split()) for line in html.unescape("".join(out)).split("\n"))
     return title, "\n".join(line for line in lines if line), links
 
