@@ -18,7 +18,7 @@ def approx_quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 10
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs, by=(), accuracy: int = 2_000, prefix="p", limit: int = 1_000_000
+    df: DataFrame, value: str, probs, by=(), accuracy: int = 2_000, prefix="p", limit: int = 1_000_000, n: str | None = None
 ) -> DataFrame:
     """Interpolated quantiles, exact; no task ranks more than about ``limit`` values. Runs jobs.
 
@@ -27,8 +27,17 @@ def exact_quantiles(
     how many they are, and the few others are ranked. Bounds come as one more column: by a join
     on the groups, or as a single value where there are none. Where more than ``limit`` different
     values lie between bounds, the bounds are narrowed first. Groups with a null key are left out.
+    ``n`` names a column that tells how often a row counts; then no sketch is taken, and narrowing
+    begins with all values.
     """
     by, probs = list(by), [float(p) for p in probs]
+    places = F.explode(F.array(*map(F.lit, range(len(probs))))).alias("_i")
+    if n is not None:
+        known = df.filter(F.col(value).isNotNull() & (F.col(n) > 0))
+        known = known.dropna(subset=by) if by else known
+        counts = known.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.sum(n).alias("_n"))
+        each = counts.select(*by, "_v", "_n", places, F.lit(1).alias("_side"))
+        return _interpolated(narrowed(each, by, probs, limit), by, probs, prefix)
     margin = 2 / accuracy
     ends = [e for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
     known = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
@@ -41,9 +50,12 @@ def exact_quantiles(
     low, high = F.col("_bounds")[2 * F.col("_i")], F.col("_bounds")[2 * F.col("_i") + 1]
     # A row for each wanted quantile: inside its bounds the value itself; beyond them the nearest
     # value, which a wanted rank may fall on in small groups, and how many there are.
-    each = counts.select(*by, "_v", "_n", "_bounds", F.explode(F.array(*map(F.lit, range(len(probs))))).alias("_i"))
+    each = counts.select(*by, "_v", "_n", "_bounds", places)
     side = F.when(F.col("_v") < low, 0).when(F.col("_v") <= high, 1).otherwise(2)
-    parts = narrowed(_parts(each.withColumn("_side", side), by), by, probs, limit)
+    return _interpolated(narrowed(_parts(each.withColumn("_side", side), by), by, probs, limit), by, probs, prefix)
+
+
+def _interpolated(parts: DataFrame, by, probs, prefix: str) -> DataFrame:
     frame = Window.partitionBy(*by, "_i").orderBy("_side", "_v")
     placed = parts.withColumns({"_to": F.sum("_n").over(frame), "_total": F.sum("_n").over(Window.partitionBy(*by, "_i"))})
     placed = placed.withColumn("_pos", _position(probs))

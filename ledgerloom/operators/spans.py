@@ -43,18 +43,31 @@ def chosen_spans(df: DataFrame, keys, order, payload) -> DataFrame:
     best = F.max(F.struct(*order, *[F.col(c).alias(f"_p_{c}") for c in payload])).alias("_best")
     rows = df.groupBy(*keys, FIRST, LAST).agg(best)
     frame = Window.partitionBy(*keys)
-    cuts = F.array_sort(F.array_union(F.collect_set(FIRST).over(frame), F.collect_set(F.col(LAST) + 1).over(frame)))
-    own = rows.withColumn("_cuts", cuts).withColumn("_cuts", F.filter("_cuts", lambda c: c.between(F.col(FIRST), F.col(LAST) + 1)))
-    pieces = F.transform(
-        F.slice("_cuts", F.lit(1), F.size("_cuts") - 1),
-        lambda c, i: F.struct(c.alias(FIRST), (F.element_at("_cuts", i + 2) - 1).alias(LAST)),
-    )
-    cut = own.select(*keys, "_best", F.explode(pieces).alias("_piece"))
-    return cut.groupBy(*keys, F.col(f"_piece.{FIRST}").alias(FIRST), F.col(f"_piece.{LAST}").alias(LAST)).agg(F.max("_best").alias("_best")).select(
+    cuts = F.array_union(F.collect_set(FIRST).over(frame), F.collect_set(F.col(LAST) + 1).over(frame))
+    cut = cut_spans(rows.withColumn("_cuts", cuts), "_cuts").drop("_cuts")
+    return cut.groupBy(*keys, FIRST, LAST).agg(F.max("_best").alias("_best")).select(
         *keys, FIRST, LAST, *[F.col(f"_best._p_{c}").alias(c) for c in payload]
     )
 
 
+def cut_spans(df: DataFrame, cuts: str) -> DataFrame:
+    """Each row once per piece of its span, cut before the months of an array column (null and other months cut nothing)."""
+    inside = F.filter(cuts, lambda c: c.between(F.col(FIRST) + 1, F.col(LAST)))
+    ends = F.array_sort(F.array_union(F.array(F.col(FIRST), F.col(LAST) + 1), inside))
+    pieces = F.transform(
+        F.slice("_ends", F.lit(1), F.size("_ends") - 1),
+        lambda c, i: F.struct(c.alias(FIRST), (F.element_at("_ends", i + 2) - 1).alias(LAST)),
+    )
+    kept = [c for c in df.columns if c not in (FIRST, LAST)]
+    return df.withColumn("_ends", ends).select(*kept, F.explode(pieces).alias("_piece")).select(*kept, f"_piece.{FIRST}", f"_piece.{LAST}")
+
+
+def span_months(df: DataFrame, month: str = "month_start") -> DataFrame:
+    """A row per month of each span. The rows expand in place, so whatever needs a shuffle should come before."""
+    months = df.withColumn("_month", F.explode(F.sequence(FIRST, LAST))).withColumn(month, month_of("_month"))
+    return months.drop(FIRST, LAST, "_month")
+
+
 def merged_spans(df: DataFrame, keys) -> DataFrame:
     """Spans that don't overlap and cover the same months of a key as its rows do."""
     rows = df.select(*keys, FIRST, LAST).distinct()
@@ -63,23 +76,32 @@ def merged_spans(df: DataFrame, keys) -> DataFrame:
     return rows.withColumn(FIRST, new).filter(F.col(FIRST) <= F.col(LAST))
 
 
-def span_events(amounts) -> Column:
-    """The two signed events of a span, to be exploded: the month and the amounts that begin or end there."""
-    return F.array(
-        F.struct(F.col(FIRST).alias("_month"), *[F.col(a) for a in amounts]),
-        F.struct((F.col(LAST) + 1).alias("_month"), *[(-F.col(a)).alias(a) for a in amounts]),
-    )
-
-
-def monthly_sums(spans: DataFrame, by, amounts, month: str = "month_start") -> DataFrame:
+def monthly_sums(spans: DataFrame, by, amounts, month: str = "month_start", label: str | None = None) -> DataFrame:
     """Sums of whole-number amounts over the spans that cover each month, for months where one is not 0.
 
     ``by`` may be empty. A group has at most a row for each month when its running sums are taken.
     """
-    by, amounts = list(by), list(amounts)
-    events = spans.select(*by, F.explode(span_events(amounts)).alias("_e")).select(*by, "_e.*")
-    net = events.groupBy(*by, "_month").agg(*[F.sum(a).alias(a) for a in amounts])
+    return span_months(stretched_sums(spans, by, amounts, label), month)
+
+
+def stretched_sums(spans: DataFrame, by, amounts, label: str | None = None) -> DataFrame:
+    """The same sums as spans without a row per month: they don't overlap within a group, and nothing changes inside one.
+
+    ``label`` names a column of structs that belongs to the amounts from the month its span begins on;
+    the spans of a group that have one (not null) must not overlap.
+    """
+    by, amounts, labels = list(by), list(amounts), [label] if label else []
+    ends = F.array(
+        F.struct(F.col(FIRST).alias("_month"), *[F.col(a) for a in amounts], *[F.col(x) for x in labels]),
+        F.struct((F.col(LAST) + 1).alias("_month"), *[(-F.col(a)).alias(a) for a in amounts],
+                 *[F.lit(None).cast(spans.schema[x].dataType).alias(x) for x in labels]),
+    )
+    events = spans.select(*by, F.explode(ends).alias("_e")).select(*by, "_e.*")
+    net = events.groupBy(*by, "_month").agg(*[F.sum(a).alias(a) for a in amounts], *[F.max(x).alias(x) for x in labels])
     frame = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_month")
-    held = net.withColumns({**{a: F.sum(a).over(frame) for a in amounts}, "_next": F.lead("_month").over(frame)})
+    held = net.withColumns({
+        **{a: F.sum(a).over(frame) for a in amounts}, **{x: F.last(x, ignorenulls=True).over(frame) for x in labels},
+        "_next": F.lead("_month").over(frame),
+    })
     some = held.filter(" or ".join(f"`{a}` <> 0" for a in amounts))
-    return some.withColumn("_month", F.explode(F.sequence("_month", F.col("_next") - 1))).select(*by, month_of("_month").alias(month), *amounts)
+    return some.select(*by, *amounts, *labels, F.col("_month").alias(FIRST), (F.col("_next") - 1).alias(LAST))

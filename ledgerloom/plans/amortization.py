@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed_values as fv
 from ..functions.classes import age_bucket
 from ..functions.numbers import months_between_cal
 from ..functions.text import blank_to_null, clean_text, empty_to_null
-from ..operators.dedup import latest_version
 from ..operators.mapping import two_key_lookup
 from ..operators.quantiles import counted_quantiles, exact_quantiles
-from ..operators.spans import FIRST, LAST, chosen_spans, merged_spans, month_number, month_spans, monthly_sums
-from ..operators.validity import active_months, not_deleted
+from ..operators.spans import (
+    FIRST, LAST, chosen_spans, cut_spans, merged_spans, month_number, month_of, month_spans, monthly_sums, span_months, stretched_sums,
+)
+from ..operators.validity import not_deleted
 from ..session import materialize
 
 EPOCH = "1900-01-01"
+# Ages in months where a range of ``age_bucket`` begins.
+AGE_BOUNDS = (0, 12, 24, 36, 48)
 
 
 def device_rows(devices: DataFrame) -> DataFrame:
@@ -28,21 +31,18 @@ def device_rows(devices: DataFrame) -> DataFrame:
     return rows.join(first, "c_pos_serial", "left")
 
 
-def pick_months(rows: DataFrame, start, end) -> DataFrame:
-    """One row per month and device code: the latest interval that touches the month."""
+def pick_spans(rows: DataFrame, start, end) -> DataFrame:
+    """Spans of months per device code that don't overlap, each with the latest interval that touches its months."""
     known = rows.withColumn("_from", F.coalesce("d_ter_install", F.lit(EPOCH).cast("date")))
-    months = active_months(known, start, end, valid_from="_from", valid_to="d_ter_close")
-    order = [
-        F.col("_from").desc(),
-        F.coalesce("d_ter_close", F.lit(fv.OPEN_END).cast("date")).desc(),
-        F.col("c_pos_serial").desc(),
-    ]
-    return latest_version(months, ["month_start", "c_nter"], order).drop("_from")
+    order = [F.col("_from"), F.coalesce("d_ter_close", F.lit(fv.OPEN_END).cast("date")).alias("_to"), F.col("c_pos_serial").alias("_serial")]
+    payload = [c for c in rows.columns if c != "c_nter"]
+    return chosen_spans(month_spans(known, start, end, "_from", "d_ter_close"), ["c_nter"], order, payload)
 
 
-def device_months(devices: DataFrame, start, end) -> DataFrame:
-    """One row per month and active device code, with the serial's first delivery."""
-    return pick_months(device_rows(devices), start, end)
+def device_months(devices: DataFrame, start, end, spans: bool = False) -> DataFrame:
+    """One row per month and active device code, with the serial's first delivery; with ``spans`` one per span of months."""
+    picked = pick_spans(device_rows(devices), start, end)
+    return picked if spans else span_months(picked)
 
 
 def price_lookup(devices: DataFrame, catalog: DataFrame, prices: DataFrame) -> DataFrame:
@@ -85,27 +85,45 @@ def straight_line(df: DataFrame, life: int = fv.DEVICE_LIFE_MONTHS) -> DataFrame
     return out.withColumn("is_amortized", (F.col("amortization_for_report_month") > 0).cast("int"))
 
 
-def amortization_model(devices: DataFrame, catalog: DataFrame, prices: DataFrame, start, end) -> DataFrame:
-    """Device months with price and write-off.
+def age_stretches(spans: DataFrame, life: int = fv.DEVICE_LIFE_MONTHS) -> DataFrame:
+    """Spans cut where a device's age passes a bound, with their first month and the number of ``months``.
+
+    All months of a stretch have the same status, age range, window flag and write-off.
+    """
+    born = month_number("first_d_ter_delivery")
+    cut = cut_spans(spans.withColumn("_cuts", F.array(*[born + n for n in sorted({*AGE_BOUNDS, life})])), "_cuts")
+    cut = cut.withColumns({"month_start": month_of(FIRST), "months": F.col(LAST) - F.col(FIRST) + 1})
+    return cut.drop("_cuts", FIRST, LAST)
+
+
+def amortization_model(devices: DataFrame, catalog: DataFrame, prices: DataFrame, start, end, stretches: bool = False) -> DataFrame:
+    """Device months with price and write-off; with ``stretches`` one row per stretch of like months (``age_stretches``).
 
     Delivery, model and price belong to the device, so they are looked up before
     its months are expanded.
     """
-    priced = price_lookup(device_rows(devices), catalog, prices)
-    return straight_line(pick_months(priced, start, end)).withColumn("snapshot_month_start", F.col("month_start"))
+    spans = pick_spans(price_lookup(device_rows(devices), catalog, prices), start, end)
+    rows = age_stretches(spans) if stretches else span_months(spans)
+    return straight_line(rows).withColumn("snapshot_month_start", F.col("month_start"))
+
+
+def month_count(model: DataFrame) -> Column:
+    """How many device months a row of the model stands for."""
+    return F.col("months") if "months" in model.columns else F.lit(1)
 
 
 def amort_qc(model: DataFrame, by: str = "qc_status") -> DataFrame:
     """Rows and distinct devices per status or per join key."""
     label = F.coalesce(F.col(by), F.lit("no_match")).alias(by)
-    per_device = model.groupBy(label, "c_nter").agg(F.count(F.lit(1)).alias("n"))
+    per_device = model.groupBy(label, "c_nter").agg(F.sum(month_count(model)).alias("n"))
     return per_device.groupBy(by).agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("terminals_nunique"))
 
 
 def amort_by_age(model: DataFrame) -> DataFrame:
     """Rows and write-off per age range."""
+    n = month_count(model)
     return model.groupBy("age_bucket").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("amortization_for_report_month").alias("amortization")
+        F.sum(n).alias("rows"), F.sum(F.col("amortization_for_report_month") * n).alias("amortization")
     )
 
 
@@ -117,12 +135,7 @@ def amort_volume(devices: DataFrame, catalog: DataFrame, prices: DataFrame, star
     counts. Spans of a serial are merged first, so that it counts once. Write-off and prices follow
     from counts per price, which are whole numbers, so nothing is lost when they cancel.
     """
-    known = price_lookup(device_rows(devices), catalog, prices).withColumn("_from", F.coalesce("d_ter_install", F.lit(EPOCH).cast("date")))
-    order = [F.col("_from"), F.coalesce("d_ter_close", F.lit(fv.OPEN_END).cast("date")).alias("_to"), "c_pos_serial"]
-    spans = chosen_spans(
-        month_spans(known, start, end, "_from", "d_ter_close"), ["c_nter"], order,
-        ["c_pos_serial", "first_d_ter_delivery", "model_key", "price"],
-    )
+    spans = pick_spans(price_lookup(device_rows(devices), catalog, prices), start, end)
     complete = empty_to_null("c_pos_serial").isNotNull() & F.col("model_key").isNotNull() & F.col("price").isNotNull()
     born = F.when(complete, month_number("first_d_ter_delivery"))
     inside = F.struct(
@@ -154,32 +167,43 @@ def amort_volume(devices: DataFrame, catalog: DataFrame, prices: DataFrame, star
 
 def price_quantiles(model: DataFrame, probs=(0.1, 0.25, 0.5, 0.75, 0.9)) -> DataFrame:
     """Quantiles of the price of devices with a positive write-off."""
-    return exact_quantiles(model.filter("is_amortized = 1"), "price", probs)
+    return exact_quantiles(model.filter("is_amortized = 1"), "price", probs, n="months" if "months" in model.columns else None)
 
 
-def handover_flags(devices: DataFrame, month_col: str = "month_start", client: str = "n_cmp") -> DataFrame:
-    """Serials under several device codes in a month: closed under one and installed under another, or held by several clients."""
-    start, end = F.col(month_col), F.last_day(month_col)
-    facts = devices.groupBy(month_col, "c_pos_serial", "c_nter").agg(
-        F.coalesce(F.max("d_ter_close").between(start, end), F.lit(False)).alias("closed"),
-        F.coalesce(F.min("d_ter_install").between(start, end), F.lit(False)).alias("opened"),
-        F.collect_set(client).alias("_clients"),
-    )
-    closed, opened = F.col("closed"), F.col("opened")
-    per_serial = facts.groupBy(month_col, "c_pos_serial").agg(
-        F.count(F.lit(1)).alias("n_c_nter"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("_clients")))).cast("long").alias("n_client"),
-        F.count_if(closed).alias("n_closed"),
-        F.count_if(opened).alias("n_opened"),
-        F.count_if(closed & opened).alias("n_both"),
+def handover_flags(spans: DataFrame, client: str = "n_cmp", month_col: str = "month_start") -> DataFrame:
+    """Serials under several device codes in a month: closed under one and installed under another, or held by several clients.
+
+    Takes spans of device codes (``device_months``), whose ends become signed events, so that no row
+    per device and month is shuffled.
+    """
+    closed, opened = month_number("d_ter_close"), month_number("d_ter_install")
+    before = Window.partitionBy("c_pos_serial", client).orderBy(FIRST, LAST).rowsBetween(Window.unboundedPreceding, -1)
+    # The months in which no earlier span of the serial and client stands.
+    own = F.when(F.col(client).isNotNull(), F.greatest(F.col(FIRST), F.max(LAST).over(before) + 1))
+    rows = spans.withColumn("_own", own)
+    names = ("n_c_nter", "n_client", "n_closed", "n_opened", "n_both")
+
+    def part(name, first, last):
+        return F.struct(first.alias(FIRST), last.alias(LAST), *[F.lit(int(x == name)).alias(x) for x in names])
+
+    def day(name, month, condition=F.lit(True)):
+        return F.when(condition & month.between(F.col(FIRST), F.col(LAST)), part(name, month, month))
+
+    parts = F.array(
+        part("n_c_nter", F.col(FIRST), F.col(LAST)),
+        F.when(F.col("_own") <= F.col(LAST), part("n_client", F.col("_own"), F.col(LAST))),
+        day("n_closed", closed), day("n_opened", opened), day("n_both", closed, closed == opened),
     )
+    single = rows.select("c_pos_serial", F.inline(F.filter(parts, lambda p: p.isNotNull())))
+    n, many = F.col("n_c_nter"), F.col("n_c_nter") >= 2
     handed = (
-        (F.col("n_c_nter") >= 2) & (F.col("n_closed") > 0) & (F.col("n_opened") > 0)
+        many & (F.col("n_closed") > 0) & (F.col("n_opened") > 0)
         & ((F.col("n_closed") > F.col("n_both")) | (F.col("n_opened") > F.col("n_both")) | (F.col("n_closed") >= 2))
     )
-    moved = (F.col("n_c_nter") >= 2) & (F.col("n_client") >= 2)
-    return per_serial.withColumns({
+    moved = many & (F.col("n_client") >= 2)
+    per_serial = stretched_sums(single, ["c_pos_serial"], names).withColumns({
         "close_then_install": handed.cast("int"),
         "handover_same_month": moved.cast("int"),
-        "extra_c_nter_rows": F.when(moved, F.col("n_c_nter") - 1).otherwise(0),
+        "extra_c_nter_rows": F.when(moved, n - 1).otherwise(0),
     })
+    return span_months(per_serial, month_col)

@@ -748,3 +748,72 @@ def test_key_sets_rows_of_unions_are_merged_by_bits(spark):
     assert tuple(got) == (1, 1, 1, 0, 0)
     with pytest.raises(ValueError):
         ks.union_sizes(bitmaps, "abcde")
+
+
+def before_shuffles(df, text):
+    """Whether a step stands above every exchange of the plan, so that its rows are not shuffled."""
+    steps = plan(df)
+    return text in steps and steps.rindex(text) < steps.index("Exchange")
+
+
+def test_device_months_expand_after_the_last_shuffle(spark):
+    rng = random.Random(21)
+    rows = []
+    for code, i, start, end in _intervals(17, 160):
+        born = None if rng.random() < 0.2 else dt.date(2021, 1, 1) + dt.timedelta(rng.randrange(1600))
+        rows.append((f"{rng.choice('TU')}{i % 3}-{code}{i % 7}", rng.choice([None, " ", "s1", "s2", f"x{i % 9}"]), start, end, born, None))
+    devices = spark.createDataFrame(rows, "c_nter string, c_pos_serial string, d_ter_install date, d_ter_close date, d_ter_delivery date, ods_deleted_flg string")
+    low, high = "2024-03-01", "2025-10-31"
+    months = am.device_months(devices, low, high)
+    assert before_shuffles(months, "sequence(_first")
+    best = {}
+    for month in pd.date_range(low, high, freq="MS"):
+        for code, serial, start, end, _, _ in rows:
+            since, until = start or dt.date(1900, 1, 1), end or dt.date(2999, 12, 31)
+            if serial is not None and since <= (month + pd.offsets.MonthEnd(0)).date() and until >= month.date():
+                key = (month.date(), code)
+                best[key] = max(best.get(key, (since, until, serial)), (since, until, serial))
+    got = {(r.month_start, r.c_nter): (r.d_ter_install or dt.date(1900, 1, 1), r.d_ter_close or dt.date(2999, 12, 31), r.c_pos_serial) for r in months.collect()}
+    assert got == best
+
+    flags = am.handover_flags(am.device_months(devices, low, high, spans=True).withColumn("n_cmp", F.split_part("c_nter", F.lit("-"), F.lit(1))))
+    assert before_shuffles(flags, "sequence(_first")
+    wanted = {}
+    for (month, code), (since, until, serial) in best.items():
+        within = [(d.year, d.month) == (month.year, month.month) for d in (until, since)]
+        wanted.setdefault((month, serial), []).append((code.split("-")[0], *within))
+    for r in flags.collect():
+        held = wanted.pop((r.month_start, r.c_pos_serial))
+        n, clients = len(held), len({x[0] for x in held})
+        closed, opened, both = sum(x[1] for x in held), sum(x[2] for x in held), sum(x[1] and x[2] for x in held)
+        assert (r.n_c_nter, r.n_client, r.n_closed, r.n_opened, r.n_both) == (n, clients, closed, opened, both)
+        pairs = any(a[1] and b[2] for i, a in enumerate(held) for j, b in enumerate(held) if i != j)
+        assert (r.close_then_install, r.handover_same_month) == (int(pairs), int(n >= 2 and clients >= 2))
+    assert not wanted
+
+
+def test_stretches_stand_for_the_device_months(spark):
+    rng = random.Random(23)
+    rows = [(f"{c}{i % 9}", rng.choice([" ", "s1", f"x{i}"]), start, end, None if i % 5 == 0 else dt.date(2021, 1, 1) + dt.timedelta(rng.randrange(1900)), None)
+            for c, i, start, end in _intervals(29, 150)]
+    devices = spark.createDataFrame(rows, "c_nter string, c_pos_serial string, d_ter_install date, d_ter_close date, d_ter_delivery date, ods_deleted_flg string")
+    catalog = spark.createDataFrame([(f"{c}{j}", None, rng.choice(["m1", "m2", "m3"])) for c in "ab" for j in range(7)], "device string, code_device string, model_device string")
+    prices = spark.createDataFrame([("M1", 100.0), ("m2", 250.0)], "model_name string, price double")
+    args = (devices, catalog, prices, "2024-03-01", "2025-10-31")
+    months, stretches = am.amortization_model(*args), am.amortization_model(*args, stretches=True)
+    assert stretches.count() < months.count()
+    for f in (am.amort_qc, lambda m: am.amort_qc(m, "join_key_used"), am.amort_by_age, am.price_quantiles):
+        a, b = (sorted(tuple(r) for r in f(m).collect()) for m in (months, stretches))
+        assert [x[:1] for x in a] == [x[:1] for x in b] and all(x[1:] == pytest.approx(y[1:]) for x, y in zip(a, b))
+    assert "months" in plan(am.amort_by_age(stretches)) and "sequence(_first" not in plan(am.amort_by_age(stretches))
+
+
+def test_counted_values_have_the_quantiles_of_their_copies(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice("ab"), float(rng.randrange(60)), rng.randrange(0, 9)) for _ in range(300)]
+    df, probs = spark.createDataFrame(rows, "g string, v double, n int"), [0.1, 0.5, 0.95]
+    copies = {g: [v for k, v, n in rows if g in ("", k) for _ in range(n)] for g in ("", "a", "b")}
+    for limit in (1_000_000, 15):
+        assert np.allclose(list(qt.exact_quantiles(df, "v", probs, n="n", limit=limit).first()), np.quantile(copies[""], probs))
+        for r in qt.exact_quantiles(df, "v", probs, ["g"], n="n", limit=limit).collect():
+            assert np.allclose(list(r)[1:], np.quantile(copies[r.g], probs))
