@@ -11,7 +11,8 @@ from ..functions.text import blank_to_null, contract_key, contract_key_no_prefix
 from ..functions.classes import zone_class
 
 from .dedup import drop_duplicates_by, latest_version, unique_left_join
-from .validity import active_months, not_deleted
+from .spans import FIRST, LAST, chosen_spans, merged_spans, month_spans, monthly_sums
+from .validity import not_deleted
 
 
 def current_master(master: DataFrame) -> DataFrame:
@@ -213,20 +214,32 @@ def enrich_reference(
 
 def parent_path_probe(agreements: DataFrame, terms: DataFrame, start, end, cls: str = "SA", deleted=("1", "Y", "y")) -> DataFrame:
     """Per agreement id and month: its live parents, those of the wanted class, and the live outlets behind them."""
-    heads = active_months(not_deleted(agreements, values=deleted).filter("abs_agr_id is not null"), start, end).select(
-        F.col("abs_agr_id").alias("agr_id"), "month_start", "n_agr", F.upper(F.trim("acq_class")).alias("acq_class")
+    live = not_deleted(agreements, values=deleted).filter("abs_agr_id is not null")
+    heads = month_spans(live, start, end).select(
+        F.col("abs_agr_id").alias("agr_id"), "n_agr", F.upper(F.trim("acq_class")).alias("acq_class"), FIRST, LAST
     )
-    leaves = not_deleted(terms, values=deleted).filter("c_nmrc is not null").select("n_agr", "c_nmrc", "d_valid_from", "d_valid_to")
-    leaves = active_months(leaves.distinct(), start, end).select("n_agr", "month_start", "c_nmrc").distinct()
-    key = ["agr_id", "month_start"]
-    parents = heads.groupBy(*key).agg(
-        F.max("acq_class").alias("acq_class_sample"),
-        F.countDistinct("n_agr").alias("n_agr_cnt"),
-        F.countDistinct(F.when(F.col("acq_class") == cls, F.col("n_agr"))).alias("n_agr_sa_cnt"),
+    leaves = not_deleted(terms, values=deleted).filter("c_nmrc is not null")
+    leaves = month_spans(leaves, start, end).select("n_agr", "c_nmrc", F.col(FIRST).alias("_from"), F.col(LAST).alias("_to")).distinct()
+    both = {FIRST: F.greatest(FIRST, "_from"), LAST: F.least(LAST, "_to")}
+    outlets = heads.drop("acq_class").distinct().join(leaves, "n_agr").withColumns(both).filter(F.col(FIRST) <= F.col(LAST))
+    key = ["agr_id"]
+    names = ("_heads", "n_agr_cnt", "n_agr_sa_cnt", "c_nmrc_cnt")
+    none = F.lit(None).cast("struct<acq_class: string>")
+
+    def part(spans, name, label=none):
+        return spans.select(*key, FIRST, LAST, *[F.lit(int(n == name)).alias(n) for n in names], label.alias("_class"))
+
+    classed = chosen_spans(heads, key, ["acq_class"], ["acq_class"])
+    parents = heads.filter("n_agr is not null")
+    parts = (
+        part(classed, "_heads", F.struct("acq_class")),
+        part(merged_spans(parents, [*key, "n_agr"]), "n_agr_cnt"),
+        part(merged_spans(parents.filter(F.col("acq_class") == cls), [*key, "n_agr"]), "n_agr_sa_cnt"),
+        part(merged_spans(outlets, [*key, "c_nmrc"]), "c_nmrc_cnt"),
     )
-    outlets = heads.select(*key, "n_agr").distinct().join(leaves, ["n_agr", "month_start"])
-    counts = outlets.select(*key, "c_nmrc").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("c_nmrc_cnt"))
-    return parents.join(counts, key, "left").withColumn("c_nmrc_cnt", F.coalesce("c_nmrc_cnt", F.lit(0)))
+    # Nothing is expanded to months before the last shuffle; an expansion would also pass for a small table and be broadcast.
+    counts = monthly_sums(reduce(DataFrame.unionByName, parts), key, names, label="_class")
+    return counts.select(*key, "month_start", F.col("_class.acq_class").alias("acq_class_sample"), *names[1:])
 
 
 def text_search(df: DataFrame, text: str, needle: str, dates=(), months=()) -> DataFrame:

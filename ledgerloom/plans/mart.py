@@ -107,7 +107,7 @@ def monthly_mart(i: MartInputs, start, end, group: str, master_prefix: str, core
     newest, plans = actual_tariffs(
         i.agreements, i.core_merchants, i.tariff_plan, m.plan_fee_map(i.tariff_tune, i.tariff_fix), start, end
     )
-    targets = m.rent_targets(i.rent, i.terms, i.agreements, i.companies, start, end)
+    targets = m.rent_targets(i.rent, i.terms, i.agreements, i.companies, start, end, by_year=True)
     fees = m.rent_fee_by_key(m.rent_mapping(targets)).select(
         norm_inn("inn").alias("inn_key"), norm_agr("agr_id").alias("agr_id_key"), "month_start", "commission_monthly_mpos"
     )

@@ -7,8 +7,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import fixed_values as fv
 from ..functions.text import digits_only, empty_to_null
 from ..operators.dedup import latest_version, unique_map_only
-from ..operators.spans import FIRST, LAST, merged_spans, month_number, month_of, month_spans, monthly_sums
-from ..operators.validity import active_months, interval_join, not_deleted
+from ..operators.spans import (
+    FIRST, LAST, merged_spans, month_number, month_of, month_spans, monthly_sums, span_months, stretched_sums,
+)
+from ..operators.validity import active_months, not_deleted
 from ..session import materialize
 from .perimeter import agreements_of_class, live_companies
 
@@ -330,26 +332,44 @@ def latest_rent(rent: DataFrame, start, end) -> DataFrame:
 
 
 def rent_targets(
-    rent: DataFrame, terms: DataFrame, agreements: DataFrame, companies: DataFrame, start, end
+    rent: DataFrame, terms: DataFrame, agreements: DataFrame, companies: DataFrame, start, end, by_year: bool = False
 ) -> DataFrame:
-    """Rent days with every company and agreement they may belong to on that day."""
-    term_dim = not_deleted(terms, values=SOFT_DELETED).filter("c_nmrc is not null").select(
-        "c_nmrc", "n_agr", "d_valid_from", "d_valid_to"
-    ).distinct()
-    agr_dim = agreements_of_class(agreements, deleted=SOFT_DELETED).select(
-        "n_agr", F.col("abs_agr_id").alias("agr_id"), "n_cmp_client", "d_valid_from", "d_valid_to"
-    ).distinct()
+    """Rent days with every company and agreement they may belong to on that day.
+
+    Terms, agreements and companies meet as intervals, once per interval. An interval is repeated
+    for each of its years, so that a busy outlet is spread over years and no row per month is made.
+    With ``by_year`` the year stays, and grouping by outlet, year and day needs no further shuffle.
+    """
     cmp_dim = live_companies(companies, SOFT_DELETED).select("n_cmp_client", "inn").distinct()
-    days = latest_rent(rent, start, end)
-    # An outlet often has several terms with one agreement: keep each pair once.
-    via_term = interval_join(days, term_dim, "c_nmrc", "d_rent", start, end).select(*RENT_KEY, "n_agr").distinct()
-    via_agreement = interval_join(via_term, agr_dim, "n_agr", "d_rent", start, end)
-    return via_agreement.join(cmp_dim, "n_cmp_client", "left").select(*RENT_KEY, "inn", "agr_id")
+    agr_dim = agreements_of_class(agreements, deleted=SOFT_DELETED).select(
+        "n_agr", F.col("abs_agr_id").alias("agr_id"), "n_cmp_client", F.col("d_valid_from").alias("_from"), _until().alias("_to")
+    ).distinct().join(cmp_dim, "n_cmp_client", "left").select("n_agr", "agr_id", "inn", "_from", "_to")
+    term_dim = not_deleted(terms, values=SOFT_DELETED).filter("c_nmrc is not null and n_agr is not null").select(
+        "n_agr", "c_nmrc", F.col("d_valid_from").alias("_from"), _until().alias("_to")
+    )
+    low, high = (F.lit(d).cast("date") for d in (start, end))
+    known = term_dim.alias("t").join(agr_dim.alias("a"), "n_agr").filter(
+        "t._from is not null and a._from is not null"
+    ).select(
+        "c_nmrc", "agr_id", "inn", F.greatest("t._from", "a._from").alias("_from"), F.least("t._to", "a._to").alias("_to")
+    ).filter((F.col("_from") <= F.col("_to")) & (F.col("_from") <= high) & (F.col("_to") >= low))
+    years = F.sequence(F.year(F.greatest("_from", low)), F.year(F.least("_to", high)))
+    known = known.withColumn("_year", F.explode(years)).select(
+        F.col("c_nmrc").alias("_outlet"), F.col("_year").alias("_in"), "agr_id", "inn", "_from", "_to"
+    )
+    met = (F.col("c_nmrc") == F.col("_outlet")) & (F.col("_year") == F.col("_in")) & F.col("d_rent").between(F.col("_from"), F.col("_to"))
+    days = latest_rent(rent, start, end).withColumn("_year", F.year("d_rent"))
+    return days.join(known, met, "left").select(*(["_year"] if by_year else []), *RENT_KEY, "inn", "agr_id")
+
+
+def _until() -> Column:
+    return F.coalesce("d_valid_to", F.lit(fv.OPEN_END).cast("date"))
 
 
 def rent_mapping(targets: DataFrame) -> DataFrame:
     """Outcome of the mapping per rent day."""
-    return unique_map_only(targets, RENT_KEY, ["inn", "agr_id"])
+    key = [c for c in ("_year", *RENT_KEY) if c in targets.columns]
+    return unique_map_only(targets, key, ["inn", "agr_id"])
 
 
 def rent_row_classes(
@@ -364,26 +384,28 @@ def rent_row_classes(
     heads = not_deleted(agreements, values=SOFT_DELETED).join(
         wanted.select(F.col("agr_id").alias("abs_agr_id")).distinct(), "abs_agr_id", "left_semi"
     )
-    heads = active_months(heads, start, end).select(
-        F.col("abs_agr_id").alias("agr_id"), F.upper(F.trim("acq_class")).alias("acq_class"), "n_agr", "month_start"
+    heads = month_spans(heads, start, end).select(
+        F.col("abs_agr_id").alias("agr_id"), F.upper(F.trim("acq_class")).alias("acq_class"), "n_agr", FIRST, LAST
     ).distinct()
-    leaves = not_deleted(terms, values=SOFT_DELETED).filter("c_nmrc is not null").select(
-        "n_agr", "c_nmrc", "d_valid_from", "d_valid_to"
+    leaves = month_spans(not_deleted(terms, values=SOFT_DELETED).filter("c_nmrc is not null"), start, end).select(
+        "n_agr", "c_nmrc", F.col(FIRST).alias("_from"), F.col(LAST).alias("_to")
     ).distinct()
-    leaves = active_months(leaves, start, end).select("n_agr", "c_nmrc", "month_start").distinct()
-    hits = heads.join(leaves, ["n_agr", "month_start"])
-    days = latest_rent(rent, start, end).withColumn("month_start", F.trunc("d_rent", "MM"))
-    found = rent_mapping(rent_targets(rent, terms, agreements, companies, start, end)).select(
-        *RENT_KEY, "target_cnt", F.col("inn").alias("unique_inn"), F.col("agr_id").alias("unique_agr")
-    )
-    count = F.coalesce("target_cnt", F.lit(0))
+    both = {FIRST: F.greatest(FIRST, "_from"), LAST: F.least(LAST, "_to")}
+    hits = heads.join(leaves, "n_agr").withColumns(both).filter(F.col(FIRST) <= F.col(LAST))
+    hits = merged_spans(hits, ["agr_id", "acq_class", "n_agr", "c_nmrc"])
+    hits = hits.withColumn("_year", F.explode(F.sequence(F.floor(F.col(FIRST) / 12).cast("int"), F.floor(F.col(LAST) / 12).cast("int"))))
+    found = rent_mapping(rent_targets(rent, terms, agreements, companies, start, end, by_year=True))
+    # A day without an amount has no mapping to be found by.
+    count = F.when(F.col("n_amt").isNotNull(), F.col("target_cnt")).otherwise(0)
+    known = F.col("n_amt").isNotNull()
     map_class = (
         F.when(count == 0, "no_mapping")
         .when(count > 1, "ambiguous")
         .when(F.col("unique_agr") == F.col("agr_id"), "unique_on_target_agr")
         .otherwise("unique_other_agr")
     )
-    rows = hits.join(days, ["c_nmrc", "month_start"]).join(found, RENT_KEY, "left")
+    found = found.withColumns({"unique_inn": F.when(known, F.col("inn")), "unique_agr": F.when(known, F.col("agr_id"))}).drop("inn", "agr_id")
+    rows = found.join(hits, ["c_nmrc", "_year"]).filter(month_number("d_rent").between(F.col(FIRST), F.col(LAST)))
     return rows.select(
         "agr_id", "acq_class", "n_agr", *RENT_KEY, count.alias("valid_key_cnt"), "unique_inn", "unique_agr", map_class.alias("map_class")
     )
@@ -400,17 +422,17 @@ def count_variants(pairs: DataFrame, outlets: DataFrame, devices: DataFrame, sta
     fitted = owned.join(not_deleted(devices).filter("c_nter is not null"), "c_nmrc")
     term_all = fitted.select("n_cmp_client", "c_nter").distinct().groupBy("n_cmp_client").agg(F.count(F.lit(1)).alias("term_all_cnt"))
     retl_all = owned.groupBy("n_cmp_client").agg(F.count(F.lit(1)).alias("retl_all_cnt"))
-    spans = fitted.select(
-        "n_cmp_client", "c_nmrc", "c_nter", F.coalesce("d_ter_install", F.lit("1900-01-01").cast("date")).alias("d_valid_from"),
-        F.col("d_ter_close").alias("d_valid_to"),
-    ).distinct()
-    live = active_months(spans, start, end)
-    key = ["n_cmp_client", "month_start"]
-    active = live.select(*key, "c_nmrc").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("retl_active_cnt")).join(
-        live.select(*key, "c_nter").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("term_active_cnt")), key
-    )
-    per_company = retl_all.join(term_all, "n_cmp_client", "left")
-    return pairs.join(per_company, "n_cmp_client").join(active, "n_cmp_client").select(
+    known = fitted.withColumn("_since", F.coalesce("d_ter_install", F.lit("1900-01-01").cast("date")))
+    spans = month_spans(known, start, end, "_since", "d_ter_close").select("n_cmp_client", "c_nmrc", "c_nter", FIRST, LAST)
+    key = ["n_cmp_client"]
+    merged = [
+        merged_spans(spans, [*key, c]).select(*key, FIRST, LAST, *[F.lit(int(c == x)).alias(n) for x, n in (("c_nmrc", "retl_active_cnt"), ("c_nter", "term_active_cnt"))])
+        for c in ("c_nmrc", "c_nter")
+    ]
+    active = stretched_sums(merged[0].unionByName(merged[1]), key, ["retl_active_cnt", "term_active_cnt"])
+    per_company = retl_all.join(term_all, "n_cmp_client", "left").join(active, "n_cmp_client")
+    # Months are expanded last: a company's counts meet its agreements as spans.
+    return span_months(pairs.join(per_company, "n_cmp_client")).select(
         *KEY, "retl_all_cnt", "retl_active_cnt", "term_all_cnt", "term_active_cnt"
     )
 
