@@ -18,7 +18,8 @@ def approx_quantiles(df: DataFrame, value: str, probs, by=(), accuracy: int = 10
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs, by=(), accuracy: int = 2_000, prefix="p", limit: int = 1_000_000, n: str | None = None
+    df: DataFrame, value: str, probs, by=(), accuracy: int = 2_000, prefix="p", limit: int = 1_000_000, n: str | None = None,
+    discrete: bool = False,
 ) -> DataFrame:
     """Interpolated quantiles, exact; no task ranks more than about ``limit`` values. Runs jobs.
 
@@ -28,7 +29,8 @@ def exact_quantiles(
     on the groups, or as a single value where there are none. Where more than ``limit`` different
     values lie between bounds, the bounds are narrowed first. Groups with a null key are left out.
     ``n`` names a column that tells how often a row counts; then no sketch is taken, and narrowing
-    begins with all values.
+    begins with all values. With ``discrete`` a quantile is the smallest value that the share of
+    values is not above, without interpolation.
     """
     by, probs = list(by), [float(p) for p in probs]
     places = F.explode(F.array(*map(F.lit, range(len(probs))))).alias("_i")
@@ -37,7 +39,7 @@ def exact_quantiles(
         known = known.dropna(subset=by) if by else known
         counts = known.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.sum(n).alias("_n"))
         each = counts.select(*by, "_v", "_n", places, F.lit(1).alias("_side"))
-        return _interpolated(narrowed(each, by, probs, limit), by, probs, prefix)
+        return _interpolated(narrowed(each, by, probs, limit), by, probs, prefix, discrete)
     margin = 2 / accuracy
     ends = [e for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
     known = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
@@ -52,13 +54,16 @@ def exact_quantiles(
     # value, which a wanted rank may fall on in small groups, and how many there are.
     each = counts.select(*by, "_v", "_n", "_bounds", places)
     side = F.when(F.col("_v") < low, 0).when(F.col("_v") <= high, 1).otherwise(2)
-    return _interpolated(narrowed(_parts(each.withColumn("_side", side), by), by, probs, limit), by, probs, prefix)
+    return _interpolated(narrowed(_parts(each.withColumn("_side", side), by), by, probs, limit), by, probs, prefix, discrete)
 
 
-def _interpolated(parts: DataFrame, by, probs, prefix: str) -> DataFrame:
+def _interpolated(parts: DataFrame, by, probs, prefix: str, discrete: bool) -> DataFrame:
     frame = Window.partitionBy(*by, "_i").orderBy("_side", "_v")
     placed = parts.withColumns({"_to": F.sum("_n").over(frame), "_total": F.sum("_n").over(Window.partitionBy(*by, "_i"))})
-    placed = placed.withColumn("_pos", _position(probs))
+    position = _position(probs)
+    if discrete:
+        position = F.greatest(F.ceil(F.element_at(F.array(*map(F.lit, probs)), F.col("_i") + 1) * F.col("_total")), F.lit(1)) - 1
+    placed = placed.withColumn("_pos", position)
     begin, end = F.col("_to") - F.col("_n"), F.col("_to")
 
     def at(rank):
