@@ -410,10 +410,11 @@ def rent_row_classes(
     )
 
 
-def count_variants(pairs: DataFrame, outlets: DataFrame, devices: DataFrame, start, end) -> DataFrame:
+def count_variants(pairs: DataFrame, outlets: DataFrame, devices: DataFrame, start, end, spans: bool = False) -> DataFrame:
     """Outlets and devices of each agreement's company per month: all of them, and those with a device in place.
 
-    ``pairs`` holds (n_agr, n_cmp_client). Companies are counted once, not once per agreement.
+    ``pairs`` holds (n_agr, n_cmp_client). Companies are counted once, not once per agreement. With
+    ``spans`` a row is a span of months with the same counts.
     """
     pairs = pairs.select("n_agr", "n_cmp_client").distinct()
     owned = not_deleted(outlets).filter("c_nmrc is not null").select(F.col("n_cmp").alias("n_cmp_client"), "c_nmrc").distinct()
@@ -422,18 +423,19 @@ def count_variants(pairs: DataFrame, outlets: DataFrame, devices: DataFrame, sta
     term_all = fitted.select("n_cmp_client", "c_nter").distinct().groupBy("n_cmp_client").agg(F.count(F.lit(1)).alias("term_all_cnt"))
     retl_all = owned.groupBy("n_cmp_client").agg(F.count(F.lit(1)).alias("retl_all_cnt"))
     known = fitted.withColumn("_since", F.coalesce("d_ter_install", F.lit("1900-01-01").cast("date")))
-    spans = month_spans(known, start, end, "_since", "d_ter_close").select("n_cmp_client", "c_nmrc", "c_nter", FIRST, LAST)
+    stood = month_spans(known, start, end, "_since", "d_ter_close").select("n_cmp_client", "c_nmrc", "c_nter", FIRST, LAST)
     key = ["n_cmp_client"]
     merged = [
-        merged_spans(spans, [*key, c]).select(*key, FIRST, LAST, *[F.lit(int(c == x)).alias(n) for x, n in (("c_nmrc", "retl_active_cnt"), ("c_nter", "term_active_cnt"))])
+        merged_spans(stood, [*key, c]).select(*key, FIRST, LAST, *[F.lit(int(c == x)).alias(n) for x, n in (("c_nmrc", "retl_active_cnt"), ("c_nter", "term_active_cnt"))])
         for c in ("c_nmrc", "c_nter")
     ]
     active = stretched_sums(merged[0].unionByName(merged[1]), key, ["retl_active_cnt", "term_active_cnt"])
     per_company = retl_all.join(term_all, "n_cmp_client", "left").join(active, "n_cmp_client")
     # Months are expanded last: a company's counts meet its agreements as spans.
-    return span_months(pairs.join(per_company, "n_cmp_client")).select(
-        *KEY, "retl_all_cnt", "retl_active_cnt", "term_all_cnt", "term_active_cnt"
+    counts = pairs.join(per_company, "n_cmp_client").select(
+        "n_agr", "retl_all_cnt", "retl_active_cnt", "term_all_cnt", "term_active_cnt", FIRST, LAST
     )
+    return counts if spans else span_months(counts)
 
 
 def rent_fee_by_key(mapping: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from ledgerloom.operators import dedup as dd, fuzzy as fz, quantiles as qt, spans as sp, validity as va
+from ledgerloom.operators import dedup as dd, fuzzy as fz, mapping as mp, quantiles as qt, spans as sp, validity as va
 from ledgerloom.plans import amortization as am, events as ev, income as ic, keysets as ks, metrics as me, perimeter as pe, products as pr, quality as ql
 from ledgerloom.sources import readers as rd, writers as wr
 
@@ -817,3 +817,79 @@ def test_counted_values_have_the_quantiles_of_their_copies(spark):
         assert np.allclose(list(qt.exact_quantiles(df, "v", probs, n="n", limit=limit).first()), np.quantile(copies[""], probs))
         for r in qt.exact_quantiles(df, "v", probs, ["g"], n="n", limit=limit).collect():
             assert np.allclose(list(r)[1:], np.quantile(copies[r.g], probs))
+
+
+def _random_terms(spark, seed, n=140):
+    rng = random.Random(seed)
+    low = dt.date(2024, 1, 1)
+
+    def interval():
+        start = low + dt.timedelta(rng.randrange(0, 500))
+        return start, None if rng.random() < 0.2 else start + dt.timedelta(rng.randrange(0, 250))
+
+    terms = [(f"g{rng.randrange(12)}", f"o{rng.randrange(8)}", rng.choice(["P", " p", "E"]), rng.choice(["HOME", "X"]), *interval(), rng.choice([None, None, "1"])) for _ in range(n)]
+    heads = [(f"g{i % 12}", rng.choice([None, f"i{i % 5}", f"i{i % 5}"]), f"c{i % 6}", "no", rng.choice(["SA", "SA", "SV"]), *interval(), rng.choice([None, None, None, "1"])) for i in range(40)]
+    firms = [(f"c{i}", None if i == 5 else f"77{i % 4}", f"firm {i}", None) for i in range(6)]
+    return (
+        spark.createDataFrame(heads, "n_agr string, abs_agr_id string, n_cmp_client string, c_agr_number string, acq_class string, d_valid_from date, d_valid_to date, ods_deleted_flg string"),
+        spark.createDataFrame(firms, "n_cmp string, c_inn string, c_cmp_name string, ods_deleted_flg string"),
+        spark.createDataFrame(terms, "n_agr string, c_nmrc string, cf_ter_type string, c_fiid_grp string, d_valid_from date, d_valid_to date, ods_deleted_flg string"),
+        heads, firms, terms,
+    )
+
+
+def _lives(since, until, month, after=False):
+    last = (month + pd.offsets.MonthEnd(0)).date()
+    return since <= last and (until is None or (until > month.date() if after else until >= month.date()))
+
+
+def test_parents_and_perimeter_meet_as_spans(spark):
+    agreements, companies, terms, heads, firms, leaves = _random_terms(spark, 31)
+    low, high = "2024-02-01", "2025-06-30"
+    probe = mp.parent_path_probe(agreements, terms, low, high)
+    peri = pe.perimeter(agreements, companies, terms, low, high)
+    assert before_shuffles(probe, "sequence(_first") and before_shuffles(peri, "sequence(_first")
+    wanted, scope = {}, set()
+    inn = {n: i for n, i, _, _ in firms if i}
+    for month in pd.date_range(low, high, freq="MS"):
+        for g, a, c, _, cls, since, until, gone in heads:
+            if gone or not _lives(since, until, month):
+                continue
+            if a:
+                row = wanted.setdefault((a, month.date()), (set(), set(), set(), set()))
+                row[0].add(cls), row[1].add(g), row[3].update(x[1] for x in leaves if x[0] == g and not x[6] and _lives(x[4], x[5], month))
+                row[2].update([g] if cls == "SA" else [])
+            if cls == "SA" and c in inn and any(x[0] == g and x[2].strip().upper() == "P" and not x[6] and _lives(x[4], x[5], month, True) for x in leaves):
+                scope.add((g, month.date(), a, since, until, inn[c]))
+    assert {(r.agr_id, r.month_start): (r.acq_class_sample, r.n_agr_cnt, r.n_agr_sa_cnt, r.c_nmrc_cnt) for r in probe.collect()} == {
+        k: (max(c), len(g), len(s), len(o)) for k, (c, g, s, o) in wanted.items()
+    }
+    assert {(r.n_agr, r.month_start, r.agr_id, r.d_valid_from, r.d_valid_to, r.inn) for r in peri.collect()} == scope
+
+
+def test_rent_days_meet_intervals_by_year(spark):
+    agreements, companies, terms, heads, firms, leaves = _random_terms(spark, 37)
+    rng = random.Random(41)
+    rows = [(f"o{rng.randrange(9)}", dt.date(2024, 1, 1) + dt.timedelta(rng.randrange(600)), rng.choice([None, 5.0, 7.0]), None, None, i, None) for i in range(120)]
+    rent = spark.createDataFrame(rows, "c_nmrc string, d_rent date, n_amt double, ods_commit_ts timestamp, ods_insert_ts timestamp, ods_op_csn int, ods_deleted_flg string")
+    low, high = "2024-02-01", "2025-06-30"
+    mapped = me.rent_mapping(me.rent_targets(rent, terms, agreements, companies, low, high, by_year=True))
+    assert "INTERVAL '1' MONTH" not in plan(mapped)
+    newest = {}
+    for o, d, amount, _, _, csn, _ in rows:
+        if dt.date(2024, 2, 1) <= d <= dt.date(2025, 6, 30):
+            newest[o, d] = max(newest.get((o, d), (-1, None)), (csn, amount), key=lambda x: x[0])
+    inn, end = {n: i for n, i, _, _ in firms if i}, dt.date(2999, 12, 31)
+    wanted = {}
+    for (o, d), (_, amount) in newest.items():
+        via = {x[0] for x in leaves if x[1] == o and not x[6] and x[4] <= d <= (x[5] or end)}
+        wanted[o, d, amount] = len({(inn[h[2]], h[1]) for h in heads if h[0] in via and h[4] == "SA" and not h[7] and h[5] <= d <= (h[6] or end) and h[1] and h[2] in inn})
+    assert {(r.c_nmrc, r.d_rent, r.n_amt): r.target_cnt for r in mapped.collect()} == wanted and max(wanted.values()) > 1
+
+
+def test_profile_quantiles_are_exact_with_a_small_sketch(spark):
+    df = spark.range(5_000).select((F.col("id") * 7919 % 5_000).alias("a"), F.when(F.col("id") % 3 == 0, F.col("id") / 10).alias("b"))
+    out = ql.profile_all_numeric(df, accuracy=1_000_000)
+    assert "1000000" not in plan(out)
+    got = {r["column"]: (r.non_null_cnt, r.p50, r.p95) for r in out.collect()}
+    assert got == {"a": (5_000, 2499.0, 4749.0), "b": (1667, 249.9, 474.9)}
