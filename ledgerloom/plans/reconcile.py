@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed_values as fv
@@ -28,9 +30,17 @@ def _stack(entries: list[tuple], names: str) -> Column:
 def key_month_agg(df: DataFrame, rules: dict[str, str], suffix: str, keys=ROW_KEY) -> DataFrame:
     """One row per complete key; each column by its rule, ``max`` or ``sum``."""
     rule = {"max": F.max, "sum": F.sum}
-    return df.dropna(subset=[k for k in keys if k != "report_month"]).groupBy(*keys).agg(
-        *[rule[how](c).alias(f"{c}{suffix}") for c, how in rules.items()]
-    )
+    sums = df.groupBy(*keys).agg(_complete(keys), *[rule[how](c).alias(f"{c}{suffix}") for c, how in rules.items()])
+    return sums.filter("_known").drop("_known")
+
+
+def _complete(keys) -> Column:
+    """Whether a group has all its keys but the month.
+
+    Taken with the sums: a filter on the keys would be pushed below them and derive every key once more for itself.
+    """
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys if k != "report_month"])
+    return F.bool_and(known).alias("_known")
 
 
 def metric_totals(agg: DataFrame, suffix: str, metrics=VALUES, optional=()) -> DataFrame:
@@ -48,7 +58,10 @@ def metric_totals(agg: DataFrame, suffix: str, metrics=VALUES, optional=()) -> D
 def monthly_compare(lake_totals: DataFrame, ref_totals: DataFrame, metrics=fv.COMPARE_METRICS) -> DataFrame:
     """Both values, delta and percent per month and metric; one-sided where no report exists."""
     ref = ref_totals.select("report_month", *[F.col(c).alias(f"{c}_ref") for c in metrics], F.lit(1).alias("_has"))
-    both = lake_totals.join(ref, "report_month", "left")
+    return _compared(lake_totals.join(ref, "report_month", "left"), metrics)
+
+
+def _compared(both: DataFrame, metrics) -> DataFrame:
     entries = [(c, c, f"{c}_ref") for c in metrics]
     rows = both.select("report_month", "_has", _stack(entries, "metric, lake_value, excel_value"))
     delta = F.col("lake_value") - F.col("excel_value")
@@ -60,6 +73,40 @@ def monthly_compare(lake_totals: DataFrame, ref_totals: DataFrame, metrics=fv.CO
     )
 
 
+def paired_compare(pairs: DataFrame, metrics=VALUES, optional=()) -> DataFrame:
+    """``monthly_compare`` of the ``metric_totals`` of both sides of a paired table, with ``optional`` ones of the report.
+
+    A pair gives its month's sums one row without a company, and the count of companies one without values;
+    the former are a row per month in each task before the shuffle, the latter carry no values through it.
+    """
+    sides = {"lake": F.col("merge_status") != "right_only", "excel": F.col("merge_status") != "left_only"}
+    # Without a month no row has a partner on the other side.
+    rows = pairs.filter(F.col("report_month").isNotNull() | sides["lake"]).withColumn("_kind", F.explode(F.array(F.lit(0), F.lit(1))))
+    value = F.col("_kind") == 0
+    sums = [f"{c}_{s}" for s in sides for c in metrics]
+    filled = [f"{c}_excel" for c in metrics if c in optional]
+    per_inn = rows.groupBy("report_month", "_kind", F.when(~value, F.col("inn_key")).alias("_inn")).agg(
+        *[F.bool_or(here).alias(f"_in_{s}") for s, here in sides.items()],
+        *[F.sum(F.when(value, F.col(c))).alias(c) for c in sums],
+        *[F.count(F.when(value, F.col(c))).alias(f"_n_{c}") for c in filled],
+    )
+    totals = []
+    for c in sums:
+        total = F.coalesce(F.sum(c), F.lit(0))
+        totals.append((F.when(F.sum(f"_n_{c}") > 0, total) if c in filled else total).alias(c))
+    by_month = per_inn.groupBy("report_month").agg(
+        *[F.count_if((F.col("_kind") == 1) & F.col(f"_in_{s}")).alias(f"unique_inn_{s}") for s in sides], *totals
+    )
+    # Months of the report alone are left out; the values of months without a report are null.
+    has = F.col("unique_inn_excel") > 0
+    names = ["unique_inn", *metrics]
+    both = by_month.filter("unique_inn_lake > 0").select(
+        "report_month", *[F.col(f"{c}_lake").alias(c) for c in names],
+        *[F.when(has, F.col(f"{c}_excel")).alias(f"{c}_ref") for c in names], F.when(has, F.lit(1)).alias("_has"),
+    )
+    return _compared(both, names)
+
+
 def period_total(compare: DataFrame) -> DataFrame:
     """Sums over the months with a report, and separately over those without."""
     has = F.col("reference_status") == "has_excel_reference"
@@ -89,8 +136,33 @@ def paired(lake: DataFrame, ref: DataFrame, keys=ROW_KEY) -> DataFrame:
     return left.join(right, list(keys), "full_outer").withColumn("merge_status", side).drop("_l", "_r")
 
 
+def paired_rows(rows: DataFrame, side: str, sides: dict, keys=ROW_KEY) -> DataFrame:
+    """``paired`` of the ``key_month_agg`` of two tables whose rows come as one, told apart by the column ``side``.
+
+    ``sides`` maps the two values of the column to (suffix, rules), the left table first. One shuffle of
+    sums that tasks have taken before, in place of one for each table and a join.
+    """
+    (left, _), (right, _) = sides.items()
+    rule = {"max": F.max, "sum": F.sum}
+    # As in a join, a row with an empty key meets none of the other side.
+    alone = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    sums = rows.groupBy(*keys, F.when(alone, F.col(side)).alias("_alone")).agg(
+        _complete(keys),
+        F.bool_or(F.col(side) == left).alias("_l"), F.bool_or(F.col(side) == right).alias("_r"),
+        *[rule[how](F.when(F.col(side) == value, F.col(c))).alias(f"{c}{suffix}")
+          for value, (suffix, rules) in sides.items() for c, how in rules.items()],
+    )
+    status = F.when(F.col("_l") & F.col("_r"), "both").when(F.col("_l"), "left_only").otherwise("right_only")
+    return sums.filter("_known").withColumn("merge_status", status).drop("_alone", "_known", "_l", "_r")
+
+
 def row_match(lake: DataFrame, ref: DataFrame, metrics: dict[str, float]) -> DataFrame:
     """Share of equal rows per month and metric on the shared keys, missing values as zero."""
+    return paired_row_match(paired(lake, ref), metrics)
+
+
+def paired_row_match(pairs: DataFrame, metrics: dict[str, float]) -> DataFrame:
+    """``row_match`` of a paired table."""
     both = F.col("merge_status") == "both"
     aggs = [
         F.count_if(both).alias("keys_both"),
@@ -101,7 +173,7 @@ def row_match(lake: DataFrame, ref: DataFrame, metrics: dict[str, float]) -> Dat
         a, b = F.coalesce(f"{c}_lake", F.lit(0)), F.coalesce(f"{c}_excel", F.lit(0))
         aggs.append(F.count_if(both & (F.abs(a - b) <= F.lit(tol))).alias(f"_e_{c}"))
         aggs.append(F.count_if(both & F.col(f"{c}_excel").isNotNull()).alias(f"_n_{c}"))
-    counts = paired(lake, ref).groupBy("report_month").agg(*aggs)
+    counts = pairs.groupBy("report_month").agg(*aggs)
     entries = [(c, f"_e_{c}", f"_n_{c}", str(tol)) for c, tol in metrics.items()]
     keys = ["report_month", "keys_both", "keys_only_excel", "keys_only_lake"]
     rows = counts.select(*keys, _stack(entries, "metric, exact_n, filled_n, tol")).filter("filled_n > 0")
@@ -114,6 +186,11 @@ def row_match(lake: DataFrame, ref: DataFrame, metrics: dict[str, float]) -> Dat
 
 def meaningful_row_match(lake: DataFrame, ref: DataFrame, metrics: dict[str, float]) -> DataFrame:
     """Share of equal rows among shared keys where a side, or both sides, hold a non-zero value."""
+    return paired_meaningful_match(paired(lake, ref), metrics)
+
+
+def paired_meaningful_match(pairs: DataFrame, metrics: dict[str, float]) -> DataFrame:
+    """``meaningful_row_match`` of a paired table."""
     aggs = [F.count(F.lit(1)).alias("keys_both")]
     for c, tol in metrics.items():
         a, b = F.col(f"{c}_lake"), F.col(f"{c}_excel")
@@ -126,7 +203,7 @@ def meaningful_row_match(lake: DataFrame, ref: DataFrame, metrics: dict[str, flo
             F.count_if(live_a & live_b & equal).alias(f"_be_{c}"),
             F.count(b).alias(f"_n_{c}"),
         ]
-    counts = paired(lake, ref).filter("merge_status = 'both'").groupBy("report_month").agg(*aggs)
+    counts = pairs.filter("merge_status = 'both'").groupBy("report_month").agg(*aggs)
     entries = [(c, f"_d_{c}", f"_e_{c}", f"_b_{c}", f"_be_{c}", f"_n_{c}", str(t)) for c, t in metrics.items()]
     names = "metric, denom, exact, both_live, both_exact, filled, tol"
     rows = counts.select("report_month", "keys_both", _stack(entries, names)).filter("filled > 0 and denom > 0")
