@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.numbers import ratio
 from ..operators.dedup import top_per_key
 from ..operators.quantiles import exact_quantiles, one_row
+from ..session import materialize
 
 
 def months_present_all(df: DataFrame, key: str, months, month="report_month") -> DataFrame:
@@ -52,9 +53,12 @@ def category_by_month_pattern(df: DataFrame, key: str, lake: str, ref: str, mont
 
 
 def ratio_coefficients(df: DataFrame, key: str, base: str, ref: str) -> DataFrame:
-    """Reference over base per key; one where both are zero, the median where the ratio is missing."""
+    """Reference over base per key; one where both are zero, the median where the ratio is missing. Runs jobs.
+
+    The sums are read for the median's sketch and counts and for the result, so they are drawn from the rows once.
+    """
     sums = df.groupBy(key).agg(F.coalesce(F.sum(base), F.lit(0)).alias("base_sum"), F.coalesce(F.sum(ref), F.lit(0)).alias("ref_sum"))
-    sums = sums.withColumn("_k", ratio("ref_sum", "base_sum"))
+    sums = materialize(sums.withColumn("_k", ratio("ref_sum", "base_sum")))
     median = exact_quantiles(sums, "_k", [0.5]).agg(F.max("p50")).scalar()
     both_zero = (F.col("base_sum") == 0) & (F.col("ref_sum") == 0)
     value = F.when(both_zero, F.lit(1.0)).otherwise(F.coalesce("_k", median, F.lit(1.0)))
@@ -63,8 +67,11 @@ def ratio_coefficients(df: DataFrame, key: str, base: str, ref: str) -> DataFram
 
 
 def ratio_profile(df: DataFrame, base: str, ref: str) -> DataFrame:
-    """Median, mean, minimum and maximum of reference over base where both are positive."""
-    both = df.filter((F.col(base) > 0) & (F.col(ref) > 0)).withColumn("_r", ratio(ref, base))
+    """Median, mean, minimum and maximum of reference over base where both are positive. Runs jobs.
+
+    All of them need only the ratios, which are drawn from the rows once.
+    """
+    both = materialize(df.filter((F.col(base) > 0) & (F.col(ref) > 0)).select(ratio(ref, base).alias("_r")))
     stats = both.agg(
         F.count(F.lit(1)).alias("rows"), F.avg("_r").alias("mean"), F.min("_r").alias("min"), F.max("_r").alias("max")
     )

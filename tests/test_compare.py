@@ -89,3 +89,18 @@ def test_mart_and_report_read_their_tables_once(spark, tmp_path):
     for name in ("monthly_compare", "period_total", "top_abs_delta", "meaningful_row_match", "full_outer_pairs", "row_match", "compare_summary"):
         plan = QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
         assert plan.count("FileScan parquet [l_orderkey") == 1, name
+
+
+def test_ratios_draw_their_rows_once(spark):
+    rows = [("a", 1, 2), ("a", 1, 4), ("b", 2, 3), ("c", 0, 5), ("d", 0, 0), ("e", 4, None), (None, 1, 7)]
+    df = spark.createDataFrame(rows, "k string, base long, ref long")
+    seen = spark.sparkContext.accumulator(0)
+    profile = se.ratio_profile(counted(df, seen), "base", "ref").first()
+    assert tuple(profile) == (4, (2 + 4 + 1.5 + 7) / 4, 1.5, 7.0, 3.0) and seen.value == len(rows)
+    seen = spark.sparkContext.accumulator(0)
+    out = se.ratio_coefficients(counted(df, seen), "k", "base", "ref").collect()
+    assert seen.value == len(rows)
+    assert {(r.k, r.base_sum, r.ref_sum, r.coefficient, r.coef_source) for r in out} == {
+        ("a", 2, 6, 3.0, "agr_ratio"), ("b", 2, 3, 1.5, "agr_ratio"), ("c", 0, 5, 2.25, "fallback_global_median"),
+        ("d", 0, 0, 1.0, "both_zero_eq_1"), ("e", 4, 0, 0.0, "agr_ratio"), (None, 1, 7, 7.0, "agr_ratio"),
+    }
