@@ -96,10 +96,12 @@ def ops_month_long(df: DataFrame, key: str, date: str, values) -> DataFrame:
 
 def ops_month_pivot(long: DataFrame, key: str, values, months) -> DataFrame:
     """One column per value and month."""
-    wide = long.groupBy(key).pivot("month", list(months)).agg(*[F.sum(v).alias(v) for v in values])
-    names = [f"{m}_{v}" if len(values) > 1 else m for m in months for v in values]
-    fresh = [f"{v}_{m.replace('-', '_')}" for m in months for v in values]
-    return wide.select(key, *[F.col(f"`{a}`").alias(b) for a, b in zip(names, fresh)])
+    sums = long.groupBy(key, "month").agg(*[F.sum(v).alias(v) for v in values])
+    # A key's months travel as one short list; the wide row is made from it at the end, so none is shuffled or held.
+    wanted = F.col("month").isin(*months)
+    entry = F.when(wanted, F.struct("month", F.struct(*values).alias("_v")))
+    wide = sums.groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias("_m"))
+    return wide.select(key, *[F.col("_m")[m][v].alias(f"{v}_{m.replace('-', '_')}") for m in months for v in values])
 
 
 def first_attributes(df: DataFrame, key: str, order, cols) -> DataFrame:

@@ -104,3 +104,17 @@ def test_ratios_draw_their_rows_once(spark):
         ("a", 2, 6, 3.0, "agr_ratio"), ("b", 2, 3, 1.5, "agr_ratio"), ("c", 0, 5, 2.25, "fallback_global_median"),
         ("d", 0, 0, 1.0, "both_zero_eq_1"), ("e", 4, 0, 0.0, "agr_ratio"), (None, 1, 7, 7.0, "agr_ratio"),
     }
+
+
+def test_month_pivot_shuffles_no_wide_rows(spark):
+    months = ["2025-01", "2025-02", "2025-03"]
+    rows = [("a", "2025-01", 1, 5), ("a", "2025-01", 2, None), ("a", "2024-12", 9, 9), ("a", None, 8, 8), ("b", "2025-03", None, 1), ("c", "2024-12", 1, 1), (None, "2025-02", 3, 4)]
+    df = spark.createDataFrame(rows, "k string, month string, v long, w long")
+    out = se.ops_month_pivot(df, "k", ["v", "w"], months)
+    assert out.columns == ["k", "v_2025_01", "w_2025_01", "v_2025_02", "w_2025_02", "v_2025_03", "w_2025_03"]
+    assert {tuple(r) for r in out.collect()} == {
+        ("a", 3, 5, None, None, None, None), ("b", None, None, None, None, None, 1),
+        ("c", None, None, None, None, None, None), (None, None, None, 3, 4, None, None),
+    }
+    assert se.ops_month_pivot(df, "k", ["v"], months).columns == ["k", "v_2025_01", "v_2025_02", "v_2025_03"]
+    assert "pivotfirst" not in out._jdf.queryExecution().toString().lower()
