@@ -13,6 +13,9 @@ Equal fingerprints are one row before anything is compared, so that a group of c
 size is one node; documents get their component by a join at the end. Components are found by
 alternating large-star and small-star steps on the links, with a written table a round.
 
+Both sides of these joins grow with the corpus, and Spark sizes them too low: replicas by the rows
+before they are exploded, links by files that pack them well. So the joins ask to be merged.
+
 Documents: null and empty texts, like all texts without a word, have fingerprint zero and link
 like any other. Rows that repeat an identifier are separate members. Null identifiers are kept;
 they are never the smallest identifier of a component, which is null only if all its members'
@@ -103,7 +106,8 @@ def links(distinct: DataFrame) -> DataFrame:
     homes = _anchored(distinct).select("fp", "half", F.col("home").alias("anchor"))
     probes = _anchored(distinct).select(F.col("fp").alias("other"), F.col("half").alias("part"), F.explode("replicas").alias("place"))
     near = F.expr(f"bit_count(fp ^ other) <= {THRESHOLD}")
-    pairs = homes.join(probes, (F.col("half") == F.col("part")) & (F.col("anchor") == F.col("place")) & near & (F.col("fp") != F.col("other")))
+    # Sized by its fingerprints alone, a side of replicas would be broadcast although it is 34 times as large.
+    pairs = homes.hint("merge").join(probes.hint("merge"), (F.col("half") == F.col("part")) & (F.col("anchor") == F.col("place")) & near & (F.col("fp") != F.col("other")))
     return pairs.select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b")).distinct()
 
 
@@ -121,11 +125,11 @@ def components(edges: DataFrame) -> DataFrame:
         now = spark.read.schema("a bigint, b bigint").parquet(path)
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = both.join(least.hint("merge"), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a <> b").distinct()
         # Now a > b in every row.
         smallest = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(smallest, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("l"))
+        small = large.join(smallest.hint("merge"), "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("l"))
         small = small.select("l.a", "l.b").where("a <> b").distinct()
         following = new_path(spark, "links")
         small.write.parquet(following)
@@ -134,7 +138,7 @@ def components(edges: DataFrame) -> DataFrame:
         now = spark.read.schema("a bigint, b bigint").parquet(path)
         # Stars: no node has two links up, and none that is linked up is linked to.
         many = now.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
-        inner = now.join(now.select(F.col("b").alias("a")).distinct(), "a", "leftsemi").select("a")
+        inner = now.join(now.select(F.col("b").alias("a")).distinct().hint("merge"), "a", "leftsemi").select("a")
         if not many.union(inner).take(1):
             break
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -152,10 +156,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")
     nodes = rows.groupBy("fp").agg(F.min(order).alias("first"))
     root = components(links(rows.select("fp").distinct()))
-    nodes = nodes.join(root.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    nodes = nodes.join(root.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     firsts = nodes.groupBy("root").agg(F.min("first").alias("least"))
-    nodes = nodes.join(firsts, "root").select("fp", "root", "least")
-    return rows.join(nodes, "fp").select(
+    nodes = nodes.join(firsts.hint("merge"), "root").select("fp", "root", "least")
+    return rows.join(nodes.hint("merge"), "fp").select(
         "doc_id",
         "text_hash",
         "fp",

@@ -220,6 +220,14 @@ def test_winnowing_by_shuffle(docs, items, monkeypatch):
     assert ordered(winnow.per_document(docs, items).collect()) == ordered((i, *x) for (i, _), x in zip(TEXTS, expected))
 
 
+def test_simhash_joins_broadcast_nothing(spark, docs):
+    """Replicas and links are sized too low by Spark: no join of fingerprints may build a side on the driver."""
+    few = spark.createDataFrame([(v,) for v in range(0, 4000, 7)], "fp bigint").repartition(2)
+    for rows in (simhash.links(few), simhash.near_duplicates(docs)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_simhash(docs, none):
     rows = simhash.near_duplicates(docs)
     got = rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0"), "component_id").collect()
