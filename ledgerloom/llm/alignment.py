@@ -16,7 +16,9 @@ intersected once, and a text's groups are those of its units one after another.
 
 The corpus-wide count of a pair of tokens is a sum over all stretches. A stretch holds its
 distinct pairs, and the counts come back to it by a join on the pair, so that nothing of the
-corpus goes through one task, and no table is broadcast that grows with it.
+corpus goes through one task, and no table is broadcast that grows with it. A stretch is written
+as many small rows and put together again one at a time, so that a task's memory does not grow
+with the number of stretches that it reads or writes.
 
 Documents: null and empty texts, and those whose tokens' bytes differ from the text (a blank
 sign in the text itself), have no tokens and zeros. Each input row gives one row, repeated rows
@@ -29,12 +31,12 @@ from __future__ import annotations
 import functools
 import hashlib
 import itertools
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +50,9 @@ from ledgerloom.llm.windows import windows
 STRETCH = 4_000_000
 #: Characters of units that are encoded as one text.
 JOINED = 100_000
+#: Units, links or pairs in a row of a written stretch: Parquet's writer holds at least 100 rows.
+ROW = 25_000
+ROW_GROUP = 16 << 20
 BLANK = "▁"
 
 
@@ -287,44 +292,63 @@ class Stretch:
                 self.rows.append((lead, n_a[i], n_b[i], n_links[i], self.digest(own)))
                 self.used.append(own)
             else:
-                self.rows.append((lead, 0, 0, 0, ""))
+                self.rows.append((lead, 0, 0, 0, b""))
                 self.used.append(own[:0])
 
-    def digest(self, units: np.ndarray) -> str:
+    def digest(self, units: np.ndarray) -> bytes:
         """Over the groups of units, one after another; each unit's text ends with a separator, the last of which is left out."""
         digest = hashlib.sha256()
         groups = self.groups
         for i in range(0, len(units), 100_000):
             text = b"".join([groups[u] for u in units[i : i + 100_000].tolist()])
             digest.update(text if i + 100_000 < len(units) else text[:-1])
-        return digest.hexdigest()
+        return digest.digest()
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(distinct linked pairs, their counts over the stretch, number of pair of each unit's links, bounds of units in those)."""
-        bounds = np.append(0, np.cumsum(self.sizes[2]))
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(distinct linked pairs, their counts over the stretch, number of pair of each unit's links)."""
         which, pairs = pd.factorize(np.concatenate([np.empty(0, np.int64), *(k.pairs for k in self.known)]))
         times = np.bincount(np.concatenate([np.empty(0, np.int32), *self.used]), minlength=len(self.groups))
-        counts = np.bincount(which, np.repeat(times, np.diff(bounds)), minlength=len(pairs)).astype(np.int64)
-        return pairs, counts, which.astype(np.int32), bounds
+        counts = np.bincount(which, np.repeat(times, self.sizes[2]), minlength=len(pairs)).astype(np.int64)
+        return pairs, counts, which.astype(np.int32)
+
+
+def _rows_of(stretch: Stretch) -> Iterator[dict]:
+    """A stretch as rows of some hundred KB: its documents (a long one is a row of its own), its dictionary, its pairs."""
+    ends = np.cumsum([len(u) for u in stretch.used])
+    start = 0
+    for i in range(len(ends)):
+        if i + 1 == len(ends) or ends[i + 1] - (ends[start - 1] if start else 0) > ROW:
+            leads, n_a, n_b, n_links, digests = zip(*stretch.rows[start : i + 1], strict=True)
+            used = stretch.used[start : i + 1]
+            yield {
+                "ids": leads, "n_a": n_a, "n_b": n_b, "n_links": n_links, "groups": digests,
+                "ends": np.cumsum([len(u) for u in used]), "units": np.concatenate(used).tobytes(),
+            }
+            start = i + 1
+    pairs, counts, which = stretch.pairs()
+    for i in range(0, len(stretch.groups), ROW):
+        yield {"links": stretch.sizes[2, i : i + ROW].astype(np.int32).tobytes()}
+    for i in range(0, len(which), ROW):
+        yield {"which": which[i : i + ROW].tobytes()}
+    kept = np.flatnonzero(counts)
+    for i in range(0, len(kept), ROW):
+        numbers = kept[i : i + ROW]
+        yield {"numbers": numbers, "pairs": pairs[numbers], "counts": counts[numbers]}
 
 
 def _stretches(docs: DataFrame, byte_level: str, pieces: str, id_col: str, text_col: str, chars: int) -> DataFrame:
-    """A row per stretch: its documents, their units, and its pairs."""
+    """Each stretch as numbered rows: its documents with their units, what its units link, its pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizers = load(byte_level, pieces)
         stretch = Stretch(tokenizers)
+        numbers = itertools.count(TaskContext.get().partitionId() << 32)
 
-        def out(stretch: Stretch) -> pa.RecordBatch:
-            pairs, counts, which, bounds = stretch.pairs()
-            leads, n_a, n_b, n_links, digests = zip(*stretch.rows, strict=True)
-            ends = np.cumsum([len(u) for u in stretch.used])
-            kept = counts > 0
-            values = [
-                uuid.uuid4().hex, leads, n_a, n_b, n_links, digests, ends.tolist(), np.concatenate(stretch.used).tobytes(),
-                which.tobytes(), bounds.tobytes(), len(pairs), np.flatnonzero(kept), pairs[kept], counts[kept],
-            ]
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names=names)
+        def out(stretch: Stretch) -> Iterator[pa.RecordBatch]:
+            number = next(numbers)
+            for part, row in enumerate(_rows_of(stretch)):
+                values = {"stretch": number, "part": part} | row
+                yield pa.RecordBatch.from_arrays([pa.array([values.get(n)], t) for n, t in types.items()], names=list(types))
 
         for batch, texts in text_blocks(batches):
             leads = batch.column(0).to_pylist()
@@ -333,23 +357,25 @@ def _stretches(docs: DataFrame, byte_level: str, pieces: str, id_col: str, text_
             else:
                 stretch.add(leads, texts)
             if stretch.chars >= chars:
-                yield out(stretch)
+                yield from out(stretch)
                 stretch = Stretch(tokenizers)
         if stretch.rows:
-            yield out(stretch)
+            yield from out(stretch)
         stretch = None
         give_back()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    names = ["stretch", "ids", "n_a", "n_b", "n_links", "groups", "ends", "units", "which", "bounds", "n_pairs", "numbers", "pairs", "counts"]
     long, longs, binary = pa.int64(), pa.list_(pa.int64()), pa.binary()
-    id_list = pa.list_({"bigint": long, "int": pa.int32(), "string": pa.string()}[id_type])
-    types = [pa.string(), id_list, longs, longs, longs, pa.list_(pa.string()), longs, binary, binary, binary, long, longs, longs, longs]
+    types = {
+        "stretch": long, "part": long, "ids": pa.list_({"bigint": long, "int": pa.int32(), "string": pa.string()}[id_type]),
+        "n_a": longs, "n_b": longs, "n_links": longs, "groups": pa.list_(binary), "ends": longs, "units": binary,
+        "links": binary, "which": binary, "numbers": longs, "pairs": longs, "counts": longs,
+    }
     many = "array<bigint>"
     schema = (
-        f"stretch string, ids array<{id_type}>, n_a {many}, n_b {many}, n_links {many}, groups array<string>, ends {many}, "
-        f"units binary, which binary, bounds binary, n_pairs bigint, numbers {many}, pairs {many}, counts {many}"
+        f"stretch bigint, part bigint, ids array<{id_type}>, n_a {many}, n_b {many}, n_links {many}, groups array<binary>, ends {many}, "
+        f"units binary, links binary, which binary, numbers {many}, pairs {many}, counts {many}"
     )
     return rows.mapInArrow(run, schema)
 
@@ -369,38 +395,44 @@ def align(docs: DataFrame, byte_level: str, pieces: str, id_col: str = "doc_id",
     byte_level, pieces: paths of the two vocabularies on every executor.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    stretches = materialize(_stretches(docs, byte_level, pieces, id_col, text_col, chars), "alignment")
+    # Small row groups, since a task reads one at once.
+    stretches = materialize(_stretches(docs, byte_level, pieces, id_col, text_col, chars), "alignment", {"parquet.block.size": ROW_GROUP})
     counts = materialize(pair_counts(stretches, load(byte_level, pieces).width), "pair-counts")
-    wanted = stretches.select("stretch", F.explode(F.arrays_zip("numbers", "pairs")).alias("x")).select("stretch", "x.numbers", F.col("x.pairs").alias("pair"))
-    known = wanted.join(counts, "pair").groupBy("stretch").agg(F.collect_list(F.struct("numbers", "count", "best")).alias("known"))
-    rows = stretches.select("stretch", "ids", "n_a", "n_b", "n_links", "groups", "ends", "units", "which", "bounds", "n_pairs").join(known, "stretch", "left")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                value = {n: row.column(k)[0] for k, n in enumerate(row.schema.names)}
-                units = np.frombuffer(value["units"].as_buffer(), np.int32)
-                which = np.frombuffer(value["which"].as_buffer(), np.int32)
-                bounds = np.frombuffer(value["bounds"].as_buffer(), np.int64)
-                n = value["n_pairs"].as_py()
-                count, best = np.zeros(n, np.int64), np.zeros(n, np.int64)
-                if value["known"].is_valid:
-                    known = value["known"].values
-                    at = known.field("numbers").to_numpy()
-                    count[at] = known.field("count").to_numpy()
-                    best[at] = known.field("best").to_numpy(zero_copy_only=False)
-                sums = []
-                for per_pair in (best, count):
-                    per_unit = np.append(0, np.cumsum(per_pair[which]))
-                    per_unit = per_unit[bounds[1:]] - per_unit[bounds[:-1]]
-                    upto = np.append(0, np.cumsum(per_unit[units]))[np.append(0, value["ends"].values.to_numpy())]
-                    sums.append(pa.array(np.diff(upto)))
-                lists = [value[c].values for c in ("n_a", "n_b", "n_links", "groups")]
-                yield pa.RecordBatch.from_arrays(
-                    [value["ids"].values, lists[0], lists[1], lists[2], lists[2], *sums, lists[3]],
-                    names=["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
-                )
-
+    wanted = stretches.select(F.col("stretch").alias("owner"), F.explode(F.arrays_zip("numbers", "pairs")).alias("x")).select("owner", "x.numbers", F.col("x.pairs").alias("pair"))
+    # Counts in files are far smaller than as a table to look up.
+    known = wanted.join(counts.hint("merge"), "pair").select("owner", "numbers", "count", "best")
+    names = ["ids", "n_a", "n_b", "n_links", "groups", "ends", "units", "links", "which"]
+    rows = stretches.where("numbers is null").select("stretch", "part", *names)
+
+    def run(own: pa.Table, known: pa.Table) -> pa.Table:
+        order = np.argsort(own.column("part").to_numpy()).tolist()
+        column = {n: own.column(n).combine_chunks() for n in names}
+
+        def whole(name: str) -> np.ndarray:
+            values = [column[name][i] for i in order]
+            return np.concatenate([np.empty(0, np.int32), *(np.frombuffer(v.as_buffer(), np.int32) for v in values if v.is_valid)])
+
+        which, bounds = whole("which"), np.append(0, np.cumsum(whole("links"), dtype=np.int64))
+        at = known.column("numbers").to_numpy()
+        per_unit = []
+        for name in ("best", "count"):
+            per_pair = np.zeros(which.max(initial=-1) + 1, np.int64)
+            per_pair[at] = known.column(name).to_numpy()
+            upto = np.append(0, np.cumsum(per_pair[which]))
+            per_unit.append(upto[bounds[1:]] - upto[bounds[:-1]])
+        parts = []
+        for i in order:
+            value = {n: column[n][i] for n in names[:7]}
+            if not value["ids"].is_valid:
+                continue
+            units = np.frombuffer(value["units"].as_buffer(), np.int32)
+            ends = np.append(0, value["ends"].values.to_numpy())
+            sums = [pa.array(np.diff(np.append(0, np.cumsum(x[units]))[ends])) for x in per_unit]
+            lists = [value[n].values for n in ("ids", "n_a", "n_b", "n_links", "n_links")]
+            parts.append(pa.RecordBatch.from_arrays([*lists, *sums, pa.array([d.hex() for d in value["groups"].as_py()], pa.string())], names=out))
+        return pa.Table.from_batches(parts)
+
+    out = ["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     schema = f"id {id_type}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    # One stretch at a time: its rows and the counts of its pairs.
+    return rows.groupBy("stretch").cogroup(known.groupBy("owner")).applyInArrow(run, schema).withColumnRenamed("id", id_col)

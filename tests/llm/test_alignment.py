@@ -105,6 +105,18 @@ def test_query_and_empty(spark, tokenizers, tmp_path):
     assert texts.schema["doc_id"].dataType.simpleString() == "string" and texts.count() == len(rows)
 
 
+def test_small_rows(spark, tokenizers):
+    """A stretch is written as small rows, whatever it holds; a long document and a large dictionary too."""
+    rng = random.Random(7)
+    rows = [(i, " ".join(f"w{rng.randrange(40_000)}" for _ in range(100))) for i in range(600)]
+    rows.append((600, " ".join(f"w{i}" for i in range(30_000))))
+    docs = frame(spark, rows).coalesce(1)
+    sizes = [F.max(F.length(c)).alias(c) for c in ("units", "which")] + [F.max(F.size("pairs")).alias("pairs"), F.countDistinct("stretch").alias("n")]
+    most = alignment._stretches(docs, A, B, "doc_id", "text", 10_000_000).agg(*sizes).first()
+    assert most["n"] == 1 and most["units"] == 4 * 30_000 and most["which"] <= 100_000 and most["pairs"] <= 25_000
+    assert collected(alignment.align(docs, A, B)) == expected(rows, tokenizers)
+
+
 def test_windows(tokenizers):
     """Units of windows are units of the whole text, and long texts are encoded as the libraries do."""
     a_lib, b_lib = tokenizers
