@@ -196,15 +196,19 @@ def card_transactions(trx: DataFrame, fiids: DataFrame, start, end, group: str,
 def agreement_lines(trx: DataFrame, trx_acq: DataFrame) -> DataFrame:
     """One row per transaction, month and agreement.
 
-    ``in_use`` is the device of an amount above one, where the agreement's line is live.
+    ``in_use`` is the device of an amount above one, where the agreement's line is live. Both tables
+    are dealt by the transaction number before they are grouped, so that each is shuffled once.
     """
-    base = trx.groupBy("n_trx", "month_start").agg(
+    base = trx.filter("n_trx is not null").repartition("n_trx").groupBy("n_trx", "month_start").agg(
         F.max("c_nter").alias("c_nter"), F.max("n_amt_src").alias("n_amt_src"),
         F.max(F.when(F.coalesce("n_amt_src", F.lit(0)) > 1, F.col("c_nter"))).alias("in_use"),
     )
     flag = F.col("ods_deleted_flg") if "ods_deleted_flg" in trx_acq.columns else F.lit(None)
-    tax = trx_acq.filter("n_agr is not null").groupBy("n_trx", "n_agr").agg(
-        F.max(F.coalesce("n_amt_tax", F.lit(0))).alias("n_amt_tax"), F.max(F.coalesce(flag.cast("string"), F.lit("0")) != "1").alias("_live")
+    known = trx_acq.filter("n_agr is not null and n_trx is not null").select(
+        "n_trx", "n_agr", "n_amt_tax", (F.coalesce(flag.cast("string"), F.lit("0")) != "1").alias("_live")
+    )
+    tax = known.repartition("n_trx").groupBy("n_trx", "n_agr").agg(
+        F.max(F.coalesce("n_amt_tax", F.lit(0))).alias("n_amt_tax"), F.max("_live").alias("_live")
     )
     return base.join(tax, "n_trx").withColumn("in_use", F.when(F.col("_live"), F.col("in_use"))).drop("_live")
 
@@ -232,8 +236,11 @@ def device_totals(lines: DataFrame) -> DataFrame:
 def transaction_metrics(
     scope: DataFrame, trx: DataFrame, trx_acq: DataFrame, trx_int: DataFrame, fiids: DataFrame, start, end, group
 ) -> DataFrame:
-    """Count, turnover, commission, interchange and active devices per agreement and month."""
-    return totals_per_agreement(scoped_totals(scope, trx, trx_acq, trx_int, fiids, start, end, group))
+    """Count, turnover, commission, interchange and active devices per agreement and month.
+
+    The scope may have a row per month or per span of months (``perimeter`` with ``spans``).
+    """
+    return totals_per_agreement(_scoped(scope, trx, trx_acq, trx_int, fiids, start, end, group))
 
 
 def scoped_totals(
@@ -244,27 +251,42 @@ def scoped_totals(
     Agreements, companies and outlets in use are all counted from them, and the transactions are
     read once.
     """
-    lines = transaction_lines(card_transactions(trx, fiids, start, end, group), trx_acq, trx_int)
-    sa = scope.select(*KEY, "n_cmp_client", "inn").distinct()
-    return materialize(device_totals(lines).join(sa, KEY))
+    return materialize(_scoped(scope, trx, trx_acq, trx_int, fiids, start, end, group))
+
+
+def _scoped(
+    scope: DataFrame, trx: DataFrame, trx_acq: DataFrame, trx_int: DataFrame, fiids: DataFrame, start, end, group
+) -> DataFrame:
+    """Totals per device meet the scope as spans of months, by the agreement alone."""
+    totals = device_totals(transaction_lines(card_transactions(trx, fiids, start, end, group), trx_acq, trx_int))
+    if FIRST not in scope.columns:
+        scope = scope.withColumns({FIRST: month_number("month_start"), LAST: month_number("month_start")})
+    sa = merged_spans(scope, ["n_agr", "n_cmp_client", "inn"]).withColumnRenamed("n_agr", "_agr")
+    there = (F.col("n_agr") == F.col("_agr")) & month_number("month_start").between(F.col(FIRST), F.col(LAST))
+    return totals.join(sa, there).drop("_agr", FIRST, LAST)
 
 
 def totals_per_agreement(totals: DataFrame) -> DataFrame:
-    """Totals per agreement and month, and the active devices of its company."""
-    per_agreement = totals.groupBy(*KEY, "n_cmp_client", "inn").agg(
+    """Totals per agreement and month, and the active devices of its company.
+
+    An agreement's devices in use are one value, written with its totals; those of a company are counted from them.
+    """
+    active = F.collect_set(F.when(F.col("active") == 1, F.col("c_nter"))).alias("_devices")
+    held = materialize(totals.groupBy(*KEY, "n_cmp_client", "inn").agg(
         F.sum("trx_cnt").alias("trx_cnt"),
         F.sum("trx_sum").alias("trx_sum"),
         F.sum("commission_from_ops").alias("commission_from_ops"),
         F.sum("int_component").alias("int_component"),
-        F.countDistinct(F.when(F.col("active") == 1, F.col("c_nter"))).alias("active_terms"),
-    )
+        active,
+    ))
+    per_agreement = held.withColumn("active_terms", F.size("_devices").cast("long")).drop("_devices")
     per_company = (
-        totals.groupBy("n_cmp_client", "month_start", "c_nter")
-        .agg(F.max("active").alias("active"))
-        .groupBy("n_cmp_client", "month_start")
-        .agg(F.sum("active").alias("active_term_cnt"))
+        held.select("n_cmp_client", "month_start", F.explode("_devices").alias("c_nter")).distinct()
+        .groupBy("n_cmp_client", "month_start").agg(F.count(F.lit(1)).alias("_active"))
     )
-    return per_agreement.join(per_company, ["n_cmp_client", "month_start"], "left")
+    out = per_agreement.join(per_company, ["n_cmp_client", "month_start"], "left")
+    count = F.when(F.col("n_cmp_client").isNotNull(), F.coalesce("_active", F.lit(0)))
+    return out.withColumn("active_term_cnt", count).drop("_active")
 
 
 def transaction_metrics_naive(

@@ -33,20 +33,21 @@ def live_companies(companies: DataFrame, deleted=("1",)) -> DataFrame:
     )
 
 
+def agreement_heads(agreements: DataFrame, cls: str = "SA") -> DataFrame:
+    """Live agreement rows of the class, repeated ones too."""
+    return agreements_of_class(agreements, cls).select(
+        F.col("n_agr").cast("string").alias("n_agr"),
+        F.col("abs_agr_id").cast("string").alias("agr_id"),
+        F.col("n_cmp_client").cast("string").alias("n_cmp_client"),
+        F.nullif(F.trim("c_agr_number"), F.lit("")).alias("contract_number"),
+        "d_valid_from",
+        "d_valid_to",
+    )
+
+
 def base_spans(agreements: DataFrame, companies: DataFrame, start, end, cls: str = "SA") -> DataFrame:
     """Agreement rows with their company and the span of months of their validity."""
-    heads = (
-        agreements_of_class(agreements, cls)
-        .select(
-            F.col("n_agr").cast("string").alias("n_agr"),
-            F.col("abs_agr_id").cast("string").alias("agr_id"),
-            F.col("n_cmp_client").cast("string").alias("n_cmp_client"),
-            F.nullif(F.trim("c_agr_number"), F.lit("")).alias("contract_number"),
-            "d_valid_from",
-            "d_valid_to",
-        )
-        .distinct()
-    )
+    heads = agreement_heads(agreements, cls).distinct()
     joined = heads.join(live_companies(companies), "n_cmp_client").select(*AGREEMENT_COLUMNS)
     return month_spans(joined, start, end)
 
@@ -82,12 +83,15 @@ def within(base: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def perimeter(
-    agreements: DataFrame, companies: DataFrame, terms: DataFrame, start, end, cls: str = "SA", ter_type: str = "P"
+    agreements: DataFrame, companies: DataFrame, terms: DataFrame, start, end, cls: str = "SA", ter_type: str = "P", spans: bool = False
 ) -> DataFrame:
-    """Active agreements with an active term of one type, per month of [start, end]."""
-    # The months expand after the agreements have met their terms, so no month is shuffled.
-    rows = span_months(within(base_spans(agreements, companies, start, end, cls), term_spans(terms, start, end, ter_type)))
-    return rows.select("n_agr", "month_start", *AGREEMENT_COLUMNS[1:])
+    """Active agreements with an active term of one type, per month of [start, end]; with ``spans`` per span of months."""
+    # Agreements lie by their number when they are made distinct and meet their terms; the months expand last, so no month is shuffled.
+    heads = agreement_heads(agreements, cls).filter("n_agr is not null").repartition("n_agr").distinct()
+    rows = within(month_spans(heads, start, end), term_spans(terms, start, end, ter_type)).join(live_companies(companies), "n_cmp_client")
+    if spans:
+        return rows.select(*AGREEMENT_COLUMNS, FIRST, LAST)
+    return span_months(rows).select("n_agr", "month_start", *AGREEMENT_COLUMNS[1:])
 
 
 def perimeter_funnel(

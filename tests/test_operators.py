@@ -447,6 +447,31 @@ def test_transactions_are_read_once(spark):
     assert me.totals_per_agreement(totals).collect() == me.transaction_metrics(scope, trx, acq, fees, fiids, *period).collect()
 
 
+def test_transactions_meet_spans_of_months(spark):
+    """Each table is shuffled by the transaction number once; a scope of spans gives what its months give."""
+    scope, trx, acq, fees, fiids, *period = trx_inputs(spark, 2)
+    period = ["2025-11-01", "2026-02-28", "HOME"]
+    spans = spark.createDataFrame([("A1", "C1", "I1", 2025 * 12 + 10, 2026 * 12 + 1), ("A1", "C1", "I1", 2026 * 12, 2026 * 12),
+                                   ("A1", "C2", None, 2026 * 12, 2026 * 12), ("A2", "C1", "I1", 2026 * 12, 2026 * 12)],
+                                  "n_agr string, n_cmp_client string, inn string, _first int, _last int")
+    months = sp.span_months(spans)
+    both = [{tuple(r) for r in me.transaction_metrics(s, trx, acq, fees, fiids, *period).select(
+        "n_agr", "month_start", "n_cmp_client", "inn", "trx_cnt", "trx_sum", "active_terms", "active_term_cnt").collect()} for s in (spans, months)]
+    assert both[0] == both[1] == {("A1", day("2026-01-01"), c, i, 4, 30.5, 2, 2) for c, i in (("C1", "I1"), ("C2", None))}
+    assert plan(me._scoped(spans, trx, acq, fees, fiids, *period)).count("Exchange hashpartitioning(n_trx") == 3
+
+
+def test_months_expand_after_a_join_by_key(spark):
+    """``span_months_with`` is a left join on key and month, and shuffles no month."""
+    spans = spark.createDataFrame([("a", 1, 24300, 24302), ("a", 2, 24301, 24301), ("b", 3, 24300, 24300), (None, 4, 24300, 24300)], "k string, v int, _first int, _last int")
+    rows = spark.createDataFrame([("a", day("2025-02-01"), 5), ("a", day("2025-02-01"), 6), ("a", day("2026-01-01"), 7), ("b", day("2025-02-01"), None), (None, day("2025-01-01"), 9)],
+                                 "k string, month_start date, x int")
+    out = sp.span_months_with(spans, rows, "k")
+    expected = sp.span_months(spans).join(rows, ["k", "month_start"], "left").select(*out.columns)
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+    assert "month_start" not in "".join(x for x in plan(out).split("\n") if "Exchange" in x)
+
+
 def test_columns_and_schema(spark):
     df = spark.createDataFrame([("1", 2.0)], ["  ИНН  клиента", "x"])
     assert rd.resolve_columns(df, {"inn": ["инн клиента"], "aur": ["АУР"]}, ["inn"]).first().asDict() == {"inn": "1", "aur": None}
