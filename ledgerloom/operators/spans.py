@@ -68,6 +68,19 @@ def span_months(df: DataFrame, month: str = "month_start") -> DataFrame:
     return months.drop(FIRST, LAST, "_month")
 
 
+def span_months_with(spans: DataFrame, rows: DataFrame, key: str, month: str = "month_start") -> DataFrame:
+    """A row per month of each span with what the key's rows of that month hold: a left join on key and month.
+
+    A key's rows are one value when they meet its spans, and the months expand after that, so no month is shuffled.
+    """
+    values = [c for c in rows.columns if c not in (key, month)]
+    held = rows.groupBy(key).agg(F.collect_list(F.struct(month_number(month).alias("_m"), *values)).alias("_held"))
+    months = spans.join(held, key, "left").withColumn("_month", F.explode(F.sequence(FIRST, LAST)))
+    here = months.withColumn("_here", F.explode_outer(F.filter("_held", lambda x: x["_m"] == F.col("_month"))))
+    rest = [c for c in spans.columns if c not in (key, FIRST, LAST)]
+    return here.select(key, month_of("_month").alias(month), *rest, *[F.col(f"_here.`{c}`").alias(c) for c in values])
+
+
 def merged_spans(df: DataFrame, keys) -> DataFrame:
     """Spans that don't overlap and cover the same months of a key as its rows do."""
     rows = df.select(*keys, FIRST, LAST).distinct()

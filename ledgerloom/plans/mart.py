@@ -11,7 +11,7 @@ from ..functions.numbers import bounded_count, coalesce_by_source, money2, profi
 from ..functions.text import blank_to_null, norm_agr, norm_branch, norm_inn
 from ..operators.dedup import most_complete_row
 from ..operators.mapping import enrich_dims, key_fallback, map_ids_chain
-from ..operators.spans import FIRST, LAST, chosen_spans, month_number, month_spans
+from ..operators.spans import FIRST, LAST, chosen_spans, month_number, month_spans, span_months_with
 from ..operators.validity import not_deleted
 from ..session import materialize
 from . import metrics as m
@@ -160,10 +160,10 @@ def monthly_mart(i: MartInputs, start, end, group: str, master_prefix: str, core
 
 def slim_mart(i: MartInputs, start, end, group: str) -> DataFrame:
     """The smallest useful mart: perimeter, transactions and formulas without fees."""
-    scope = materialize(perimeter(i.agreements, i.companies, i.terms, start, end))
+    scope = materialize(perimeter(i.agreements, i.companies, i.terms, start, end, spans=True))
     trx = m.transaction_metrics(scope, i.trx, i.trx_acq, i.trx_int, i.fiids, start, end, group)
     empty = {c: F.lit(0) for c in ("retl_cnt", "commission_monthly", "amortization")}
-    df = scope.join(trx.drop("n_cmp_client", "inn"), m.KEY, "left").withColumns(empty)
+    df = span_months_with(scope, trx.drop("n_cmp_client", "inn"), "n_agr").withColumns(empty)
     df = profit_formulas(df)
     return df.withColumns({c: money2(c) for c in MONEY}).withColumn(
         "report_month", F.date_format("month_start", "yyyy-MM")
