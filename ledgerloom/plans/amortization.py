@@ -21,9 +21,11 @@ EPOCH = "1900-01-01"
 AGE_BOUNDS = (0, 12, 24, 36, 48)
 
 
-def device_rows(devices: DataFrame) -> DataFrame:
-    """Distinct intervals of device codes with a serial, and the serial's first delivery."""
+def device_rows(devices: DataFrame, delivery: bool = True) -> DataFrame:
+    """Distinct intervals of device codes with a serial, and the serial's first delivery; without it, repeated ones too."""
     live = not_deleted(devices).filter("c_pos_serial is not null")
+    if not delivery:
+        return live.filter("c_nter is not null").select("c_nter", "c_pos_serial", "d_ter_install", "d_ter_close")
     first = live.filter("d_ter_delivery is not null").groupBy("c_pos_serial").agg(
         F.min("d_ter_delivery").alias("first_d_ter_delivery")
     )
@@ -39,9 +41,9 @@ def pick_spans(rows: DataFrame, start, end) -> DataFrame:
     return chosen_spans(month_spans(known, start, end, "_from", "d_ter_close"), ["c_nter"], order, payload)
 
 
-def device_months(devices: DataFrame, start, end, spans: bool = False) -> DataFrame:
-    """One row per month and active device code, with the serial's first delivery; with ``spans`` one per span of months."""
-    picked = pick_spans(device_rows(devices), start, end)
+def device_months(devices: DataFrame, start, end, spans: bool = False, delivery: bool = True) -> DataFrame:
+    """One row per month and active device code, with the serial's first delivery if wanted; with ``spans`` one per span of months."""
+    picked = pick_spans(device_rows(devices, delivery), start, end)
     return picked if spans else span_months(picked)
 
 
@@ -174,21 +176,25 @@ def handover_flags(spans: DataFrame, client: str = "n_cmp", month_col: str = "mo
     """Serials under several device codes in a month: closed under one and installed under another, or held by several clients.
 
     Takes spans of device codes (``device_months``), whose ends become signed events, so that no row
-    per device and month is shuffled.
+    per device and month is shuffled. Like spans of a serial are counted first, so that a serial with
+    very many codes has few rows; these lie by serial when they become events.
     """
     closed, opened = month_number("d_ter_close"), month_number("d_ter_install")
     before = Window.partitionBy("c_pos_serial", client).orderBy(FIRST, LAST).rowsBetween(Window.unboundedPreceding, -1)
     # The months in which no earlier span of the serial and client stands.
     own = F.when(F.col(client).isNotNull(), F.greatest(F.col(FIRST), F.max(LAST).over(before) + 1))
-    rows = spans.withColumn("_own", own)
+    inside = {c: F.when(m.between(F.col(FIRST), F.col(LAST)), m) for c, m in (("_closed", closed), ("_opened", opened))}
+    shape = ["c_pos_serial", FIRST, LAST, "_own", "_closed", "_opened"]
+    rows = spans.withColumn("_own", own).withColumns(inside).groupBy(*shape).agg(F.count(F.lit(1)).alias("_n")).repartition("c_pos_serial")
     names = ("n_c_nter", "n_client", "n_closed", "n_opened", "n_both")
 
     def part(name, first, last):
-        return F.struct(first.alias(FIRST), last.alias(LAST), *[F.lit(int(x == name)).alias(x) for x in names])
+        return F.struct(first.alias(FIRST), last.alias(LAST), *[(F.col("_n") if x == name else F.lit(0).cast("long")).alias(x) for x in names])
 
     def day(name, month, condition=F.lit(True)):
-        return F.when(condition & month.between(F.col(FIRST), F.col(LAST)), part(name, month, month))
+        return F.when(condition & month.isNotNull(), part(name, month, month))
 
+    closed, opened = F.col("_closed"), F.col("_opened")
     parts = F.array(
         part("n_c_nter", F.col(FIRST), F.col(LAST)),
         F.when(F.col("_own") <= F.col(LAST), part("n_client", F.col("_own"), F.col(LAST))),
