@@ -432,20 +432,30 @@ def rent_row_classes(
     )
 
 
-def count_variants(pairs: DataFrame, outlets: DataFrame, devices: DataFrame, start, end, spans: bool = False) -> DataFrame:
+def count_variants(
+    pairs: DataFrame, outlets: DataFrame, devices: DataFrame, start, end, spans: bool = False, at: DataFrame | None = None
+) -> DataFrame:
     """Outlets and devices of each agreement's company per month: all of them, and those with a device in place.
 
     ``pairs`` holds (n_agr, n_cmp_client). Companies are counted once, not once per agreement. With
-    ``spans`` a row is a span of months with the same counts.
+    ``spans`` a row is a span of months with the same counts. With ``at``, rows of agreement and month,
+    those that have counts get them: they meet the spans of the company, so that no row per
+    agreement and span is made.
     """
     pairs = pairs.select("n_agr", "n_cmp_client").distinct()
     owned = not_deleted(outlets).filter("c_nmrc is not null").select(F.col("n_cmp").alias("n_cmp_client"), "c_nmrc").distinct()
     owned = owned.join(pairs.select("n_cmp_client").distinct(), "n_cmp_client", "left_semi")
-    fitted = owned.join(not_deleted(devices).filter("c_nter is not null"), "c_nmrc")
+    # Devices meet their outlets once and are written with their span, which ends before it begins where they stood in no month.
+    since = F.coalesce("d_ter_install", F.lit("1900-01-01").cast("date"))
+    placed = not_deleted(devices).filter("c_nter is not null").select("c_nmrc", "c_nter", since.alias("_since"), "d_ter_close").join(owned, "c_nmrc")
+    low, high = (month_number(F.lit(d).cast("date")) for d in (start, end))
+    fitted = materialize(placed.select(
+        "n_cmp_client", "c_nmrc", "c_nter", F.greatest(month_number("_since"), low).alias(FIRST),
+        F.least(F.coalesce(month_number("d_ter_close"), high), high).alias(LAST),
+    ))
     term_all = fitted.select("n_cmp_client", "c_nter").distinct().groupBy("n_cmp_client").agg(F.count(F.lit(1)).alias("term_all_cnt"))
     retl_all = owned.groupBy("n_cmp_client").agg(F.count(F.lit(1)).alias("retl_all_cnt"))
-    known = fitted.withColumn("_since", F.coalesce("d_ter_install", F.lit("1900-01-01").cast("date")))
-    stood = month_spans(known, start, end, "_since", "d_ter_close").select("n_cmp_client", "c_nmrc", "c_nter", FIRST, LAST)
+    stood = fitted.filter(F.col(FIRST) <= F.col(LAST))
     key = ["n_cmp_client"]
     merged = [
         merged_spans(stood, [*key, c]).select(*key, FIRST, LAST, *[F.lit(int(c == x)).alias(n) for x, n in (("c_nmrc", "retl_active_cnt"), ("c_nter", "term_active_cnt"))])
@@ -453,6 +463,9 @@ def count_variants(pairs: DataFrame, outlets: DataFrame, devices: DataFrame, sta
     ]
     active = stretched_sums(merged[0].unionByName(merged[1]), key, ["retl_active_cnt", "term_active_cnt"])
     per_company = retl_all.join(term_all, "n_cmp_client", "left").join(active, "n_cmp_client")
+    if at is not None:
+        rows = at.join(pairs, "n_agr").join(per_company, "n_cmp_client")
+        return rows.filter(month_number("month_start").between(F.col(FIRST), F.col(LAST))).drop("n_cmp_client", FIRST, LAST)
     # Months are expanded last: a company's counts meet its agreements as spans.
     counts = pairs.join(per_company, "n_cmp_client").select(
         "n_agr", "retl_all_cnt", "retl_active_cnt", "term_all_cnt", "term_active_cnt", FIRST, LAST

@@ -139,11 +139,12 @@ def paired(lake: DataFrame, ref: DataFrame, keys=ROW_KEY) -> DataFrame:
 def paired_rows(rows: DataFrame, side: str, sides: dict, keys=ROW_KEY) -> DataFrame:
     """``paired`` of the ``key_month_agg`` of two tables whose rows come as one, told apart by the column ``side``.
 
-    ``sides`` maps the two values of the column to (suffix, rules), the left table first. One shuffle of
+    ``sides`` maps the two values of the column to (suffix, rules), the left table first; the rule ``set`` gives
+    the different values of a key's rows. One shuffle of
     sums that tasks have taken before, in place of one for each table and a join.
     """
     (left, _), (right, _) = sides.items()
-    rule = {"max": F.max, "sum": F.sum}
+    rule = {"max": F.max, "sum": F.sum, "set": F.collect_set}
     # As in a join, a row with an empty key meets none of the other side.
     alone = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     sums = rows.groupBy(*keys, F.when(alone, F.col(side)).alias("_alone")).agg(

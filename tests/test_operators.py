@@ -472,6 +472,33 @@ def test_months_expand_after_a_join_by_key(spark):
     assert "month_start" not in "".join(x for x in plan(out).split("\n") if "Exchange" in x)
 
 
+def test_handover_events_are_not_shuffled(spark):
+    """Like spans of a serial are counted before they become events, and only those counts are dealt by serial."""
+    rows = [(" ", f"T{i}", i % 7, 24300 + i % 3, 24303, day("2025-02-01"), day("2025-04-01") if i % 2 else None) for i in range(400)]
+    spans = spark.createDataFrame(rows, "c_pos_serial string, c_nter string, n_cmp int, _first int, _last int, d_ter_install date, d_ter_close date")
+    flags = am.handover_flags(spans)
+    found = {r.month_start: (r.n_c_nter, r.n_client, r.n_closed, r.n_opened, r.n_both) for r in flags.collect()}
+    assert found == {day("2025-01-01"): (134, 7, 0, 0, 0), day("2025-02-01"): (267, 7, 0, 267, 0), day("2025-03-01"): (400, 7, 0, 0, 0),
+                     day("2025-04-01"): (400, 7, 200, 0, 0)}
+    assert not [x for x in plan(flags).split("\n") if "Exchange" in x and "_month" in x]
+
+
+def test_count_variants_at_rows(spark):
+    """Rows of agreement and month get the counts of their company's span."""
+    pairs = spark.createDataFrame([("A1", "C1"), ("A2", "C1"), ("A2", "C2"), ("A3", None)], "n_agr string, n_cmp_client string")
+    outlets = spark.createDataFrame([("M1", "C1", None), ("M2", "C1", None), ("M2", "C2", None), ("M3", "C3", None)], "c_nmrc string, n_cmp string, ods_deleted_flg string")
+    devices = spark.createDataFrame([("D1", "M1", "2025-02-03", "2025-03-01", None), ("D1", "M2", None, "2025-02-01", None), ("D2", "M2", "2026-02-01", None, None)],
+                                    "c_nter string, c_nmrc string, d_ter_install string, d_ter_close string, ods_deleted_flg string")
+    devices = devices.withColumns({c: F.col(c).cast("date") for c in ("d_ter_install", "d_ter_close")})
+    at = spark.createDataFrame([(i, a, day(f"2025-0{m}-01")) for i, (a, m) in enumerate((a, m) for a in ("A1", "A2", "A3", "A9") for m in (1, 2, 2, 3, 4))],
+                               "id int, n_agr string, month_start date")
+    args = pairs, outlets, devices, "2025-01-01", "2025-06-30"
+    out = me.count_variants(*args, at=at)
+    wanted = at.join(me.count_variants(*args), ["n_agr", "month_start"]).select(*out.columns)
+    rows = sorted(map(tuple, out.collect()), key=repr)
+    assert len(rows) == 11 and rows == sorted(map(tuple, wanted.collect()), key=repr)
+
+
 def test_columns_and_schema(spark):
     df = spark.createDataFrame([("1", 2.0)], ["  ИНН  клиента", "x"])
     assert rd.resolve_columns(df, {"inn": ["инн клиента"], "aur": ["АУР"]}, ["inn"]).first().asDict() == {"inn": "1", "aur": None}
